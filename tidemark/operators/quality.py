@@ -127,8 +127,9 @@ def null_rate(df: DataFrame, col: str, by: Sequence[str], threshold: float = 0.0
 def freshness(df: DataFrame, ts: str, as_of, max_hours: float, by: Sequence[str] = ()) -> DataFrame:
     """Hours between the newest timestamp and ``as_of``; stale when over the limit."""
     return (df.groupBy(*by).agg(F.max(ts).alias("last_ts"))
-            .withColumn("hours_since",
-                        F.timestampdiff("HOUR", F.col("last_ts"), F.lit(as_of).cast("timestamp_ntz")))
+            .withColumn("_as_of", F.lit(as_of).cast("timestamp_ntz"))
+            .withColumn("hours_since", F.expr("timestampdiff(HOUR, last_ts, _as_of)"))
+            .drop("_as_of")
             .withColumn("is_stale", F.col("hours_since") > max_hours))
 
 

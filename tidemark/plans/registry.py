@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshot"]
+MODULES = ["snapshot", "relational"]
 
 
 def _modules():
