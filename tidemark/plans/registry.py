@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshot", "relational"]
+MODULES = ["snapshot", "relational", "changes_quality"]
 
 
 def _modules():
