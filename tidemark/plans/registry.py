@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshot", "relational", "changes_quality"]
+MODULES = ["snapshot", "relational", "changes_quality", "privacy_logs"]
 
 
 def _modules():
