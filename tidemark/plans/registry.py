@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshot", "relational", "changes_quality", "privacy_logs"]
+MODULES = ["snapshot", "relational", "changes_quality", "privacy_logs", "ml_udf"]
 
 
 def _modules():
