@@ -73,8 +73,13 @@ class StreamRun:
 
 def run_stream(stream: DataFrame, name: str, mode: str = "append", keys: Sequence[str] = (),
                partition_by: Sequence[str] = (), path: str | None = None,
-               checkpoint: str | None = None, trigger: dict | None = None) -> StreamRun:
-    """Run ``stream`` until the available input is consumed, into parquet."""
+               checkpoint: str | None = None, trigger: dict | None = None,
+               conf: dict | None = None) -> StreamRun:
+    """Run ``stream`` until the available input is consumed, into parquet.
+
+    ``conf`` holds session settings for this query only (a query captures the
+    session conf when it starts; the previous values are restored after).
+    """
     spark = stream.sparkSession
     base = scratch_path(spark, name)
     path = path or f"{base}/sink"
@@ -90,7 +95,17 @@ def run_stream(stream: DataFrame, name: str, mode: str = "append", keys: Sequenc
              .write.mode("overwrite").parquet(f"{path}/_batch={batch_id}"))
         w = w.foreachBatch(write_batch)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    q = w.start()
+    saved = {k: spark.conf.get(k, None) for k in (conf or {})}
+    for k, v in (conf or {}).items():
+        spark.conf.set(k, v)
+    try:
+        q = w.start()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     q.awaitTermination()
     progress = q.recentProgress
     if q.exception() is not None:
