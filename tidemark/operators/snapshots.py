@@ -246,16 +246,44 @@ def open_counts(bronze: DataFrame, primary: bool) -> DataFrame:
             .withColumns(consts))
 
 
+def gold_aggregate(bronze: DataFrame, month_end=None) -> DataFrame:
+    """Quarterly totals of both lines in one aggregation.
+
+    Each row gets its output keys first (primary line: LOB 1, its AOP,
+    claimant -2; supplemental lines: LOB 4, AOP -2, its claimant), so one
+    scan and one shuffle serve what the per-line silver tables compute in two.
+    """
+    lob = F.col("LOB_SK")
+    primary = lob == PRIMARY_LOB
+    na = F.lit(NOT_APPLICABLE).cast("bigint")
+    keyed = (select_periods(bronze, month_end)
+             .where(lob >= PRIMARY_LOB)
+             .select("QUARTER_END", "PRIMARY_CAUSE_OF_LOSS_SK",
+                     F.when(primary, F.lit(PRIMARY_LOB)).otherwise(F.lit(SUPPLEMENTAL_LOB))
+                     .cast("bigint").alias("LOB_SK"),
+                     F.when(primary, F.col("AOP_SK")).otherwise(na).alias("AOP_SK"),
+                     F.when(primary, na).otherwise(F.col("CLAIMANT_TYPE_SK")).alias("CLAIMANT_TYPE_SK"),
+                     "FIRM_PAID", "ALAS_PAID", "TOTAL_INCURRED", "GROUND_UP_PAID", "MATTER_CATEGORY_SK",
+                     "MATTER_STATUS_CODE"))
+    out = aggregate_snapshots(keyed, ["LOB_SK", "AOP_SK", "PRIMARY_CAUSE_OF_LOSS_SK", "CLAIMANT_TYPE_SK"],
+                              mcols=["QUARTER_END"], fincols=_MONEY_SUMS)
+    return expect_or_fail(out, {"no null dates": "QUARTER_END IS NOT NULL"})
+
+
+GOLD_KEYS = ["LOB_SK", "AOP_SK", "PRIMARY_CAUSE_OF_LOSS_SK", "CLAIMANT_TYPE_SK"]
+
+
 def gold_cumulative(bronze: DataFrame, month_end=None) -> DataFrame:
-    p = silver_aggregate(bronze, True, month_end).select(*GOLD_COLUMNS)
-    s = silver_aggregate(bronze, False, month_end).select(*GOLD_COLUMNS)
-    return p.unionByName(s)
+    """Quarterly cumulative totals of the primary and supplemental lines."""
+    return gold_aggregate(bronze, month_end).select(*GOLD_COLUMNS)
 
 
 def gold_emergence(bronze: DataFrame, month_end=None) -> DataFrame:
-    p = silver_emergence(silver_aggregate(bronze, True, month_end), True).select(*GOLD_COLUMNS)
-    s = silver_emergence(silver_aggregate(bronze, False, month_end), False).select(*GOLD_COLUMNS)
-    return p.unionByName(s)
+    """Quarter-over-quarter emergence of both lines. The window partitions
+    include LOB_SK, so each line is differenced within its own groups exactly
+    as the per-line silver emergence tables are."""
+    return period_change(gold_aggregate(bronze, month_end), ["QUARTER_END"], GOLD_KEYS,
+                         _MONEY_SUMS).select(*GOLD_COLUMNS)
 
 
 def money_to_double(df: DataFrame, cols: Sequence[str] = MONEY_OUT) -> DataFrame:

@@ -169,11 +169,10 @@ FROM lineitem GROUP BY 1, 2""")
 def q_partitioned_write(spark, d):
     li = T(spark, d).lineitem.withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")})
     path = scratch_path(spark, "partitioned")
-    # spread rows evenly over n writers (each writes at most one file per
-    # month it holds): a month holding a third of the data is split across
-    # all tasks instead of landing in one
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fs.write(li.repartition(n), path, partition_by=["year", "month"])
+    # REBALANCE by the partition columns: AQE splits a partition value that
+    # holds too many rows across several writers and merges small ones, so
+    # there is neither a hot single-task month nor a file per task and month
+    fs.write(li.hint("rebalance", "year", "month"), path, partition_by=["year", "month"])
     back = spark.read.parquet(path)
     return back.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("n_lines"),

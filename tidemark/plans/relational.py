@@ -268,7 +268,7 @@ def q_conform_codes(spark, d):
 @register("rejoin_keys", EMERGE_CTE + "\n" + GOLD_SELECT.format(t="mom_p"))
 def q_rejoin_keys(spark, d):
     from tidemark.plans.snapshot import _bronze
-    aggp = snap.silver_aggregate(_bronze(spark, d), True, "latest")
+    aggp = snap.silver_aggregate(_bronze(spark, d, materialized=True), True, "latest")
     keys = ["QUARTER_END", "PRIMARY_CAUSE_OF_LOSS_SK", "AOP_SK"]
     mom = snap.silver_emergence(aggp, True)
     return snap.money_to_double(mom.drop("LOB_SK", "CLAIMANT_TYPE_SK")
