@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import quarter_end
 from tidemark.operators.quality import expect_or_fail
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_bounded
 
 # Fixed values of the claims model.
 REAL_CLAIM_CATEGORIES = [2, 4, 5, 6, 7]
@@ -135,19 +135,25 @@ def minify(lookup: DataFrame, code: str, group: str) -> DataFrame:
     return lookup.groupBy(group).agg(F.min(code).alias(code))
 
 
+def code_map(lookup: DataFrame, code: str, group: str) -> DataFrame:
+    """code -> representative code of its group (one row per code)."""
+    rep = minify(lookup, code, group).withColumnRenamed(code, "_rep")
+    return lookup.select(code, group).dropDuplicates([code]).join(rep, on=group, how="left") \
+        .select(code, "_rep")
+
+
 def conform(df: DataFrame, code: str, lookup: DataFrame, group: str,
             choose=None) -> DataFrame:
     """Remap ``code`` to the representative code of its group.
 
     ``lookup`` maps code -> group. ``choose(rep)`` turns the representative
-    column into the final value (default: the representative itself). Two
-    left joins with size-checked broadcast lookups; no fan-out because both
-    lookups are unique on their join key.
+    column into the final value (default: the representative itself). The
+    code map is built once, materialized and broadcast when its row count
+    proves it small, so the fact side is joined once and never shuffled for
+    it; the map is unique per code, so the left join cannot fan out.
     """
-    rep = minify(lookup, code, group).withColumnRenamed(code, "_rep")
-    lk = lookup.select(code, group).dropDuplicates([code])
-    out = (df.join(broadcast_if_small(lk), on=code, how="left")
-           .join(broadcast_if_small(rep), on=group, how="left"))
+    mapping = broadcast_bounded(code_map(lookup, code, group))
+    out = df.join(mapping, on=code, how="left")
     new = choose(F.col("_rep")) if choose else F.col("_rep")
     return out.select(*[new.alias(code) if c == code else F.col(c) for c in df.columns])
 

@@ -121,3 +121,20 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES)
     if est is not None and est <= limit_bytes:
         return F.broadcast(df)
     return df
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Materialize a derived lookup (reliable checkpoint in the shared folder),
+    count it, and broadcast it only when the count proves it small.
+
+    For lookups built with DISTINCT/GROUP BY over big tables Catalyst's static
+    estimate is the size of the big input; without a proven bound AQE could
+    only switch to a broadcast after the big side had already been shuffled.
+    Beyond ``max_rows`` the materialized frame is returned unhinted (a shuffle
+    join).
+    """
+    m = materialize(df)
+    return F.broadcast(m) if m.count() <= max_rows else m

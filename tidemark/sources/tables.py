@@ -64,9 +64,13 @@ class Tables:
         ext = F.col("l_extendedprice").cast(AMOUNT)
         disc = F.col("l_discount").cast(AMOUNT)
         tax = F.col("l_tax").cast(AMOUNT)
+        # part first, orders last: at scale both are shuffle joins, and ending
+        # on the order key leaves the fact side hash-partitioned by MATTER_SK,
+        # which the matter join and the (MATTER_SK, MONTH_END) de-duplication
+        # downstream reuse without another exchange of the big side
         return (
-            li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(p, li.l_partkey == p.p_partkey)
+            li.join(p, li.l_partkey == p.p_partkey)
+            .join(o, li.l_orderkey == o.o_orderkey)
             .select(
                 F.col("l_orderkey").cast("bigint").alias("MATTER_SK"),
                 F.last_day(F.to_date("l_shipdate")).alias("AS_OF_DATE"),
