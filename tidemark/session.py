@@ -90,14 +90,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tidemark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table in the shared
+    checkpoint folder and reading it back.
 
-    Survives executor loss (unlike a local checkpoint), so long multi-stage
-    jobs can resume from here instead of recomputing from the sources.
+    Survives executor loss (the data is in shared storage, unlike a local
+    checkpoint), is columnar and compressed (cheaper than the row-serialized
+    RDD checkpoint), and gives the planner real file statistics.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def size_estimate_bytes(df: DataFrame) -> int | None:
@@ -127,14 +130,12 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def broadcast_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialize a derived lookup (reliable checkpoint in the shared folder),
-    count it, and broadcast it only when the count proves it small.
+    """Broadcast a derived lookup only when its row count proves it small.
 
     For lookups built with DISTINCT/GROUP BY over big tables Catalyst's static
     estimate is the size of the big input; without a proven bound AQE could
     only switch to a broadcast after the big side had already been shuffled.
-    Beyond ``max_rows`` the materialized frame is returned unhinted (a shuffle
-    join).
+    The count is one partial-aggregated pass over the lookup's few columns;
+    beyond ``max_rows`` no hint is added (a shuffle join).
     """
-    m = materialize(df)
-    return F.broadcast(m) if m.count() <= max_rows else m
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
