@@ -9,7 +9,6 @@ the files.
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
