@@ -30,10 +30,28 @@ def test_asof_join_matches_brute_force(spark):
     left = spark.createDataFrame([(1, 1, 10), (2, 1, 20), (3, 2, 5), (4, 3, 7)], "id int, k int, t int")
     right = spark.createDataFrame([(1, 5, 100.0), (1, 10, 110.0), (1, 15, 115.0), (2, 6, 200.0), (3, 8, 300.0)],
                                   "k int, rt int, v double")
-    got = {r.id: r.v for r in jn.asof_join(left, right, ["k"], "t", "rt", ["v"]).collect()}
+    got = {r.id: r.v for r in jn.asof_join(left, right, ["k"], "t", "rt", ["v"], bucket=None).collect()}
     assert got == {1: 110.0, 2: 115.0, 3: None, 4: None}   # equal time matches; none before -> NULL
 
 
+def test_asof_join_across_day_buckets(spark):
+    import random
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    lrows = [(i, rnd.randint(0, 3), base + dt.timedelta(hours=rnd.randint(0, 24 * 6))) for i in range(300)]
+    rrows = [(rnd.randint(0, 3) if i % 17 else None, base + dt.timedelta(hours=rnd.randint(0, 24 * 6), minutes=i),
+              i, float(i)) for i in range(120)]
+    left = spark.createDataFrame(lrows, "id int, k int, t timestamp")
+    right = spark.createDataFrame(rrows, "k int, rt timestamp, seq int, v double")
+    got = {r.id: r.v for r in jn.asof_join(left, right, ["k"], "t", "rt", ["v"], tiebreak="seq",
+                                           bucket="day").collect()}
+    exp = {}
+    for i, k, t in lrows:
+        cands = [(rt, seq, v) for kk, rt, seq, v in rrows if kk == k and rt <= t]
+        exp[i] = max(cands)[2] if cands else None
+    assert got == exp
+
+
 def test_range_join_matches_nested_loop(spark):
     facts = spark.createDataFrame([(i, dt.date(2024, 1, 1) + dt.timedelta(days=i * 7)) for i in range(30)],
                                   "id int, d date")

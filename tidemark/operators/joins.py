@@ -44,34 +44,62 @@ def range_join(facts: DataFrame, ranges: DataFrame, value: str, start: str, end:
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str,
-              values: Sequence[str], tiebreak: str | None = None) -> DataFrame:
+              values: Sequence[str], tiebreak: str | None = None, bucket: str | None = "day") -> DataFrame:
     """For each left row, the ``values`` of the latest right row with the same
-    key and ``right_ts <= left_ts`` (NULL when none).
+    key and ``right_ts <= left_ts`` (NULLs when there is none).
 
-    One shuffle: both sides are unioned, partitioned by key and ordered by time
-    (right before left on equal time); ``last(ignorenulls)`` carries the newest
-    right values forward. Memory per key stays bounded because the window
-    frame is running, not materialised.
+    Two levels, so a key holding a third of all rows is not one task:
+
+    1. left and right rows are unioned and partitioned by (key, time bucket);
+       within a bucket the newest right row is carried forward in time order
+       (right before left on equal times);
+    2. left rows with no right row earlier in their own bucket take the newest
+       right row of the closest earlier bucket, found on a per-(key, bucket)
+       summary whose size is bounded by keys x buckets, not by the data.
+
+    ``bucket=None`` partitions by key only (one level).
     """
     on = list(on)
     vals = list(values)
-    tb = [F.col(tiebreak)] if tiebreak else []
     lcols = left.columns
-    l2 = left.select(*[F.col(c) for c in lcols],
-                     F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
-                     *[F.lit(None).cast(right.schema[v].dataType).alias(f"_v_{v}") for v in vals],
-                     *([F.lit(None).cast(right.schema[tiebreak].dataType).alias("_tb")] if tiebreak else []))
+    for k in on:                       # NULL keys never match, as in an equality join
+        right = right.where(F.col(k).isNotNull())
+    order = ["_t", "_side"] + (["_tb"] if tiebreak else [])
+    rstruct = F.struct(*[F.col(v) for v in vals])
+    tb_type = right.schema[tiebreak].dataType if tiebreak else None
+    bkt = (lambda c: F.date_trunc(bucket, F.col(c))) if bucket else (lambda c: F.lit(0))
+    l2 = left.select(*[F.col(c) for c in lcols], F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
+                     bkt(left_ts).alias("_b"), F.lit(None).cast(rstruct_type(right, vals)).alias("_v"),
+                     *([F.lit(None).cast(tb_type).alias("_tb")] if tiebreak else []))
     r2 = right.select(*[F.col(k) for k in on],
                       *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols if c not in on],
-                      F.col(right_ts).alias("_t"), F.lit(0).alias("_side"),
-                      *[F.col(v).alias(f"_v_{v}") for v in vals],
-                      *([F.col(tiebreak).alias("_tb")] if tiebreak else []))
-    u = l2.unionByName(r2)
-    order = [F.col("_t"), F.col("_side")] + ([F.col("_tb")] if tb else [])
-    w = Window.partitionBy(*on).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = u.select(*[F.col(c) for c in lcols], "_side",
-                   *[F.last(f"_v_{v}", ignorenulls=True).over(w).alias(v) for v in vals])
-    return out.where(F.col("_side") == 1).drop("_side")
+                      F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), bkt(right_ts).alias("_b"),
+                      rstruct.alias("_v"), *([F.col(tiebreak).alias("_tb")] if tiebreak else []))
+    w = (Window.partitionBy(*on, "_b").orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = (l2.unionByName(r2)
+             .select(*[F.col(c) for c in lcols], "_side", "_b", F.last("_v", ignorenulls=True).over(w).alias("_v"))
+             .where(F.col("_side") == 1).drop("_side"))
+    if not bucket:
+        return first.select(*lcols, *[F.col(f"_v.{v}").alias(v) for v in vals])
+    # level 2: newest right row per (key, bucket), carried across buckets
+    last_in_bucket = (right.groupBy(*[F.col(k) for k in on], bkt(right_ts).alias("_b"))
+                      .agg(F.max_by(rstruct, F.struct(F.col(right_ts), *([F.col(tiebreak)] if tiebreak else [])))
+                           .alias("_rv")))
+    need = first.where(F.col("_v").isNull()).select(*on, "_b").distinct()
+    summary = (need.select(*on, "_b", F.lit(1).alias("_s"), F.lit(None).cast(rstruct_type(right, vals)).alias("_rv"))
+               .unionByName(last_in_bucket.select(*on, "_b", F.lit(0).alias("_s"), "_rv")))
+    w2 = Window.partitionBy(*on).orderBy("_b", F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (summary.withColumn("_prev", F.last("_rv", ignorenulls=True).over(w2))
+               .where(F.col("_s") == 1).select(*on, "_b", "_prev"))
+    out = first.join(carried, on=[*on, "_b"], how="left")
+    v = F.coalesce(F.col("_v"), F.col("_prev"))
+    return out.select(*lcols, *[v.getField(x).alias(x) for x in vals])
+
+
+def rstruct_type(df: DataFrame, cols: Sequence[str]):
+    from pyspark.sql.types import StructField, StructType
+    return StructType([StructField(c, df.schema[c].dataType, True) for c in cols])
 
 
 def compare_by_key(before: DataFrame, after: DataFrame, keys: Sequence[str],
