@@ -294,3 +294,23 @@ def test_conform_broadcasts_bounded_code_map(spark):
         assert "BroadcastHashJoin" in plan(out)       # by the proven row bound, not the size estimate
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_windows_match_plain_windows(spark):
+    import random
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    # skewed keys, sparse and dense hours: frames of 10 rows span many buckets
+    rows = [(i, rnd.choice([0, 0, 0, 0, 1, 2]), base + dt.timedelta(minutes=rnd.randint(0, 60 * 40)), rnd.randint(1, 99))
+            for i in range(700)]
+    df = spark.createDataFrame(rows, "id int, k int, ts timestamp, v int")
+    hour = F.date_trunc("hour", "ts")
+    got = win.prior_rows(df, ["k"], ["ts", "id"], "v", 10, bucket=hour)
+    exp = win.prior_rows(df, ["k"], ["ts", "id"], "v", 10)
+    assertDataFrameEqual(got.select("id", "_prior_sum", "_prior_cnt"), exp.select("id", "_prior_sum", "_prior_cnt"))
+    rs = win.running_sum(df, ["k"], ["ts"], "v", "rt", bucket=hour)
+    rs0 = win.running_sum(df, ["k"], ["ts"], "v", "rt")
+    assertDataFrameEqual(rs.select("id", "rt"), rs0.select("id", "rt"))
+    rn = win.row_numbers(df, ["k"], ["ts", "id"], "rn", bucket=hour)
+    rn0 = win.row_numbers(df, ["k"], ["ts", "id"], "rn")
+    assertDataFrameEqual(rn.select("id", "rn"), rn0.select("id", "rn"))

@@ -55,11 +55,15 @@ def message_counts(df: DataFrame, message: str, where: Column | None = None) ->
 
 
 def long_runs(df: DataFrame, job: str, order: Sequence[str], duration: str, factor: float,
-              history: int = 10) -> DataFrame:
-    """Runs longer than ``factor`` x the mean of the job's previous ``history`` runs."""
-    w = Window.partitionBy(job).orderBy(*order).rowsBetween(-history, -1)
-    s = df.withColumn("avg_prev", F.sum(F.col(duration).cast("decimal(12,2)")).over(w).cast("double")
-                      / F.count(duration).over(w))
+              history: int = 10, bucket: Column | None = None) -> DataFrame:
+    """Runs longer than ``factor`` x the mean of the job's previous ``history``
+    runs. With ``bucket`` (e.g. the run's day) a job with a huge history is
+    split by bucket (see ``windows.prior_rows``)."""
+    from tidemark.operators.windows import prior_rows
+    d = df.withColumn("_d", F.col(duration).cast("decimal(12,2)"))
+    s = prior_rows(d, [job], order, "_d", history, bucket=bucket)
+    s = s.withColumn("avg_prev", F.col("_prior_sum").cast("double") / F.col("_prior_cnt")) \
+        .drop("_d", "_prior_sum", "_prior_cnt")
     return s.where(F.col(duration) > F.lit(factor) * F.col("avg_prev"))
 
 

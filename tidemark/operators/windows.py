@@ -32,14 +32,90 @@ def lag_change(df: DataFrame, by: Sequence[str], order_by: Sequence[str], cols:
     return out.withColumns({f"{c}_change": F.col(c) - F.col(f"prev_{c}") for c in cols})
 
 
+def _bucket_offsets(df: DataFrame, by: Sequence[str], measure: Column) -> DataFrame:
+    """Per (key, bucket): the total of ``measure`` over all earlier buckets of
+    the key. The window runs over the bucket summary (keys x buckets rows)."""
+    totals = df.groupBy(*by, "_bk").agg(measure.alias("_bt"))
+    w = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*by, "_bk", F.coalesce(F.sum("_bt").over(w), F.lit(0)).alias("_off"))
+
+
 def running_sum(df: DataFrame, by: Sequence[str], order_by: Sequence[str], col: str, out: str,
-                rows: bool = False) -> DataFrame:
+                rows: bool = False, bucket: Column | None = None) -> DataFrame:
     """Running total. Default RANGE frame: rows tied on the order share a
-    value; ``rows=True``: a strict row-by-row running sum."""
-    w = Window.partitionBy(*by).orderBy(*order_by)
+    value; ``rows=True``: a strict row-by-row running sum.
+
+    With ``bucket`` (a time bucket coarser than the order key, e.g. the week
+    of a day) the sum is computed within (key, bucket) partitions plus the
+    total of the key's earlier buckets, so a key holding a third of the rows
+    is spread over its buckets instead of one task.
+    """
+    if bucket is None:
+        w = Window.partitionBy(*by).orderBy(*order_by)
+        if rows:
+            w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(col).over(w))
+    b = df.withColumn("_bk", bucket)
+    w = Window.partitionBy(*by, "_bk").orderBy(*order_by)
     if rows:
         w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.sum(col).over(w))
+    within = b.withColumn("_in", F.sum(col).over(w))
+    offs = _bucket_offsets(b, by, F.sum(col))
+    return (within.join(offs, on=[*by, "_bk"], how="left")
+            .withColumn(out, F.col("_in") + F.col("_off")).drop("_bk", "_in", "_off"))
+
+
+def row_numbers(df: DataFrame, by: Sequence[str], order_by: Sequence, out: str,
+                bucket: Column | None = None) -> DataFrame:
+    """``row_number()`` per key; with ``bucket`` (coarser than the order, e.g.
+    the day of a timestamp) computed per (key, bucket) plus the row count of
+    the key's earlier buckets."""
+    if bucket is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order_by)))
+    b = df.withColumn("_bk", bucket)
+    within = b.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_bk").orderBy(*order_by)))
+    offs = _bucket_offsets(b, by, F.count(F.lit(1)))
+    return (within.join(offs, on=[*by, "_bk"], how="left")
+            .withColumn(out, F.col("_in") + F.col("_off")).drop("_bk", "_in", "_off"))
+
+
+def prior_rows(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], value: str, n: int,
+               bucket: Column | None = None) -> DataFrame:
+    """Sum and count of ``value`` over each row's previous ``n`` rows of its
+    key (``ROWS BETWEEN n PRECEDING AND 1 PRECEDING``), as ``_prior_sum`` and
+    ``_prior_cnt``.
+
+    With ``bucket`` (a time bucket, monotone in the order) the window runs per
+    (key, bucket), and each bucket also receives, as halo rows, the last ``n``
+    rows before it: the per-bucket tails (top ``n`` rows, limited before the
+    shuffle) copied to the later buckets whose frames reach them. A tail row
+    reaches at most ``n`` later buckets, so the halo is bounded by n*n rows
+    per bucket whatever the key's size, and the result is exact.
+    """
+    order = [F.col(c) for c in order_cols]
+    if bucket is None:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-n, -1)
+        return df.withColumns({"_prior_sum": F.sum(value).over(w), "_prior_cnt": F.count(value).over(w)})
+    b = df.withColumn("_bk", bucket)
+    wk = Window.partitionBy(*by).orderBy("_bk")
+    summ = (b.groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_bcnt"))
+            .select(*by, "_bk", "_bcnt", F.row_number().over(wk).alias("_i"),
+                    F.coalesce(F.sum("_bcnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                    .alias("_before")))                       # rows of the key before bucket _i
+    wd = Window.partitionBy(*by, "_bk").orderBy(*[F.col(c).desc() for c in order_cols])
+    tails = (b.withColumn("_r", F.row_number().over(wd)).where(F.col("_r") <= n)
+             .join(summ, on=[*by, "_bk"]))
+    # rows strictly between a tail row and the start of bucket j:
+    # (_r - 1) + before(j) - (before(i) + count(i)); it belongs to j's halo while that is < n
+    halo = (tails.withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, F.col("_i") + n - F.col("_r") + 1)))
+            .join(summ.select(*by, F.col("_i").alias("_j"), F.col("_before").alias("_before_j"), F.col("_bk").alias("_bj")),
+                  on=[*by, "_j"])
+            .where(F.col("_r") - 1 + F.col("_before_j") - F.col("_before") - F.col("_bcnt") < n)
+            .select(*df.columns, F.col("_bj").alias("_bk"), F.lit(1).alias("_h")))
+    u = b.select(*df.columns, "_bk", F.lit(0).alias("_h")).unionByName(halo)
+    w = Window.partitionBy(*by, "_bk").orderBy(*order).rowsBetween(-n, -1)
+    return (u.withColumns({"_prior_sum": F.sum(value).over(w), "_prior_cnt": F.count(value).over(w)})
+            .where(F.col("_h") == 0).drop("_bk", "_h"))
 
 
 def moving_avg(df: DataFrame, by: Sequence[str], order_by: Sequence[str], col: str, out: str,

@@ -215,7 +215,8 @@ SELECT event_id, event_type, value, avg_prev FROM (
   FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
 WHERE value > 1.5 * avg_prev""")
 def q_log_long_runs(spark, d):
-    r = lg.long_runs(T(spark, d).events, "event_type", ["ts", "event_id"], "value", 1.5)
+    r = lg.long_runs(T(spark, d).events, "event_type", ["ts", "event_id"], "value", 1.5,
+                     bucket=F.to_date("ts"))
     return r.select("event_id", "event_type", "value", "avg_prev")
 
 

@@ -534,8 +534,10 @@ def q_cost_breakdown(spark, d):
 @register("win_row_number", """
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events""")
 def q_win_row_number(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return T(spark, d).events.select("event_id", "user_id", F.row_number().over(w).cast("bigint").alias("rn"))
+    ev = T(spark, d).events.select("event_id", "user_id", "ts")
+    # per (user, day) plus the counts of the user's earlier days: a hot user is split by day
+    out = win.row_numbers(ev, ["user_id"], ["ts", "event_id"], "rn", bucket=F.to_date("ts"))
+    return out.select("event_id", "user_id", F.col("rn").cast("bigint").alias("rn"))
 
 
 @register("win_ranks", """
@@ -559,7 +561,9 @@ SELECT event_id, user_id,
 FROM events""")
 def q_win_running_range(spark, d):
     ev = T(spark, d).events.withColumns({"day": F.to_date("ts"), "v": dec("value")})
-    out = win.running_sum(ev, ["user_id"], ["day"], "v", "running_total")
+    # per (user, week) plus the totals of the user's earlier weeks; ties (one
+    # day) never straddle a week, so the RANGE frame is unchanged
+    out = win.running_sum(ev, ["user_id"], ["day"], "v", "running_total", bucket=F.date_trunc("week", "day"))
     return out.select("event_id", "user_id", F.col("running_total").cast("double").alias("running_total"))
 
 
@@ -621,10 +625,11 @@ SELECT event_id, user_id,
        CAST(sum(CAST(value AS DECIMAL(12,2))) OVER w AS DOUBLE) / count(value) OVER w AS prior_avg
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)""")
 def q_win_prior_avg(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-10, -1)
-    return T(spark, d).events.select(
-        "event_id", "user_id", (F.sum(dec("value")).over(w).cast("double") / F.count("value").over(w))
-        .alias("prior_avg"))
+    ev = T(spark, d).events.select("event_id", "user_id", "ts", dec("value").alias("v"))
+    # per (user, day) with the previous rows of earlier days as halo: a hot user is split by day
+    p = win.prior_rows(ev, ["user_id"], ["ts", "event_id"], "v", 10, bucket=F.to_date("ts"))
+    return p.select("event_id", "user_id", (F.col("_prior_sum").cast("double") / F.col("_prior_cnt"))
+                    .alias("prior_avg"))
 
 
 @register("slow_vs_history", """
@@ -634,10 +639,10 @@ SELECT event_id, user_id, value, prior_avg FROM (
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))
 WHERE value > 1.5 * prior_avg""")
 def q_slow_vs_history(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-10, -1)
-    s = T(spark, d).events.select(
-        "event_id", "user_id", "value",
-        (F.sum(dec("value")).over(w).cast("double") / F.count("value").over(w)).alias("prior_avg"))
+    ev = T(spark, d).events.select("event_id", "user_id", "ts", "value", dec("value").alias("v"))
+    p = win.prior_rows(ev, ["user_id"], ["ts", "event_id"], "v", 10, bucket=F.to_date("ts"))
+    s = p.select("event_id", "user_id", "value",
+                 (F.col("_prior_sum").cast("double") / F.col("_prior_cnt")).alias("prior_avg"))
     return s.where(F.col("value") > F.lit(1.5) * F.col("prior_avg"))
 
 
