@@ -71,12 +71,12 @@ def row_numbers(df: DataFrame, by: Sequence[str], order_by: Sequence, out: str,
     the day of a timestamp) computed per (key, bucket) plus the row count of
     the key's earlier buckets."""
     if bucket is None:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order_by)))
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order_by)).cast("bigint"))
     b = df.withColumn("_bk", bucket)
     within = b.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_bk").orderBy(*order_by)))
     offs = _bucket_offsets(b, by, F.count(F.lit(1)))
     return (within.join(offs, on=[*by, "_bk"], how="left")
-            .withColumn(out, F.col("_in") + F.col("_off")).drop("_bk", "_in", "_off"))
+            .withColumn(out, (F.col("_in") + F.col("_off")).cast("bigint")).drop("_bk", "_in", "_off"))
 
 
 def prior_rows(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], value: str, n: int,
