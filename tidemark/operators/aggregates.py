@@ -2,8 +2,8 @@
 
 All are hash aggregations with a partial (map-side) phase, so a hot group is
 combined before the shuffle. Exact percentiles are computed from value counts
-with a running window (sort-based, spillable) instead of collecting a group's
-values into one buffer.
+and range-partitioned cumulative counts instead of collecting a group's values
+into one buffer.
 """
 
 from __future__ import annotations
@@ -27,22 +27,32 @@ def conditional_counts(df: DataFrame, by: Sequence[str], conds: Mapping[str, str
         F.count_if(F.expr(p) if isinstance(p, str) else p).alias(n) for n, p in conds.items()])
 
 
-def exact_percentiles(df: DataFrame, value: str, by: Sequence[str], ps: Mapping[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, value: str, by: Sequence[str], ps: Mapping[str, float],
+                      partitions: int | None = None) -> DataFrame:
     """PERCENTILE_CONT for each ``name -> p`` per group, exactly.
 
-    Rows are first reduced to (group, value, count) -- a partial aggregate --
-    then cumulative counts give each value's position range; the two values
-    around position ``(n-1)*p`` are interpolated. Work is a sort per group of
-    *distinct* values, which spills instead of holding a group in memory.
+    Rows are first reduced to (group, value, count) -- a partial aggregate.
+    Cumulative counts come from range partitioning by (group, value) plus
+    per-partition offsets (as in ``windows.global_rank``), so a group with
+    many distinct values is spread over several tasks; the two values around
+    position ``(n-1)*p`` are then interpolated.
     """
+    from tidemark.operators.windows import _part_offsets, _range_parts
+    out_by = list(by)
+    if not out_by:                       # one global group
+        df, by = df.withColumn("_g", F.lit(0)), ["_g"]
     by = list(by)
     counts = (df.where(F.col(value).isNotNull())
               .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*by)
-    pos = (counts.withColumn("_hi", F.sum("_c").over(w) - 1)      # last 0-based position
+    parted = _range_parts(counts, by, F.col(value).asc(), partitions)
+    offs = _part_offsets(parted.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc")), by, "_pc")
+    w = Window.partitionBy(*by, "_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    pos = (parted.withColumn("_cum", F.sum("_c").over(w))
+           .join(offs, on=[*by, "_pid"])
+           .withColumn("_hi", F.col("_cum") + F.col("_off") - 1)       # last 0-based position
            .withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
-           .withColumn("_n", F.sum("_c").over(wall)))
+           .join(totals, on=by))
     aggs = []
     for name, p in ps.items():
         r = (F.col("_n") - 1) * F.lit(float(p))
@@ -53,7 +63,7 @@ def exact_percentiles(df: DataFrame, value: str, by: Sequence[str], ps: Mapping[
             F.max(r - fl).alias(f"_r_{name}"),
         ]
     res = pos.groupBy(*by).agg(*aggs)
-    return res.select(*by, *[
+    return res.select(*out_by, *[
         (F.col(f"_f_{n}") + (F.col(f"_c_{n}") - F.col(f"_f_{n}")) * F.col(f"_r_{n}")).alias(n)
         for n in ps])
 

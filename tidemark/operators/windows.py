@@ -127,27 +127,43 @@ def moving_avg(df: DataFrame, by: Sequence[str], order_by: Sequence[str], col: s
     return df.withColumn(out, F.avg(col).over(w))
 
 
+def _range_parts(df: DataFrame, by: Sequence[str], key: Column, partitions) -> DataFrame:
+    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return (df.repartitionByRange(int(n), *[F.col(c) for c in by], key)
+            .withColumn("_pid", F.spark_partition_id()))
+
+
+def _part_offsets(per: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
+    """Prefix sums of a per-(group, partition) measure over earlier partitions
+    of the group (a window over groups x partitions rows)."""
+    w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(*by, "_pid", F.coalesce(F.sum(measure).over(w), F.lit(0)).alias("_off"))
+
+
 def global_rank(df: DataFrame, col: str, descending: bool = True, dense: bool = False,
-                out: str = "rank", partitions: int | None = None) -> DataFrame:
-    """RANK / DENSE_RANK over the whole table without a single-task window.
-
-    1. range-partition by the value (equal values land in one partition) and
-       sort within partitions;
-    2. count rows (or distinct values) per partition -- one tiny row each;
-    3. a prefix sum over those partition counts gives each partition's offset
-       (the window runs over #partitions rows, not the data);
-    4. rank inside each partition + its offset.
+                out: str = "rank", partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """RANK / DENSE_RANK over the whole table (or within ``by`` groups)
+    without a single-task window, even for a group holding most rows.
+
+    1. range-partition by (group, value) -- equal values land in one
+       partition -- and number the partitions;
+    2. count rows (or distinct values) per (group, partition);
+    3. a prefix sum over those counts gives each partition's offset (the
+       window runs over groups x partitions rows, not the data);
+    4. rank inside each (group, partition) + its offset.
     """
+    by = list(by)
     key = F.col(col).desc() if descending else F.col(col).asc()
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    parted = df.repartitionByRange(int(n), key).withColumn("_pid", F.spark_partition_id())
-    per = parted.groupBy("_pid").agg(
+    parted = _range_parts(df, by, key, partitions)
+    per = parted.groupBy(*by, "_pid").agg(
         (F.count_distinct(col) if dense else F.count(F.lit(1))).alias("_cnt"))
-    offs = per.withColumn("_off", F.coalesce(
-        F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = Window.partitionBy("_pid").orderBy(key)
+    offs = _part_offsets(per, by, "_cnt")
+    local = Window.partitionBy(*by, "_pid").orderBy(key)
     r = F.dense_rank() if dense else F.rank()
     ranked = parted.withColumn("_lr", r.over(local))
-    return (ranked.join(F.broadcast(offs.select("_pid", "_off")), on="_pid")
+    # offsets: one row per (group, partition); broadcast only for the global
+    # form, where it is bounded by the partition count
+    o = offs if by else F.broadcast(offs)
+    return (ranked.join(o, on=[*by, "_pid"])
             .withColumn(out, (F.col("_lr") + F.col("_off")).cast("int"))
             .drop("_pid", "_lr", "_off"))

@@ -45,6 +45,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.files.maxPartitionBytes": MAX_PARTITION_BYTES,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.bucketing.enabled": "true",
+        # session windows: merge sessions inside each map partition before the
+        # shuffle, so a very active key does not send every event to one task
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
