@@ -220,16 +220,16 @@ def q_stream_features(spark, d):
     return sr.run_stream(s, "features").result()
 
 
-@register("stream_pipeline", """
+@register("stream_end_to_end", """
 WITH x AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS b, event_type, value FROM events
            WHERE value > 0 AND value < 300 AND event_type IS NOT NULL),
 w AS (SELECT b AS window_start, event_type, value FROM x UNION ALL SELECT b - INTERVAL 5 MINUTE, event_type, value FROM x)
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type,
        CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_amount, count(*) AS n_events
 FROM w GROUP BY ALL""")
-def q_stream_pipeline(spark, d):
+def q_stream_end_to_end(spark, d):
     ev = T(spark, d).events
-    path, schema = sr.stage_files(to_messages(ev).withColumn("_ts", F.lit(0)), "pipeline-src", 8)
+    path, schema = sr.stage_files(to_messages(ev), "e2e-src", 8)
     raw = sr.file_stream(spark, path, schema)
     parsed = fs.parse_messages(raw, MSG_SCHEMA).withColumn("ts", F.col("timestamp").cast("timestamp"))
     clean = q.expect_or_drop(parsed, {"amount_positive": "amount > 0", "amount_bounded": "amount < 300",
@@ -237,7 +237,7 @@ def q_stream_pipeline(spark, d):
     agg = so.windowed(clean, "ts", "10 minutes", "5 minutes", keys=["event_type"], watermark="1 hour",
                       aggs=[F.sum(F.col("amount").cast("decimal(12,2)")).alias("total_amount"),
                             F.count(F.lit(1)).alias("n_events")])
-    out = sr.run_stream(agg, "pipeline", "update", keys=["window_start", "event_type"]).result()
+    out = sr.run_stream(agg, "e2e", "update", keys=["window_start", "event_type"]).result()
     return out.withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
