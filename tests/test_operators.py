@@ -314,3 +314,29 @@ def test_bucketed_windows_match_plain_windows(spark):
     rn = win.row_numbers(df, ["k"], ["ts", "id"], "rn", bucket=hour)
     rn0 = win.row_numbers(df, ["k"], ["ts", "id"], "rn")
     assertDataFrameEqual(rn.select("id", "rn"), rn0.select("id", "rn"))
+
+
+def test_datetime_literals_ignore_python_zone(spark):
+    """Filters built from Python datetimes must not shift when the Python
+    process runs in another zone than the session."""
+    import os
+    import time
+    from __spark_entry__ import oracle_sql, queries
+    from tidemark.plans.oracle_check import compare, duck
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/Los_Angeles"
+    time.tzset()
+    try:
+        con = duck(SF_SMALL)
+        for key in ("filter_rows", "parameterized_report", "freshness", "log_failures", "drift_score"):
+            df = queries()[key](spark, SF_SMALL)
+            res = con.execute(oracle_sql()[key])
+            status, detail = compare(df.columns, [tuple(r) for r in df.collect()],
+                                     [d[0] for d in res.description], res.fetchall())
+            assert status == "OK", f"{key}: {detail}"
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import date_lit, ts_lit, value_lit
 from tidemark.operators.joins import compare_by_key
 
 INSERT, DELETE = "insert", "delete"
@@ -101,7 +102,7 @@ def changes_between(feed: DataFrame, lo, hi, version_col: str = "_version",
                     types: Sequence[str] | None = None) -> DataFrame:
     """Feed rows with ``lo <= version <= hi`` (inclusive), optionally of some
     change types only. Versions may be numbers or timestamps."""
-    out = feed.where(F.col(version_col).between(F.lit(lo), F.lit(hi)))
+    out = feed.where(F.col(version_col).between(value_lit(lo), value_lit(hi)))
     if types:
         out = out.where(F.col("_change_type").isin(list(types)))
     return out
@@ -111,7 +112,7 @@ def as_of(feed: DataFrame, keys: Sequence[str], version, version_col: str = "_ve
           sequence_col: str | None = None) -> DataFrame:
     """Table state at ``version``: the newest change per key up to it, with
     deleted keys removed and pre-images ignored."""
-    f = feed.where((F.col(version_col) <= F.lit(version)) & (F.col("_change_type") != PRE))
+    f = feed.where((F.col(version_col) <= value_lit(version)) & (F.col("_change_type") != PRE))
     order = [F.col(version_col).desc()] + ([F.col(sequence_col).desc()] if sequence_col else [])
     return _latest(f, keys, order).where(F.col("_change_type") != DELETE)
 
@@ -138,14 +139,14 @@ def purge(df: DataFrame, date_col: str, days: int | Column, as_of) -> DataFrame:
     """Rows kept by a retention rule: younger than ``days`` before ``as_of``
     (a NULL date is kept: a retention rule deletes only what it can date)."""
     d = days if isinstance(days, Column) else F.lit(days)
-    cutoff = F.date_sub(F.lit(as_of).cast("date"), d)
+    cutoff = F.date_sub(date_lit(as_of), d)
     return df.where(~F.coalesce(F.to_date(date_col) < cutoff, F.lit(False)))
 
 
 def purge_report(df: DataFrame, date_col: str, days: int | Column, as_of, by: Sequence[str]) -> DataFrame:
     """Kept and purged row counts per group for a retention rule (one pass)."""
     d = days if isinstance(days, Column) else F.lit(days)
-    cutoff = F.date_sub(F.lit(as_of).cast("date"), d)
+    cutoff = F.date_sub(date_lit(as_of), d)
     old = F.coalesce(F.to_date(date_col) < cutoff, F.lit(False))
     return df.groupBy(*by).agg(F.count_if(~old).alias("kept"), F.count_if(old).alias("purged"))
 
@@ -162,7 +163,7 @@ def erase(df: DataFrame, requests: DataFrame, key: str, columns: Sequence[str],
     out = j.withColumns({c: F.when(hit, F.lit(mark)).otherwise(F.col(c)) for c in columns})
     out = out.withColumn("is_erased", hit)
     if erased_at is not None:
-        out = out.withColumn("erased_at", F.when(hit, F.lit(erased_at).cast("timestamp_ntz")))
+        out = out.withColumn("erased_at", F.when(hit, ts_lit(erased_at)))
     return out.drop("_rk", "_hit")
 
 

@@ -13,11 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import ts_lit
+
 
 def slowest(df: DataFrame, duration: str, ts: str, lo, hi, k: int, text: str, preview: int,
             tiebreak: str) -> DataFrame:
     """Top-k slowest statements in ``[lo, hi)`` with a text preview."""
-    return (df.where((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)))
+    return (df.where((F.col(ts) >= ts_lit(lo)) & (F.col(ts) < ts_lit(hi)))
             .withColumn("text_preview", F.left(F.col(text), F.lit(preview)))
             .orderBy(F.col(duration).desc(), F.col(tiebreak)).limit(k))
 
@@ -46,7 +48,7 @@ def failure_rate(df: DataFrame, job: str, failed: Column, min_rate: float) -> Da
 
 
 def failures_in_window(df: DataFrame, state: str, states: Sequence[str], ts: str, lo, hi) -> DataFrame:
-    return df.where(F.col(state).isin(list(states)) & (F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)))
+    return df.where(F.col(state).isin(list(states)) & (F.col(ts) >= ts_lit(lo)) & (F.col(ts) < ts_lit(hi)))
 
 
 def message_counts(df: DataFrame, message: str, where: Column | None = None) -> DataFrame:
@@ -68,7 +70,7 @@ def long_runs(df: DataFrame, job: str, order: Sequence[str], duration: str, fact
 
 
 def access_pattern(df: DataFrame, user: str, obj: str, ts: str, since) -> DataFrame:
-    return (df.where(F.col(ts) >= F.lit(since)).groupBy(user, obj)
+    return (df.where(F.col(ts) >= ts_lit(since)).groupBy(user, obj)
             .agg(F.count(F.lit(1)).alias("access_count"), F.max(ts).alias("last_access")))
 
 

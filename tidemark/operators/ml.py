@@ -14,12 +14,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import date_lit, ts_lit
 from tidemark.operators.joins import asof_join
 
 
 def feature_table(events: DataFrame, key: str, ts: str, value: str, as_of, days: int = 30) -> DataFrame:
     """Per key over ``[as_of - days, as_of)``: mean value, count, last seen."""
-    hi = F.lit(as_of).cast("timestamp_ntz")
+    hi = ts_lit(as_of)
     lo = hi - F.expr(f"INTERVAL {int(days)} DAYS")
     w = events.where((F.col(ts) >= lo) & (F.col(ts) < hi))
     return w.groupBy(key).agg(
@@ -117,14 +118,14 @@ def decision_rules(df: DataFrame, rules: Sequence[tuple[str, str]], default: str
 
 def tenure_features(df: DataFrame, since: str, spend: str, as_of) -> DataFrame:
     """Days since ``since`` and monthly spend (spend / days x 30; zero days -> NULL)."""
-    days = F.datediff(F.lit(as_of).cast("date"), F.to_date(since))
+    days = F.datediff(date_lit(as_of), F.to_date(since))
     return df.withColumns({"tenure_days": days,
                            "avg_monthly_spend": F.try_divide(F.col(spend).cast("double"), days) * 30})
 
 
 def retrain_gate(metrics: DataFrame, trained_at: str, r2: str, as_of, max_age_days: int = 7,
                  min_r2: float = 0.8, promote_r2: float = 0.85) -> DataFrame:
-    age = F.datediff(F.lit(as_of).cast("date"), F.to_date(trained_at))
+    age = F.datediff(date_lit(as_of), F.to_date(trained_at))
     return metrics.withColumns({"age_days": age,
                                 "needs_retrain": (age > max_age_days) | (F.col(r2) < min_r2),
                                 "promote": F.col(r2) > promote_r2})

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import ts_lit
+
 
 def _ok(pred: str | Column) -> Column:
     c = F.expr(pred) if isinstance(pred, str) else pred
@@ -112,7 +114,7 @@ def quality_report(df: DataFrame, key: str, ts: str, as_of, by: Sequence[str] =
         F.count(F.lit(1)).alias("total_rows"),
         F.count_distinct(key).alias("distinct_keys"),
         F.count_if(F.col(key).isNull()).alias("missing_keys"),
-        F.count_if(F.col(ts) > F.lit(as_of).cast("timestamp_ntz")).alias("future_rows"),
+        F.count_if(F.col(ts) > ts_lit(as_of)).alias("future_rows"),
     )
 
 
@@ -127,7 +129,7 @@ def null_rate(df: DataFrame, col: str, by: Sequence[str], threshold: float = 0.0
 def freshness(df: DataFrame, ts: str, as_of, max_hours: float, by: Sequence[str] = ()) -> DataFrame:
     """Hours between the newest timestamp and ``as_of``; stale when over the limit."""
     return (df.groupBy(*by).agg(F.max(ts).alias("last_ts"))
-            .withColumn("_as_of", F.lit(as_of).cast("timestamp_ntz"))
+            .withColumn("_as_of", ts_lit(as_of))
             .withColumn("hours_since", F.expr("timestampdiff(HOUR, last_ts, _as_of)"))
             .drop("_as_of")
             .withColumn("is_stale", F.col("hours_since") > max_hours))

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions import udfs
+from tidemark.functions.literals import ts_lit
 from tidemark.operators import ml
 from tidemark.operators import privacy as pv
 from tidemark.sources.tables import tables
@@ -134,7 +135,7 @@ UNION ALL
 SELECT 'k', round(tm1, 6), round(pm1, 6), round(ts1, 6), round(abs(tm1 - pm1) / ts1, 6), abs(tm1 - pm1) / ts1 > 2 FROM s""")
 def q_drift_score(spark, d):
     ev = T(spark, d).events.withColumn("k", F.get_json_object("props", "$.k").cast("double"))
-    r = ml.drift(ev, F.col("ts") < F.lit(dt.datetime(2024, 1, 16)), F.col("ts") >= F.lit(dt.datetime(2024, 1, 24)),
+    r = ml.drift(ev, F.col("ts") < ts_lit(dt.datetime(2024, 1, 16)), F.col("ts") >= ts_lit(dt.datetime(2024, 1, 24)),
                  ["value", "k"])
     return r.select("feature", *[F.round(c, 6).alias(c) for c in
                                  ("train_mean", "prod_mean", "train_std", "drift_score")], "alert")

@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import ts_lit
 from tidemark.operators import aggregates as agg
 from tidemark.operators import joins as jn
 from tidemark.operators import snapshots as snap
@@ -67,7 +68,7 @@ SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_returnflag = 'R'""")
 def q_filter_rows(spark, d):
     return (T(spark, d).lineitem
-            .where((F.col("l_shipdate") >= F.lit(dt.datetime(1998, 1, 1))) & (F.col("l_returnflag") == "R"))
+            .where((F.col("l_shipdate") >= ts_lit(dt.datetime(1998, 1, 1))) & (F.col("l_returnflag") == "R"))
             .select("l_orderkey", "l_linenumber", "l_shipdate"))
 
 
@@ -131,8 +132,9 @@ def q_parameterized_report(spark, d):
     return spark.sql(
         "SELECT event_type, count(*) AS n_events, "
         "CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value "
-        "FROM {ev} WHERE ts >= :start AND ts < :end AND value >= :min_amount GROUP BY event_type",
-        args={"start": dt.datetime(2024, 1, 8), "end": dt.datetime(2024, 1, 22), "min_amount": 5},
+        "FROM {ev} WHERE ts >= CAST(:start AS TIMESTAMP_NTZ) AND ts < CAST(:end AS TIMESTAMP_NTZ) "
+        "AND value >= :min_amount GROUP BY event_type",
+        args={"start": "2024-01-08 00:00:00", "end": "2024-01-22 00:00:00", "min_amount": 5},
         ev=T(spark, d).events)
 
 
@@ -218,7 +220,7 @@ JOIN (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE)
 def q_join_preagg(spark, d):
     t = T(spark, d)
     c = t.customer.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
-    o = (t.orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(1997, 1, 1)))
+    o = (t.orders.where(F.col("o_orderdate") >= ts_lit(dt.datetime(1997, 1, 1)))
          .groupBy("o_custkey").agg(dsum("o_totalprice", "order_total")))
     return c.join(o, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "c_name", "order_total")
 
@@ -286,7 +288,7 @@ def q_join_left_anti(spark, d):
 
 
 def _user_window_state(ev, lo, hi):
-    return (ev.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)))
+    return (ev.where((F.col("ts") >= ts_lit(lo)) & (F.col("ts") < ts_lit(hi)))
             .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.sum(dec("value")).alias("total_value")))
 
 

@@ -29,6 +29,10 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        # the tables hold UTC wall clocks (TIMESTAMP_NTZ); event-time work
+        # (watermarks, windows) casts them to TIMESTAMP through the session
+        # zone, so the roles pin it to UTC whatever the caller's default
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
