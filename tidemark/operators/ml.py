@@ -52,8 +52,10 @@ def train_forest(df: DataFrame, features: Sequence[str], label: str, num_trees:
                  max_depth: int = 5):
     """Random-forest regression trained on the executors."""
     from pyspark.ml.regression import RandomForestRegressor
+    # more tree nodes per pass over the data (fewer passes); the training set
+    # itself is cached by the estimator as binned points (MEMORY_AND_DISK)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed,
-                               maxDepth=max_depth)
+                               maxDepth=max_depth, maxMemoryInMB=1024, cacheNodeIds=True)
     return rf.fit(assemble(df, features))
 
 
