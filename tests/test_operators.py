@@ -340,3 +340,21 @@ def test_datetime_literals_ignore_python_zone(spark):
         else:
             os.environ["TZ"] = old
         time.tzset()
+
+
+def test_operators_accept_empty_input(spark):
+    from tidemark.operators import aggregates as agg
+    from tidemark.operators import snapshots as snap
+    ev = tables(spark, SF_SMALL).events.where("false")
+    assert win.global_rank(ev, "value", out="r", by=["event_type"]).count() == 0
+    assert agg.exact_percentiles(ev, "value", ["event_type"], {"p50": 0.5}).count() == 0
+    assert win.prior_rows(ev, ["user_id"], ["ts", "event_id"], "value", 10, bucket=F.to_date("ts")).count() == 0
+    assert win.running_sum(ev, ["user_id"], ["ts"], "value", "rt", bucket=F.to_date("ts")).count() == 0
+    assert jn.asof_join(ev, ev.select("user_id", F.col("ts").alias("rt"), "value"), ["user_id"], "ts", "rt",
+                        ["value"]).count() == 0
+    e2 = ev.select("user_id", "value")
+    assert ch.change_feed(e2, e2, ["user_id"]).count() == 0
+    good, bad = q.quarantine(ev, {"pos": "value > 0"})
+    assert good.count() == 0 and bad.count() == 0
+    from tidemark.plans.snapshot import _bronze
+    assert snap.gold_emergence(_bronze(spark, SF_SMALL).where("false"), "latest").count() == 0
