@@ -151,6 +151,11 @@ def global_rank(df: DataFrame, col: str, descending: bool = True, dense: bool =
     3. a prefix sum over those counts gives each partition's offset (the
        window runs over groups x partitions rows, not the data);
     4. rank inside each (group, partition) + its offset.
+
+    Steps 2 and 4 read the range-partitioned rows in two branches; both see
+    the same partition ids because the partition count is explicit (AQE
+    does not coalesce it) and the range bounds come from sampling seeded per
+    input partition over the same upstream rows.
     """
     by = list(by)
     key = F.col(col).desc() if descending else F.col(col).asc()
