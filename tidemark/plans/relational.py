@@ -279,12 +279,13 @@ def q_rejoin_keys(spark, d):
 
 
 @register("join_left_anti", """
-SELECT c_custkey, c_name FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")
+SELECT o_orderkey, o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def q_join_left_anti(spark, d):
     t = T(spark, d)
-    return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti") \
-        .select("c_custkey", "c_name")
+    # orders with no line at all: source rows whose key is absent from the target
+    return t.orders.join(t.lineitem.select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"),
+                         "left_anti").select("o_orderkey", "o_orderstatus")
 
 
 def _user_window_state(ev, lo, hi):
