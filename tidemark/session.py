@@ -61,6 +61,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -142,3 +143,40 @@ def broadcast_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     beyond ``max_rows`` no hint is added (a shuffle join).
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in the Python workers (UDFs, pandas UDFs,
+    keyed state functions are pickled by reference to its modules).
+
+    Zips the package once per SparkContext into the shared checkpoint folder
+    and registers it with ``addPyFile`` -- what ``--py-files`` does at
+    submit time. Skipped when the checkpoint root is not a local path (a
+    cluster deployment then ships the package with ``--py-files``).
+    """
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = ensure_checkpoint_dir(spark)
+    if root.startswith("file:"):
+        root = root[len("file:"):]
+    if "://" in root:
+        _SHIPPED.add(key)
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out_dir = os.path.join(root, "tidemark-pyfiles", uuid.uuid4().hex[:12])
+    os.makedirs(out_dir, exist_ok=True)
+    path = os.path.join(out_dir, "tidemark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import ship_package
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -33,6 +35,7 @@ class Tables:
         # (watermarks, windows) casts them to TIMESTAMP through the session
         # zone, so the roles pin it to UTC whatever the caller's default
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)   # UDFs and state functions import tidemark in the workers
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
