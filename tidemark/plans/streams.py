@@ -311,31 +311,16 @@ def q_stream_stream_left(spark, d):
 SELECT user_id, event_type, value, ts FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'error'""")
 def q_stream_apply_changes(spark, d):
+    # merge on read: the stream appends change rows through the exactly-once
+    # file sink (work per trigger is the batch, not the table); the keyed
+    # state is apply_changes over the change log -- the newest change per key,
+    # deletes as tombstones, picked with a partial limit before the shuffle.
+    # Compaction is the same apply_changes written out as a snapshot table.
     path, schema = sr.stage_files(cdc_source(T(spark, d).events), "upsert-src", 8, "sequence_num")
     s = sr.file_stream(spark, path, schema, max_files=3)
-    base = scratch_path(spark, "upsert")
-    fs_ = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def exists(p):
-        jp = fs_.Path(p)
-        return jp.getFileSystem(conf).exists(jp)
-
-    def upsert(batch, batch_id):
-        # keep the newest change per key, deletes as tombstones, so a later
-        # batch carrying an older change cannot resurrect a key
-        cur = batch
-        prev = f"{base}/state/v={batch_id - 1}"
-        if batch_id > 0 and exists(prev):
-            cur = spark.read.parquet(prev).unionByName(batch)
-        latest = ch.apply_changes(cur, ["user_id"], ["sequence_num"])
-        latest.write.mode("overwrite").parquet(f"{base}/state/v={batch_id}")
-    qy = (s.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{base}/checkpoint")
-          .trigger(availableNow=True).start())
-    qy.awaitTermination()
-    last = spark.read.parquet(f"{base}/state").agg(F.max("v")).first()[0]
-    state = spark.read.parquet(f"{base}/state/v={last}")
-    return state.where(F.col("operation") != "DELETE").select("user_id", "event_type", "value", "ts")
+    log = sr.run_stream(s, "upsert-log").result()
+    return ch.apply_changes(log, ["user_id"], ["sequence_num"], deletes="operation = 'DELETE'",
+                            except_columns=["operation", "sequence_num"]).select("user_id", "event_type", "value", "ts")
 
 
 @register("stream_pii_mask", f"SELECT doc_id, {_mask_sql('text')} AS text FROM documents")
