@@ -128,9 +128,19 @@ def moving_avg(df: DataFrame, by: Sequence[str], order_by: Sequence[str], col: s
 
 
 def _range_parts(df: DataFrame, by: Sequence[str], key: Column, partitions) -> DataFrame:
+    """Range-partition by (group, value) and record each row's partition id.
+
+    The range bounds come from sampling the input; when the input arrives
+    through a shuffle its row order, hence the sample, can differ between two
+    evaluations. The ids are therefore fixed once: the partitioned rows are
+    written with their ``_pid`` as a parquet table in the shared checkpoint
+    folder, and every later branch reads the same ids.
+    """
+    from tidemark.session import materialize
     n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return (df.repartitionByRange(int(n), *[F.col(c) for c in by], key)
-            .withColumn("_pid", F.spark_partition_id()))
+    parted = (df.repartitionByRange(int(n), *[F.col(c) for c in by], key)
+              .withColumn("_pid", F.spark_partition_id()))
+    return materialize(parted, "range-parts")
 
 
 def _part_offsets(per: DataFrame, by: Sequence[str], measure: str) -> DataFrame:
@@ -152,10 +162,9 @@ def global_rank(df: DataFrame, col: str, descending: bool = True, dense: bool =
        window runs over groups x partitions rows, not the data);
     4. rank inside each (group, partition) + its offset.
 
-    Steps 2 and 4 read the range-partitioned rows in two branches; both see
-    the same partition ids because the partition count is explicit (AQE
-    does not coalesce it) and the range bounds come from sampling seeded per
-    input partition over the same upstream rows.
+    Steps 2 and 4 read the range-partitioned rows in two branches; the
+    partition ids are fixed once by writing them with the rows (see
+    ``_range_parts``), so both branches agree.
     """
     by = list(by)
     key = F.col(col).desc() if descending else F.col(col).asc()
