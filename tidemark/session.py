@@ -152,26 +152,18 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``tidemark`` importable in the Python workers (UDFs, pandas UDFs,
     keyed state functions are pickled by reference to its modules).
 
-    Zips the package once per SparkContext into the shared checkpoint folder
-    and registers it with ``addPyFile`` -- what ``--py-files`` does at
-    submit time. Skipped when the checkpoint root is not a local path (a
-    cluster deployment then ships the package with ``--py-files``).
+    Zips the package once per SparkContext on the driver and registers it with
+    ``addPyFile`` -- what ``--py-files`` does at submit time. Works with any
+    checkpoint root, local or remote.
     """
     import zipfile
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
         return
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if "://" in root:
-        _SHIPPED.add(key)
-        return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out_dir = os.path.join(root, "tidemark-pyfiles", uuid.uuid4().hex[:12])
-    os.makedirs(out_dir, exist_ok=True)
-    path = os.path.join(out_dir, "tidemark.zip")
+    # the driver's own copy only: addPyFile hands the bytes to every executor
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-pyfiles-"), "tidemark.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for d, _, files in os.walk(pkg):
             for f in files:
