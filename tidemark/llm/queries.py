@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import secret_scan as secrets
 from tidemark.llm import token_counts as counts
 from tidemark.llm import token_store as store
+from tidemark.llm import toxicity
 from tidemark.session import scratch_path, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -33,8 +36,42 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def held_out() -> F.Column:
+    """The test fold: rows whose labels are never learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out())
+    return toxicity.fit(docs, labels)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _span_text(spans) -> F.Column:
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.RULES if r.base]
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    n = [count(k) for k in base]
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select("doc_id", *n, F.sha2(_span_text(own), 256).alias("base_sha256"), _span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op3_toxicity": op3_toxicity,
     "op7_token_counts": op7_token_counts,
+    "op9_secret_scan": op9_secret_scan,
 }
 SQL: dict[str, str] = {}
