@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import decontaminate as clean
 from tidemark.llm import secret_scan as secrets
 from tidemark.llm import token_counts as counts
 from tidemark.llm import token_store as store
-from tidemark.llm import toxicity
+from tidemark.llm import topk, toxicity
 from tidemark.session import scratch_path, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -52,6 +53,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clean.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def _span_text(spans) -> F.Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
@@ -68,10 +75,45 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *n, F.sha2(_span_text(own), 256).alias("base_sha256"), _span_text(F.col("spans")).alias("spans"))
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), 20, F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op3_toxicity": op3_toxicity,
+    "op5_decontaminate": op5_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op9_secret_scan": op9_secret_scan,
+    "op10_topk": op10_topk,
+}
+# words as in the Spark query; one row per document window that equals an item's window
+_OP5 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, k, w[i:i + k - 1] AS win FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM bl)),
+dw AS (SELECT r, k, i, w[i:i + k - 1] AS win FROM (
+         SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bl) WHERE len(w) >= k)),
+hit AS (SELECT dw.r, dw.i, dw.k, bw.item_id FROM dw JOIN bw ON dw.win = bw.win),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hit) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS xs FROM (SELECT DISTINCT r, item_id::VARCHAR AS x FROM hit) GROUP BY r)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(xs, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)"""
+
+_OP10 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS z FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.z, c.z), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20"""
+
+SQL: dict[str, str] = {
+    "op10_topk": _OP10,
+    "op5_decontaminate": _OP5,
 }
-SQL: dict[str, str] = {}
