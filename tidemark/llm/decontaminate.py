@@ -68,7 +68,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     # slot 0 stands for the document itself, then all windows, longest first
     runs = [_window_hashes(F.col("hashes"), n, k) for k in lengths]
     rows = rows.select("row", "doc_id", "text_hash", "n", "w", F.concat(F.array(F.lit(None).cast("bigint")), *runs).alias("hs"))
-    slots = rows.select("row", "doc_id", "text_hash", "n", "w", F.posexplode("hs").alias("slot", "h"))
+    # outer: else the optimizer adds a size filter that hashes every window once more
+    slots = rows.select("row", "doc_id", "text_hash", "n", "w", F.posexplode_outer("hs").alias("slot", "h"))
     at, length, base = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(1)
     steps = []
     for k in lengths:

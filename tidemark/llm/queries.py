@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as clean
+from tidemark.llm import ngram_join as ngrams
 from tidemark.llm import secret_scan as secrets
 from tidemark.llm import token_counts as counts
 from tidemark.llm import token_store as store
@@ -53,6 +54,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = clean.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -82,6 +87,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op3_toxicity": op3_toxicity,
+    "op4_ngram_join": op4_ngram_join,
     "op5_decontaminate": op5_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op9_secret_scan": op9_secret_scan,
@@ -113,7 +119,22 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20"""
 
+_OP4 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(sh) AS h FROM (SELECT doc_id, unnest(CASE WHEN len(w) >= 4
+             THEN list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) WHEN len(w) > 0 THEN [w] ELSE [] END) AS sh FROM d)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT x, y FROM c JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 85 * (nx.n + ny.n - i)),
+both_ways AS MATERIALIZED (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach(x, y) AS (SELECT x, y FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x),
+least_of AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON least_of.x = d.doc_id"""
+
 SQL: dict[str, str] = {
+    "op4_ngram_join": _OP4,
     "op10_topk": _OP10,
     "op5_decontaminate": _OP5,
 }
