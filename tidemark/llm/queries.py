@@ -11,6 +11,7 @@ from tidemark.llm import secret_scan as secrets
 from tidemark.llm import token_counts as counts
 from tidemark.llm import token_store as store
 from tidemark.llm import topk, toxicity
+from tidemark.llm import url_filters as urls
 from tidemark.session import scratch_path, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -68,6 +69,41 @@ def _span_text(spans) -> F.Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def _draw(salt: str, x) -> F.Column:
+    """A number below 2**28 that depends on ``x`` alone."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), x).cast("binary")), 1, 7), 16, 10).cast("long")
+
+
+def _dated_events(pages: DataFrame) -> DataFrame:
+    """Dated list entries over what occurs in ``pages``: some domains are
+    listed, taken off and listed again, some path prefixes listed for a while,
+    some URLs listed for good."""
+    host = urls.host_of(F.col("url"))
+    labels = F.split(host, r"\.")
+    domain = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 2, F.lit(1)), F.lit(3)), ".")
+    prefix = F.concat(host, F.lit("/"), F.get(urls.segments_of(F.col("url")), F.lit(0)))
+
+    def events(name, kind, pattern, share, steps):
+        p = pages.select(pattern.alias("pattern")).where("pattern <> ''").distinct().where(_draw(name, F.col("pattern")) % share == 0)
+        first = _draw(name + "-day", F.col("pattern")) % 600
+        plan = F.array(*[F.struct(F.lit(a).alias("action"), F.date_add(F.lit("2023-01-01").cast("date"), (first + d).cast("int")).alias("day"))
+                         for a, d in steps])
+        return p.select(F.lit(name).alias("list"), F.lit(kind).alias("kind"), "pattern", F.explode(plan).alias("e")) \
+            .select("list", "kind", "pattern", "e.action", "e.day")
+
+    return events("adult", "domain", domain, 3, [("add", 0), ("remove", 90), ("add", 150)]) \
+        .unionByName(events("spam", "prefix", prefix, 4, [("add", 0), ("remove", 120)])) \
+        .unionByName(events("takedown", "url", F.col("url"), 10, [("add", 0)]))
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2023-01-01").cast("date"), (_draw("fetch", F.col("url")) % 730).cast("int"))
+    found = urls.evaluate(pages.withColumn("day", fetched), _dated_events(pages))
+    return found.select(F.col("id").alias("page_id"), "host", F.col("day").alias("fetch_day"), F.size("matches").cast("long").alias("n_active"),
+                        F.concat_ws(",", "matches").alias("matches"), (F.size("matches") > 0).alias("blocked"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.RULES if r.base]
@@ -90,6 +126,7 @@ QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op5_decontaminate": op5_decontaminate,
     "op7_token_counts": op7_token_counts,
+    "op8_url_filters": op8_url_filters,
     "op9_secret_scan": op9_secret_scan,
     "op10_topk": op10_topk,
 }
@@ -133,7 +170,29 @@ least_of AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON least_of.x = d.doc_id"""
 
+_OP8 = r"""
+WITH p AS MATERIALIZED (SELECT row_number() OVER () AS r, page_id, url,
+    lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+    list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS seg,
+    DATE '2023-01-01' + (('0x' || substr(md5('fetch' || url), 1, 7))::BIGINT % 730)::INTEGER AS day FROM pages),
+pats AS (SELECT DISTINCT 'adult' AS list, 'domain' AS kind, array_to_string(list_slice(string_split(host, '.'), greatest(len(string_split(host, '.')) - 2, 1), 1000), '.') AS pattern, 3 AS share FROM p
+    UNION ALL SELECT DISTINCT 'spam', 'prefix', host || '/' || seg[1], 4 FROM p WHERE len(seg) > 0
+    UNION ALL SELECT DISTINCT 'takedown', 'url', url, 10 FROM p),
+kept AS (SELECT list, kind, pattern, DATE '2023-01-01' + (('0x' || substr(md5(list || '-day' || pattern), 1, 7))::BIGINT % 600)::INTEGER AS d0
+    FROM pats WHERE pattern <> '' AND ('0x' || substr(md5(list || pattern), 1, 7))::BIGINT % share = 0),
+iv AS (SELECT list, kind, pattern, d0 AS since, d0 + 90 AS until FROM kept WHERE kind = 'domain'
+    UNION ALL SELECT list, kind, pattern, d0 + 150, NULL FROM kept WHERE kind = 'domain'
+    UNION ALL SELECT list, kind, pattern, d0, d0 + 120 FROM kept WHERE kind = 'prefix'
+    UNION ALL SELECT list, kind, pattern, d0, NULL FROM kept WHERE kind = 'url'),
+k AS (SELECT r, day, 'url' AS kind, url AS key FROM p
+    UNION ALL SELECT r, day, 'domain', array_to_string(list_slice(string_split(host, '.'), i, 1000), '.') FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM p WHERE host <> '')
+    UNION ALL SELECT r, day, 'prefix', host || '/' || array_to_string(seg[1:i], '/') FROM (SELECT *, unnest(range(1, len(seg) + 1)) AS i FROM p WHERE host <> '')),
+m AS (SELECT r, count(*) AS n, string_agg(x, ',' ORDER BY x) AS xs FROM (SELECT DISTINCT k.r, list || ':' || iv.kind || ':' || pattern AS x
+    FROM k JOIN iv ON k.kind = iv.kind AND k.key = iv.pattern AND day >= since AND (until IS NULL OR day < until)) GROUP BY r)
+SELECT page_id, host, day AS fetch_day, coalesce(n, 0) AS n_active, coalesce(xs, '') AS matches, n IS NOT NULL AS blocked FROM p LEFT JOIN m USING (r)"""
+
 SQL: dict[str, str] = {
+    "op8_url_filters": _OP8,
     "op4_ngram_join": _OP4,
     "op10_topk": _OP10,
     "op5_decontaminate": _OP5,
