@@ -69,6 +69,8 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class MemoEncoder:
     """Ids of blocks of texts; holds at most ``MEMO_PIECES`` pieces plus one block's."""
 
+    head_salt = np.uint64(0)     # not 0 where the first piece of a row is encoded unlike others
+
     def __init__(self, path: str, most: int = MEMO_PIECES):
         self.lib, self.exact, self.most = library(path), cuttable(path), most
         vocab = self.lib.get_vocab(with_added_tokens=True)
@@ -94,8 +96,12 @@ class MemoEncoder:
         self.pieces += len(lengths)
         self.used = need
 
-    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Encode new pieces. Pieces that begin with white space after settled
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return piece_starts(data, offsets)
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """Encode new pieces and give the order in which they were stored
+        (``heads``: the piece begins a row). Pieces that begin with white space after settled
         characters go to the library as one text, cut again by token widths."""
         last2 = np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)], 0)
         joined = _SPACE[data[starts]] & settled(last2, data[ends - 1])
@@ -126,9 +132,12 @@ class MemoEncoder:
             return np.asarray([i for x in got for i in x], np.int32), np.asarray([len(x) for x in got], np.int64)
         if self.pieces > self.most:
             self._clear()
-        starts = piece_starts(data, offsets)
+        starts = self._cut(data, offsets)
         ends = np.append(starts[1:], len(data))
-        codes, unique = pd.factorize(span_hashes(data, starts, ends))
+        heads = np.zeros(len(starts), bool)
+        first = np.searchsorted(starts, offsets[:-1][np.diff(offsets) > 0])
+        heads[first] = True
+        codes, unique = pd.factorize(span_hashes(data, starts, ends) + heads.astype(np.uint64) * self.head_salt)
         get = self.at.get
         keys = unique.tolist()
         slot = np.fromiter((get(h, -1) for h in keys), np.int64, len(keys))
@@ -137,7 +146,7 @@ class MemoEncoder:
             first = np.empty(len(unique), np.int64)
             first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)     # first occurrence of each
             base, pick = self.pieces, first[new]
-            new = new[self._learn(data, starts[pick], ends[pick])]
+            new = new[self._learn(data, starts[pick], ends[pick], heads[pick])]
             slot[new] = base + np.arange(len(new))
             self.at.update(zip((keys[i] for i in new.tolist()), range(base, base + len(new))))
         piece = slot[codes]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontaminate as clean
 from tidemark.llm import ngram_join as ngrams
 from tidemark.llm import secret_scan as secrets
+from tidemark.llm import sentencepieces as pieces
 from tidemark.llm import token_counts as counts
 from tidemark.llm import token_store as store
 from tidemark.llm import topk, toxicity
@@ -15,6 +16,7 @@ from tidemark.llm import url_filters as urls
 from tidemark.session import scratch_path, ship_package
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 END_ID = 2
 
 
@@ -35,6 +37,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_documents(spark, path)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary(PIECES))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -125,6 +131,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_ngram_join": op4_ngram_join,
     "op5_decontaminate": op5_decontaminate,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_token_counts": op7_token_counts,
     "op8_url_filters": op8_url_filters,
     "op9_secret_scan": op9_secret_scan,
