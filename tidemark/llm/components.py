@@ -10,6 +10,8 @@ adaptive planner can split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,38 @@ def components(edges: DataFrame) -> DataFrame:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = after
     raise RuntimeError("components did not settle")
+
+
+def close_links(held: DataFrame, near: str, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of all links among nodes that share a signature, without
+    checking every pair of a large group.
+
+    ``held``: ``sig, node, leader`` and other columns, a row for each holder of
+    a shared signature with one leader per signature (or per part of its
+    holders, with rows that tie the leaders). ``near``: a condition on a pair's
+    other columns, those of the second node ending in ``_2``. ``verify``: pairs
+    ``a, b`` to the pairs that link.
+
+    Each node is first checked against the leader that it shares most
+    signatures with. Pairs that still are in different components are then
+    checked all; pairs inside a component cannot change it. Result as of
+    ``components``."""
+    extra = [c for c in held.columns if c not in ("sig", "node", "leader")]
+    nodes = held.select("node", *extra).distinct()
+    second = nodes.select(F.col("node").alias("leader"), *[F.col(c).alias(f"{c}_2") for c in extra])
+    votes = held.where("leader <> node").groupBy("node", "leader", *extra).agg(F.count("*").alias("shared"))
+    first = votes.join(second, "leader").where(near).groupBy("node").agg(
+        F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
+    first = materialize(first.select(F.col("leader").alias("a"), F.col("node").alias("b")), "links-first")
+    roots = components(materialize(verify(first), "links-edges"))
+    placed = held.select("sig", "node", *extra).distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = materialize(placed, "links-placed")
+    mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
+    open_ = materialize(placed.join(mixed, "sig"), "links-open")
+    other = open_.select("sig", F.col("node").alias("b"), F.col("root").alias("root_2"), *[F.col(c).alias(f"{c}_2") for c in extra])
+    rest = open_.join(other, "sig").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("root_2"))).where(near)
+    rest = materialize(rest.select(F.col("node").alias("a"), "b").distinct(), "links-rest")
+    more = materialize(verify(rest), "links-more")
+    if more.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import close_links
 from tidemark.llm.textblocks import blocks, lower_ascii, mix, span_hashes, words
 from tidemark.session import materialize
 
@@ -326,30 +326,13 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str =
     counted = _count_pass(rows, size)
     members = counted.where("kind = 0").select(F.col("key").alias("doc_id"), "n", "node")
     held = _signature_pass(rows.where("doc_id IS NOT NULL"), *_classes(counted), size, percent)
-    near = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    sizes = held.select(F.col("node").alias("leader"), F.col("n").alias("m")).distinct()
-    votes = held.where("leader <> node").groupBy("node", "n", "leader").agg(F.count("*").alias("shared"))
-    first = votes.join(sizes, "leader").where(near).groupBy("node").agg(
-        F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
-    first = materialize(first.select(F.col("leader").alias("a"), F.col("node").alias("b")), "ngram-first")
     # one text for every node that is a candidate anywhere
     wanted = held.select("node").distinct().join(
         members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
     texts = rows.join(wanted, "doc_id").select("node", "text")
-    texts = materialize(texts.dropDuplicates(["node"]), "ngram-texts")   # a repeated id has several texts
-    edges = materialize(_verified(first, texts, size, percent), "ngram-edges")
-    roots = materialize(components(edges), "ngram-roots")
-    placed = held.select("sig", "node", "n").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = materialize(placed, "ngram-placed")
-    mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    open_ = materialize(placed.join(mixed, "sig"), "ngram-open")
-    other = open_.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
-    rest = open_.join(other, "sig").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")) & near)
-    rest = materialize(rest.select(F.col("node").alias("a"), "b").distinct(), "ngram-rest")
-    more = materialize(_verified(rest, texts, size, percent), "ngram-more")
-    if more.isEmpty():
-        return members, roots
-    return members, materialize(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "ngram-roots")
+    texts = materialize(texts.dropDuplicates(["node"]), "ngram-texts")           # a repeated id has several texts
+    near = f"100 * least(n, n_2) >= {percent} * greatest(n, n_2)"
+    return members, close_links(held, near, lambda pairs: _verified(pairs, texts, size, percent))
 
 
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as clean
 from tidemark.llm import ngram_join as ngrams
+from tidemark.llm import paragraph_dedup as paragraphs
 from tidemark.llm import secret_scan as secrets
 from tidemark.llm import sentencepieces as pieces
 from tidemark.llm import token_counts as counts
@@ -45,6 +46,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = paragraphs.substring_dedup(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select("doc_id", "n_repeated", "n_removed", F.concat_ws(",", spans).alias("removed_spans"), "kept_in")
+
+
 def held_out() -> F.Column:
     """The test fold: rows whose labels are never learned from."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -128,6 +135,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_join": op4_ngram_join,
     "op5_decontaminate": op5_decontaminate,
