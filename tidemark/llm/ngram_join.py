@@ -36,7 +36,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import close_links
@@ -97,11 +97,11 @@ def _unplane(raw: bytes, kind) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
 
 
 def _count_pass(docs: DataFrame, size: int) -> DataFrame:
-    """``kind, key, n, node``: documents (kind 0: id, tokens, node) and token
+    """``kind, key, n, node, text_hash``: documents (kind 0: id, tokens, node) and token
     cells that at least ``LEAST_FREQUENT`` documents hold (kind 1: cell, documents)."""
     def scan(batches):
         seen, cells = set(), []
@@ -116,33 +116,33 @@ def _count_pass(docs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "r": pa.array([hash(i) & 4095 for i in ids], pa.int32()), "kind": pa.array([0] * len(ids), pa.int32()),
                 "key": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()),
-                "cells": pa.array([None] * len(ids), pa.binary()), "counts": pa.array([None] * len(ids), pa.binary())})
+                "text_hash": batch.column(2), "cells": pa.array([None] * len(ids), pa.binary()), "counts": pa.array([None] * len(ids), pa.binary())})
         if cells:
             cell, count = np.unique(np.concatenate(cells), return_counts=True)
             cut = np.searchsorted(cell, np.arange(1, 1 << _RANGE_BITS, dtype=np.uint64) << np.uint64(32 - _RANGE_BITS))
-            out = {k: [] for k in ("r", "kind", "key", "n", "node", "cells", "counts")}
+            out = {k: [] for k in ("r", "kind", "key", "n", "node", "text_hash", "cells", "counts")}
             for r, (a, b) in enumerate(zip(np.append(0, cut), np.append(cut, len(cell)))):
                 if a < b:
                     out["r"].append(r)
                     out["kind"].append(1)
                     out["cells"].append(_planes(np.diff(cell[a:b], prepend=np.uint32(0))))
                     out["counts"].append(_planes(count[a:b].astype(np.uint32)))
-                    for k in ("key", "n", "node"):
+                    for k in ("key", "n", "node", "text_hash"):
                         out[k].append(None)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
                 ("r", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
-                ("cells", pa.binary()), ("counts", pa.binary())]))
+                ("text_hash", pa.int64()), ("cells", pa.binary()), ("counts", pa.binary())]))
 
     def gather(batches):
         cells, counts = [], []
         for batch in batches:
             kind = batch.column(0).to_numpy()
-            docs_only = batch.filter(pa.array(kind == 0)).select([0, 1, 2, 3])
+            docs_only = batch.filter(pa.array(kind == 0)).select([0, 1, 2, 3, 4])
             if docs_only.num_rows:
                 yield docs_only
             for i in np.flatnonzero(kind == 1).tolist():
-                cells.append(np.cumsum(_unplane(batch.column(4)[i].as_py(), np.uint32), dtype=np.uint32))
-                counts.append(_unplane(batch.column(5)[i].as_py(), np.uint32))
+                cells.append(np.cumsum(_unplane(batch.column(5)[i].as_py(), np.uint32), dtype=np.uint32))
+                counts.append(_unplane(batch.column(6)[i].as_py(), np.uint32))
         if cells:
             cell, count = np.concatenate(cells), np.concatenate(counts).astype(np.int64)
             order = np.argsort(cell)
@@ -152,11 +152,10 @@ def _count_pass(docs: DataFrame, size: int) -> DataFrame:
             keep = total >= LEAST_FREQUENT
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(keep.sum(), np.int32)), pa.array(cell[first][keep].astype(np.int64)), pa.array(total[keep]),
-                 pa.nulls(int(keep.sum()), pa.int64())], names=["kind", "key", "n", "node"])
+                 pa.nulls(int(keep.sum()), pa.int64()), pa.nulls(int(keep.sum()), pa.int64())], names=["kind", "key", "n", "node", "text_hash"])
 
-    dealt = docs.mapInArrow(scan, "r int, kind int, key long, n long, node long, cells binary, counts binary").repartition("r")
-    return materialize(dealt.select("kind", "key", "n", "node", "cells", "counts").mapInArrow(
-        gather, "kind int, key long, n long, node long"), "ngram-counts")
+    dealt = docs.mapInArrow(scan, "r int, kind int, key long, n long, node long, text_hash long, cells binary, counts binary").repartition("r")
+    return materialize(dealt.drop("r").mapInArrow(gather, "kind int, key long, n long, node long, text_hash long"), "ngram-counts")
 
 
 def _classes(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -319,12 +318,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
 
 def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(members, roots)``: ``members`` has ``doc_id, n, node`` of every
+    """``(members, roots)``: ``members`` has ``doc_id, text_hash, n, node`` of every
     document, ``roots`` has ``node, root`` of the nodes that links lead to a
     smaller one."""
     rows = _texts(docs, id_col, text_col)
     counted = _count_pass(rows, size)
-    members = counted.where("kind = 0").select(F.col("key").alias("doc_id"), "n", "node")
+    members = counted.where("kind = 0").select(F.col("key").alias("doc_id"), "text_hash", "n", "node")
     held = _signature_pass(rows.where("doc_id IS NOT NULL"), *_classes(counted), size, percent)
     # one text for every node that is a candidate anywhere
     wanted = held.select("node").distinct().join(
@@ -336,12 +335,25 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str =
 
 
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id`` (the smallest
-    document id that links reach, the own one included)."""
+    """One row per document: ``doc_id, text_hash, n_shingles, component_id``
+    (the smallest document id that links reach, the own one included)."""
     members, roots = ngram_links(docs, size, percent, id_col, text_col)
     nodes = members.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = nodes.select("node", "root").join(least, "root").select("node", "component_id")
     return members.join(by_node, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id;
+    of repeated rows (equal id and text) one stays. Documents without an id or
+    without words all stay. All columns stay."""
+    found = ngram_components(docs, size, percent, id_col, text_col).where("doc_id IS NOT NULL AND doc_id <> component_id")
+    gone = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    marked = docs.withColumns({"__own": F.col(id_col).cast("long"), "__text": F.xxhash64(text_col)})
+    left = marked.join(gone, (F.col("__own") == F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_anti")
+    turn = F.row_number().over(Window.partitionBy("__own", "__text").orderBy("__text"))
+    some = left.where("__own IS NOT NULL").withColumn("__turn", turn).where("__turn = 1")
+    return some.select(*docs.columns).unionByName(left.where("__own IS NULL").select(*docs.columns))

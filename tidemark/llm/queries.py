@@ -69,7 +69,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.ngram_components(table(spark, sf_dir, "documents"))
+    return ngrams.ngram_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
