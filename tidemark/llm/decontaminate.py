@@ -116,11 +116,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         return docs.join(flags, same, "left_anti")
     if remove != "spans":
         raise ValueError(remove)
-    text = F.col(f"`{text_col}`")
-    kept_words = F.regexp_extract_all(text, F.lit(_WORDS), F.lit(0))
-    between = F.split(text, _WORDS)
-    rest = F.transform(F.sequence(F.lit(0), F.size(kept_words) - 1), lambda i: F.when(
+    text, hit = F.col(f"`{text_col}`"), F.col("__spans").isNotNull()
+    # as columns: inside the lambda below the expressions would run once per word
+    both = docs.join(flags, same, "left").withColumns({
+        "__words": F.when(hit, F.regexp_extract_all(text, F.lit(_WORDS), F.lit(0))), "__between": F.when(hit, F.split(text, _WORDS))})
+    rest = F.transform(F.sequence(F.lit(0), F.size("__words") - 1), lambda i: F.when(
         F.exists("__spans", lambda s: (i >= s["s"]) & (i < s["e"])), F.lit("")).otherwise(
-        F.concat(F.get(kept_words, i), F.get(between, i + 1))))
-    cut = F.when(F.col("__spans").isNull(), text).otherwise(F.concat(F.get(between, F.lit(0)), F.array_join(rest, "")))
-    return docs.join(flags, same, "left").withColumn(text_col, cut).select(*[f"`{c}`" for c in docs.columns])
+        F.concat(F.get("__words", i), F.get("__between", i + 1))))
+    cut = F.when(hit, F.concat(F.get("__between", F.lit(0)), F.array_join(rest, ""))).otherwise(text)
+    return both.withColumn(text_col, cut).select(*[f"`{c}`" for c in docs.columns])

@@ -251,7 +251,7 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
                     e = np.empty(len(sig), entry)
                     e["sig"], e["node"], e["n"] = sig, node, len(s)
                     held.append(e)
-        if not held:
+        if not any(map(len, held)):
             return
         e, first, count = leaders(np.concatenate(held))
         held.clear()
@@ -282,7 +282,7 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
             if plain.num_rows:
                 yield plain
             held += [np.frombuffer(batch.column(4)[i].as_py(), entry) for i in np.flatnonzero(packed).tolist()]
-        if held:
+        if any(map(len, held)):
             cols = rows_of(*leaders(np.concatenate(held)))
             yield pa.RecordBatch.from_arrays(cols, names=["sig", "node", "n", "leader"])
 
