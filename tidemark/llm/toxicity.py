@@ -33,9 +33,10 @@ HASH_BITS = 20
 MAX_TOXIC = 4_000                # bound of the training sample, rows of label 1
 MAX_CLEAN = 8_000                # and of label 0
 MAX_FEATURES = 8_000             # features kept, largest |z| first
-LEAST_Z = 4.0                    # |r| in standard errors
+LEAST_Z = 3.0                    # |r| in standard errors
 STEPS = 200
 RIDGE = 1.0
+FIT_BLOCK = 1 << 18              # bytes of text whose n-grams are held at once when all of them are counted
 
 
 @dataclass
@@ -114,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 continue
             y = batch.column(1).to_numpy(zero_copy_only=False)
             docs_of += np.bincount(y, minlength=2)
-            for first, data, offsets in blocks(batch.column(0)):
+            for first, data, offsets in blocks(batch.column(0), FIT_BLOCK):
                 row, f = features(data, offsets)
                 for k in (0, 1):
                     by_class[k] += np.bincount(f[y[first + row] == k], minlength=size)
