@@ -37,7 +37,7 @@ def exact_percentiles(df: DataFrame, value: str, by: Sequence[str], ps: Mapping[
     many distinct values is spread over several tasks; the two values around
     position ``(n-1)*p`` are then interpolated.
     """
-    from tidemark.operators.windows import _part_offsets, _range_parts
+    from tidemark.operators.windows import _part_offsets, _range_parts, join_null_safe
     out_by = list(by)
     if not out_by:                       # one global group
         df, by = df.withColumn("_g", F.lit(0)), ["_g"]
@@ -48,11 +48,10 @@ def exact_percentiles(df: DataFrame, value: str, by: Sequence[str], ps: Mapping[
     offs = _part_offsets(parted.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc")), by, "_pc")
     w = Window.partitionBy(*by, "_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    pos = (parted.withColumn("_cum", F.sum("_c").over(w))
-           .join(offs, on=[*by, "_pid"])
+    pos = (join_null_safe(parted.withColumn("_cum", F.sum("_c").over(w)), offs, [*by, "_pid"])
            .withColumn("_hi", F.col("_cum") + F.col("_off") - 1)       # last 0-based position
-           .withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
-           .join(totals, on=by))
+           .withColumn("_lo", F.col("_hi") - F.col("_c") + 1))
+    pos = join_null_safe(pos, totals, by)
     aggs = []
     for name, p in ps.items():
         r = (F.col("_n") - 1) * F.lit(float(p))
@@ -101,4 +100,4 @@ def duplicate_ratio(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     d = df.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
     return d.agg(F.sum("_c").alias("total_rows"), F.count(F.lit(1)).alias("distinct_rows")) \
         .withColumn("duplicate_ratio",
-                    F.lit(1.0) - F.col("distinct_rows").cast("double") / F.col("total_rows"))
+                    F.lit(1.0) - F.try_divide(F.col("distinct_rows").cast("double"), F.col("total_rows")))

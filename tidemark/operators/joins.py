@@ -31,10 +31,11 @@ def range_join(facts: DataFrame, ranges: DataFrame, value: str, start: str, end:
     it overlaps; facts get one bucket. The join is then an equi-join on the
     bucket (hash-partitioned, no cartesian product) followed by the exact
     range filter. A range spanning k buckets is copied k times, so choose a
-    unit near the typical range length.
+    unit near the typical range length. A range with a NULL end, or that ends
+    before it starts, matches nothing.
     """
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    r = ranges.withColumn(
+    r = ranges.where(F.col(start) <= F.col(end)).withColumn(
         "_bucket", F.explode(F.sequence(F.date_trunc(unit, F.col(start)).cast("date"),
                                         F.date_trunc(unit, F.col(end)).cast("date"), step)))
     f = facts.withColumn("_bucket", F.date_trunc(unit, F.col(value)).cast("date"))

@@ -70,7 +70,7 @@ def zorder(df: DataFrame, cols: Sequence[str], partitions: int, bits: int = 10)
     for c in cols:
         x = F.col(c).cast("double")
         lo, hi = df.agg(F.min(x)).scalar(), df.agg(F.max(x)).scalar()
-        ids.append(F.coalesce(F.least(F.lit(top), F.floor((x - lo) / (hi - lo) * top)), F.lit(0)).cast("long"))
+        ids.append(F.coalesce(F.least(F.lit(top), F.floor(F.try_divide(x - lo, hi - lo) * top)), F.lit(0)).cast("long"))
     keyed = df.withColumn("_z", _interleave(ids[0], ids[1], bits))
     return keyed.repartitionByRange(partitions, "_z").sortWithinPartitions("_z").drop("_z")
 

@@ -73,7 +73,8 @@ def score(df: DataFrame, model, features: Sequence[str], out: str = "prediction"
 
 
 def regression_metrics(df: DataFrame, pred: str, actual: str, by: Sequence[str] = ()) -> DataFrame:
-    """n, MAE, MSE, RMSE, R^2 in one aggregation (closed form)."""
+    """n, MAE, MSE, RMSE, R^2 in one aggregation (closed form); R^2 is NULL
+    where the actual values do not vary."""
     err = F.col(pred) - F.col(actual)
     n = F.count(F.lit(1))
     sy = F.sum(F.col(actual)).cast("double")
@@ -81,7 +82,7 @@ def regression_metrics(df: DataFrame, pred: str, actual: str, by: Sequence[str]
     sse = F.sum(err * err).cast("double")
     return df.groupBy(*by).agg(
         n.alias("n"), (F.sum(F.abs(err)).cast("double") / n).alias("mae"), (sse / n).alias("mse"),
-        F.sqrt(sse / n).alias("rmse"), (F.lit(1.0) - sse / (syy - sy * sy / n)).alias("r2"))
+        F.sqrt(sse / n).alias("rmse"), (F.lit(1.0) - F.try_divide(sse, syy - sy * sy / n)).alias("r2"))
 
 
 def drift(df: DataFrame, is_train: Column, is_prod: Column, features: Sequence[str],
@@ -96,14 +97,15 @@ def drift(df: DataFrame, is_train: Column, is_prod: Column, features: Sequence[s
     wide = df.agg(*aggs)
     parts = ", ".join(f"'{f}', tm{i}, pm{i}, ts{i}" for i, f in enumerate(features))
     long = wide.selectExpr(f"stack({len(features)}, {parts}) AS (feature, train_mean, prod_mean, train_std)")
-    long = long.withColumn("drift_score", F.abs(F.col("train_mean") - F.col("prod_mean")) / F.col("train_std"))
+    long = long.withColumn("drift_score", F.try_divide(F.abs(F.col("train_mean") - F.col("prod_mean")), F.col("train_std")))
     return long.withColumn("alert", F.col("drift_score") > alert)
 
 
 def ab_assign(df: DataFrame, key: str, arms: Sequence[str] = ("A", "B"), out: str = "test_group") -> DataFrame:
-    """Stable arm from the first hex digit of md5(key): same key, same arm on
-    every engine and run (no dependence on Spark's internal hash)."""
-    b = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 1), 16, 10).cast("int") % len(arms)
+    """Stable arm from the first 60 bits of md5(key): same key, same arm on
+    every engine and run (no dependence on Spark's internal hash), even shares
+    for any number of arms. A NULL key has no arm."""
+    b = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 15), 16, 10).cast("long") % len(arms)
     expr = None
     for i, a in enumerate(arms):
         expr = F.when(b == i, a) if expr is None else expr.when(b == i, a)

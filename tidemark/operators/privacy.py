@@ -142,5 +142,5 @@ def pii_profile(df: DataFrame, cols: Sequence[str] | None = None,
             i += 1
     wide = df.agg(*aggs)
     return (wide.selectExpr("_n AS rows", f"stack({i}, {', '.join(parts)}) AS (column_name, pii_kind, matches)")
-            .withColumn("match_rate", F.col("matches").cast("double") / F.col("rows"))
+            .withColumn("match_rate", F.try_divide(F.col("matches").cast("double"), F.col("rows")))
             .select("column_name", "pii_kind", "rows", "matches", "match_rate"))

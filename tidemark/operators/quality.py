@@ -84,7 +84,14 @@ def quarantine(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, Data
 
 def check_rules(df: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Apply a declarative rule list ``(name, predicate, action)`` where action
-    is ``warn`` (keep), ``drop`` or ``fail``."""
+    is ``warn`` (keep the row, name the rule in ``warnings``), ``drop`` or
+    ``fail``. Without ``warn`` rules there is no ``warnings`` column."""
+    unknown = {a for _, _, a in rules} - {"warn", "drop", "fail"}
+    if unknown:
+        raise ValueError(f"unknown actions: {sorted(unknown)}")
+    warns = [F.when(~_ok(p), F.lit(n)) for n, p, a in rules if a == "warn"]
+    if warns:
+        df = df.withColumn("warnings", F.array_compact(F.array(*warns)))
     drops = {n: p for n, p, a in rules if a == "drop"}
     fails = {n: p for n, p, a in rules if a == "fail"}
     return df.transform(expect_or_fail, fails).transform(expect_or_drop, drops)

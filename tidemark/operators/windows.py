@@ -14,6 +14,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the keys stay once, from the
+    left. Grouped and windowed results treat NULL as a key of its own, so a
+    plain join of such a result back to its rows would lose that group."""
+    names = {c: f"_on_{c}" for c in on}
+    cond = None
+    for c, r in names.items():
+        eq = F.col(c).eqNullSafe(F.col(r))
+        cond = eq if cond is None else cond & eq
+    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())
+
+
 def top_n_per_group(df: DataFrame, by: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:
     """``row_number() <= n``; Spark adds a partial WindowGroupLimit before the
     shuffle, so each map task sends at most ``n`` rows per group."""
@@ -34,10 +46,11 @@ def lag_change(df: DataFrame, by: Sequence[str], order_by: Sequence[str], cols:
 
 def _bucket_offsets(df: DataFrame, by: Sequence[str], measure: Column) -> DataFrame:
     """Per (key, bucket): the total of ``measure`` over all earlier buckets of
-    the key. The window runs over the bucket summary (keys x buckets rows)."""
+    the key, NULL if none of them has a value. The window runs over the bucket
+    summary (keys x buckets rows)."""
     totals = df.groupBy(*by, "_bk").agg(measure.alias("_bt"))
     w = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(*by, "_bk", F.coalesce(F.sum("_bt").over(w), F.lit(0)).alias("_off"))
+    return totals.select(*by, "_bk", F.sum("_bt").over(w).alias("_off"))
 
 
 def running_sum(df: DataFrame, by: Sequence[str], order_by: Sequence[str], col: str, out: str,
@@ -61,8 +74,9 @@ def running_sum(df: DataFrame, by: Sequence[str], order_by: Sequence[str], col:
         w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = b.withColumn("_in", F.sum(col).over(w))
     offs = _bucket_offsets(b, by, F.sum(col))
-    return (within.join(offs, on=[*by, "_bk"], how="left")
-            .withColumn(out, F.col("_in") + F.col("_off")).drop("_bk", "_in", "_off"))
+    # a bucket whose values so far are all NULL carries the earlier total on
+    total = F.coalesce(F.col("_in") + F.col("_off"), "_in", "_off")
+    return join_null_safe(within, offs, [*by, "_bk"], "left").withColumn(out, total).drop("_bk", "_in", "_off")
 
 
 def row_numbers(df: DataFrame, by: Sequence[str], order_by: Sequence, out: str,
@@ -75,8 +89,8 @@ def row_numbers(df: DataFrame, by: Sequence[str], order_by: Sequence, out: str,
     b = df.withColumn("_bk", bucket)
     within = b.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_bk").orderBy(*order_by)))
     offs = _bucket_offsets(b, by, F.count(F.lit(1)))
-    return (within.join(offs, on=[*by, "_bk"], how="left")
-            .withColumn(out, (F.col("_in") + F.col("_off")).cast("bigint")).drop("_bk", "_in", "_off"))
+    return (join_null_safe(within, offs, [*by, "_bk"], "left")
+            .withColumn(out, (F.col("_in") + F.coalesce("_off", F.lit(0))).cast("bigint")).drop("_bk", "_in", "_off"))
 
 
 def prior_rows(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], value: str, n: int,
@@ -103,13 +117,12 @@ def prior_rows(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], valu
                     F.coalesce(F.sum("_bcnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
                     .alias("_before")))                       # rows of the key before bucket _i
     wd = Window.partitionBy(*by, "_bk").orderBy(*[F.col(c).desc() for c in order_cols])
-    tails = (b.withColumn("_r", F.row_number().over(wd)).where(F.col("_r") <= n)
-             .join(summ, on=[*by, "_bk"]))
+    tails = join_null_safe(b.withColumn("_r", F.row_number().over(wd)).where(F.col("_r") <= n), summ, [*by, "_bk"])
     # rows strictly between a tail row and the start of bucket j:
     # (_r - 1) + before(j) - (before(i) + count(i)); it belongs to j's halo while that is < n
-    halo = (tails.withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, F.col("_i") + n - F.col("_r") + 1)))
-            .join(summ.select(*by, F.col("_i").alias("_j"), F.col("_before").alias("_before_j"), F.col("_bk").alias("_bj")),
-                  on=[*by, "_j"])
+    halo = (join_null_safe(
+        tails.withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, F.col("_i") + n - F.col("_r") + 1))),
+        summ.select(*by, F.col("_i").alias("_j"), F.col("_before").alias("_before_j"), F.col("_bk").alias("_bj")), [*by, "_j"])
             .where(F.col("_r") - 1 + F.col("_before_j") - F.col("_before") - F.col("_bcnt") < n)
             .select(*df.columns, F.col("_bj").alias("_bk"), F.lit(1).alias("_h")))
     u = b.select(*df.columns, "_bk", F.lit(0).alias("_h")).unionByName(halo)
@@ -155,29 +168,25 @@ def global_rank(df: DataFrame, col: str, descending: bool = True, dense: bool =
     """RANK / DENSE_RANK over the whole table (or within ``by`` groups)
     without a single-task window, even for a group holding most rows.
 
-    1. range-partition by (group, value) -- equal values land in one
-       partition -- and number the partitions;
-    2. count rows (or distinct values) per (group, partition);
-    3. a prefix sum over those counts gives each partition's offset (the
-       window runs over groups x partitions rows, not the data);
-    4. rank inside each (group, partition) + its offset.
+    1. reduce the rows to (group, value, count), so a value that holds very
+       many rows is one row from here on;
+    2. range-partition these by (group, value) and number the partitions
+       (fixed once, see ``_range_parts``; only the reduced rows are written);
+    3. a prefix sum over the rows (or values) per (group, partition) gives each
+       partition's offset (a window over groups x partitions rows);
+    4. rank inside each (group, partition) + its offset, joined back to the
+       rows by group and value (NULL-safe; the planner can split a hot value).
 
-    Steps 2 and 4 read the range-partitioned rows in two branches; the
-    partition ids are fixed once by writing them with the rows (see
-    ``_range_parts``), so both branches agree.
+    NULL groups form a group, NULL values rank as the sort order places them.
     """
     by = list(by)
     key = F.col(col).desc() if descending else F.col(col).asc()
-    parted = _range_parts(df, by, key, partitions)
-    per = parted.groupBy(*by, "_pid").agg(
-        (F.count_distinct(col) if dense else F.count(F.lit(1))).alias("_cnt"))
-    offs = _part_offsets(per, by, "_cnt")
+    counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
+    parted = _range_parts(counts, by, key, partitions)
+    offs = _part_offsets(parted.groupBy(*by, "_pid").agg((F.count(F.lit(1)) if dense else F.sum("_c")).alias("_cnt")), by, "_cnt")
     local = Window.partitionBy(*by, "_pid").orderBy(key)
-    r = F.dense_rank() if dense else F.rank()
-    ranked = parted.withColumn("_lr", r.over(local))
-    # offsets: one row per (group, partition); broadcast only for the global
-    # form, where it is bounded by the partition count
-    o = offs if by else F.broadcast(offs)
-    return (ranked.join(o, on=[*by, "_pid"])
-            .withColumn(out, (F.col("_lr") + F.col("_off")).cast("int"))
-            .drop("_pid", "_lr", "_off"))
+    before = F.row_number().over(local) - 1 if dense else F.coalesce(
+        F.sum("_c").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = join_null_safe(parted.withColumn("_lr", before), offs, [*by, "_pid"])
+    ranks = ranked.select(*by, col, (F.col("_lr") + F.col("_off") + 1).cast("int").alias("_rank"))
+    return join_null_safe(df, ranks, [*by, col]).withColumn(out, F.col("_rank")).drop("_rank")

@@ -62,15 +62,16 @@ def cdc_source(ev):
 
 
 def versioned_feed(ev):
-    """Events as a change feed with a commit version (day of month)."""
+    """Events as a change feed with a commit version that only grows (days since
+    the end of 2023)."""
     kind = (F.when(F.col("event_type") == "signup", ch.INSERT)
             .when(F.col("event_type") == "error", ch.DELETE).otherwise(ch.POST))
     return ev.select("user_id", "event_id", "event_type", "value",
-                     F.dayofmonth("ts").cast("bigint").alias("_version"), kind.alias("_change_type"))
+                     F.datediff(F.to_date("ts"), F.lit("2023-12-31").cast("date")).cast("bigint").alias("_version"), kind.alias("_change_type"))
 
 
 FEED_SQL = """feed AS (
-  SELECT user_id, event_id, event_type, value, CAST(dayofmonth(ts) AS BIGINT) AS _version,
+  SELECT user_id, event_id, event_type, value, CAST(date_diff('day', DATE '2023-12-31', CAST(ts AS DATE)) AS BIGINT) AS _version,
          CASE WHEN event_type = 'signup' THEN 'insert' WHEN event_type = 'error' THEN 'delete'
               ELSE 'update_postimage' END AS _change_type
   FROM events)"""
@@ -208,12 +209,12 @@ def q_change_ratio(spark, d):
 EVENT_RULES = {
     "value_below_300": "value < 300",
     "props_has_k": "get_json_object(props, '$.k') IS NOT NULL",
-    "k_below_95": "CAST(get_json_object(props, '$.k') AS INT) < 95",
+    "k_below_95": "TRY_CAST(get_json_object(props, '$.k') AS INT) < 95",
 }
 EVENT_RULES_SQL = {
     "value_below_300": "value < 300",
     "props_has_k": "json_extract_string(props, '$.k') IS NOT NULL",
-    "k_below_95": "CAST(json_extract_string(props, '$.k') AS INTEGER) < 95",
+    "k_below_95": "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) < 95",
 }
 
 

@@ -158,7 +158,7 @@ def q_model_error_trend(spark, d):
 
 
 @register("ab_split", """
-SELECT CASE WHEN (instr('0123456789abcdef', substr(md5(CAST(user_id AS VARCHAR)), 1, 1)) - 1) % 2 = 0 THEN 'A' ELSE 'B' END
+SELECT CASE WHEN CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 15) AS BIGINT) % 2 = 0 THEN 'A' ELSE 'B' END
          AS test_group,
        count(*) AS n,
        CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE) / count(*) AS purchase_rate,

@@ -100,12 +100,12 @@ def q_case_buckets(spark, d):
 @register("predicate_mix", """
 SELECT c_custkey, c_name FROM customer
 WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_acctbal BETWEEN 1000 AND 5000
-  AND c_name LIKE 'Customer#00000%' AND regexp_matches(c_name, '[13579]$') AND c_nationkey IS NOT NULL""")
+  AND c_name LIKE 'Customer#%0%' AND regexp_matches(c_name, '[13579]$') AND c_nationkey IS NOT NULL""")
 def q_predicate_mix(spark, d):
     c = T(spark, d).customer
     return c.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")
                    & F.col("c_acctbal").between(1000, 5000)
-                   & F.col("c_name").like("Customer#00000%")
+                   & F.col("c_name").like("Customer#%0%")
                    & F.col("c_name").rlike("[13579]$")
                    & F.col("c_nationkey").isNotNull()).select("c_custkey", "c_name")
 

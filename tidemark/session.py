@@ -9,6 +9,7 @@ cluster's shared checkpoint folder, never under a machine-local temp dir.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -71,13 +72,17 @@ _LOCAL_ROOT: str | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset -- a laptop or a test -- a private folder is created
-    and registered as the context's checkpoint dir.
+    Without the setting, a folder already registered with the context is used.
+    Only on a local master -- a laptop or a test -- a private folder is created
+    and registered; on a cluster that would be another folder on each machine,
+    so it is an error there.
     """
     global _LOCAL_ROOT
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         d = _LOCAL_ROOT
