@@ -12,9 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.textblocks import mix
 from tidemark.session import materialize
 
 MAX_ROUNDS = 60
@@ -51,35 +54,111 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def close_links(held: DataFrame, near: str, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+FIRST = 6                        # signatures of a node by which a pair is emitted once
+EMPTY = 3                        # empty groups that a partition allows for
+SKETCH = ["p0", "p1", "p2", "p3"]                   # a set's parity sketch, 64 bits each
+
+
+def apart(n: int, m: int, percent: int) -> int:
+    """The most elements that are in just one of two linked sets of n and m."""
+    return (100 - percent) * (n + m) // (100 + percent)
+
+
+def size_classes(n: int, percent: int) -> list[tuple[int, int]]:
+    """``(class, upper size)`` of the larger set in any link of an n-set."""
+    out, low = [], 1
+    while low <= 100 * n // percent:
+        high = max(low, 100 * low // percent)                   # sizes low..high are one class
+        if high >= n:
+            out.append((low, high))
+        low = high + 1
+    return out
+
+
+def partition_signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Signatures of which linked sets share at least one.
+
+    A set is dealt into one group more than linked sets have elements apart,
+    so one group at least is equal in both; its content is the signature.
+    ``EMPTY`` more groups make up for groups that are empty in both; a set with
+    more empty groups than that is indexed by these as well."""
+    out = []
+    for low, high in size_classes(len(tokens), percent):
+        groups = apart(high, high, percent) + 1 + EMPTY
+        group = (mix(tokens ^ np.uint64(0x94D049BB133111EB)) % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        group, mine = group[order], mix(tokens[order])
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        with np.errstate(over="ignore"):
+            content = np.add.reduceat(mine, first)
+            label = mix(group[first].astype(np.uint64) + np.uint64(low << 24))
+            out.append(mix(content + label))
+            if groups - len(first) > EMPTY:
+                empty = np.setdiff1d(np.arange(groups), group[first]).astype(np.uint64)
+                out.append(mix(mix(empty + np.uint64(low << 24)) + np.uint64(1)))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set of 64-bit hashes: a bit is set if an odd
+    number of elements falls on it."""
+    bits = 64 * len(SKETCH)
+    at = (mix(tokens ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+RESIGNED = "sig long, node long, n long, root long, " + ", ".join(f"{c} long" for c in SKETCH)
+
+
+def resigned(node: int, root: int, tokens: np.ndarray, percent: int) -> pa.RecordBatch:
+    """The rows of one node for ``RESIGNED``."""
+    sig = np.unique(partition_signatures(tokens, percent).view(np.int64))
+    same = [pa.array(np.full(len(sig), x, np.int64)) for x in (node, len(tokens), root, *parity_bits(tokens))]
+    return pa.RecordBatch.from_arrays([pa.array(sig), *same], names=["sig", "node", "n", "root", *SKETCH])
+
+
+def close_links(held: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame], resign: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components of all links among nodes that share a signature, without
-    checking every pair of a large group.
-
-    ``held``: ``sig, node, leader`` and other columns, a row for each holder of
-    a shared signature with one leader per signature (or per part of its
-    holders, with rows that tie the leaders). ``near``: a condition on a pair's
-    other columns, those of the second node ending in ``_2``. ``verify``: pairs
-    ``a, b`` to the pairs that link.
-
-    Each node is first checked against the leader that it shares most
-    signatures with. Pairs that still are in different components are then
-    checked all; pairs inside a component cannot change it. Result as of
-    ``components``."""
-    extra = [c for c in held.columns if c not in ("sig", "node", "leader")]
-    nodes = held.select("node", *extra).distinct()
-    second = nodes.select(F.col("node").alias("leader"), *[F.col(c).alias(f"{c}_2") for c in extra])
-    votes = held.where("leader <> node").groupBy("node", "leader", *extra).agg(F.count("*").alias("shared"))
-    first = votes.join(second, "leader").where(near).groupBy("node").agg(
-        F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
+    checking every pair of a large group. Nodes are sets that link when 100
+    times their common elements are at least ``percent`` times all of them.
+
+    ``held``: ``sig, node, n, leader``, a row for each holder of a shared
+    signature with one leader per signature (or per part of its holders, with
+    rows that tie the leaders); n is the set's size. ``verify``: pairs ``a, b``
+    to the pairs that link. ``resign``: ``node, root`` to rows ``RESIGNED``.
+
+    1. Each node is checked against the leader that it shares most signatures
+       with, which gives first components.
+    2. Nodes that share a signature with a node of another component are dealt
+       anew by ``partition_signatures``. Pairs that share one of these, are in
+       different components and whose parity sketches differ in no more bits
+       than linked sets differ in elements are all checked, each once. Pairs
+       inside a component cannot change it.
+
+    Result as of ``components``."""
+    near = f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
+    second = held.select(F.col("node").alias("leader"), "n").distinct()
+    votes = held.where("leader <> node").groupBy("node", "n", "leader").agg(F.count("*").alias("shared"))
+    first = votes.alias("a").join(second.alias("b"), F.expr(f"a.leader = b.leader AND {near}")).groupBy("a.node").agg(
+        F.max_by("a.leader", F.struct("a.shared", "a.leader")).alias("leader"))
     first = materialize(first.select(F.col("leader").alias("a"), F.col("node").alias("b")), "links-first")
     roots = components(materialize(verify(first), "links-edges"))
-    placed = held.select("sig", "node", *extra).distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = held.select("sig", "node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = materialize(placed, "links-placed")
     mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    open_ = materialize(placed.join(mixed, "sig"), "links-open")
-    other = open_.select("sig", F.col("node").alias("b"), F.col("root").alias("root_2"), *[F.col(c).alias(f"{c}_2") for c in extra])
-    rest = open_.join(other, "sig").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("root_2"))).where(near)
-    rest = materialize(rest.select(F.col("node").alias("a"), "b").distinct(), "links-rest")
+    open_ = placed.join(mixed, "sig").select("node", "root").distinct()
+    rows = materialize(resign(open_), "links-resigned")
+    # only signatures of several components matter; the least ones of a node emit its pairs once
+    mixed = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
+    rows = rows.join(mixed, "sig")
+    least = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("least_sigs"))
+    rows = materialize(rows.join(least, "node"), "links-open")
+    differ = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in SKETCH)
+    rest = rows.alias("a").join(rows.alias("b"), F.expr(
+        f"a.sig = b.sig AND a.node < b.node AND a.root <> b.root AND {near} "
+        f"AND ({100 + percent}) * ({differ}) <= {100 - percent} * (a.n + b.n) "
+        "AND coalesce(array_min(array_intersect(a.least_sigs, b.least_sigs)), a.sig) >= a.sig"))
+    rest = materialize(rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "links-rest")
     more = materialize(verify(rest), "links-more")
     if more.isEmpty():
         return roots

@@ -20,9 +20,10 @@ Steps, each a Spark job over all rows:
    signature once, so a very common one is never gathered in one task.
 3. One candidate per node: the leader it shares most signatures with. Exact
    check on the texts, then components.
-4. Every pair of nodes that share a signature but are still in different
-   components is checked too, and the components are completed. Pairs inside a
-   component need no check: they cannot change the result.
+4. Nodes that share a signature but are still in different components are dealt
+   once more, by groups of which linked sets have one in common; what meets
+   there and is not ruled out by size or parity is checked too, and the
+   components are completed (see ``components.close_links``).
 
 Token cells over the class threshold are broadcast; the threshold is the least
 power of two for which at most ``MOST_FREQUENT`` cells pass, so the broadcast is
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import close_links
+from tidemark.llm.components import RESIGNED, close_links, resigned
 from tidemark.llm.textblocks import blocks, lower_ascii, mix, span_hashes, words
 from tidemark.session import materialize
 
@@ -218,14 +219,16 @@ def signatures(tokens: np.ndarray, second: np.ndarray, third: np.ndarray, percen
 
 def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size: int, percent: int) -> DataFrame:
     """``sig, node, n, leader``: the holders of every signature that several
-    nodes share, each with a leader (the holder of least mixed fingerprint)
-    among the holders of its task, and these among all tasks."""
+    nodes share, each with a leader among the holders of its task, and these
+    with one among all tasks."""
     shared = docs.sparkSession.sparkContext.broadcast((second, third))
-    entry = np.dtype([("sig", np.uint64), ("node", np.int64), ("n", np.uint32)])
+    entry = np.dtype([("sig", np.uint64), ("node", np.int64), ("n", np.uint32), ("share", np.uint32)])
 
     def leaders(e: np.ndarray):
         """Entries ordered by signature, then leader first; start of each signature; size."""
-        e = e[np.lexsort((mix(e["node"].view(np.uint64)), e["sig"]))]
+        # the leader has the largest share of frequent tokens: among copies with
+        # different edits that is the one closest to what they are copies of
+        e = e[np.lexsort((mix(e["node"].view(np.uint64)), np.uint32(1 << 20) - e["share"], e["sig"]))]
         first = np.flatnonzero(np.concatenate([[True], e["sig"][1:] != e["sig"][:-1]]))
         return e, first, np.diff(np.append(first, len(e)))
 
@@ -250,6 +253,7 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
                     sig = signatures(s, two, three, percent)
                     e = np.empty(len(sig), entry)
                     e["sig"], e["node"], e["n"] = sig, node, len(s)
+                    e["share"] = (int(_member((s >> np.uint64(32)).astype(np.uint32), two).sum()) << 20) // len(s)
                     held.append(e)
         if not any(map(len, held)):
             return
@@ -317,6 +321,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return both.mapInArrow(check, "a long, b long")
 
 
+def _resigned(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The partition signatures of ``node, root``."""
+    def run(batches):
+        for batch in batches:
+            for first, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
+                for r, s in shingle_sets(data, offsets, size):
+                    yield resigned(batch.column(0)[first + r].as_py(), batch.column(1)[first + r].as_py(), s, percent)
+
+    return nodes.join(texts, "node").select("node", "root", "text").mapInArrow(run, RESIGNED)
+
+
 def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(members, roots)``: ``members`` has ``doc_id, text_hash, n, node`` of every
     document, ``roots`` has ``node, root`` of the nodes that links lead to a
@@ -330,8 +345,7 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str =
         members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
     texts = rows.join(wanted, "doc_id").select("node", "text")
     texts = materialize(texts.dropDuplicates(["node"]), "ngram-texts")           # a repeated id has several texts
-    near = f"100 * least(n, n_2) >= {percent} * greatest(n, n_2)"
-    return members, close_links(held, near, lambda pairs: _verified(pairs, texts, size, percent))
+    return members, close_links(held, percent, lambda pairs: _verified(pairs, texts, size, percent), lambda nodes: _resigned(nodes, texts, size, percent))
 
 
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import close_links
+from tidemark.llm.components import RESIGNED, close_links, resigned
 from tidemark.llm.textblocks import blocks, lower_ascii, mix, span_hashes, words
 from tidemark.session import materialize
 
@@ -206,6 +206,16 @@ def _all_paragraphs(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(scan, "node long, doc_id long, seq long, start long, end long, words long, tokens binary")
 
 
+def _resigned(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The partition signatures of ``node, root``."""
+    def run(batches):
+        for batch in batches:
+            for node, root, tokens in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                yield resigned(node, root, np.frombuffer(tokens, np.uint64), round(SIMILARITY * 100))
+
+    return nodes.join(sets, "node").select("node", "root", "tokens").mapInArrow(run, RESIGNED)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets have a Jaccard similarity of at least ``SIMILARITY``."""
     def check(batches):
@@ -234,8 +244,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     met = materialize(_all_paragraphs(rows).join(wanted, "node").withColumn(
         "tokens", F.when(F.col("candidate"), F.col("tokens"))).drop("candidate"), "paragraphs")
     sets = materialize(met.where("tokens IS NOT NULL").groupBy("node").agg(F.min("tokens").alias("tokens")), "paragraph-sets")
-    least = round(SIMILARITY * 100)
-    roots = close_links(held, f"100 * least(n, n_2) >= {least} * greatest(n, n_2)", lambda pairs: _verified(pairs, sets))
+    roots = close_links(held, round(SIMILARITY * 100), lambda pairs: _verified(pairs, sets), lambda nodes: _resigned(nodes, sets))
     placed = met.drop("tokens").join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node")).drop("root", "node")
     placed = materialize(placed, "paragraphs-placed")
     first = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "seq")).alias("f"), F.max("doc_id").alias("last")) \
