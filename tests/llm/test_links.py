@@ -217,3 +217,21 @@ def test_top_k_query_equals_brute_force(spark):
     from tidemark.llm import queries as Q
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
     assert sorted(map(tuple, Q.op10_topk(spark, SF_SMALL).collect())) == best(rows, 20, lambda i: i % 20 == 0)
+
+
+def test_linked_sets_share_a_partition_signature_and_parity_bounds_them():
+    from tidemark.llm.components import parity_bits, partition_signatures
+    rng, linked = np.random.default_rng(1), 0
+    for _ in range(3000):
+        n, percent = int(rng.integers(1, 260)), int(rng.choice([50, 80, 85]))
+        base = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        out, into = rng.integers(0, max(2, n // 4), 2)
+        other = np.unique(np.concatenate([rng.permutation(base)[out:], rng.integers(0, 2 ** 63, into).astype(np.uint64)]))
+        common = len(np.intersect1d(base, other))
+        if not len(other) or 100 * common < percent * (len(base) + len(other) - common):
+            continue
+        linked += 1
+        assert len(np.intersect1d(partition_signatures(base, percent), partition_signatures(other, percent)))
+        differ = sum(int(x).bit_count() for x in (parity_bits(base) ^ parity_bits(other)).view(np.uint64))
+        assert (100 + percent) * differ <= (100 - percent) * (len(base) + len(other))
+    assert linked > 500

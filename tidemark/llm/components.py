@@ -55,6 +55,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 FIRST = 6                        # signatures of a node by which a pair is emitted once
+CROWD = 32                       # holders from which a signature's nodes are dealt anew
 EMPTY = 3                        # empty groups that a partition allows for
 SKETCH = ["p0", "p1", "p2", "p3"]                   # a set's parity sketch, 64 bits each
 
@@ -117,22 +118,27 @@ def resigned(node: int, root: int, tokens: np.ndarray, percent: int) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(sig), *same], names=["sig", "node", "n", "root", *SKETCH])
 
 
-def close_links(held: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame], resign: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def close_links(held: DataFrame, sketches: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame],
+                resign: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components of all links among nodes that share a signature, without
     checking every pair of a large group. Nodes are sets that link when 100
     times their common elements are at least ``percent`` times all of them.
 
     ``held``: ``sig, node, n, leader``, a row for each holder of a shared
     signature with one leader per signature (or per part of its holders, with
-    rows that tie the leaders); n is the set's size. ``verify``: pairs ``a, b``
-    to the pairs that link. ``resign``: ``node, root`` to rows ``RESIGNED``.
+    rows that tie the leaders); n is the set's size. ``sketches``: ``node`` and
+    ``SKETCH``. ``verify``: pairs ``a, b`` to the pairs that link. ``resign``:
+    ``node, root`` to rows ``RESIGNED``.
 
     1. Each node is checked against the leader that it shares most signatures
        with, which gives first components.
-    2. Nodes that share a signature with a node of another component are dealt
-       anew by ``partition_signatures``. Pairs that share one of these, are in
-       different components and whose parity sketches differ in no more bits
-       than linked sets differ in elements are all checked, each once. Pairs
+    2. Signatures whose holders are in different components are left. Pairs of
+       holders of one that has less than ``CROWD`` are candidates. The holders
+       of the others are dealt anew by ``partition_signatures``, of which
+       linked sets always share one and others seldom do, and pairs that share
+       one of those are candidates.
+    3. Candidates in different components whose parity sketches differ in no
+       more bits than linked sets differ in elements are all checked. Pairs
        inside a component cannot change it.
 
     Result as of ``components``."""
@@ -143,22 +149,26 @@ def close_links(held: DataFrame, percent: int, verify: Callable[[DataFrame], Dat
         F.max_by("a.leader", F.struct("a.shared", "a.leader")).alias("leader"))
     first = materialize(first.select(F.col("leader").alias("a"), F.col("node").alias("b")), "links-first")
     roots = components(materialize(verify(first), "links-edges"))
-    placed = held.select("sig", "node").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = materialize(placed, "links-placed")
-    mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    open_ = placed.join(mixed, "sig").select("node", "root").distinct()
-    rows = materialize(resign(open_), "links-resigned")
-    # only signatures of several components matter; the least ones of a node emit its pairs once
-    mixed = rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    rows = rows.join(mixed, "sig")
-    least = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("least_sigs"))
-    rows = materialize(rows.join(least, "node"), "links-open")
+    placed = held.select("sig", "node", "n").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = materialize(placed.join(sketches, "node"), "links-placed")
+    mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi")
+    mixed = materialize(mixed.select("sig", (F.col("m") >= CROWD).alias("crowd")), "links-mixed")
+    open_ = placed.join(mixed, "sig")
     differ = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in SKETCH)
-    rest = rows.alias("a").join(rows.alias("b"), F.expr(
-        f"a.sig = b.sig AND a.node < b.node AND a.root <> b.root AND {near} "
-        f"AND ({100 + percent}) * ({differ}) <= {100 - percent} * (a.n + b.n) "
-        "AND coalesce(array_min(array_intersect(a.least_sigs, b.least_sigs)), a.sig) >= a.sig"))
-    rest = materialize(rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "links-rest")
+    apart_enough = f"a.root <> b.root AND {near} AND ({100 + percent}) * ({differ}) <= {100 - percent} * (a.n + b.n)"
+
+    def pairs(rows: DataFrame, more: str = "") -> DataFrame:
+        met = rows.alias("a").join(rows.alias("b"), F.expr(f"a.sig = b.sig AND a.node < b.node AND {apart_enough}{more}"))
+        return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+
+    few = pairs(open_.where("NOT crowd").drop("crowd"))
+    dealt = materialize(resign(open_.where("crowd").select("node", "root").distinct()), "links-resigned")
+    mixed = dealt.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
+    dealt = dealt.join(mixed, "sig")
+    # the least signatures of each node emit its pairs once
+    least = dealt.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("least_sigs"))
+    many = pairs(dealt.join(least, "node"), " AND coalesce(array_min(array_intersect(a.least_sigs, b.least_sigs)), a.sig) >= a.sig")
+    rest = materialize(few.unionByName(many).distinct(), "links-rest")
     more = materialize(verify(rest), "links-more")
     if more.isEmpty():
         return roots

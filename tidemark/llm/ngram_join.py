@@ -20,10 +20,9 @@ Steps, each a Spark job over all rows:
    signature once, so a very common one is never gathered in one task.
 3. One candidate per node: the leader it shares most signatures with. Exact
    check on the texts, then components.
-4. Nodes that share a signature but are still in different components are dealt
-   once more, by groups of which linked sets have one in common; what meets
-   there and is not ruled out by size or parity is checked too, and the
-   components are completed (see ``components.close_links``).
+4. Nodes that share a signature but are still in different components, and are
+   not ruled out by size or parity, are checked too, and the components are
+   completed (see ``components.close_links``, also for crowded signatures).
 
 Token cells over the class threshold are broadcast; the threshold is the least
 power of two for which at most ``MOST_FREQUENT`` cells pass, so the broadcast is
@@ -40,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import RESIGNED, close_links, resigned
+from tidemark.llm.components import RESIGNED, SKETCH, close_links, parity_bits, resigned
 from tidemark.llm.textblocks import blocks, lower_ascii, mix, span_hashes, words
 from tidemark.session import materialize
 
@@ -184,7 +183,7 @@ def signatures(tokens: np.ndarray, second: np.ndarray, third: np.ndarray, percen
     """The indexed combinations of a token set, as 64-bit hashes."""
     n = len(tokens)
     need = slack(n, percent) + 1
-    if need <= 1:                                   # only equal sets can link, and they are one node
+    if need <= 1 and 100 * n // percent == n:       # only an equal set can link, and that is the same node
         return np.zeros(0, np.uint64)
     cell = (tokens >> np.uint64(32)).astype(np.uint32)
     k = 1 + _member(cell, second).astype(np.int64) + _member(cell, third)
@@ -218,9 +217,9 @@ def signatures(tokens: np.ndarray, second: np.ndarray, third: np.ndarray, percen
 
 
 def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size: int, percent: int) -> DataFrame:
-    """``sig, node, n, leader``: the holders of every signature that several
-    nodes share, each with a leader among the holders of its task, and these
-    with one among all tasks."""
+    """``sig, node, n, leader`` and ``SKETCH``. Rows with a signature: the
+    holders of every signature that several nodes share, each with a leader among the holders of its task, and these
+    with one among all tasks. Rows without: the sketch of every node."""
     shared = docs.sparkSession.sparkContext.broadcast((second, third))
     entry = np.dtype([("sig", np.uint64), ("node", np.int64), ("n", np.uint32), ("share", np.uint32)])
 
@@ -240,9 +239,12 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
         return [pa.array(e["sig"].view(np.int64) if e["sig"].flags.c_contiguous else e["sig"].astype(np.int64)), pa.array(e["node"].copy()),
                 pa.array(e["n"].astype(np.int64)), pa.array(lead.copy())]
 
+    def no_sketch(n):
+        return [pa.nulls(n, pa.int64()) for _ in SKETCH]
+
     def scan(batches):
         two, three = shared.value
-        seen, held = set(), []
+        seen, held, known, bits = set(), [], [], []
         for batch in batches:
             for first, data, offsets in blocks(batch.column(1)) if batch.num_rows else ():
                 for _, s in shingle_sets(data, offsets, size):
@@ -250,6 +252,8 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
                     if node in seen:
                         continue
                     seen.add(node)
+                    known.append((node, len(s)))
+                    bits.append(parity_bits(s))
                     sig = signatures(s, two, three, percent)
                     e = np.empty(len(sig), entry)
                     e["sig"], e["node"], e["n"] = sig, node, len(s)
@@ -257,6 +261,12 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
                     held.append(e)
         if not any(map(len, held)):
             return
+        bits = np.array(bits)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(known)) % (1 << _RANGE_BITS), pa.int32()), pa.nulls(len(known), pa.int64()), pa.array([x for x, _ in known], pa.int64()),
+             pa.array([x for _, x in known], pa.int64()), pa.nulls(len(known), pa.int64()),
+             *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(SKETCH))), pa.nulls(len(known), pa.binary())],
+            names=["r", "sig", "node", "n", "leader", *SKETCH, "entries"])
         e, first, count = leaders(np.concatenate(held))
         held.clear()
         own = rows_of(e, first, count)
@@ -264,35 +274,31 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
         for a in range(0, n, 50_000):
             part = [c[a:a + 50_000] for c in own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array((np.arange(len(part[0])) + a) % (1 << _RANGE_BITS), pa.int32()), *part, pa.nulls(len(part[0]), pa.binary())],
-                names=["r", "sig", "node", "n", "leader", "entries"])
+                [pa.array((np.arange(len(part[0])) + a) % (1 << _RANGE_BITS), pa.int32()), *part, *no_sketch(len(part[0])),
+                 pa.nulls(len(part[0]), pa.binary())], names=["r", "sig", "node", "n", "leader", *SKETCH, "entries"])
         e = e[first]
         cut = np.searchsorted(e["sig"], np.arange(1, 1 << _RANGE_BITS, dtype=np.uint64) << np.uint64(64 - _RANGE_BITS))
-        out = {k: [] for k in ("r", "sig", "node", "n", "leader", "entries")}
-        for r, (a, b) in enumerate(zip(np.append(0, cut), np.append(cut, len(e)))):
-            if a < b:
-                out["r"].append(r)
-                out["entries"].append(e[a:b].tobytes())
-                for k in ("sig", "node", "n", "leader"):
-                    out[k].append(None)
-        yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-            ("r", pa.int32()), ("sig", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("leader", pa.int64()), ("entries", pa.binary())]))
+        packed = [(r, e[a:b].tobytes()) for r, (a, b) in enumerate(zip(np.append(0, cut).tolist(), np.append(cut, len(e)).tolist())) if a < b]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r for r, _ in packed], pa.int32()), *(pa.nulls(len(packed), pa.int64()) for _ in range(4)), *no_sketch(len(packed)),
+             pa.array([x for _, x in packed], pa.binary())], names=["r", "sig", "node", "n", "leader", *SKETCH, "entries"])
 
     def gather(batches):
         held = []
         for batch in batches:
-            packed = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
-            plain = batch.filter(pa.array(~packed)).select([0, 1, 2, 3])
+            last = batch.num_columns - 1
+            packed = batch.column(last).is_valid().to_numpy(zero_copy_only=False)
+            plain = batch.filter(pa.array(~packed)).select(list(range(last)))
             if plain.num_rows:
                 yield plain
-            held += [np.frombuffer(batch.column(4)[i].as_py(), entry) for i in np.flatnonzero(packed).tolist()]
+            held += [np.frombuffer(batch.column(last)[i].as_py(), entry) for i in np.flatnonzero(packed).tolist()]
         if any(map(len, held)):
             cols = rows_of(*leaders(np.concatenate(held)))
-            yield pa.RecordBatch.from_arrays(cols, names=["sig", "node", "n", "leader"])
+            yield pa.RecordBatch.from_arrays([*cols, *no_sketch(len(cols[0]))], names=["sig", "node", "n", "leader", *SKETCH])
 
-    dealt = docs.mapInArrow(scan, "r int, sig long, node long, n long, leader long, entries binary").repartition("r")
-    return materialize(dealt.select("sig", "node", "n", "leader", "entries").mapInArrow(
-        gather, "sig long, node long, n long, leader long"), "ngram-signatures")
+    kept = "sig long, node long, n long, leader long, " + ", ".join(f"{c} long" for c in SKETCH)
+    dealt = docs.mapInArrow(scan, f"r int, {kept}, entries binary").repartition("r")
+    return materialize(dealt.drop("r").mapInArrow(gather, kept), "ngram-signatures")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -339,13 +345,15 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str =
     rows = _texts(docs, id_col, text_col)
     counted = _count_pass(rows, size)
     members = counted.where("kind = 0").select(F.col("key").alias("doc_id"), "text_hash", "n", "node")
-    held = _signature_pass(rows.where("doc_id IS NOT NULL"), *_classes(counted), size, percent)
+    signed = _signature_pass(rows.where("doc_id IS NOT NULL"), *_classes(counted), size, percent)
+    held = signed.where("sig IS NOT NULL").drop(*SKETCH)
+    sketches = signed.where("sig IS NULL").select("node", *SKETCH).dropDuplicates(["node"])
     # one text for every node that is a candidate anywhere
     wanted = held.select("node").distinct().join(
         members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
     texts = rows.join(wanted, "doc_id").select("node", "text")
     texts = materialize(texts.dropDuplicates(["node"]), "ngram-texts")           # a repeated id has several texts
-    return members, close_links(held, percent, lambda pairs: _verified(pairs, texts, size, percent), lambda nodes: _resigned(nodes, texts, size, percent))
+    return members, close_links(held, sketches, percent, lambda pairs: _verified(pairs, texts, size, percent), lambda nodes: _resigned(nodes, texts, size, percent))
 
 
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import RESIGNED, close_links, resigned
+from tidemark.llm.components import RESIGNED, SKETCH, close_links, parity_bits, resigned
 from tidemark.llm.textblocks import blocks, lower_ascii, mix, span_hashes, words
 from tidemark.session import materialize
 
@@ -206,6 +206,16 @@ def _all_paragraphs(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(scan, "node long, doc_id long, seq long, start long, end long, words long, tokens binary")
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    """``node`` and the parity sketch of each set."""
+    def run(batches):
+        for batch in batches:
+            bits = np.array([parity_bits(np.frombuffer(t, np.uint64)) for t in batch.column(1).to_pylist()], np.int64).reshape(-1, len(SKETCH))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(SKETCH)))], names=["node", *SKETCH])
+
+    return sets.select("node", "tokens").mapInArrow(run, "node long, " + ", ".join(f"{c} long" for c in SKETCH))
+
+
 def _resigned(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """The partition signatures of ``node, root``."""
     def run(batches):
@@ -244,7 +254,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     met = materialize(_all_paragraphs(rows).join(wanted, "node").withColumn(
         "tokens", F.when(F.col("candidate"), F.col("tokens"))).drop("candidate"), "paragraphs")
     sets = materialize(met.where("tokens IS NOT NULL").groupBy("node").agg(F.min("tokens").alias("tokens")), "paragraph-sets")
-    roots = close_links(held, round(SIMILARITY * 100), lambda pairs: _verified(pairs, sets), lambda nodes: _resigned(nodes, sets))
+    roots = close_links(held, _sketches(sets), round(SIMILARITY * 100), lambda pairs: _verified(pairs, sets), lambda nodes: _resigned(nodes, sets))
     placed = met.drop("tokens").join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node")).drop("root", "node")
     placed = materialize(placed, "paragraphs-placed")
     first = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "seq")).alias("f"), F.max("doc_id").alias("last")) \
