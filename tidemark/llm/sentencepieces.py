@@ -19,9 +19,9 @@ That argument needs every piece to be made of pieces merged before it. Pieces
 for which this fails (``irregular``; in practice runs of white space) are found
 when compiling, and a stretch of text that holds one is merged step by step.
 
-Texts are cut where no piece spans (before a space that follows a non-space
-character, around line breaks and tabs that no piece holds); the lattice is
-solved once per distinct stretch and worker. NULL and empty texts have no
+Texts are cut between characters that no piece holds side by side (such as
+before a space that follows another character, or around line breaks); the
+lattice is solved once per distinct stretch and worker. NULL and empty texts have no
 pieces; repeated rows each get a row.
 """
 
@@ -70,8 +70,15 @@ class Transducer:
         self.fallback = train.byte_fallback and None not in self.bytes
         self.silent = {i for i, p in enumerate(model.pieces) if p.type in (CONTROL, UNUSED)}
         self.longest = max(map(len, self.arcs))
-        self.barriers = [c for c in "\n\t" if not any(c in p for p in self.arcs)]
-        self.spanned = any(SPACE in p.lstrip(SPACE) for p in self.arcs)
+        # where a text may be cut: between two bytes that no piece holds side by side
+        self.cut = np.zeros((256, 256), bool)
+        pairs = {p[i:i + 2].replace(SPACE, " ") for p in self.arcs for i in range(len(p) - 1)}
+        for a in range(128):
+            for b in range(128):
+                self.cut[a, b] = chr(a) + chr(b) not in pairs
+        # a space after any other character, unless that may be an escaped space itself (its last byte is 0x81)
+        self.cut[128:, 0x20] = not any(p[1] == " " and p[0] >= "\x80" for p in pairs)
+        self.cut[0x81, 0x20] = False
         self.pairs: dict[int, bool] = {}
         if self.kind == BPE:
             self._split_pieces()
@@ -113,14 +120,14 @@ class Transducer:
         self.rank = {}
         for r, i in enumerate(order):
             self.rank[i] = r
-        self.left, self.right, self.irregular, self.unreached = {}, {}, set(), set()
+        self.left, self.right, self.irregular, unreached = {}, {}, set(), []
         for piece, i in self.arcs.items():
             if len(piece) == 1:
                 self.rank[i] = -1                       # characters are there from the start
                 continue
             last: list = []
             if self.merge(piece, last) != [piece]:
-                self.unreached.add(i)
+                unreached.append(piece)
                 continue
             self.left[i], self.right[i] = self.arcs.get(last[0]), self.arcs.get(last[1])
         for i in self.left:
@@ -128,7 +135,11 @@ class Transducer:
             ties = self.score[i]
             if a is None or b is None or not all(len(self.spelling[x]) == 1 or self.score[x] > ties for x in (a, b)):
                 self.irregular.add(i)
-        self.odd = {self.spelling[i] for i in self.irregular}
+        if any(len(p) > 1 for p in unreached):
+            # a piece that no merge builds never occurs; taken out, it is not an arc
+            self.arcs = {p: i for p, i in self.arcs.items() if p not in set(unreached)}
+        odd = {self.spelling[i] for i in self.irregular}
+        self.odd = [o for o in odd if not any(x != o and x in o for x in odd)]     # the others hold one of these
 
     def may_follow(self, a: int, b: int) -> bool:
         """True if merging the concatenation of two pieces gives just them."""
@@ -173,16 +184,21 @@ class Transducer:
     def _bpe_path(self, text: str) -> list[int]:
         arcs, n, longest, may = self.arcs, len(text), self.longest, self.may_follow
         last: list = [None] * (n + 1)                   # the piece by which the finite path reaches a position
+        pairs, get = self.pairs, arcs.get
         for e in range(1, n + 1):
             if text[e - 1] not in arcs:
                 last[e] = -1                            # fallback: no piece spans it
                 continue
-            for s in range(max(0, e - longest), e):
-                p = arcs.get(text[s:e])
-                if p is None or p in self.unreached:
+            for s in range(e - longest if e > longest else 0, e):
+                p = get(text[s:e])
+                if p is None:
                     continue
                 q = last[s]
-                if s == 0 or q == -1 or may(q, p):
+                if s == 0 or q == -1:
+                    last[e] = p
+                    break
+                ok = pairs.get(q << 32 | p)
+                if may(q, p) if ok is None else ok:
                     last[e] = p
                     break
         out, e = [], n
@@ -248,7 +264,7 @@ class LatticeEncoder(MemoEncoder):
 
     head_salt = np.uint64(0x9E3779B97F4A7C15)       # the first stretch of a text has the dummy prefix
 
-    def __init__(self, machine: Transducer, most: int = 400_000):
+    def __init__(self, machine: Transducer, most: int = 800_000):
         self.machine, self.most = machine, most
         self.exact = True
         self._clear()
@@ -256,12 +272,8 @@ class LatticeEncoder(MemoEncoder):
     def _cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(data)
         cut = np.zeros(n, bool)
-        if not self.machine.spanned and not self.machine.collapse:
-            cut[1:] = (data[1:] == 0x20) & (data[:-1] != 0x20) & (data[:-1] != 0x81)    # 0x81 may end an escaped space
-            for c in self.machine.barriers:
-                at = data == ord(c)
-                cut |= at
-                cut[1:] |= at[:-1]
+        if not self.machine.collapse:
+            cut[1:] = self.machine.cut[data[:-1], data[1:]]
         first = offsets[:-1]
         cut[first[first < n]] = True
         return np.flatnonzero(cut)
@@ -269,8 +281,9 @@ class LatticeEncoder(MemoEncoder):
     def _learn(self, data, starts, ends, heads):
         m = self.machine
         got = []
+        raw = data.tobytes()
         for a, b, head in zip(starts.tolist(), ends.tolist(), heads.tolist()):
-            text = data[a:b].tobytes().decode("utf-8", "replace")
+            text = raw[a:b].decode("utf-8", "replace")
             got.append(m.encode(text) if head else m.path(text.replace(" ", SPACE)))
         self._store(np.asarray([i for x in got for i in x], np.int32), np.asarray([len(x) for x in got], np.int64))
         return np.arange(len(got))
