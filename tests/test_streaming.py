@@ -73,3 +73,39 @@ def test_left_outer_stream_join_keeps_inner_matches(spark):
     inner = queries()["stream_stream_inner"](spark, SF_SMALL)
     matched = left.where("view_id IS NOT NULL")
     assert matched.exceptAll(inner).count() == 0 and inner.exceptAll(matched).count() == 0
+
+
+WATERMARKED = ["stream_tumbling", "stream_sliding", "stream_hourly", "stream_session", "stream_dedupe", "stream_end_to_end", "stream_stream_left"]
+
+
+def test_watermarked_queries_do_not_depend_on_the_trigger_size(spark, monkeypatch):
+    """All files in one batch, and one file a batch, give equal rows; the
+    registered form runs in at least five batches with input."""
+    from __spark_entry__ import queries
+    plain, batches = sr.file_stream, []
+    run = sr.run_stream
+
+    def counted(*a, **k):
+        got = run(*a, **k)
+        batches.append(sum(p["numInputRows"] > 0 for p in got.progress))
+        return got
+
+    for name in WATERMARKED:
+        monkeypatch.setattr(sr, "run_stream", counted)
+        batches.clear()
+        many = queries()[name](spark, SF_SMALL).collect()
+        assert max(batches) >= 5, name
+        monkeypatch.setattr(sr, "file_stream", lambda *a, **k: plain(*a, **{**k, "max_files": None}))
+        batches.clear()
+        one = queries()[name](spark, SF_SMALL).collect()
+        monkeypatch.setattr(sr, "file_stream", plain)
+        assert max(batches) == 1, name
+        assert sorted(map(repr, many)) == sorted(map(repr, one)), name
+
+
+def test_scoring_keeps_rows_with_null_features(spark):
+    from tidemark.operators import ml
+    df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(20)], "x double, y double")
+    model = ml.train_linear(df, ["x"], "y")
+    got = ml.score(spark.createDataFrame([(1.0,), (None,)], "x double"), model, ["x"]).collect()
+    assert [r.prediction is None for r in sorted(got, key=lambda r: r.x is None)] == [False, True]

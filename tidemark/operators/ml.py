@@ -43,9 +43,11 @@ def training_set(labels: DataFrame, features: DataFrame, key: str, label_ts: str
     return asof_join(labels, features, [key], label_ts, feature_ts, feature_cols)
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+def assemble(df: DataFrame, features: Sequence[str], out: str = "features", invalid: str = "skip") -> DataFrame:
+    """The feature vector; rows with a NULL feature are left out for training
+    and kept (with NaN) where ``invalid`` is ``keep``."""
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=invalid).transform(df)
 
 
 def train_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100, seed: int = 42,
@@ -65,8 +67,13 @@ def train_linear(df: DataFrame, features: Sequence[str], label: str):
 
 
 def score(df: DataFrame, model, features: Sequence[str], out: str = "prediction") -> DataFrame:
-    """Apply a fitted model over all partitions (works on streams too)."""
-    s = model.transform(assemble(df, features))
+    """Apply a fitted model over all partitions (works on streams too): one row
+    per input row, NULL where a feature is NULL."""
+    s = model.transform(assemble(df, features, invalid="keep"))
+    known = F.lit(True)
+    for f in features:
+        known = known & F.col(f).isNotNull()
+    s = s.withColumn("prediction", F.when(known, F.col("prediction")))
     if out != "prediction":
         s = s.withColumnRenamed("prediction", out)
     return s.drop("features")

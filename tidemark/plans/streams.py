@@ -6,7 +6,8 @@ files in a fresh folder, runs a checkpointed stream over them with
 ``availableNow`` and reads the sink back as a batch DataFrame. Windowed and
 keyed aggregations run in update mode with a watermark (bounded state) into an
 idempotent per-batch sink; session windows, for which Spark has no update
-mode, run in complete mode.
+mode, run in append mode. The watermarked queries take one staged file per
+trigger, so they run in several batches at every size.
 """
 
 from __future__ import annotations
@@ -48,8 +49,14 @@ def dec(c):
     return F.col(c).cast("decimal(12,2)")
 
 
-def _event_stream(spark, d, name, n_files=8, max_files=None):
-    path, schema = sr.stage_files(T(spark, d).events, f"{name}-src", n_files, "ts")
+BATCHES = 6                      # files of one batch each that the watermarked queries read
+
+
+def _event_stream(spark, d, name, n_files=8, max_files=None, flush=None):
+    events = T(spark, d).events
+    if flush:
+        events = sr.with_flush_row(events, "ts", flush)
+    path, schema = sr.stage_files(events, f"{name}-src", n_files, "ts")
     return sr.file_stream(spark, path, schema, max_files=max_files)
 
 
@@ -64,7 +71,7 @@ SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start, time_bucket(INTERVAL
        event_type, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total, count(*) AS n
 FROM events GROUP BY ALL""")
 def q_stream_tumbling(spark, d):
-    s = _timed(_event_stream(spark, d, "tumbling"))
+    s = _timed(_event_stream(spark, d, "tumbling", BATCHES, 1))
     agg = so.windowed(s, "ts", "10 minutes", keys=["event_type"], watermark="1 hour",
                       aggs=[F.sum(dec("value")).alias("total"), F.count(F.lit(1)).alias("n")])
     out = sr.run_stream(agg, "tumbling", "update", keys=["window_start", "event_type"]).result()
@@ -79,7 +86,7 @@ SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type
        CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total, count(*) AS n
 FROM w GROUP BY ALL""")
 def q_stream_sliding(spark, d):
-    s = _timed(_event_stream(spark, d, "sliding"))
+    s = _timed(_event_stream(spark, d, "sliding", BATCHES, 1))
     agg = so.windowed(s, "ts", "10 minutes", "5 minutes", keys=["event_type"], watermark="1 hour",
                       aggs=[F.sum(dec("value")).alias("total"), F.count(F.lit(1)).alias("n")])
     out = sr.run_stream(agg, "sliding", "update", keys=["window_start", "event_type"]).result()
@@ -96,10 +103,12 @@ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 5 MINUTE AS session
        CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total
 FROM g GROUP BY user_id, sid""")
 def q_stream_session(spark, d):
-    s = _timed(_event_stream(spark, d, "session"))
+    # append mode: a session is written once, when the watermark has passed its
+    # end, and leaves the state; the flush row closes the last sessions
+    s = _timed(_event_stream(spark, d, "session", BATCHES, 1, flush={"user_id": [-1]}))
     agg = so.sessions(s, "ts", "5 minutes", ["user_id"],
-                      [F.count(F.lit(1)).alias("n_events"), F.sum(dec("value")).alias("total")])
-    out = sr.run_stream(agg, "session", "complete").result()
+                      [F.count(F.lit(1)).alias("n_events"), F.sum(dec("value")).alias("total")], watermark="10 minutes")
+    out = sr.run_stream(agg, "session", "append").result().where("user_id >= 0")
     return out.withColumn("total", F.col("total").cast("double"))
 
 
@@ -109,7 +118,7 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1
        CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(value) AS avg_value, count(*) AS n, max(ts) AS last_ts
 FROM events GROUP BY ALL""")
 def q_stream_hourly(spark, d):
-    s = _event_stream(spark, d, "hourly").withColumn("ts_ntz", F.col("ts")).transform(_timed)
+    s = _event_stream(spark, d, "hourly", BATCHES, 1).withColumn("ts_ntz", F.col("ts")).transform(_timed)
     agg = so.windowed(s, "ts", "1 hour", keys=["event_type"], watermark="2 hours",
                       aggs=[F.sum(dec("value")).alias("_sum"), F.count("value").alias("_cnt"),
                             F.count(F.lit(1)).alias("n"), F.max("ts_ntz").alias("last_ts")])
@@ -125,7 +134,7 @@ SELECT event_id, user_id, ts, ts + CAST(json_extract_string(props, '$.k') AS INT
 FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) * 2 > 60""")
 def q_late_rows(spark, d):
     s = _event_stream(spark, d, "late").withColumn(
-        "arrival_ts", F.col("ts") + F.make_dt_interval(mins=F.get_json_object("props", "$.k").cast("int") * 2))
+        "arrival_ts", F.col("ts") + F.make_dt_interval(mins=F.get_json_object("props", "$.k").try_cast("int") * 2))
     _, late = so.late_rows(s, "ts", "arrival_ts", "1 hour")
     return sr.run_stream(late.select("event_id", "user_id", "ts", "arrival_ts"), "late").result()
 
@@ -156,7 +165,7 @@ def q_stream_user_state(spark, d):
 @register("stream_dedupe", """
 SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events""")
 def q_stream_dedupe(spark, d):
-    s = _timed(_event_stream(spark, d, "dedupe")).withColumn("day", F.to_date("ts"))
+    s = _timed(_event_stream(spark, d, "dedupe", BATCHES, 1)).withColumn("day", F.to_date("ts"))
     dd = s.withWatermark("ts", "2 days").dropDuplicatesWithinWatermark(["user_id", "event_type", "day"])
     return sr.run_stream(dd.select("user_id", "event_type", "day"), "dedupe").result()
 
@@ -189,7 +198,7 @@ def q_stream_partitioned_sink(spark, d):
 SELECT event_id, reasons FROM (
   SELECT event_id, list_filter([CASE WHEN NOT coalesce(value < 300, false) THEN 'value_below_300' END,
                                CASE WHEN NOT coalesce(json_extract_string(props, '$.k') IS NOT NULL, false) THEN 'props_has_k' END,
-                               CASE WHEN NOT coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER) < 95, false) THEN 'k_below_95' END],
+                               CASE WHEN NOT coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) < 95, false) THEN 'k_below_95' END],
                               lambda x: x IS NOT NULL) AS reasons FROM events)
 WHERE len(reasons) > 0""")
 def q_stream_quarantine(spark, d):
@@ -199,8 +208,10 @@ def q_stream_quarantine(spark, d):
     def split_batch(batch, batch_id):
         good, bad = q.quarantine(batch, EVENT_RULES)
         # per-batch folders written with overwrite: a retried batch replaces itself
+        batch.persist()                                    # both outputs from one read of the source
         good.write.mode("overwrite").parquet(f"{base}/good/_batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{base}/bad/_batch={batch_id}")
+        batch.unpersist()
     qy = (s.writeStream.foreachBatch(split_batch).option("checkpointLocation", f"{base}/checkpoint")
           .trigger(availableNow=True).start())
     qy.awaitTermination()
@@ -229,8 +240,9 @@ SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type
 FROM w GROUP BY ALL""")
 def q_stream_end_to_end(spark, d):
     ev = T(spark, d).events
-    path, schema = sr.stage_files(to_messages(ev), "e2e-src", 8)
-    raw = sr.file_stream(spark, path, schema)
+    sent = F.get_json_object(F.col("value").cast("string"), "$.timestamp")
+    path, schema = sr.stage_files(to_messages(ev), "e2e-src", BATCHES, sent)
+    raw = sr.file_stream(spark, path, schema, max_files=1)
     parsed = fs.parse_messages(raw, MSG_SCHEMA).withColumn("ts", F.col("timestamp").cast("timestamp"))
     clean = q.expect_or_drop(parsed, {"amount_positive": "amount > 0", "amount_bounded": "amount < 300",
                                       "has_type": "event_type IS NOT NULL"})
@@ -280,8 +292,9 @@ JOIN (SELECT * FROM events WHERE event_type = 'view') v
 
 
 def _stream_pair(spark, d, name):
-    path, schema = sr.stage_files(T(spark, d).events, f"{name}-src", 8, "ts")
-    s = sr.event_time(sr.file_stream(spark, path, schema), "ts")
+    # a flush row on either side lets the watermark pass the last interval, so
+    # an outer join gives out its last unmatched rows too
+    s = _timed(_event_stream(spark, d, name, BATCHES, 1, flush={"user_id": [-1, -1], "event_type": ["purchase", "view"]}))
     p = s.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     v = s.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
     return p, v
@@ -293,16 +306,16 @@ def q_stream_stream_inner(spark, d):
     j = so.interval_join(p, v, "user_id", "ts", "ts", "0 seconds", "1 hour",
                          left_watermark="2 hours", right_watermark="2 hours")
     return sr.run_stream(j.select(F.col("l.event_id").alias("purchase_id"), F.col("r.event_id").alias("view_id")),
-                         "ssj").result()
+                         "ssj").result().where("purchase_id IS NOT NULL")
 
 
-@register("stream_stream_left")
+@register("stream_stream_left", JOIN_SQL.replace("\nJOIN ", "\nLEFT JOIN "))
 def q_stream_stream_left(spark, d):
     p, v = _stream_pair(spark, d, "ssl")
     j = so.interval_join(p, v, "user_id", "ts", "ts", "0 seconds", "1 hour", how="leftOuter",
                          left_watermark="2 hours", right_watermark="2 hours")
     return sr.run_stream(j.select(F.col("l.event_id").alias("purchase_id"), F.col("r.event_id").alias("view_id")),
-                         "ssl").result()
+                         "ssl").result().where("purchase_id IS NOT NULL")
 
 
 # ====================================================================== CDC / privacy / scoring on streams

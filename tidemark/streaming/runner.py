@@ -11,6 +11,7 @@ shared checkpoint root.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,20 +20,49 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 
-def stage_files(df: DataFrame, name: str, n_files: int = 8, order_by: str | None = None,
+def stage_files(df: DataFrame, name: str, n_files: int = 8, order_by=None,
                 fmt: str = "parquet", partition_by: Sequence[str] = ()) -> tuple[str, object]:
-    """Write ``df`` as ``n_files`` files (time-ordered ranges when ``order_by``
-    is given) into a fresh folder to serve as a file-stream source."""
+    """Write ``df`` as ``n_files`` files into a fresh folder to serve as a
+    file-stream source. With ``order_by`` the files are ranges of that column,
+    and their modification times follow them: a file stream takes the oldest
+    files first, so event time then advances from batch to batch whatever the
+    rate limit, and a watermark drops no row of the files."""
     path = scratch_path(df.sparkSession, name)
-    out = df.repartitionByRange(n_files, order_by).sortWithinPartitions(order_by) if order_by \
+    out = df.repartitionByRange(n_files, order_by).sortWithinPartitions(order_by) if order_by is not None \
         else df.repartition(n_files)
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.format(fmt).save(path)
+    if order_by is not None and not partition_by:
+        _order_file_times(df.sparkSession, path)
     return path, df.schema
 
 
+def _order_file_times(spark: SparkSession, path: str) -> None:
+    """Give the data files of a folder increasing modification times in the
+    order of their names, which is the order of the writing tasks. They end
+    before now, so files that arrive later are newer."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    start = int(time.time() * 1000) - 1000 * (len(files) + 1)
+    for i, f in enumerate(files):
+        store.setTimes(f, start + 1000 * i, -1)
+
+
+def with_flush_row(df: DataFrame, ts: str, fill: dict, after: str = "1 day") -> DataFrame:
+    """``df`` and rows whose time lies ``after`` the last one, so that a
+    watermark passes every real row. ``fill`` gives a list of values for each
+    column that is not NULL in them; queries drop these rows again."""
+    spark, n = df.sparkSession, max(map(len, fill.values()))
+    rows = spark.createDataFrame([tuple(v[i] for v in fill.values()) for i in range(n)], df.select(*fill).schema)
+    last = df.agg((F.max(ts) + F.expr(f"INTERVAL {after}")).alias(ts))
+    flush = rows.join(F.broadcast(last), how="inner") if ts not in fill else rows          # one row: a scalar
+    return df.unionByName(flush, allowMissingColumns=True)
+
+
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                 max_files: int | None = None, options: dict | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format(fmt)
