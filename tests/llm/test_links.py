@@ -78,7 +78,9 @@ def families(seed, n_big):
     rows += [prose(rng, 50) for _ in range(40)]
     ids = list(range(len(rows)))
     rng.shuffle(ids)
-    return list(zip(ids, rows))
+    rows = list(zip(ids, rows))
+    rows += [(rows[i][0], rows[i + 1][1]) for i in range(0, 60, 3)]          # an id with two texts
+    return rows + rows[:20]                                                  # and repeated rows
 
 
 @pytest.mark.parametrize("seed,n_big", [(1, 60), (2, 330)])

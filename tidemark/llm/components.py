@@ -41,7 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
         return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for _ in range(MAX_ROUNDS):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written, so that the join below has plain shuffles on both sides and the planner can split a hot node
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")

@@ -349,10 +349,10 @@ def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str =
     held = signed.where("sig IS NOT NULL").drop(*SKETCH)
     sketches = signed.where("sig IS NULL").select("node", *SKETCH).dropDuplicates(["node"])
     # one text for every node that is a candidate anywhere
-    wanted = held.select("node").distinct().join(
-        members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
-    texts = rows.join(wanted, "doc_id").select("node", "text")
-    texts = materialize(texts.dropDuplicates(["node"]), "ngram-texts")           # a repeated id has several texts
+    one = members.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("d"))
+    wanted = held.select("node").distinct().join(one, "node").select("node", "d.doc_id", "d.text_hash")
+    # by id and text: an id may stand for several texts, and repeated rows give a node twice
+    texts = materialize(rows.join(wanted, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "ngram-texts")
     return members, close_links(held, sketches, percent, lambda pairs: _verified(pairs, texts, size, percent), lambda nodes: _resigned(nodes, texts, size, percent))
 
 
@@ -362,7 +362,8 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col:
     members, roots = ngram_links(docs, size, percent, id_col, text_col)
     nodes = members.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written, so that the planner can split a large component in the join
+    least = materialize(nodes.groupBy("root").agg(F.min("least").alias("component_id")), "ngram-components")
     by_node = nodes.select("node", "root").join(least, "root").select("node", "component_id")
     return members.join(by_node, "node", "left").select(
         "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

@@ -250,7 +250,8 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
     found = _shared_keys(rows, band_plan(SIMILARITY, recall))
     held = found.where("leader IS NOT NULL")
-    wanted = found.groupBy("node").agg(F.max(F.col("leader").isNotNull()).alias("candidate"))
+    # written, as is `first` below, so that the planner can split a hot paragraph in the join
+    wanted = materialize(found.groupBy("node").agg(F.max(F.col("leader").isNotNull()).alias("candidate")), "paragraph-nodes")
     met = materialize(_all_paragraphs(rows).join(wanted, "node").withColumn(
         "tokens", F.when(F.col("candidate"), F.col("tokens"))).drop("candidate"), "paragraphs")
     sets = materialize(met.where("tokens IS NOT NULL").groupBy("node").agg(F.min("tokens").alias("tokens")), "paragraph-sets")
@@ -259,6 +260,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = materialize(placed, "paragraphs-placed")
     first = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "seq")).alias("f"), F.max("doc_id").alias("last")) \
         .where("f.doc_id < last").select("cluster", F.col("f.doc_id").alias("kept_in"), F.col("f.seq").alias("kept_seq"))
+    first = materialize(first, "paragraphs-first")
     return placed.join(first, "cluster").select(
         "doc_id", "seq", "start", "end", "words", "cluster", "kept_in",
         ((F.col("doc_id") == F.col("kept_in")) & (F.col("seq") == F.col("kept_seq"))).alias("kept"))
