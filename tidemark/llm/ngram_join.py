@@ -57,9 +57,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int):
         return
     h = span_hashes(data, starts, ends)
     with np.errstate(over="ignore"):
-        whole = np.zeros(max(len(h) - size + 1, 0), np.uint64)
+        many = max(len(h) - size + 1, 0)
+        whole = np.zeros(many, np.uint64)
         for i in range(size):
-            whole = whole * np.uint64(0xD6E8FEB86659FD93) + h[i:len(h) - size + 1 + i]
+            whole = whole * np.uint64(0xD6E8FEB86659FD93) + h[i:i + many]
         whole = mix(whole + np.uint64(size))
         edge = np.searchsorted(row, np.arange(len(offsets)))
         for r in np.flatnonzero(np.diff(edge)).tolist():
