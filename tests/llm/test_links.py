@@ -171,6 +171,28 @@ def test_paragraph_dedup_of_odd_and_empty_tables(spark):
     assert PD.substring_dedup(odd_docs(spark, [])).count() == 0
 
 
+def fresh(rng, n):
+    return ["u%d" % rng.randrange(10 ** 9) for _ in range(n)]
+
+
+def test_every_passage_of_51_words_is_found_to_its_ends(spark):
+    rng, rows, want = random.Random(21), [], {}
+    for _ in range(400):
+        passage = fresh(rng, 51)
+        for copy in range(2):
+            head = fresh(rng, rng.randrange(0, 60))
+            text = " ".join(head + passage + fresh(rng, rng.randrange(0, 60)))
+            if copy:
+                start = len(" ".join(head)) + bool(head)
+                want[len(rows)] = [(start, start + len(" ".join(passage)))]
+            rows.append((len(rows), text))
+    got = {r.doc_id: r for r in PD.substring_dedup(spark.createDataFrame(rows, DOCS).repartition(6)).collect()}
+    assert set(got) == {d for d, _ in rows}
+    # near copies may take some of the words around a passage along
+    assert all(any(s.start <= a and b <= s.end for s in got[d].removed) for d, [(a, b)] in want.items())
+    assert sum([(s.start, s.end) for s in got[d].removed] == want[d] for d in want) > 370
+
+
 def best(rows, k, is_query, scale=64.0):
     ok = [(i, np.floor(scale * np.array(v, float))) for i, v in rows
           if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v)]

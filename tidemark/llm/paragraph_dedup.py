@@ -1,25 +1,32 @@
-"""Substring dedup by paragraph MinHash banding.
-
-Texts are cut into paragraphs at line ends and, inside lines, before words whose
-hash is the least among ``REACH`` words on both sides. Such cuts depend on the
-words nearby alone, so a passage is cut alike wherever it stands, also in the
-middle of other text. A paragraph's set holds its distinct shingles of
-``SHINGLE`` words; paragraphs with fewer words are left alone.
-
-Steps, each over all rows:
-
-1. Every distinct set is dealt by ``bands`` MinHash keys (``band_plan`` finds the
-   number that reaches the wanted recall at the similarity threshold); a task
-   sends a set once per key, so a very common paragraph is never gathered.
-2. All paragraphs meet the sets that occur more than once or share a key with
-   another set; sets that share a key are verified by exact Jaccard.
-3. Components of verified links are clusters. A cluster that occurs in more
-   than one document keeps its first paragraph (smallest document id, then
-   position); the others are removals. Neighbouring repeated paragraphs of a
-   document form a run; runs of fewer than ``LEAST_WORDS`` words are left alone.
-
-NULL and empty texts have no paragraphs. Documents without an id are left out;
-rows that share an id count as one document. An empty table gives no rows.
+"""Substring dedup by exact word windows and paragraph MinHash banding.
+
+Exact passages. Every window of ``WINDOW`` words has a hash; of each ``SPREAD``
+windows in a row the least hash is a seed, so two documents that share
+``WINDOW + SPREAD - 1`` words one after another share a seed, wherever these
+stand and however their lines break. All windows within ``CONTEXT`` words of a
+seed that two documents share are then compared with each other, which finds
+shared passages word by word to both their ends.
+
+Near copies. Texts are cut into paragraphs at line ends and, inside lines,
+before words whose hash is the least among ``REACH`` words on both sides. A
+paragraph's set holds its distinct shingles of ``SHINGLE`` words; paragraphs
+with fewer words have none. Every distinct set is dealt by ``bands`` MinHash
+keys (``band_plan`` finds the number that reaches the wanted recall at the
+similarity threshold); a task sends a set once per key, so a very common
+paragraph is never gathered. All paragraphs meet the sets that occur more than
+once or share a key with another set; sets that share a key are verified by
+exact Jaccard. Components of verified links are clusters.
+
+A window or cluster that occurs in more than one document keeps its first place
+(smallest document id, then text hash and position); the others are removals.
+Words that a kept window covers are not removed by other windows. Repeated
+words with at most ``REACH`` others between them form a run; runs of fewer than
+``LEAST_WORDS`` repeated words are left alone.
+
+NULL and empty texts have no words. Documents without an id are left out. Rows
+are told apart by id and text: equal rows count once, and rows that share an
+id, whatever their texts, are one document to which its own repeats do not
+count. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +45,9 @@ from tidemark.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 REACH = 6
+WINDOW = 12
+SPREAD = 12                      # at most WINDOW: the words of a text's end keep its windows from the next text's
+CONTEXT = 32
 LEAST_WORDS = 25
 RECALL = 0.99
 _RANGE_BITS = 12
@@ -75,15 +85,15 @@ def paragraphs(data: np.ndarray, offsets: np.ndarray):
 
 
 def paragraph_sets(data: np.ndarray, offsets: np.ndarray):
-    """Paragraphs with at least one shingle: ``(row, start byte, end byte,
-    words, shingle hashes one after another, shingles per paragraph)``; the
-    shingles are sorted and distinct inside each paragraph."""
+    """Paragraphs with at least one shingle: ``(starts, ends, row, first, n,
+    shingle hashes one after another, shingles per paragraph)``, the first five
+    as of ``paragraphs``; the shingles are sorted and distinct inside each one."""
     starts, ends, row, first, n, h = paragraphs(data, offsets)
     keep = n >= SHINGLE
     first, n = first[keep], n[keep]
     if not len(first):
         z = np.zeros(0, np.int64)
-        return z, z, z, z, np.zeros(0, np.uint64), z
+        return starts, ends, row, first, n, np.zeros(0, np.uint64), z
     with np.errstate(over="ignore"):
         whole = np.zeros(len(h) - SHINGLE + 1, np.uint64)
         for i in range(SHINGLE):
@@ -98,7 +108,7 @@ def paragraph_sets(data: np.ndarray, offsets: np.ndarray):
     distinct = np.ones(len(flat), bool)
     distinct[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
     flat, many = flat[distinct], np.bincount(owner[distinct], minlength=len(n))
-    return row[first], starts[first], ends[first + n - 1], n, flat, many
+    return starts, ends, row, first, n, flat, many
 
 
 def _nodes(flat: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -108,10 +118,164 @@ def _nodes(flat: np.ndarray, many: np.ndarray) -> np.ndarray:
         return mix(np.add.reduceat(mix(flat ^ np.uint64(0xA0761D6478BD642F)), at) + many.astype(np.uint64)).view(np.int64)
 
 
-def _code_points(data: np.ndarray, base: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Byte positions as code points from the row start ``base``."""
+PLACE = ["at", "words", "before", "start", "end", "after"]
+_PLACE_TYPES = "at int, words int, before int, start int, end int, after int"
+
+
+def _places(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, first: np.ndarray, n) -> list[np.ndarray]:
+    """``PLACE`` of runs of ``n`` words from word ``first`` on: the word's
+    number in its text, the number of words, and in code points of the text the
+    end of the word before, start, end, and the start of the word after."""
     heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    return heads[at] - heads[base]
+    base = heads[offsets[row[first]]]
+    last = first + n - 1
+    after = starts[np.minimum(last + 1, len(starts) - 1)]
+    at = first - np.searchsorted(row, row[first])
+    out = [at, np.broadcast_to(n, at.shape), heads[ends[first - 1]] - base, heads[starts[first]] - base, heads[ends[last]] - base, heads[after] - base]
+    return [x.astype(np.int32) for x in out]
+
+
+def windows(data: np.ndarray, offsets: np.ndarray):
+    """``(starts, ends, row, hashes, whole)``: the words of a block and for each
+    the hash of the ``WINDOW`` words from it on; ``whole`` tells which of these
+    end in the same row."""
+    low = lower_ascii()[data]
+    starts, ends, row = words(low, offsets, "space")
+    hashes, whole = np.zeros(len(starts), np.uint64), np.zeros(len(starts), bool)
+    many = len(starts) - WINDOW + 1
+    if many > 0:
+        h = span_hashes(low, starts, ends)
+        with np.errstate(over="ignore"):
+            for i in range(WINDOW):
+                hashes[:many] = hashes[:many] * np.uint64(0xD6E8FEB86659FD93) + h[i:i + many]
+        hashes = mix(hashes)
+        whole[:many] = row[:many] == row[WINDOW - 1:]
+    return starts, ends, row, hashes, whole
+
+
+def seeds(row: np.ndarray, hashes: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """The windows that are the least (the first of equal ones) of ``SPREAD``
+    windows in a row, or of all windows of a text with fewer."""
+    if not whole.any():
+        return np.zeros(0, np.int64)
+    padded = np.append(np.where(whole, hashes, np.iinfo(np.uint64).max), np.full(SPREAD - 1, np.iinfo(np.uint64).max, np.uint64))
+    least = np.lib.stride_tricks.sliding_window_view(padded, SPREAD).argmin(axis=1)
+    full = whole & np.append(whole[SPREAD - 1:], np.zeros(SPREAD - 1, bool))[:len(whole)]
+    full &= np.append(row[SPREAD - 1:], np.full(SPREAD - 1, -1))[:len(row)] == row
+    head = whole & np.append(True, row[1:] != row[:-1])
+    i = np.flatnonzero(full | head)
+    return np.unique(i + least[i])
+
+
+def _shared_seeds(docs: DataFrame) -> DataFrame:
+    """``seed``: the hashes of seeds that occur in more than one document."""
+    entry = np.dtype([("key", np.uint64), ("lo", np.int64), ("hi", np.int64)])
+
+    def merged(parts):
+        e = np.concatenate(parts)
+        e = e[np.argsort(e["key"], kind="stable")]
+        first = np.flatnonzero(np.append(True, e["key"][1:] != e["key"][:-1]))
+        out = e[first]
+        out["lo"], out["hi"] = np.minimum.reduceat(e["lo"], first), np.maximum.reduceat(e["hi"], first)
+        return out
+
+    def scan(batches):
+        held: list = []
+        for batch in batches:
+            ids = batch.column(0).to_numpy() if batch.num_rows else ()
+            for base, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
+                _, _, row, hashes, whole = windows(data, offsets)
+                at = seeds(row, hashes, whole)
+                if len(at):
+                    e = np.empty(len(at), entry)
+                    e["key"], e["lo"], e["hi"] = hashes[at], ids[base + row[at]], ids[base + row[at]]
+                    held.append(merged([e]))
+        if not held:
+            return
+        e = merged(held)
+        cut = np.searchsorted(e["key"], np.arange(1, 1 << _RANGE_BITS, dtype=np.uint64) << np.uint64(64 - _RANGE_BITS))
+        rows = [(r, e[i:j]) for r, (i, j) in enumerate(zip(np.append(0, cut).tolist(), np.append(cut, len(e)).tolist())) if i < j]
+        # column after column, the last one as a difference, which is mostly 0
+        yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array(
+            [b"".join((x["key"].tobytes(), x["lo"].tobytes(), (x["hi"] - x["lo"]).tobytes())) for _, x in rows], pa.binary())], names=["r", "entries"])
+
+    def gather(batches):
+        held = []
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                e = np.empty(len(raw) // 24, entry)
+                e["key"], e["lo"], e["hi"] = np.frombuffer(raw, np.uint64, len(e)), *np.frombuffer(raw, np.int64, 2 * len(e), 8 * len(e)).reshape(2, -1)
+                e["hi"] += e["lo"]
+                held.append(e)
+        if held:
+            e = merged(held)
+            yield pa.RecordBatch.from_arrays([pa.array(e["key"][e["lo"] < e["hi"]].view(np.int64))], names=["seed"])
+
+    dealt = docs.mapInArrow(scan, "r int, entries binary").repartition("r")
+    return materialize(dealt.select("entries").mapInArrow(gather, "seed long"), "shared-seeds")
+
+
+def _seed_places(docs: DataFrame) -> DataFrame:
+    """``seed, doc_id, text_hash, at`` (word number) of every seed."""
+    def scan(batches):
+        for batch in batches:
+            ids, texts = (batch.column(i).to_numpy() for i in (0, 1)) if batch.num_rows else ((), ())
+            for base, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
+                _, _, row, hashes, whole = windows(data, offsets)
+                i = seeds(row, hashes, whole)
+                mine = row[i]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[i].view(np.int64)), pa.array(ids[base + mine]), pa.array(texts[base + mine]),
+                     pa.array((i - np.searchsorted(row, mine)).astype(np.int32))], names=["seed", "doc_id", "text_hash", "at"])
+
+    return docs.mapInArrow(scan, "seed long, doc_id long, text_hash long, at int")
+
+
+def repeated_windows(rows: DataFrame) -> DataFrame:
+    """One row per window of ``WINDOW`` words that another document has as
+    well, near a seed that documents share: ``doc_id, text_hash``, ``PLACE``,
+    ``kept_in`` and ``kept`` as of ``repeated_paragraphs``."""
+    met = _seed_places(rows).join(_shared_seeds(rows), "seed")
+    met = materialize(met.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("near")), "seed-places")
+
+    def scan(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, texts = (batch.column(i).to_numpy() for i in (0, 1))
+            near = batch.column(3)
+            upto = near.offsets.to_numpy().astype(np.int64)
+            flat = near.values.to_numpy().astype(np.int64)
+            for base, data, offsets in blocks(batch.column(2)):
+                starts, ends, row, hashes, whole = windows(data, offsets)
+                rows_here = len(offsets) - 1
+                edge = np.searchsorted(row, np.arange(rows_here + 1))
+                of = np.repeat(np.arange(rows_here), np.diff(upto[base:base + rows_here + 1]))
+                at = flat[upto[base]:upto[base + rows_here]] + edge[of]
+                depth = np.zeros(len(starts) + 1, np.int64)
+                np.add.at(depth, np.maximum(at - CONTEXT, edge[of]), 1)
+                np.add.at(depth, np.minimum(at + CONTEXT + 1, edge[of + 1]), -1)
+                i = np.flatnonzero(whole & (np.cumsum(depth[:-1]) > 0))
+                if len(i):
+                    mine = base + row[i]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[i].view(np.int64)), pa.array(ids[mine]), pa.array(texts[mine]),
+                         *map(pa.array, _places(data, offsets, starts, ends, row, i, WINDOW))], names=["win", "doc_id", "text_hash", *PLACE])
+
+    # written, so that the join below has plain shuffles on both sides and the planner can split a hot window
+    near = materialize(rows.join(met, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "near").mapInArrow(
+        scan, f"win long, doc_id long, text_hash long, {_PLACE_TYPES}"), "windows")
+    return _with_first(near, "win").drop("win")
+
+
+def _with_first(placed: DataFrame, key: str) -> DataFrame:
+    """The rows of keys that occur in more than one document, with ``kept_in``
+    and ``kept``."""
+    first = placed.groupBy(key).agg(F.min(F.struct("doc_id", "text_hash", "at")).alias("f"), F.max("doc_id").alias("last")) \
+        .where("f.doc_id < last").select(key, F.col("f.doc_id").alias("kept_in"), F.col("f.text_hash").alias("kept_text"), F.col("f.at").alias("kept_at"))
+    first = materialize(first, "places-first")
+    kept = (F.col("doc_id") == F.col("kept_in")) & (F.col("text_hash") == F.col("kept_text")) & (F.col("at") == F.col("kept_at"))
+    return placed.join(first, key).withColumn("kept", kept).drop("kept_text", "kept_at")
 
 
 def _shared_keys(docs: DataFrame, bands: int) -> DataFrame:
@@ -122,8 +286,8 @@ def _shared_keys(docs: DataFrame, bands: int) -> DataFrame:
     def scan(batches):
         held: list = []
         for batch in batches:
-            for _, data, offsets in blocks(batch.column(1)) if batch.num_rows else ():
-                _, _, _, _, flat, many = paragraph_sets(data, offsets)
+            for _, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
+                *_, flat, many = paragraph_sets(data, offsets)
                 if not len(many):
                     continue
                 at = np.cumsum(many) - many
@@ -185,25 +349,24 @@ def _shared_keys(docs: DataFrame, bands: int) -> DataFrame:
 
 
 def _all_paragraphs(docs: DataFrame) -> DataFrame:
-    """``node, doc_id, seq, start, end, words, tokens`` of every paragraph with
-    a shingle; start and end in code points, tokens the sorted shingle hashes."""
+    """``node, doc_id, text_hash`` and ``PLACE`` of every paragraph with a
+    shingle, and ``tokens``, its sorted shingle hashes."""
     def scan(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy() if batch.num_rows else ()
-            for base, data, offsets in blocks(batch.column(1)) if batch.num_rows else ():
-                row, start, end, n, flat, many = paragraph_sets(data, offsets)
-                if not len(row):
+            ids, texts = (batch.column(i).to_numpy() for i in (0, 1)) if batch.num_rows else ((), ())
+            for base, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
+                starts, ends, row, first, n, flat, many = paragraph_sets(data, offsets)
+                if not len(first):
                     continue
                 upto = np.concatenate([[0], np.cumsum(many)]) * 8
                 raw = flat.tobytes()
-                seq = np.arange(len(row)) - np.searchsorted(row, row)
+                place, mine = _places(data, offsets, starts, ends, row, first, n), row[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_nodes(flat, many)), pa.array(ids[base + row]), pa.array(seq),
-                     pa.array(_code_points(data, offsets[row], start)), pa.array(_code_points(data, offsets[row], end)), pa.array(n),
+                    [pa.array(_nodes(flat, many)), pa.array(ids[base + mine]), pa.array(texts[base + mine]), *map(pa.array, place),
                      pa.array([raw[i:j] for i, j in zip(upto[:-1].tolist(), upto[1:].tolist())], pa.binary())],
-                    names=["node", "doc_id", "seq", "start", "end", "words", "tokens"])
+                    names=["node", "doc_id", "text_hash", *PLACE, "tokens"])
 
-    return docs.mapInArrow(scan, "node long, doc_id long, seq long, start long, end long, words long, tokens binary")
+    return docs.mapInArrow(scan, f"node long, doc_id long, text_hash long, {_PLACE_TYPES}, tokens binary")
 
 
 def _sketches(sets: DataFrame) -> DataFrame:
@@ -243,78 +406,95 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    return rows.where("doc_id IS NOT NULL")
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
-    """One row per repeated paragraph: ``doc_id, seq, start, end, words,
-    cluster`` and ``kept_in`` (the document that keeps the cluster's first
+    """One row per repeated paragraph: ``doc_id, text_hash``, ``PLACE``,
+    ``cluster`` and ``kept_in`` (the document that keeps the cluster's first
     paragraph), ``kept`` (this is that paragraph)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
+    rows = _rows(docs, id_col, text_col)
     found = _shared_keys(rows, band_plan(SIMILARITY, recall))
     held = found.where("leader IS NOT NULL")
-    # written, as is `first` below, so that the planner can split a hot paragraph in the join
+    # written, as are the first places, so that the planner can split a hot paragraph in the join
     wanted = materialize(found.groupBy("node").agg(F.max(F.col("leader").isNotNull()).alias("candidate")), "paragraph-nodes")
     met = materialize(_all_paragraphs(rows).join(wanted, "node").withColumn(
         "tokens", F.when(F.col("candidate"), F.col("tokens"))).drop("candidate"), "paragraphs")
     sets = materialize(met.where("tokens IS NOT NULL").groupBy("node").agg(F.min("tokens").alias("tokens")), "paragraph-sets")
     roots = close_links(held, _sketches(sets), round(SIMILARITY * 100), lambda pairs: _verified(pairs, sets), lambda nodes: _resigned(nodes, sets))
     placed = met.drop("tokens").join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node")).drop("root", "node")
-    placed = materialize(placed, "paragraphs-placed")
-    first = placed.groupBy("cluster").agg(F.min(F.struct("doc_id", "seq")).alias("f"), F.max("doc_id").alias("last")) \
-        .where("f.doc_id < last").select("cluster", F.col("f.doc_id").alias("kept_in"), F.col("f.seq").alias("kept_seq"))
-    first = materialize(first, "paragraphs-first")
-    return placed.join(first, "cluster").select(
-        "doc_id", "seq", "start", "end", "words", "cluster", "kept_in",
-        ((F.col("doc_id") == F.col("kept_in")) & (F.col("seq") == F.col("kept_seq"))).alias("kept"))
+    return _with_first(materialize(placed, "paragraphs-placed"), "cluster")
+
+
+def merged_runs(at, words, before, start, end, after, kept, exact, kept_in, least_words: int):
+    """``(n_repeated, n_removed, removed, kept_in)`` of one text from its
+    repeated windows (``exact``) and paragraphs, or None without a run."""
+    low, stop = int(at.min()), at + words
+    size = int(stop.max()) - low
+
+    def covered(rows):
+        depth = np.zeros(size + 1, np.int64)
+        np.add.at(depth, at[rows] - low, 1)
+        np.add.at(depth, stop[rows] - low, -1)
+        return np.cumsum(depth[:-1]) > 0
+
+    repeated = covered(slice(None))
+    word = np.flatnonzero(repeated)
+    run = np.concatenate([[0], np.cumsum(np.diff(word) > REACH + 1)])
+    good = np.zeros(size, bool)
+    good[word[np.bincount(run)[run] >= least_words]] = True
+    if not good.any():
+        return None
+    gone = good & ((covered(exact & ~kept) & ~covered(exact & kept)) | covered(~exact & ~kept))
+    # a span begins where a row does or the one before ends, and ends likewise
+    begins, ends = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
+    begins[stop - low] = after
+    begins[at - low] = start
+    ends[at - low] = before
+    ends[stop - low] = end
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+    spans = [{"start": a, "end": b} for a, b in zip(begins[edges[::2]].tolist(), ends[edges[1::2]].tolist())]
+    return int(good.sum()), int(gone.sum()), spans, np.unique(kept_in[good[at - low]]).tolist()
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row per document with a repeated run of at least ``least_words``
-    words: ``doc_id, n_repeated`` and ``n_removed`` (words), ``removed`` (spans
-    ``start, end`` in code points to cut) and ``kept_in`` (documents that keep
-    what it repeats)."""
-    found = repeated_paragraphs(docs, id_col, text_col)
-    runs = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "start", "end", "words", "kept", "kept_in"))).alias("p"))
+    """One row per document text with a repeated run of at least ``least_words``
+    words: ``doc_id, text_hash, n_repeated`` and ``n_removed`` (words),
+    ``removed`` (spans ``start, end`` in code points to cut) and ``kept_in``
+    (documents that keep what it repeats)."""
+    cols = [*PLACE, "kept", "exact", "kept_in"]
+    near = repeated_paragraphs(docs, id_col, text_col).withColumn("exact", F.lit(False))
+    found = repeated_windows(_rows(docs, id_col, text_col)).withColumn("exact", F.lit(True))
+    both = found.select("doc_id", "text_hash", *cols).unionByName(near.select("doc_id", "text_hash", *cols))
+    runs = both.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(*cols)).alias("p"))
 
     def merge(batches):
         for batch in batches:
-            out = {"doc_id": [], "n_repeated": [], "n_removed": [], "removed": [], "kept_in": []}
-            for doc, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                run, good = [], []
-                for x in [*p, None]:
-                    if run and (x is None or x["seq"] != run[-1]["seq"] + 1):
-                        if sum(y["words"] for y in run) >= least_words:
-                            good.append(run)
-                        run = []
-                    run.append(x)
-                if not good:
-                    continue
-                spans: list = []
-                for run in good:
-                    for y in run:
-                        if y["kept"]:
-                            continue
-                        if spans and spans[-1]["seq"] + 1 == y["seq"]:
-                            spans[-1].update(end=y["end"], seq=y["seq"])
-                        else:
-                            spans.append({"start": y["start"], "end": y["end"], "seq": y["seq"]})
-                every = [y for run in good for y in run]
-                out["doc_id"].append(doc)
-                out["n_repeated"].append(sum(y["words"] for y in every))
-                out["n_removed"].append(sum(y["words"] for y in every if not y["kept"]))
-                out["removed"].append([{"start": s["start"], "end": s["end"]} for s in spans])
-                out["kept_in"].append(sorted({y["kept_in"] for y in every}))
+            out = {"doc_id": [], "text_hash": [], "n_repeated": [], "n_removed": [], "removed": [], "kept_in": []}
+            p = batch.column(2)
+            edge = p.offsets.to_numpy().tolist()
+            parts = [x.to_numpy(zero_copy_only=False) for x in p.values.flatten()]
+            for k, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                got = merged_runs(*(x[edge[k]:edge[k + 1]] for x in parts), least_words)
+                if got:
+                    for name, x in zip(out, (doc, text, *got)):
+                        out[name].append(x)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("doc_id", pa.int64()), ("n_repeated", pa.int64()), ("n_removed", pa.int64()),
+                ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_repeated", pa.int64()), ("n_removed", pa.int64()),
                 ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_in", pa.list_(pa.int64()))]))
 
-    return runs.mapInArrow(merge, "doc_id long, n_repeated long, n_removed long, removed array<struct<start:long,end:long>>, kept_in array<long>")
+    return runs.mapInArrow(merge, "doc_id long, text_hash long, n_repeated long, n_removed long, "
+                                  "removed array<struct<start:long,end:long>>, kept_in array<long>")
 
 
 def without_repeats(docs: DataFrame, removals: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the removals of ``substring_dedup`` cut from their texts;
-    all rows and columns stay."""
-    gone = removals.where("n_removed > 0").select(F.col("doc_id").alias("__id"), "removed")
+    """``docs`` with the removals of ``substring_dedup`` cut from their texts,
+    matched by id and text; all rows and columns stay."""
+    gone = removals.where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "removed")
     cut = F.aggregate("removed", F.struct(F.lit("").alias("t"), F.lit(0).cast("long").alias("at")), lambda acc, s: F.struct(
         F.concat(acc["t"], F.substring(F.col(text_col), acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))).alias("t"),
         s["end"].alias("at")), lambda acc: F.concat(acc["t"], F.substring(F.col(text_col), acc["at"].cast("int") + 1, F.char_length(text_col))))
-    both = docs.join(gone, F.col(id_col) == F.col("__id"), "left")
+    both = docs.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__hash")), "left")
     return both.withColumn(text_col, F.when(F.col("__id").isNotNull(), cut).otherwise(F.col(text_col))).select(*docs.columns)
