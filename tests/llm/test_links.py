@@ -193,6 +193,21 @@ def test_every_passage_of_51_words_is_found_to_its_ends(spark):
     assert sum([(s.start, s.end) for s in got[d].removed] == want[d] for d in want) > 370
 
 
+def test_repeated_rows_and_shared_ids(spark):
+    rng = random.Random(23)
+    p, q = " ".join(fresh(rng, 52)), " ".join(fresh(rng, 52))
+    one, two = " ".join([*fresh(rng, 20), p, *fresh(rng, 20)]), " ".join([*fresh(rng, 20), p, *fresh(rng, 30)])
+    clean, other = " ".join(fresh(rng, 150)), " ".join([q, *fresh(rng, 40)])
+    rows = [(1, one), (2, two), (2, clean), (3, q + " x"), (4, other), (5, q), (5, q + " " + q)]
+    once = spark.createDataFrame(rows, DOCS)
+    twice = spark.createDataFrame(rows + rows[:5] * 2, DOCS).repartition(3)
+    a, b = (sorted(map(tuple, PD.substring_dedup(df).collect())) for df in (once, twice))
+    assert a == b and [r[0] for r in a] == [1, 2, 3, 4, 5, 5] and [r[2] for r in a[:2]] == [52, 52]
+    cut = [(r.doc_id, r.text) for r in PD.without_repeats(twice, PD.substring_dedup(twice)).collect()]
+    assert len(cut) == 17 and cut.count((2, clean)) == 3 and cut.count((1, one)) == 3
+    assert cut.count((2, two.replace(p, ""))) == 3 and cut.count((4, other.replace(q, ""))) == 3
+
+
 def best(rows, k, is_query, scale=64.0):
     ok = [(i, np.floor(scale * np.array(v, float))) for i, v in rows
           if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v)]
