@@ -208,6 +208,18 @@ def test_repeated_rows_and_shared_ids(spark):
     assert cut.count((2, two.replace(p, ""))) == 3 and cut.count((4, other.replace(q, ""))) == 3
 
 
+def test_short_copies_do_not_depend_on_their_neighbours(spark):
+    rng, rows = random.Random(24), []
+    for n in (30, 35, 40):
+        for _ in range(60):
+            text = " ".join(fresh(rng, n))
+            rows += [(len(rows), text), (len(rows) + 1, text)]
+    shuffled = random.Random(25).sample(rows, len(rows))
+    a, b = (sorted(map(tuple, PD.substring_dedup(spark.createDataFrame(r, DOCS).repartition(k)).collect())) for r, k in ((rows, 1), (shuffled, 6)))
+    assert a == b and [r[0] for r in a] == [d for d, _ in rows]
+    assert all(r[3] == (len(dict(rows)[r[0]].split()) if r[0] % 2 else 0) for r in a)
+
+
 def best(rows, k, is_query, scale=64.0):
     ok = [(i, np.floor(scale * np.array(v, float))) for i, v in rows
           if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v)]

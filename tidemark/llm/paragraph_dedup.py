@@ -7,8 +7,8 @@ stand and however their lines break. All windows within ``CONTEXT`` words of a
 seed that two documents share are then compared with each other, which finds
 shared passages word by word to both their ends.
 
-Near copies. Texts are cut into paragraphs at line ends and, inside lines,
-before words whose hash is the least among ``REACH`` words on both sides. A
+Near copies. Paragraphs are lines, and stretches of lines of fewer than
+``SHINGLE`` words, so nothing outside a text decides where it is cut. A
 paragraph's set holds its distinct shingles of ``SHINGLE`` words; paragraphs
 with fewer words have none. Every distinct set is dealt by ``bands`` MinHash
 keys (``band_plan`` finds the number that reaches the wanted recall at the
@@ -61,27 +61,22 @@ def band_plan(similarity: float, recall: float, rows: int = 1) -> int:
 
 def paragraphs(data: np.ndarray, offsets: np.ndarray):
     """``(starts, ends, row, first, n, hashes)``: the words of a block with
-    their hashes, and the first word and number of words of every paragraph."""
+    their hashes, and the first word and number of words of every paragraph:
+    a line, or all lines of fewer than ``SHINGLE`` words that follow each other."""
     low = lower_ascii()[data]
     starts, ends, row = words(low, offsets, "space")
     if not len(starts):
         z = np.zeros(0, np.int64)
         return starts, ends, row, z, z, np.zeros(0, np.uint64)
     h = span_hashes(low, starts, ends)
-    n = len(h)
-    padded = np.full(n + 2 * REACH, np.iinfo(np.uint64).max, np.uint64)
-    # a word together with the next one: frequent words alone would cut too often
-    with np.errstate(over="ignore"):
-        padded[REACH:REACH + n] = mix(h * np.uint64(3) + np.append(h[1:], np.uint64(0)))
-    least = padded[REACH:REACH + n]
-    cut = np.ones(n, bool)
-    for k in range(1, REACH + 1):
-        cut &= (least < padded[REACH - k:REACH - k + n]) & (least < padded[REACH + k:REACH + k + n])
     newline = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    cut[0] = True
-    cut[1:] |= (row[1:] != row[:-1]) | (newline[starts[1:]] != newline[starts[:-1]])
+    cut = np.ones(len(h), bool)
+    cut[1:] = (row[1:] != row[:-1]) | (newline[starts[1:]] != newline[starts[:-1]])
     first = np.flatnonzero(cut)
-    return starts, ends, row, first, np.diff(np.append(first, n)), h
+    short = np.diff(np.append(first, len(h))) < SHINGLE
+    joined = np.append(False, short[1:] & short[:-1] & (row[first[1:]] == row[first[:-1]]))
+    first = first[~joined]
+    return starts, ends, row, first, np.diff(np.append(first, len(h))), h
 
 
 def paragraph_sets(data: np.ndarray, offsets: np.ndarray):
