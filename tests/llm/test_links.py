@@ -220,6 +220,18 @@ def test_short_copies_do_not_depend_on_their_neighbours(spark):
     assert all(r[3] == (len(dict(rows)[r[0]].split()) if r[0] % 2 else 0) for r in a)
 
 
+def test_passages_in_lines_of_few_words(spark):
+    rng, rows = random.Random(26), []
+    for n in (60, 100):
+        for _ in range(20):
+            w = fresh(rng, n)
+            passage = "\n".join(" ".join(w[i:i + 4]) for i in range(0, n, 4))
+            for _ in range(2):
+                rows.append((len(rows), "\n".join([" ".join(fresh(rng, 40)), passage, " ".join(fresh(rng, 40))])))
+    got = {r.doc_id: r for r in PD.substring_dedup(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    assert {d: r.n_repeated for d, r in got.items()} == {d: len(t.split()) - 80 for d, t in rows}
+
+
 def best(rows, k, is_query, scale=64.0):
     ok = [(i, np.floor(scale * np.array(v, float))) for i, v in rows
           if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v)]
