@@ -232,6 +232,28 @@ def test_passages_in_lines_of_few_words(spark):
     assert {d: r.n_repeated for d, r in got.items()} == {d: len(t.split()) - 80 for d, t in rows}
 
 
+def test_near_copies_with_one_changed_word_against_brute_force(spark):
+    rng, rows, lines, exact = random.Random(27), [], {}, set()
+    for n in (50, 60, 80):
+        for _ in range(60):
+            base = fresh(rng, n)
+            edited = list(base)
+            edited[rng.randrange(n)] = "edit"
+            for i, break_ in ((0, "\n"), (1, " ")):
+                for w in (base, edited):
+                    lines[len(rows)] = " ".join(w)
+                    rows.append((len(rows), break_.join([" ".join(fresh(rng, 30)), " ".join(w), " ".join(fresh(rng, 30))])))
+                    if i:
+                        exact.add(len(rows) - 1)
+    near = set()
+    for d in range(0, len(rows), 2):
+        a, b = shingles(lines[d], 5), shingles(lines[d + 1], 5)
+        if len(a & b) >= 0.8 * len(a | b):
+            near |= {d, d + 1}
+    got = {r.doc_id for r in PD.substring_dedup(spark.createDataFrame(rows, DOCS).repartition(5)).collect()}
+    assert len(near) > 600 and near & exact <= got and len(near & got) >= 0.99 * len(near)
+
+
 def best(rows, k, is_query, scale=64.0):
     ok = [(i, np.floor(scale * np.array(v, float))) for i, v in rows
           if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v)]
