@@ -281,6 +281,22 @@ def test_top_k_equals_brute_force(spark):
     assert TK.top_k(df.limit(0), 20, F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_top_k_of_large_vectors_is_exact(spark):
+    rng = np.random.default_rng(31)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** rng.integers(0, 6)).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(300, [4.0e7, 1.0, 2.0, 3.0, 4.0, 5.0]), (301, [4.0e7, 1.0, 2.0, 3.0, 4.0, 6.0]), (302, [1.0, -2.0e8, 0.0, 0.0, 0.0, 1.0])]
+    ints = {i: [int(np.floor(64.0 * x)) for x in np.array(v, np.float32).astype(float)] for i, v in rows}
+    want = []
+    for q in range(0, 303, 5):
+        s = sorted((-sum(a * b for a, b in zip(ints[q], ints[i])), i) for i in ints if i != q)[:7]
+        want += [(q, n + 1, i, -m) for n, (m, i) in enumerate(s)]
+    assert max(abs(x[3]) for x in want) > 2 ** 53
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], VEC).repartition(3)
+    assert sorted(map(tuple, TK.top_k(df, 7, F.col("vec_id") % 5 == 0).collect())) == sorted(want)
+    with pytest.raises(Exception, match="64 bits"):
+        TK.top_k(spark.createDataFrame([(0, [1e30], "x"), (1, [1.0], "x")], VEC), 1, F.col("vec_id") == 0).collect()
+
+
 def test_pruning_keeps_every_candidate_that_reaches_the_bound():
     rng = np.random.default_rng(2)
     used = 0

@@ -11,8 +11,10 @@ coordinates lie outside the feasible range are dropped), else length pruning
 the best k of every bucket are merged per query.
 
 Queries meet candidates in blocks, each pair of blocks in one row of a join, so
-no task holds more than two blocks. Scores are integers below 2**53 in size, so
-float64 products are exact. Vectors that are NULL, empty, or hold NULL or
+no task holds more than two blocks. Scores are integers and exact: float64
+products serve blocks whose length product is below 2**53, 64-bit integers
+larger ones. A score of a pair looked at that may not fit in 64 bits is an
+error, and so is a scaled component of 2**63 or more. Vectors that are NULL, empty, or hold NULL or
 non-finite components take no part, nor do rows without an id; only vectors of
 the same dimension meet; rows with a query's id are its own. Repeated query
 rows each get their results, so they repeat.
@@ -52,7 +54,7 @@ def _blocks_of(rows: DataFrame, most: int) -> DataFrame:
                 "block": pa.array([(part << 32) + seq], pa.int64()), "dim": batch.column(1)[:1].cast(pa.int32()),
                 "longest": pa.array([float(lengths[0])]), "ids": pa.array([batch.column(0).to_numpy().astype(np.int64).tobytes()], pa.binary()),
                 "lengths": pa.array([lengths.astype(np.float64).tobytes()], pa.binary()),
-                "vecs": pa.array([b"".join(batch.column(3).to_pylist())], pa.binary())})
+                "vecs": pa.array([_joined(batch.column(3).to_pylist(), 8 * batch.column(1)[0].as_py())], pa.binary())})
 
         for batch in batches:
             dims = batch.column(1).to_numpy()
@@ -74,8 +76,25 @@ def _blocks_of(rows: DataFrame, most: int) -> DataFrame:
     return dealt.mapInArrow(pack, _BLOCK)
 
 
-def _matrix(raw: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(raw, np.int32).reshape(-1, dim).astype(np.float64)
+def _joined(vecs: list[bytes], wide: int) -> bytes:
+    """Vectors of 32-bit components, or all of 64 bits if one has ``wide`` bytes."""
+    if any(len(v) == wide for v in vecs):
+        vecs = [v if len(v) == wide else np.frombuffer(v, np.int32).astype(np.int64).tobytes() for v in vecs]
+    return b"".join(vecs)
+
+
+def _matrix(raw: bytes, dim: int, rows: int) -> np.ndarray:
+    return np.frombuffer(raw, np.int64 if len(raw) == 8 * dim * rows else np.int32).reshape(-1, dim).astype(np.float64)
+
+
+def _products(q: np.ndarray, c: np.ndarray, reach: float, own: np.ndarray) -> np.ndarray:
+    """Exact inner products, up to ``reach`` in size; those of ``own`` pairs do not count."""
+    x = q @ c.T
+    if reach < 2.0 ** 53 * (1 - 1e-9):
+        return x
+    if ((np.abs(x) + reach * 1e-12 >= 2.0 ** 63) & ~own).any():
+        raise ValueError("a score may pass 64 bits")
+    return q.astype(np.int64) @ c.astype(np.int64).T         # sums modulo 2**64, so only the result has to fit
 
 
 def bound_of(scores: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
@@ -121,13 +140,16 @@ def top_k(rows: DataFrame, k: int, is_query: Column, scale: float = 64.0, id_col
                 if not item.is_valid or not len(item.values) or item.values.null_count:
                     continue
                 z = np.floor(item.values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
-                if not np.isfinite(z).all() or np.abs(z).max() >= 2 ** 31:
+                if not np.isfinite(item.values.to_numpy(zero_copy_only=False)).all():
                     continue
+                largest = np.abs(z).max()
+                if largest >= 2.0 ** 63:
+                    raise ValueError(f"vector {batch.column(0)[i].as_py()} has a scaled component that passes 64 bits")
                 out["id"].append(batch.column(0)[i].as_py())
                 out["q"].append(bool(batch.column(1)[i].as_py()))
                 out["dim"].append(len(z))
                 out["length"].append(float(np.sqrt((z * z).sum())))
-                out["vec"].append(z.astype(np.int32).tobytes())
+                out["vec"].append(z.astype(np.int32 if largest < 2 ** 31 else np.int64).tobytes())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                 [("id", pa.int64()), ("q", pa.bool_()), ("dim", pa.int32()), ("length", pa.float64()), ("vec", pa.binary())]))
 
@@ -135,15 +157,19 @@ def top_k(rows: DataFrame, k: int, is_query: Column, scale: float = 64.0, id_col
     buckets = materialize(_blocks_of(packed.drop("q"), BUCKET), "topk-buckets")
     asked = _blocks_of(packed.where("q").drop("q"), QUERY_BLOCK)
     # bounded: one bucket per dimension, each of at most BUCKET rows
-    seeds = buckets.groupBy("dim").agg(F.max_by(F.struct("ids", "vecs"), F.struct("longest", -F.col("block"))).alias("s"))
+    seeds = buckets.groupBy("dim").agg(F.max_by(F.struct("ids", "vecs", "longest"), F.struct("longest", -F.col("block"))).alias("s"))
 
     def bounds(batches):
         for batch in batches:
             need, bound = [], []
             for r in batch.to_pylist():
-                q, qid = _matrix(r["vecs"], r["dim"]), np.frombuffer(r["ids"], np.int64)
-                c, cid = _matrix(r["s"]["vecs"], r["dim"]), np.frombuffer(r["s"]["ids"], np.int64)
-                b = bound_of(q @ c.T, qid[:, None] == cid[None, :], k)
+                qid, cid = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["s"]["ids"], np.int64)
+                q, c = _matrix(r["vecs"], r["dim"], len(qid)), _matrix(r["s"]["vecs"], r["dim"], len(cid))
+                reach = r["longest"] * r["s"]["longest"]
+                own = qid[:, None] == cid[None, :]
+                b = bound_of(_products(q, c, reach, own), own, k)
+                if reach >= 2.0 ** 52:                       # a rounded score must not lie above the true one
+                    b = b - np.abs(np.where(np.isfinite(b), b, 0)) * 1e-12
                 length = np.frombuffer(r["lengths"], np.float64)
                 with np.errstate(divide="ignore", invalid="ignore"):
                     least = np.where((b > 0) & (length > 0), b / length, 0.0)
@@ -165,17 +191,18 @@ def top_k(rows: DataFrame, k: int, is_query: Column, scale: float = 64.0, id_col
         for batch in batches:
             for i in range(batch.num_rows):
                 block, dim, qid, qlen, q, bound, longest, ids, lengths, vecs = (batch.column(j)[i].as_py() for j in range(10))
-                q, c = _matrix(q, dim), _matrix(vecs, dim)
                 qid, qlen, bound = np.frombuffer(qid, np.int64), np.frombuffer(qlen, np.float64), np.frombuffer(bound, np.float64)
                 ids, lengths = np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.float64)
+                q, c = _matrix(q, dim, len(qid)), _matrix(vecs, dim, len(ids))
                 out: list[list[np.ndarray]] = [[], [], [], []]
                 left = [survivors(q[j], qlen[j], bound[j], c, lengths, longest) for j in range(len(q))]
+                reach = float(qlen.max()) * longest
                 dense = np.array([len(s) * 4 > len(ids) for s in left], bool)
-                many = q[dense] @ c.T if dense.any() else None
+                many = _products(q[dense], c, reach, qid[dense][:, None] == ids[None, :]) if dense.any() else None
                 row = np.cumsum(dense) - 1
                 for j, s in enumerate(left):
                     s = s[ids[s] != qid[j]]
-                    score = many[row[j]][s] if dense[j] else c[s] @ q[j]
+                    score = many[row[j]][s] if dense[j] else _products(q[j:j + 1], c[s], reach, np.bool_(False))[0]
                     ok = score >= bound[j]
                     s, score = s[ok], score[ok]
                     if len(s) > k:
