@@ -48,7 +48,7 @@ STAGES = [
     ("SentencePiece encoding", as_pieces),
 ]
 
-# the classifier's scores are not expressible in SQL; tests/llm/test_pipeline.py holds run() against a brute-force version
+# the classifier's scores are not expressible in SQL; tests/llm/test_filters.py holds run() against a brute-force version
 ORACLE_SQL = None
 
 
