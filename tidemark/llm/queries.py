@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontaminate as clean
 from tidemark.llm import ngram_join as ngrams
 from tidemark.llm import paragraph_dedup as paragraphs
+from tidemark.llm import prefix_trie as tries
 from tidemark.llm import secret_scan as secrets
 from tidemark.llm import sentencepieces as pieces
 from tidemark.llm import token_counts as counts
@@ -133,6 +134,13 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), 20, F.col("vec_id") % 20 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tries.sequences(tries.turn_tokens(table(spark, sf_dir, "conversations")))
+    turns = F.crc32(F.col("conv").cast("string").cast("binary")) % 6
+    hundred = F.col("conv") - F.col("conv") % 100
+    return tries.trie(tries.with_head_of(pieces, hundred, turns, 5, F.col("conv") % 100 == 0))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_substring_dedup": op2_substring_dedup,
@@ -144,6 +152,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_secret_scan": op9_secret_scan,
     "op10_topk": op10_topk,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 # words as in the Spark query; one row per document window that equals an item's window
 _OP5 = r"""
@@ -206,7 +215,32 @@ m AS (SELECT r, count(*) AS n, string_agg(x, ',' ORDER BY x) AS xs FROM (SELECT
     FROM k JOIN iv ON k.kind = iv.kind AND k.key = iv.pattern AND day >= since AND (until IS NULL OR day < until)) GROUP BY r)
 SELECT page_id, host, day AS fetch_day, coalesce(n, 0) AS n_active, coalesce(xs, '') AS matches, n IS NOT NULL AS blocked FROM p LEFT JOIN m USING (r)"""
 
+# crc32 of a number's digits, bit by bit
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split({0}::VARCHAR, '')]), lambda acc, y:
+    list_reduce(list_prepend(xor(acc, y), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+_OP11 = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, %s %% 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, t.i, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id %% 100 AND t.i <= h
+      UNION ALL SELECT c.conv_id, 1000000 + t.i, role, text FROM c JOIN t USING (conv_id) WHERE t.i > h),
+s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS d, length(text) AS chars,
+        sha256(string_agg(sha256(role) || sha256(text), '' ORDER BY i) OVER (PARTITION BY conv_id ORDER BY i)) AS p FROM r),
+m AS MATERIALIZED (SELECT conv_id, 0 AS d, 0 AS chars, '' AS p FROM c UNION ALL SELECT * FROM s),
+n AS MATERIALIZED (SELECT d, p, any_value(chars) AS chars, min(conv_id) AS rep, count(*) AS n FROM m GROUP BY d, p),
+up AS MATERIALIZED (SELECT n.d, n.p, m.p AS pp FROM n JOIN m ON m.conv_id = n.rep AND m.d = n.d - 1),
+k AS (SELECT d - 1 AS d, pp AS p, count(*) AS kids FROM up GROUP BY 1, 2),
+x AS (SELECT n.*, coalesce(kids, 0) AS kids, (n - 1) * chars AS own FROM n LEFT JOIN k USING (d, p)),
+b AS (SELECT a.d, a.p, sum((x.kids = 0)::INT)::BIGINT AS leaves, sum(x.own)::BIGINT AS saved FROM x JOIN m a ON a.conv_id = x.rep AND a.d <= x.d GROUP BY 1, 2),
+e AS (SELECT d, p, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, max(d) AS d FROM m GROUP BY 1) JOIN m USING (conv_id, d) GROUP BY 1, 2)
+SELECT x.rep AS conv_id, x.d::BIGINT AS depth, y.rep AS parent_conv_id, x.n AS n_convs, x.kids AS n_children, b.leaves AS n_leaves, b.saved AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM x JOIN b USING (d, p) LEFT JOIN up USING (d, p) LEFT JOIN n y ON y.d = x.d - 1 AND y.p = up.pp LEFT JOIN e ON e.d = x.d AND e.p = x.p""" % _CRC.format("conv_id")
+
 SQL: dict[str, str] = {
+    "op11_prefix_trie": _OP11,
     "op8_url_filters": _OP8,
     "op4_ngram_join": _OP4,
     "op10_topk": _OP10,
