@@ -36,10 +36,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.runs import cut_runs, joined, pack_runs, slices
 from tidemark.llm.textblocks import mix, ragged
 from tidemark.session import materialize, scratch_path
 
@@ -64,55 +64,15 @@ def turn_tokens(conversations: DataFrame, id_col: str = "conv_id", turn_col: str
                                 F.length(text).alias("chars")).where("conv IS NOT NULL")
 
 
-def _binary(data: np.ndarray, at: np.ndarray) -> pa.Array:
-    """Slices ``at[i]..at[i+1]`` of a byte buffer as one binary column."""
-    return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-
-
 def sequences(tokens: DataFrame) -> DataFrame:
     """``conv, first, n, data``: pieces of up to ``SEGMENT`` turns in a row."""
-    dealt = tokens.repartitionByRange("conv", "turn", "a", "b").sortWithinPartitions("conv", "turn", "a", "b").select("conv", "a", "b", "chars")
-
-    def pack(batches):
-        part, now, done, first = TaskContext.get().partitionId(), None, 0, None
-        names = ["part", "conv", "first", "n", "data", "edge"]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            conv = batch.column(0).to_numpy()
-            turns = np.empty(len(conv), _TURN)
-            for i, c in enumerate(("a", "b", "chars")):
-                turns[c] = batch.column(i + 1).to_numpy()
-            start = np.flatnonzero(np.concatenate([[True], conv[1:] != conv[:-1]]))
-            size = np.diff(np.append(start, len(conv)))
-            before = np.zeros(len(start), np.int64)      # turns of the conversation in earlier batches
-            if conv[0] == now:
-                before[0] = done
-            if first is None:
-                first = [int(conv[0]), 0]
-            if conv[0] == first[0]:
-                first[1] += int(size[0])
-            now, done = int(conv[-1]), int(before[-1] + size[-1])
-            pieces = -(-size // SEGMENT)
-            turn = ragged(np.zeros(len(size), np.int64), pieces)
-            own = np.repeat(np.arange(len(size)), pieces)
-            n = np.minimum(SEGMENT, size[own] - turn * SEGMENT)
-            at = np.append(start[own] + turn * SEGMENT, len(conv)) * WIDTH
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(own), part, np.int32)), pa.array(conv[start][own]), pa.array(before[own] + turn * SEGMENT),
-                pa.array(n), _binary(turns.view(np.uint8), at), pa.array(np.zeros(len(own), bool))], names=names)
-        if first is not None:
-            ends = dict([first, (now, done)])                # its first and last conversation may go on elsewhere
-            yield pa.RecordBatch.from_arrays([
-                pa.array([part] * len(ends), pa.int32()), pa.array(list(ends), pa.int64()), pa.array([0] * len(ends), pa.int64()),
-                pa.array(list(ends.values()), pa.int64()), pa.nulls(len(ends), pa.binary()), pa.array([True] * len(ends))], names=names)
+    def record(batch):
+        turns = np.empty(batch.num_rows, _TURN)
+        for c in _TURN.names:
+            turns[c] = batch.column(batch.schema.names.index(c)).to_numpy()
+        return turns.view(np.uint8)
 
-    packed = materialize(dealt.mapInArrow(pack, "part int, conv long, first long, n long, data binary, edge boolean"), "trie-turns")
-    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = packed.where("edge").select("conv", "part", F.sum("n").over(earlier).alias("earlier")).where("earlier IS NOT NULL")
-    # bounded: at most two rows a partition
-    return packed.where("NOT edge").drop("edge").join(F.broadcast(offsets), ["conv", "part"], "left") \
-        .select("conv", (F.col("first") + F.coalesce("earlier", F.lit(0))).alias("first"), "n", "data")
+    return pack_runs(tokens, ["conv", "turn", "a", "b"], record, WIDTH, SEGMENT, "trie-turns")
 
 
 def with_head_of(pieces: DataFrame, other: Column, turns: Column, most: int, among: Column) -> DataFrame:
@@ -121,8 +81,7 @@ def with_head_of(pieces: DataFrame, other: Column, turns: Column, most: int, amo
     Without such a conversation they just go."""
     heads = pieces.where(among & (F.col("first") < most)).groupBy(F.col("conv").alias("other")).agg(
         F.array_sort(F.collect_list(F.struct("first", F.substring("data", 1, most * WIDTH).alias("data")))).alias("h"))
-    head = F.aggregate("h", F.lit(b""), lambda x, y: F.concat(x, y["data"]))
-    heads = heads.select("other", head.alias("head"))
+    heads = heads.select("other", joined("h").alias("head"))
     x = pieces.withColumns({"other": other, "turns": turns.cast("long")}).join(heads, "other", "left")
     head = F.coalesce(F.expr(f"substring(head, 1, cast(turns AS int) * {WIDTH})"), F.lit(b""))
     x = x.withColumns({"head": head, "cut": F.greatest(F.lit(0), F.least("n", F.col("turns") - F.col("first")))})
@@ -137,11 +96,7 @@ def with_head_of(pieces: DataFrame, other: Column, turns: Column, most: int, amo
 def _segments(pieces: DataFrame, size: int) -> DataFrame:
     """``conv, seg, ra, rb, n, last, key, chars``: rows of up to ``size`` turns,
     the fingerprint of what stands before, salted fingerprints of the turns."""
-    cut = pieces.withColumn("seg", F.explode(F.expr(f"sequence(first div {size}, greatest(first, first + n - 1) div {size})")))
-    cut = cut.withColumns({"since": F.greatest("first", F.col("seg") * size), "until": F.least(F.col("first") + F.col("n"), (F.col("seg") + 1) * size)})
-    part = F.expr(f"substring(data, cast(since - first AS int) * {WIDTH} + 1, cast(until - since AS int) * {WIDTH})")
-    grouped = cut.select("conv", "seg", F.struct("since", part.alias("data")).alias("p")).groupBy("conv", "seg").agg(F.array_sort(F.collect_list("p")).alias("p"))
-    joined = grouped.select("conv", "seg", F.aggregate("p", F.lit(b""), lambda x, y: F.concat(x, y["data"])).alias("data"))
+    cut = cut_runs(pieces, ["conv"], size, WIDTH, "seg")
 
     def salt(batches):
         for batch in batches:
@@ -161,11 +116,11 @@ def _segments(pieces: DataFrame, size: int) -> DataFrame:
                 full = n > 0
                 whole[full] = np.bitwise_xor.reduceat(lanes, at[:-1][full], axis=0)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(n), _binary(lanes.astype(">u8").view(np.uint8).reshape(-1), at * 16),
-                _binary(turns["chars"].astype("<i4").view(np.uint8), at * 4), pa.array(whole[:, 0].astype(np.int64)), pa.array(whole[:, 1].astype(np.int64))],
+                batch.column(0), batch.column(1), pa.array(n), slices(lanes.astype(">u8").view(np.uint8).reshape(-1), at * 16),
+                slices(turns["chars"].astype("<i4").view(np.uint8), at * 4), pa.array(whole[:, 0].astype(np.int64)), pa.array(whole[:, 1].astype(np.int64))],
                 names=["conv", "seg", "n", "key", "chars", "xa", "xb"])
 
-    segs = materialize(joined.mapInArrow(salt, "conv long, seg long, n long, key binary, chars binary, xa long, xb long"), "trie-segments")
+    segs = materialize(cut.mapInArrow(salt, "conv long, seg long, n long, key binary, chars binary, xa long, xb long"), "trie-segments")
     several = F.expr(f"seg > 0 OR n = {size}")                           # may be one of several segments
     long = segs.where(several).withColumn("step", F.expr(f"seg div {STEP}"))
     inside = Window.partitionBy("conv", "step").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as clean
+from tidemark.llm import merkle_log as merkle
 from tidemark.llm import ngram_join as ngrams
 from tidemark.llm import paragraph_dedup as paragraphs
 from tidemark.llm import prefix_trie as tries
@@ -141,6 +142,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.trie(tries.with_head_of(pieces, hundred, turns, 5, F.col("conv") % 100 == 0))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", {"text": lower}, tampered)
+    return found.audit().select(F.col("id").alias("doc_id"), "leaf", F.col("top").alias("subroot"), "root", F.col("siblings_sha256").alias("proof_sha256"),
+                                F.col("folded").alias("folded_root"), "verified")
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_substring_dedup": op2_substring_dedup,
@@ -153,6 +162,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_topk": op10_topk,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 # words as in the Spark query; one row per document window that equals an item's window
 _OP5 = r"""
@@ -239,7 +249,34 @@ SELECT x.rep AS conv_id, x.d::BIGINT AS depth, y.rep AS parent_conv_id, x.n AS n
        sha256(coalesce(ids, '')) AS ends_sha256
 FROM x JOIN b USING (d, p) LEFT JOIN up USING (d, p) LEFT JOIN n y ON y.d = x.d - 1 AND y.p = up.pp LEFT JOIN e ON e.d = x.d AND e.p = x.p""" % _CRC.format("conv_id")
 
+# k: a language's tree, or the one over the subroots (its levels are numbered the same way)
+_OP12 = r"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, *, CASE WHEN doc_id IS NOT NULL AND %s %% 3 = 0
+        THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claimed, coalesce('+' || lang, '') AS k FROM documents),
+l AS MATERIALIZED (SELECT r, doc_id, k, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(fields || coalesce(strlen(claimed) || ':' || claimed, '-')) AS claim
+      FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS fields FROM d)),
+o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM l),
+t(k, lev, i, n, h) AS (SELECT k, 0, i, n, leaf FROM o
+    UNION ALL SELECT k, lev + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY k, lev, i // 8, n),
+s AS MATERIALIZED (SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS g, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lev, i, n, h) AS (SELECT 0, g, n, h FROM s
+    UNION ALL SELECT lev + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lev, i // 8, n),
+top AS (SELECT h AS root FROM u WHERE n = 1),
+run AS MATERIALIZED (SELECT k, lev, i // 8 AS j, list(h ORDER BY i) AS hs FROM t WHERE n > 1 GROUP BY 1, 2, 3),
+up AS MATERIALIZED (SELECT lev, i // 8 AS j, list(h ORDER BY i) AS hs FROM u WHERE n > 1 GROUP BY 1, 2),
+f(r, k, lev, i, h, sib) AS (SELECT r, k, 0, i, claim, '' FROM o
+    UNION ALL SELECT r, f.k, f.lev + 1, i // 8, sha256(array_to_string(list_concat(hs[:i %% 8], [h], hs[i %% 8 + 2:]), '')),
+       sib || array_to_string(list_concat(hs[:i %% 8], hs[i %% 8 + 2:]), '') FROM f JOIN run ON run.k = f.k AND run.lev = f.lev AND run.j = f.i // 8),
+ft AS MATERIALIZED (SELECT f.r, f.k, s.g, s.h AS subroot, f.h, f.sib FROM f JOIN s USING (k) JOIN (SELECT k, max(lev) AS lev FROM t GROUP BY k) m ON m.k = f.k AND m.lev = f.lev),
+z(r, lev, i, h, sib) AS (SELECT r, 0, g, h, sib FROM ft
+    UNION ALL SELECT r, z.lev + 1, i // 8, sha256(array_to_string(list_concat(hs[:i %% 8], [h], hs[i %% 8 + 2:]), '')),
+       sib || array_to_string(list_concat(hs[:i %% 8], hs[i %% 8 + 2:]), '') FROM z JOIN up ON up.lev = z.lev AND up.j = z.i // 8)
+SELECT o.doc_id, o.leaf, ft.subroot, root, sha256(z.sib) AS proof_sha256, z.h AS folded_root, z.h = root AS verified
+FROM o JOIN ft USING (r) JOIN z USING (r), top WHERE z.lev = (SELECT max(lev) FROM u)""" % _CRC.format("doc_id")
+
 SQL: dict[str, str] = {
+    "op12_merkle_manifest": _OP12,
     "op11_prefix_trie": _OP11,
     "op8_url_filters": _OP8,
     "op4_ngram_join": _OP4,
