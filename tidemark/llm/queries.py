@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import ann_graph as graphs
 from tidemark.llm import decontaminate as clean
 from tidemark.llm import merkle_log as merkle
 from tidemark.llm import ngram_join as ngrams
@@ -150,6 +151,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.col("folded").alias("folded_root"), "verified")
 
 
+def op13_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graphs.nearest(table(spark, sf_dir, "embeddings"), 5, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_substring_dedup": op2_substring_dedup,
@@ -163,6 +168,7 @@ QUERIES = {
     "op10_topk": op10_topk,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ann_graph": op13_ann_graph,
 }
 # words as in the Spark query; one row per document window that equals an item's window
 _OP5 = r"""
