@@ -216,6 +216,8 @@ def build_index(rows: DataFrame, k: int, id_col: str = "vec_id", vec_col: str =
     entries = materialize(entries.withColumn("dim", F.size("v")), "ann-entries")
     parts = entries.groupBy("dim").agg(F.ceil(F.count("*") / shard).alias("parts"))
     dealt = entries.join(parts, "dim").withColumn("shard", F.pmod(F.xxhash64("v"), "parts")).select("dim", "shard", "v", "ids")
+    # a shard is little data and long work, so each is a task of its own
+    dealt = dealt.repartition(parts.agg(F.coalesce(F.sum("parts"), F.lit(1))).first()[0], "dim", "shard")
     wide = 8 if dict(entries.dtypes)["v"] == "array<double>" else 4
 
     def build(table: pa.Table) -> pa.Table:
