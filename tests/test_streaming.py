@@ -109,3 +109,145 @@ def test_scoring_keeps_rows_with_null_features(spark):
     model = ml.train_linear(df, ["x"], "y")
     got = ml.score(spark.createDataFrame([(1.0,), (None,)], "x double"), model, ["x"]).collect()
     assert [r.prediction is None for r in sorted(got, key=lambda r: r.x is None)] == [False, True]
+
+
+CHANGES = "k INT, seq BIGINT, op STRING, v STRING"
+
+
+def keyed(spark, path=None, buckets=3):
+    from tidemark.streaming.upsert import KeyedSnapshot
+    return KeyedSnapshot(spark, path or scratch_path(spark, "keyed"), ["k"], ["seq"], buckets)
+
+
+def state(table):
+    return {r.k: (r.seq, r.v) for r in table.read().collect()}
+
+
+def test_upserts_of_several_batches_and_replays(spark):
+    table = keyed(spark)
+    first = spark.createDataFrame([(k, k, "U", "a") for k in range(20)] + [(0, 50, "U", "z"), (0, 7, "U", "old")], CHANGES)
+    second = spark.createDataFrame([(1, 100, "D", None), (2, 1, "U", "too old"), (3, 100, "U", "new"), (99, 1, "U", "in"), (0, 50, "U", "same seq")], CHANGES)
+    third = spark.createDataFrame([(1, 99, "U", "older than the delete"), (3, 101, "D", None), (99, 2, "U", "again")], CHANGES)
+    for i, batch in enumerate((first, second, third)):
+        assert table.apply(batch, i, "op = 'D'")
+    want = {k: (k, "a") for k in range(4, 20)} | {2: (2, "a"), 0: (50, "same seq"), 99: (2, "again")}
+    assert state(table) == want
+    for i, batch in enumerate((first, second, third)):
+        assert not table.apply(batch, i, "op = 'D'")              # replayed batches change nothing
+    assert state(table) == want
+    assert table.apply(first.limit(0), 3) and not table.apply(first, 3) and state(table) == want
+    touched = {r._bucket for r in table.ledger().where("_batch = 2").collect()}
+    assert len(touched) <= 3 and table.apply(spark.createDataFrame([(1, 200, "U", "back")], CHANGES), 4, "op = 'D'")
+    assert state(table) == want | {1: (200, "back")}
+
+
+def test_upsert_stream_restarts_in_the_middle(spark, monkeypatch):
+    """A run that breaks off after a batch's rows were written, or after its
+    ledger entry, goes on without losing or repeating a change."""
+    import pytest
+    from tidemark.streaming import upsert as up
+    rows = [(i % 40, i, "D" if i % 11 == 0 else "U", str(i)) for i in range(400)]
+    path, schema = sr.stage_files(spark.createDataFrame(rows, CHANGES), "keyed-src", 6, "seq")
+    want = {}
+    for k, seq, op, v in rows:
+        want[k] = None if op == "D" else (seq, v)
+    want = {k: v for k, v in want.items() if v}
+    for stop in ("before", "after"):
+        base, table = scratch_path(spark, "keyed"), keyed(spark)
+        real, calls = up.KeyedSnapshot.apply, []
+
+        def breaks(self, changes, batch_id, deletes=None):
+            calls.append(batch_id)
+            if len(calls) == 3:
+                if stop == "after":
+                    real(self, changes, batch_id, deletes)
+                else:                                             # half a batch: folders without a ledger entry
+                    changes.limit(1).withColumn("_deleted", F.lit(False)).withColumn("_bucket", F.lit(0)) \
+                        .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/state/_batch={batch_id}")
+                raise RuntimeError("lost")
+            return real(self, changes, batch_id, deletes)
+
+        monkeypatch.setattr(up.KeyedSnapshot, "apply", breaks)
+        stream = lambda: sr.file_stream(spark, path, schema, max_files=1)
+        with pytest.raises(Exception, match="lost"):
+            up.upsert_stream(stream(), table, f"{base}/checkpoint", "op = 'D'")
+        assert state(table) != want
+        up.upsert_stream(stream(), table, f"{base}/checkpoint", "op = 'D'")
+        monkeypatch.setattr(up.KeyedSnapshot, "apply", real)
+        assert state(table) == want, stop
+        assert sorted(r._batch for r in table.ledger().select("_batch").distinct().collect()) == list(range(6))
+
+
+def test_spells_merge_whatever_the_order():
+    import random
+    from tidemark.streaming.spells import merge_spells
+    times = sorted(random.Random(1).sample(range(1000), 60))
+    whole = merge_spells([], times, 15)
+    for seed in range(5):
+        shuffled, got = list(times), []
+        random.Random(seed).shuffle(shuffled)
+        for i in range(0, 60, 7):
+            got = merge_spells(got, shuffled[i:i + 7], 15)
+        assert got == whole
+    assert merge_spells([], [0, 15, 31, 31], 15) == [(0, 15, 2), (31, 31, 2)]
+
+
+def test_spells_do_not_depend_on_the_trigger_size(spark):
+    from tidemark.streaming.spells import ROCKSDB, activity_spells
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i % 3, t0 + dt.timedelta(minutes=m), 0) for i, m in enumerate([0, 1, 2, 9, 5, 30, 31, 33, 60, 200, 201, 202, 290])] + [(None, t0, 0), (1, None, 0), (9, t0 + dt.timedelta(days=2), 0)]
+    got = []
+    for files in (1, None):
+        path, schema = sr.stage_files(spark.createDataFrame(rows, SCHEMA), "spell-src", 3, "ts")
+        s = sr.file_stream(spark, path, schema, max_files=files).transform(sr.event_time, "ts")
+        out = sr.run_stream(activity_spells(s, "id", "ts", 600, "1 hour"), "spells", conf=ROCKSDB).result().where("key < 9")
+        got.append(sorted((r.key, r.spell_start, r.last_seen, r.event_count) for r in out.collect()))
+    assert got[0] == got[1] and sum(n for *_, n in got[0]) == 13
+
+
+def test_progress_log_keeps_every_update(spark):
+    from tidemark.streaming.progress import ProgressLog
+    src = scratch_path(spark, "many-src")
+    spark.range(2100).selectExpr("CAST(id AS INT) AS id", "TIMESTAMP_NTZ '2024-01-01' AS ts", "1 AS v").repartition(105).write.parquet(src)
+    with ProgressLog(spark, scratch_path(spark, "many-log")) as log:
+        run = sr.run_stream(sr.file_stream(spark, src, SCHEMA, max_files=1), "many")
+        log.wait(run.run_id)
+    rows = log.read().where("input_rows > 0").collect()
+    assert len(run.progress) <= 100 < len(rows) and sum(r.input_rows for r in rows) == 2100
+    assert len({r.batch_id for r in rows}) == len(rows)
+
+
+def test_output_modes_emit_by_their_rules(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i % 4, t0 + dt.timedelta(hours=i), 1) for i in range(96)] + [(-1, t0 + dt.timedelta(days=30), 1)]
+    path, schema = sr.stage_files(spark.createDataFrame(rows, SCHEMA), "mode-src", 4, "ts")
+    want, keys = None, ["window_start", "id"]
+    for mode in ("append", "update", "complete"):
+        s = sr.file_stream(spark, path, schema, max_files=1).transform(sr.event_time, "ts")
+        agg = so.windowed(s, "ts", "1 day", keys=["id"], watermark="1 hour", aggs=[F.count(F.lit(1)).alias("n")])
+        rows = sr.emissions(agg, "modes", mode).where("id >= 0").cache()
+        per_batch = {r["_batch"]: r["n"] for r in rows.groupBy("_batch").agg(F.count("*").alias("n")).collect()}
+        once = rows.select(*keys).distinct().count()
+        got = sorted(map(tuple, sr.settled(rows, mode, keys).select(*keys, "n").collect()))
+        want = want or got
+        assert got == want and once == 16
+        if mode == "append":
+            assert rows.count() == 16                             # each window once, when it is final
+        elif mode == "complete":
+            counts = [n for _, n in sorted(per_batch.items())]
+            assert counts == sorted(counts) and counts[-1] == 16 and sum(counts) > rows.select(*keys).distinct().count()
+        else:
+            assert 16 <= rows.count() < sum(1 for _ in range(16 * 4))
+
+
+def test_batches_come_in_order_with_several_files_each(spark):
+    from tidemark.streaming.progress import ProgressLog
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(hours=i), i // 20) for i in range(80)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    with ProgressLog(spark, scratch_path(spark, "order-log")) as log:
+        run, ids = sr.run_in_order(df.withColumn("b", F.col("v")), "b", lambda s: so.deduplicated(sr.event_time(s, "ts"), ["id"], "ts", "1 hour"), "order")
+        for i in ids:
+            log.wait(i)
+    assert run.result().count() == 80 and len(ids) == 4
+    assert [r.input_rows for i in ids for r in log.read().where(F.col("run_id") == i).where("input_rows > 0").collect()] == [20] * 4

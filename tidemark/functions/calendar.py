@@ -65,16 +65,8 @@ def prev_month_is_quarter_end(c) -> Column:
     return F.when(F.month(prev_month(c)) % 3 == 0, 1).otherwise(0).cast("int")
 
 
-def _prev_month_is_qe_py(d) -> int:
-    if d is None or pd.isna(d):
-        return None
-    first = d.replace(day=1)
-    last_prev = first - _dt.timedelta(days=1)
-    return int(last_prev.month % 3 == 0)
-
-
 @F.pandas_udf(IntegerType())
 def prev_month_is_quarter_end_udf(s: pd.Series) -> pd.Series:
     """Vectorised (Arrow-batched) form of :func:`prev_month_is_quarter_end`."""
-    out = s.map(_prev_month_is_qe_py)
-    return out.astype("Int32")
+    month = pd.to_datetime(s).dt.month                    # NaN for NULL
+    return (month - 1).mod(3).eq(0).astype("Int32").mask(month.isna())

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_if_small, materialize
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
@@ -145,19 +145,29 @@ def with_global_stats(df: DataFrame, stats: dict[str, Column]) -> DataFrame:
     return df.withColumns({name: df.agg(expr).scalar() for name, expr in stats.items()})
 
 
-def reachable(spark, edges_view: str, root: int, max_level: int = 5) -> DataFrame:
-    """Nodes reachable from ``root`` within ``max_level`` hops: the smallest
-    level and the number of distinct paths per node.
+def reachable(edges: DataFrame, root: int, max_level: int = 5, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``node, min_level, n_paths``: nodes reachable from ``root`` within
+    ``max_level`` hops, the smallest level and the number of paths.
 
-    Uses a recursive CTE (each step is a distributed join of the frontier with
-    the edge table); the level cap bounds the work even when there are cycles.
+    Level by level: the paths to a level's nodes are counted, not listed
+    (``node -> n_paths``), so a level is never larger than the nodes, however
+    many paths lead to them; the number of rows has no limit, and the walk ends
+    with the first level without nodes. Each level is written to the shared
+    folder, so plans stay short. The level cap bounds the work on cycles. Edges
+    that repeat are paths of their own; NULL ends lead nowhere.
     """
-    return spark.sql(f"""
-        WITH RECURSIVE walk (node, lvl) AS (
-            SELECT CAST(dst AS BIGINT), 1 FROM {edges_view} WHERE src = {int(root)}
-            UNION ALL
-            SELECT CAST(e.dst AS BIGINT), w.lvl + 1
-            FROM walk w JOIN {edges_view} e ON e.src = w.node
-            WHERE w.lvl < {int(max_level)}
-        )
-        SELECT node, min(lvl) AS min_level, count(*) AS n_paths FROM walk GROUP BY node""")
+    e = edges.select(F.col(src).cast("bigint").alias("_from"), F.col(dst).cast("bigint").alias("node")).where("_from IS NOT NULL AND node IS NOT NULL")
+    level = e.where(F.col("_from") == root).groupBy("node").agg(F.count(F.lit(1)).alias("n_paths"))
+    found = []
+    for k in range(1, max_level + 1):
+        level = materialize(level, "reachable")
+        if level.isEmpty():
+            break
+        found.append(level.withColumn("level", F.lit(k)))
+        level = e.join(level.withColumnRenamed("node", "_from"), "_from").groupBy("node").agg(F.sum("n_paths").alias("n_paths"))
+    if not found:
+        found = [level.withColumn("level", F.lit(0))]
+    out = found[0]
+    for x in found[1:]:
+        out = out.unionByName(x)
+    return out.groupBy("node").agg(F.min("level").alias("min_level"), F.sum("n_paths").alias("n_paths"))

@@ -31,6 +31,25 @@ def fan_out(base: DataFrame, outputs: Mapping[str, Callable[[DataFrame], DataFra
     return {name: spark.read.parquet(f"{root}/{name}") for name in outputs}
 
 
+def partitions_for(total_bytes: int, target_bytes: int = 128 * 1024 * 1024) -> int:
+    """How many partitions, files or buckets ``total_bytes`` make at about ``target_bytes`` each."""
+    return max(1, math.ceil(total_bytes / target_bytes))
+
+
+def partition_report(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Rows of each partition as it would be processed: ``partition, n_rows``
+    and the sums of ``columns``; empty partitions have no row."""
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(
+        F.count(F.lit(1)).alias("n_rows"), *(F.sum(c).alias(f"sum_{c}") for c in columns))
+
+
+def resized(df: DataFrame, total_bytes: int, target_bytes: int = 128 * 1024 * 1024, now: int | None = None) -> DataFrame:
+    """``df`` in as many partitions as its bytes make: fewer of ``now`` by
+    ``coalesce`` (no shuffle), else evenly dealt by ``repartition``."""
+    n = partitions_for(total_bytes, target_bytes)
+    return df.coalesce(n) if now is not None and n <= now else df.repartition(n)
+
+
 def dir_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (via the Hadoop FileSystem API)."""
     jvm = spark.sparkContext._jvm
@@ -43,7 +62,7 @@ def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = 128 * 1
             fmt: str = "parquet") -> int:
     """Rewrite ``src`` into ``ceil(bytes / target)`` files at ``dst`` (row set
     unchanged); returns the file count chosen."""
-    n = max(1, math.ceil(dir_bytes(spark, src) / target_bytes))
+    n = partitions_for(dir_bytes(spark, src), target_bytes)
     spark.read.format(fmt).load(src).repartition(n).write.mode("overwrite").format(fmt).save(dst)
     return n
 

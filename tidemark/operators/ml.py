@@ -10,6 +10,7 @@ driver except a fitted model's parameters.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,57 @@ def train_linear(df: DataFrame, features: Sequence[str], label: str):
     return LinearRegression(featuresCol="features", labelCol=label).fit(assemble(df, features))
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """Least squares over ``features``: an intercept and a coefficient each;
+    NaN where the training rows do not determine them."""
+    features: tuple[str, ...]
+    intercept: float
+    coefficients: tuple[float, ...]
+    n: int
+    mse: float
+    r2: float
+
+
+def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearModel:
+    """Linear regression by the normal equations. One aggregation gives all sums
+    of products (the Gram matrix, combined on the map side); what the driver
+    solves has as many rows as there are features. Decimal columns are summed
+    exactly, so the result does not depend on partitions. Rows with a NULL in a
+    feature or the label are left out."""
+    import numpy as np
+    cols = [*features, label]
+    known = df.dropna(subset=cols)
+    k = len(cols)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    row = known.agg(F.count(F.lit(1)).alias("n"), *(F.sum(F.col(c)).cast("double").alias(f"s{i}") for i, c in enumerate(cols)),
+                    *(F.sum(F.col(cols[i]) * F.col(cols[j])).cast("double").alias(f"p{i}_{j}") for i, j in pairs)).first()
+    n = row["n"]
+    if not n:
+        return LinearModel(tuple(features), float("nan"), (float("nan"),) * (k - 1), 0, float("nan"), float("nan"))
+    mean = np.array([row[f"s{i}"] for i in range(k)]) / n
+    cov = np.zeros((k, k))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = row[f"p{i}_{j}"] - row[f"s{i}"] * row[f"s{j}"] / n
+    # scaled to correlations, so that units do not matter for what counts as singular
+    scale = np.sqrt(np.diag(cov)[:-1])
+    scale = np.where(scale > 0, scale, 1.0)
+    a = cov[:-1, :-1] / np.outer(scale, scale)
+    b = cov[:-1, -1] / scale
+    w = np.full(k - 1, np.nan) if np.linalg.matrix_rank(a) < k - 1 else np.linalg.solve(a, b) / scale
+    sse = max(float(cov[-1, -1] - w @ cov[:-1, -1]), 0.0) if not np.isnan(w).any() else float("nan")
+    return LinearModel(tuple(features), float(mean[-1] - w @ mean[:-1]), tuple(map(float, w)), n, sse / n,
+                       float(1.0 - sse / cov[-1, -1]) if cov[-1, -1] > 0 else float("nan"))
+
+
+def score_linear(df: DataFrame, model: LinearModel, out: str = "prediction") -> DataFrame:
+    """The model as one native expression, on batches and streams alike: NULL where a feature is NULL."""
+    total = F.lit(model.intercept)
+    for f, w in zip(model.features, model.coefficients):
+        total = total + F.col(f).cast("double") * F.lit(w)
+    return df.withColumn(out, total)
+
+
 def score(df: DataFrame, model, features: Sequence[str], out: str = "prediction") -> DataFrame:
     """Apply a fitted model over all partitions (works on streams too): one row
     per input row, NULL where a feature is NULL."""

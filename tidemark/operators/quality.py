@@ -9,14 +9,19 @@ streams), quarantine makes one reasons column and two filters.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import ts_lit
 
 
+FAILED = "expectation failed:"
+
+
 def _ok(pred: str | Column) -> Column:
     c = F.expr(pred) if isinstance(pred, str) else pred
     return F.coalesce(c, F.lit(False))
@@ -59,7 +64,7 @@ def expect_or_fail(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     cols = df.columns
     checks = []
     for n, p in rules.items():
-        checks.append(F.when(~_ok(p), F.raise_error(F.lit(f"expectation failed: {n}"))))
+        checks.append(F.when(~_ok(p), F.raise_error(F.lit(f"{FAILED} {n}"))))
     if not checks:
         return df
     guard = F.coalesce(*checks, F.lit(None)) if len(checks) > 1 else checks[0]
@@ -67,6 +72,32 @@ def expect_or_fail(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return df.withColumn("_guard", guard).where(F.col("_guard").isNull()).select(*cols)
 
 
+def expect_or_fail_counted(df: DataFrame, rules: Mapping[str, str], name: str = "guard") -> tuple[DataFrame, Observation]:
+    """``expect_or_fail`` that also counts, in the same pass: the observation
+    holds ``rows`` and the violations of every rule once a job has gone through
+    (all 0 then), and nothing after a job that the guard has ended. Works on
+    streams, whose progress has the counts under ``name``."""
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")] + [F.sum(F.when(_ok(p), 0).otherwise(1)).alias(n) for n, p in rules.items()]
+    counted = df.observe(name, *metrics) if df.isStreaming else df.observe(obs, *metrics)
+    return expect_or_fail(counted, rules), obs
+
+
+def guarded_write(df: DataFrame, rules: Mapping[str, str], path: str, name: str = "guard") -> tuple[str, int | None, str | None]:
+    """Write ``df`` if all rules hold: ``(outcome, rows, rule)``, outcome
+    ``passed`` with the rows written, or ``failed`` with the first rule that the
+    job met a violation of. Other errors are raised."""
+    guarded, obs = expect_or_fail_counted(df, rules, name)
+    try:
+        guarded.write.mode("overwrite").parquet(path)
+    except PySparkException as e:
+        broken = re.search(re.escape(FAILED) + r" ([^\n\]]*?)(?: SQLSTATE| ==|$)", str(e), re.M)
+        if not broken:
+            raise
+        return "failed", None, next((n for n in sorted(rules, key=len, reverse=True) if broken[1].startswith(n)), broken[1])
+    return "passed", int(obs.get["rows"]), None
+
+
 def quarantine(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Split into (good, bad). ``bad`` carries ``reasons: array<string>``.
 
@@ -162,17 +193,30 @@ def volume_anomaly(df: DataFrame, ts: str, z: float = 2.0, by: Sequence[str] = (
             .withColumn("is_anomaly", F.coalesce(F.col("z_score") > z, F.lit(False))))
 
 
-def validate_inputs(tables: Mapping[str, DataFrame], required: Mapping[str, Sequence[str]]) -> list[str]:
-    """Return a list of problems: empty tables or missing columns."""
-    problems = []
-    for name, cols in required.items():
+def input_report(spark: SparkSession, tables: Mapping[str, DataFrame], required: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """``table_name, problem, detail``: a row for every problem of the required
+    tables (name -> column -> type), none if there is nothing to say. Names and
+    types come from the schemas; whether there are rows from a probe of one, so
+    no table is scanned. Problems: ``missing table``, ``missing column``,
+    ``other type``, ``empty``."""
+    rows = []
+    for name, columns in required.items():
         df = tables.get(name)
         if df is None:
-            problems.append(f"{name}: missing")
+            rows.append((name, "missing table", None))
             continue
-        missing = [c for c in cols if c not in df.columns]
-        if missing:
-            problems.append(f"{name}: missing columns {missing}")
+        have = dict(df.dtypes)
+        rows += [(name, "missing column", c) for c in columns if c not in have]
+        rows += [(name, "other type", f"{c} {have[c]}") for c, t in columns.items() if c in have and t and have[c] != t]
         if df.isEmpty():
-            problems.append(f"{name}: empty")
-    return problems
+            rows.append((name, "empty", None))
+    return spark.createDataFrame(rows, "table_name string, problem string, detail string")
+
+
+def validate_inputs(tables: Mapping[str, DataFrame], required: Mapping[str, Sequence[str]]) -> list[str]:
+    """The problems of ``input_report`` as text, for columns of any type."""
+    some = next(iter(tables.values()), None)
+    if some is None:
+        return [f"{name}: missing table" for name in required]
+    rows = input_report(some.sparkSession, tables, {n: dict.fromkeys(c, "") for n, c in required.items()}).collect()
+    return [f"{r.table_name}: {r.problem}" + (f" {r.detail}" if r.detail else "") for r in rows]

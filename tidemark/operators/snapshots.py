@@ -136,10 +136,10 @@ def minify(lookup: DataFrame, code: str, group: str) -> DataFrame:
 
 
 def code_map(lookup: DataFrame, code: str, group: str) -> DataFrame:
-    """code -> representative code of its group (one row per code)."""
+    """code -> representative code of its group (one row per code; a code of
+    several groups belongs to the smallest)."""
     rep = minify(lookup, code, group).withColumnRenamed(code, "_rep")
-    return lookup.select(code, group).dropDuplicates([code]).join(rep, on=group, how="left") \
-        .select(code, "_rep")
+    return lookup.groupBy(code).agg(F.min(group).alias(group)).join(rep, on=group, how="left").select(code, "_rep")
 
 
 def conform(df: DataFrame, code: str, lookup: DataFrame, group: str,
@@ -148,9 +148,9 @@ def conform(df: DataFrame, code: str, lookup: DataFrame, group: str,
 
     ``lookup`` maps code -> group. ``choose(rep)`` turns the representative
     column into the final value (default: the representative itself). The
-    code map is built once, materialized and broadcast when its row count
-    proves it small, so the fact side is joined once and never shuffled for
-    it; the map is unique per code, so the left join cannot fan out.
+    code map is counted, and broadcast when its row count proves it small, so
+    the fact side is joined once and never shuffled for it; the map is unique
+    per code, so the left join cannot fan out.
     """
     mapping = broadcast_bounded(code_map(lookup, code, group))
     out = df.join(mapping, on=code, how="left")

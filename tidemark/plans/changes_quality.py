@@ -333,8 +333,8 @@ WITH daily AS (SELECT CAST(ts AS DATE) AS day, CAST(sum(CAST(value AS DECIMAL(12
                FROM events WHERE event_type = 'purchase' GROUP BY 1),
 s AS (SELECT day, revenue, sum(revenue) OVER w / count(revenue) OVER w AS avg_prior_7
       FROM daily WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
-SELECT day, revenue, avg_prior_7, (revenue - avg_prior_7) / avg_prior_7 * 100 AS variance_pct,
-       coalesce((revenue - avg_prior_7) / avg_prior_7 * 100 NOT BETWEEN -20 AND 50, false) AS is_alert
+SELECT day, revenue, avg_prior_7, (revenue - avg_prior_7) / nullif(avg_prior_7, 0) * 100 AS variance_pct,
+       coalesce((revenue - avg_prior_7) / nullif(avg_prior_7, 0) * 100 NOT BETWEEN -20 AND 50, false) AS is_alert
 FROM s""")
 def q_revenue_variance(spark, d):
     from pyspark.sql import Window
@@ -342,6 +342,6 @@ def q_revenue_variance(spark, d):
              .groupBy(F.to_date("ts").alias("day")).agg(F.sum(dec("value")).cast("double").alias("revenue")))
     w = Window.orderBy("day").rowsBetween(-7, -1)
     s = daily.withColumn("avg_prior_7", F.sum("revenue").over(w) / F.count("revenue").over(w))
-    var = (F.col("revenue") - F.col("avg_prior_7")) / F.col("avg_prior_7") * 100
+    var = F.try_divide(F.col("revenue") - F.col("avg_prior_7"), F.col("avg_prior_7")) * 100
     return s.select("day", "revenue", "avg_prior_7", var.alias("variance_pct"),
                     F.coalesce(~var.between(-20, 50), F.lit(False)).alias("is_alert"))

@@ -81,11 +81,48 @@ def q_train_forest(spark, d):
     return ml.score(data, model, FEATURES).select("o_orderkey", "o_totalprice", "prediction")
 
 
-@register("batch_score")
+def line_features(t):
+    """Order features with fixed scales, whose sums are exact."""
+    per = t.lineitem.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).cast("decimal(12,2)").alias("n_lines"), F.sum(dec("l_quantity")).cast("decimal(12,2)").alias("total_qty"),
+        F.sum(dec("l_discount")).cast("decimal(12,2)").alias("total_discount"))
+    return per.join(t.orders.select("o_orderkey", dec("o_totalprice").alias("o_totalprice")), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+LINE_FEATURES = ["n_lines", "total_qty", "total_discount"]
+
+# the normal equations of three centred features, by determinants
+LINEAR_SQL = """lf AS (SELECT l_orderkey AS o_orderkey, count(*) AS a, sum(CAST(l_quantity AS DECIMAL(12,2))) AS b, sum(CAST(l_discount AS DECIMAL(12,2))) AS c
+       FROM lineitem GROUP BY l_orderkey),
+lx AS (SELECT o_orderkey, CAST(a AS DECIMAL(12,2)) AS a, CAST(b AS DECIMAL(12,2)) AS b, CAST(c AS DECIMAL(12,2)) AS c, CAST(o_totalprice AS DECIMAL(12,2)) AS y
+       FROM lf JOIN orders USING (o_orderkey)),
+ls AS (SELECT count(*)::DOUBLE AS n, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b, sum(c)::DOUBLE AS c, sum(y)::DOUBLE AS y, sum(a*a)::DOUBLE AS aa, sum(a*b)::DOUBLE AS ab,
+       sum(a*c)::DOUBLE AS ac, sum(b*b)::DOUBLE AS bb, sum(b*c)::DOUBLE AS bc, sum(c*c)::DOUBLE AS cc, sum(a*y)::DOUBLE AS ay, sum(b*y)::DOUBLE AS by_, sum(c*y)::DOUBLE AS cy, sum(y*y)::DOUBLE AS yy FROM lx),
+lc AS (SELECT n, a/n AS ma, b/n AS mb, c/n AS mc, y/n AS my, aa-a*a/n AS aa, ab-a*b/n AS ab, ac-a*c/n AS ac, bb-b*b/n AS bb, bc-b*c/n AS bc, cc-c*c/n AS cc,
+       ay-a*y/n AS ay, by_-b*y/n AS by_, cy-c*y/n AS cy, yy-y*y/n AS yy FROM ls),
+ld AS (SELECT *, aa*(bb*cc-bc*bc) - ab*(ab*cc-bc*ac) + ac*(ab*bc-bb*ac) AS det FROM lc),
+lw AS (SELECT *, (ay*(bb*cc-bc*bc) - ab*(by_*cc-bc*cy) + ac*(by_*bc-bb*cy)) / det AS wa, (aa*(by_*cc-bc*cy) - ay*(ab*cc-bc*ac) + ac*(ab*cy-by_*ac)) / det AS wb,
+       (aa*(bb*cy-by_*bc) - ab*(ab*cy-by_*ac) + ay*(ab*bc-bb*ac)) / det AS wc FROM ld),
+lm AS (SELECT *, my - wa*ma - wb*mb - wc*mc AS w0, greatest(yy - wa*ay - wb*by_ - wc*cy, 0) AS sse FROM lw)"""
+
+SCORE_SQL = "WITH " + LINEAR_SQL + """
+SELECT o_orderkey, round(w0 + lx.a::DOUBLE*wa + lx.b::DOUBLE*wb + lx.c::DOUBLE*wc, 4) AS prediction{more} FROM lx, lm"""
+
+
+@register("train_linear", "WITH " + LINEAR_SQL + """
+SELECT t.term, round(t.value, 4) AS value FROM lm, LATERAL (VALUES ('intercept', w0), ('n_lines', wa), ('total_qty', wb), ('total_discount', wc),
+       ('n', n), ('rmse', sqrt(sse / n)), ('r2', 1 - sse / yy)) AS t(term, value)""")
+def q_train_linear(spark, d):
+    m = ml.fit_linear(line_features(T(spark, d)), LINE_FEATURES, "o_totalprice")
+    terms = [("intercept", m.intercept), *zip(m.features, m.coefficients), ("n", float(m.n)), ("rmse", m.mse ** 0.5), ("r2", m.r2)]
+    return spark.createDataFrame(terms, "term string, value double").withColumn("value", F.round("value", 4))
+
+
+@register("batch_score", SCORE_SQL.format(more=""))
 def q_batch_score(spark, d):
-    data = _order_features(T(spark, d))
-    model = ml.train_linear(data, FEATURES, "o_totalprice")
-    return ml.score(data, model, FEATURES).select("o_orderkey", "prediction")
+    data = line_features(T(spark, d))
+    model = ml.fit_linear(data, LINE_FEATURES, "o_totalprice")
+    return ml.score_linear(data, model).select("o_orderkey", F.round("prediction", 4).alias("prediction"))
 
 
 PRED_SQL = """pred AS (
@@ -247,7 +284,9 @@ def q_udf_sql(spark, d):
     return e.select("doc_id", F.call_function(udfs.MASK_FUNCTION, F.col("email")).alias("masked_email"))
 
 
-@register("udf_struct")
+@register("udf_struct", """
+SELECT c_custkey, ['segment:' || lower(coalesce(c_mktsegment, 'NONE')), 'tier:' || CASE WHEN coalesce(c_acctbal, 0) < 5000 THEN 'basic' ELSE 'premium' END] AS recommendations
+FROM customer""")
 def q_udf_struct(spark, d):
     c = T(spark, d).customer
     arg = F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))

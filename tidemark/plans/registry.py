@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["snapshot", "relational", "changes_quality", "privacy_logs", "ml_udf", "io_layout", "streams"]
+MODULES = ["snapshot", "relational", "changes_quality", "privacy_logs", "ml_udf", "io_layout", "streams", "guards"]
 
 
 def _modules():

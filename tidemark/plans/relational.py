@@ -338,10 +338,7 @@ walk(node, lvl) AS (
   SELECT e.dst, w.lvl + 1 FROM walk w JOIN edges e ON e.src = w.node WHERE w.lvl < 5)
 SELECT node, min(lvl) AS min_level, count(*) AS n_paths FROM walk GROUP BY node""")
 def q_lineage_impact(spark, d):
-    t = T(spark, d)
-    view = "tm_lineage_edges"
-    t.lineage_edges().createOrReplaceTempView(view)
-    return jn.reachable(spark, view, root=1, max_level=5)
+    return jn.reachable(T(spark, d).lineage_edges(), root=1, max_level=5)
 
 
 @register("model_error_join", """

@@ -17,16 +17,20 @@ from pyspark.sql import functions as F
 from tidemark.operators import changes as ch
 from tidemark.operators import ml
 from tidemark.operators import quality as q
+from tidemark.operators.layout import dir_bytes
 from tidemark.operators.privacy import mask_pii
 from tidemark.plans.changes_quality import EVENT_RULES, cdc_source, versioned_feed
 from tidemark.plans.io_layout import MSG_SCHEMA, to_messages
-from tidemark.plans.ml_udf import FEATURES, _order_features
+from tidemark.plans.ml_udf import LINE_FEATURES, SCORE_SQL, line_features
 from tidemark.plans.privacy_logs import _mask_sql
 from tidemark.session import scratch_path
 from tidemark.sources import files as fs
 from tidemark.sources.tables import tables
 from tidemark.streaming import operators as so
 from tidemark.streaming import runner as sr
+from tidemark.streaming.progress import ProgressLog
+from tidemark.streaming.spells import ROCKSDB, activity_spells
+from tidemark.streaming.upsert import KeyedSnapshot, buckets_for, upsert_stream
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -139,6 +143,52 @@ def q_late_rows(spark, d):
     return sr.run_stream(late.select("event_id", "user_id", "ts", "arrival_ts"), "late").result()
 
 
+LATE_SQL = """
+WITH a AS (SELECT ts, ts + CAST(json_extract_string(props, '$.k') AS INTEGER) * 3 * INTERVAL 1 HOUR AS arrival FROM events),
+b AS (SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(arrival AS DATE)) / 7.0) AS INTEGER) AS batch FROM a),
+m AS (SELECT batch, max(ts) AS top FROM b GROUP BY batch),
+t AS (SELECT batch, date_trunc('millisecond', max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)) - INTERVAL 1 HOUR AS threshold FROM m)
+SELECT batch, count(*) AS input_rows, count(*) FILTER (ts <= threshold) AS dropped_rows, count(*) - count(*) FILTER (ts <= threshold) AS kept_rows,
+       count(*) FILTER (arrival > ts + INTERVAL 1 HOUR) AS late_rows FROM b JOIN t USING (batch) GROUP BY batch"""
+
+
+@register("watermark_late_drop", LATE_SQL)
+def q_watermark_late_drop(spark, d):
+    # events in the order of their arrival, a week a batch; those behind the
+    # watermark are dropped, and the engine's count of them is the table's
+    ev = T(spark, d).events.select("event_id", "ts", (F.col("ts") + F.make_dt_interval(
+        hours=F.get_json_object("props", "$.k").try_cast("int") * 3)).alias("arrival_ts"))
+    week = F.floor(F.datediff(F.to_date("arrival_ts"), F.lit("2024-01-01").cast("date")) / 7).cast("int")
+    ev = ev.withColumn("batch", week)
+    with ProgressLog(spark, scratch_path(spark, "late-log")) as log:
+        run, ids = sr.run_in_order(ev.withColumn("week", week), "week", lambda s: so.deduplicated(_timed(s), ["event_id"], "ts", "1 hour"), "late-drop")
+        for i in ids:
+            log.wait(i)
+    _, late = so.late_rows(ev, "ts", "arrival_ts", "1 hour")
+    return so.late_drop_report(log.read(), run.result(), late, "batch", ids)
+
+
+MODES_SQL = """
+SELECT mode, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total
+FROM events, (VALUES ('append'), ('update'), ('complete')) AS m(mode) GROUP BY ALL"""
+
+
+@register("stream_output_modes", MODES_SQL)
+def q_stream_output_modes(spark, d):
+    # one staged source for the three modes; the flush row closes the last windows for append
+    events = sr.with_flush_row(T(spark, d).events, "ts", {"event_type": ["-"]}, after="3 days")
+    path, schema = sr.stage_files(events, "modes-src", 4, "ts")
+    out = None
+    for mode in ("append", "update", "complete"):
+        s = _timed(sr.file_stream(spark, path, schema, max_files=1))
+        agg = so.windowed(s, "ts", "1 day", keys=["event_type"], watermark="1 day",
+                          aggs=[F.count(F.lit(1)).alias("n"), F.sum(dec("value")).alias("total")])
+        rows = sr.settled(sr.emissions(agg, f"mode-{mode}", mode), mode, ["window_start", "event_type"]).where("event_type <> '-'")
+        rows = rows.select(F.lit(mode).alias("mode"), "window_start", "event_type", "n", F.col("total").cast("double").alias("total"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("stream_running_totals", """
 SELECT user_id, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value, count(*) AS n_events
 FROM events GROUP BY user_id""")
@@ -149,17 +199,30 @@ def q_stream_running_totals(spark, d):
     return out.withColumn("total_value", F.col("total_value").cast("double"))
 
 
+SPELLS_SQL = """
+WITH f AS (SELECT user_id, ts, CASE WHEN ts > lag(ts) OVER w + INTERVAL 10 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh
+           FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM f)
+SELECT user_id, min(ts) AS spell_start, max(ts) AS last_seen, count(*) AS event_count FROM g GROUP BY user_id, k"""
+
+
+def _spells(spark, d, max_files=2):
+    # the flush row lets the watermark pass the last spell's timer
+    s = _timed(_event_stream(spark, d, "spells", BATCHES, max_files, flush={"user_id": [-1]}))
+    out = sr.run_stream(activity_spells(s, "user_id", "ts", 600, "1 hour"), "spells", conf=ROCKSDB).result().where("key >= 0")
+    return out.select(F.col("key").alias("user_id"), *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("spell_start", "last_seen")), "event_count")
+
+
+@register("stream_user_spells", SPELLS_SQL)
+def q_stream_user_spells(spark, d):
+    return _spells(spark, d)
+
+
 @register("stream_user_state", """
 SELECT user_id, count(*) AS event_count, max(ts) AS last_seen FROM events GROUP BY user_id""")
 def q_stream_user_state(spark, d):
-    s = _event_stream(spark, d, "state", max_files=3)
-    st = so.keyed_activity_state(s)
-    # a processing-time timeout would otherwise keep availableNow running
-    # empty micro-batches until the 10 minutes pass; timeouts are evaluated
-    # on the next batch that brings data instead
-    out = sr.run_stream(st, "state", "update", keys=["user_id"],
-                        conf={"spark.sql.streaming.noDataMicroBatches.enabled": "false"}).result()
-    return out.withColumn("last_seen", F.col("last_seen").cast("timestamp_ntz"))
+    # totals of the closed spells: no state outlives its timer, and no total depends on when batches ran
+    return _spells(spark, d).groupBy("user_id").agg(F.sum("event_count").alias("event_count"), F.max("last_seen").alias("last_seen"))
 
 
 @register("stream_dedupe", """
@@ -253,13 +316,15 @@ def q_stream_end_to_end(spark, d):
     return out.withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
-@register("stream_progress")
+@register("stream_progress", """
+SELECT count(*) AS input_rows, true AS each_batch_once, true AS rates_known, 0 AS dropped_rows FROM events""")
 def q_stream_progress(spark, d):
     s = _event_stream(spark, d, "progress", max_files=2)
-    run = sr.run_stream(s.select("event_id"), "progress")
-    rows = [(p["batchId"], p["numInputRows"], float(p.get("processedRowsPerSecond") or 0.0),
-             int(p["durationMs"].get("triggerExecution", 0))) for p in run.progress]
-    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, rows_per_sec double, duration_ms bigint")
+    with ProgressLog(spark, scratch_path(spark, "progress-log")) as log:
+        log.wait(sr.run_stream(s.select("event_id"), "progress").run_id)
+    return log.read().agg(
+        F.sum("input_rows").alias("input_rows"), (F.count("*") == F.count_distinct("run_id", "batch_id")).alias("each_batch_once"),
+        F.bool_and((F.col("rows_per_sec") > 0) & (F.col("duration_ms") >= 0)).alias("rates_known"), F.sum("dropped_rows").cast("int").alias("dropped_rows"))
 
 
 @register("stream_cdc_filter", """
@@ -324,16 +389,12 @@ def q_stream_stream_left(spark, d):
 SELECT user_id, event_type, value, ts FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'error'""")
 def q_stream_apply_changes(spark, d):
-    # merge on read: the stream appends change rows through the exactly-once
-    # file sink (work per trigger is the batch, not the table); the keyed
-    # state is apply_changes over the change log -- the newest change per key,
-    # deletes as tombstones, picked with a partial limit before the shuffle.
-    # Compaction is the same apply_changes written out as a snapshot table.
-    path, schema = sr.stage_files(cdc_source(T(spark, d).events), "upsert-src", 8, "sequence_num")
-    s = sr.file_stream(spark, path, schema, max_files=3)
-    log = sr.run_stream(s, "upsert-log").result()
-    return ch.apply_changes(log, ["user_id"], ["sequence_num"], deletes="operation = 'DELETE'",
-                            except_columns=["operation", "sequence_num"]).select("user_id", "event_type", "value", "ts")
+    src = cdc_source(T(spark, d).events)
+    path, schema = sr.stage_files(src, "upsert-src", 8, "sequence_num")
+    base = scratch_path(spark, "upsert")
+    table = KeyedSnapshot(spark, f"{base}/table", ["user_id"], ["sequence_num"], buckets_for(dir_bytes(spark, path)))
+    upsert_stream(sr.file_stream(spark, path, schema, max_files=3), table, f"{base}/checkpoint", "operation = 'DELETE'")
+    return table.read(drop=["operation", "sequence_num"]).select("user_id", "event_type", "value", "ts")
 
 
 @register("stream_pii_mask", f"SELECT doc_id, {_mask_sql('text')} AS text FROM documents")
@@ -343,14 +404,15 @@ def q_stream_pii_mask(spark, d):
     return sr.run_stream(s, "pii").result()
 
 
-@register("stream_score")
+@register("stream_score", SCORE_SQL.format(
+    more=", w0 + lx.a::DOUBLE*wa + lx.b::DOUBLE*wb + lx.c::DOUBLE*wc > lx.y::DOUBLE * 1.5 AS flag"))
 def q_stream_score(spark, d):
-    data = _order_features(T(spark, d))
-    model = ml.train_linear(data, FEATURES, "o_totalprice")
+    data = line_features(T(spark, d))
+    model = ml.fit_linear(data, LINE_FEATURES, "o_totalprice")
     path, schema = sr.stage_files(data, "score-src", 4, "o_orderkey")
-    s = ml.score(sr.file_stream(spark, path, schema), model, FEATURES)
-    s = s.withColumn("flag", F.col("prediction") > F.col("o_totalprice") * 1.5)
-    return sr.run_stream(s.select("o_orderkey", "prediction", "flag"), "score").result()
+    s = ml.score_linear(sr.file_stream(spark, path, schema), model)
+    s = s.withColumn("flag", F.col("prediction") > F.col("o_totalprice").cast("double") * 1.5)
+    return sr.run_stream(s.select("o_orderkey", F.round("prediction", 4).alias("prediction"), "flag"), "score").result()
 
 
 @register("incremental_ingest", "SELECT * FROM events")

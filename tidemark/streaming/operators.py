@@ -1,19 +1,16 @@
-"""Streaming operators: event-time windows, sessions, keyed custom state,
-stream-stream interval joins, de-duplication and late-row side outputs.
+"""Streaming operators: event-time windows, sessions, stream-stream interval
+joins and late-row side outputs (custom keyed state: ``spells``).
 
-All work on batch DataFrames too (except the state operator), so the same
-function is the batch and the stream definition.
+All work on batch DataFrames too, so the same function is the batch and the
+stream definition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 
 def windowed(df: DataFrame, ts: str, length: str, slide: str | None = None, keys: Sequence[str] = (),
@@ -44,6 +41,30 @@ def late_rows(df: DataFrame, event_ts: str, arrival_ts: str, max_delay: str) ->
     return df.where(~late), df.where(late)
 
 
+def deduplicated(df: DataFrame, keys: Sequence[str], ts: str, watermark: str) -> DataFrame:
+    """The first row of each key within the watermark's delay; rows behind the watermark are dropped, one by one."""
+    return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
+
+
+def late_drop_report(progress: DataFrame, kept: DataFrame, late: DataFrame, batch_col: str, run_ids: Sequence[str]) -> DataFrame:
+    """``<batch_col>, input_rows, dropped_rows, kept_rows, late_rows`` of each batch
+    of a stream without aggregation before the watermark. ``progress`` has a
+    run per batch in the order of ``run_ids``; ``kept`` are the rows of the sink
+    and ``late`` those that arrived late, with their batch. What the engine says
+    it took in and dropped has to come to what the sink holds: the job fails
+    where kept + dropped is not the input."""
+    sums = progress.groupBy("run_id").agg(F.sum("input_rows").alias("input_rows"), F.sum("dropped_rows").alias("dropped_rows"))
+    kept, late = (x.groupBy(batch_col).agg(F.count(F.lit(1)).alias(n)) for x, n in ((kept, "kept_rows"), (late, "late_rows")))
+    spark = progress.sparkSession
+    # bounded: a row a run; the batches came in the order of their numbers
+    runs = spark.createDataFrame(list(enumerate(run_ids)), "at int, run_id string").join(sums, "run_id", "left")
+    order = kept.select(batch_col).union(late.select(batch_col)).distinct().select(batch_col, (F.row_number().over(Window.orderBy(batch_col)) - 1).alias("at"))
+    out = runs.join(order, "at").join(kept, batch_col, "left").join(late, batch_col, "left").fillna(0, ["kept_rows", "late_rows", "input_rows", "dropped_rows"])
+    whole = F.col("kept_rows") + F.col("dropped_rows") == F.col("input_rows")
+    return out.withColumn("kept_rows", F.when(whole, F.col("kept_rows")).otherwise(F.raise_error(F.lit("kept and dropped rows are not the input")).cast("long"))) \
+        .select(batch_col, "input_rows", "dropped_rows", "kept_rows", "late_rows")
+
+
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                   lower: str, upper: str, how: str = "inner",
                   left_watermark: str | None = None, right_watermark: str | None = None) -> DataFrame:
@@ -64,37 +85,6 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     return l.join(r, cond, how)
 
 
-STATE_OUT = StructType([StructField("user_id", LongType()), StructField("event_count", LongType()),
-                        StructField("last_seen", TimestampType())])
-STATE_SCHEMA = StructType([StructField("count", LongType()), StructField("last_seen", TimestampType())])
-
-
-def _update_user(key, pdfs, state: GroupState):
-    if state.hasTimedOut:
-        cnt, last = state.get
-        state.remove()
-        yield pd.DataFrame({"user_id": [key[0]], "event_count": [cnt], "last_seen": [last]})
-        return
-    cnt, last = state.get if state.exists else (0, None)
-    for pdf in pdfs:
-        cnt += len(pdf)
-        m = pdf["ts"].max()
-        last = m if last is None or m > last else last
-    state.update((cnt, last))
-    state.setTimeoutDuration(10 * 60 * 1000)
-    yield pd.DataFrame({"user_id": [key[0]], "event_count": [cnt], "last_seen": [last]})
-
-
-def keyed_activity_state(df: DataFrame, key: str = "user_id", ts: str = "ts") -> DataFrame:
-    """Per-key running event count and last-seen time held in the state store,
-    with a 10-minute processing-time timeout that emits and clears the state.
-    Output mode ``update``."""
-    return (df.select(F.col(key).alias("user_id"), F.col(ts).alias("ts"))
-            .groupBy("user_id")
-            .applyInPandasWithState(_update_user, STATE_OUT, STATE_SCHEMA, "update",
-                                    GroupStateTimeout.ProcessingTimeTimeout))
-
-
 def features(df: DataFrame, ts: str, amount: str) -> DataFrame:
     """Hour of day, day of week and amount band (same code for batch and stream)."""
     return df.withColumns({

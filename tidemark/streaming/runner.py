@@ -12,10 +12,11 @@ shared checkpoint root.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.session import scratch_path
 
@@ -86,8 +87,8 @@ def to_ntz(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 class StreamRun:
     """A finished stream query: its sink folder, checkpoint and progress."""
 
-    def __init__(self, spark, path, checkpoint, progress, mode, keys):
-        self.spark, self.path, self.checkpoint = spark, path, checkpoint
+    def __init__(self, spark, path, checkpoint, progress, mode, keys, run_id=None):
+        self.spark, self.path, self.checkpoint, self.run_id = spark, path, checkpoint, run_id
         self.progress, self.mode, self.keys = progress, mode, keys
 
     def result(self) -> DataFrame:
@@ -140,7 +141,51 @@ def run_stream(stream: DataFrame, name: str, mode: str = "append", keys: Sequenc
     progress = q.recentProgress
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return StreamRun(spark, path, checkpoint, progress, mode, list(keys))
+    return StreamRun(spark, path, checkpoint, progress, mode, list(keys), str(q.runId))
+
+
+def run_in_order(df: DataFrame, batch_col: str, build: Callable[[DataFrame], DataFrame], name: str, **kw) -> tuple[StreamRun, list[str]]:
+    """Run the stream ``build(source)`` over ``df`` batch by batch: the rows of
+    each value of ``batch_col`` arrive after those of smaller ones, in as many
+    files as there are, and are one micro-batch. Order needs neither file names
+    nor file times, as a batch is written when the one before has been taken.
+    Returns the last run and the run ids, one a batch. NULL comes first."""
+    spark = df.sparkSession
+    base = scratch_path(spark, name)
+    src, rest = f"{base}/source", df.drop(batch_col)
+    kw = {"path": f"{base}/sink", "checkpoint": f"{base}/checkpoint", **kw}
+    # without batches of its own the engine's watermark moves with the data alone
+    kw["conf"] = {"spark.sql.streaming.noDataMicroBatches.enabled": "false", **kw.get("conf", {})}
+    ids, run = [], None
+    for value in sorted((r[0] for r in df.select(batch_col).distinct().collect()), key=lambda v: (v is not None, v)):   # bounded by the batches asked for
+        df.where(F.col(batch_col).eqNullSafe(F.lit(value))).drop(batch_col).write.mode("append").parquet(src)
+        run = run_stream(build(file_stream(spark, src, rest.schema)), name, **kw)
+        ids.append(run.run_id)
+    return run, ids
+
+
+def emissions(stream: DataFrame, name: str, mode: str) -> DataFrame:
+    """All rows that a query gives out in an output mode, with the ``_batch``
+    that gave them."""
+    spark, base = stream.sparkSession, scratch_path(stream.sparkSession, name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/sink/_batch={batch_id}")
+
+    q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(StructType([*stream.schema.fields, StructField("_batch", LongType())])).parquet(f"{base}/sink")
+
+
+def settled(rows: DataFrame, mode: str, keys: Sequence[str]) -> DataFrame:
+    """The batch result that emitted rows come down to: all of them (append),
+    the last of each key (update), those of the last batch (complete)."""
+    if mode == "append":
+        return rows.drop("_batch")
+    if mode == "complete":
+        return rows.where(F.col("_batch") == rows.agg(F.max("_batch")).scalar()).drop("_batch")
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_batch").desc()))
+    return rows.withColumn("_rn", last).where("_rn = 1").drop("_rn", "_batch")
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
