@@ -66,7 +66,7 @@ AGG_ROWS = [
 
 def test_aggregate_snapshots_as_coded(spark):
     df = spark.createDataFrame(AGG_ROWS, AGG_SCHEMA)
-    got = snap.aggregate_snapshots(df, ["LOB"])
+    got = snap.totals(df, ["MONTH_END", "QUARTER_END", "LOB"], {**snap.money(), "CL01_COUNT": snap.open_flag()})
     exp = spark.createDataFrame(
         [(D(2024, 1, 31), D(2024, 3, 31), 1, 3000.0, 1200.0, 2700.0, 1700.0, 1),
          (D(2024, 2, 28), D(2024, 3, 31), 4, 1500.0, 600.0, 1300.0, 1000.0, 1)],
@@ -77,7 +77,7 @@ def test_aggregate_snapshots_as_coded(spark):
 
 def test_aggregate_snapshots_gross(spark):
     df = spark.createDataFrame(AGG_ROWS, AGG_SCHEMA)
-    got = snap.aggregate_snapshots(df, ["LOB"], include_coinsurance=True) \
+    got = snap.totals(df, ["MONTH_END", "QUARTER_END", "LOB"], snap.money(gross=True)) \
         .select("LOB", "PAID_LOSS", "INCURRED_LOSS", "GROUND_UP_PAID")
     exp = spark.createDataFrame([(1, 1900.0, 3900.0, 2400.0), (4, 900.0, 1900.0, 1300.0)],
                                 "LOB bigint, PAID_LOSS double, INCURRED_LOSS double, GROUND_UP_PAID double")
@@ -142,3 +142,25 @@ def test_expect_or_fail_raises(spark):
     with pytest.raises(Exception, match="expectation failed"):
         expect_or_fail(df, {"x present": "x IS NOT NULL"}).collect()
     assert expect_or_fail(df.where("x IS NOT NULL"), {"x present": "x IS NOT NULL"}).count() == 1
+
+
+def test_gold_reads_the_facts_once(spark):
+    """One scan of the facts for the rows and one, of the code column alone, for
+    each lookup; only month totals are written."""
+    from tidemark import session
+    from tidemark.plans.snapshot import _bronze
+    from conftest import SF_SMALL
+    plan = snap.month_totals(_bronze(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") <= 2
+    months = snap.month_totals(_bronze(spark, SF_SMALL))
+    assert months.columns == ["MONTH_END", "QUARTER_END", *snap.GOLD_KEYS, *snap.NET_OF]
+
+
+def test_rows_of_no_line_only_tell_their_month(spark):
+    rows = [(D(2024, 3, 31), D(2024, 3, 31), 1, 5, 7, 9, 1.0), (D(2024, 4, 30), D(2024, 6, 30), 3, 5, 7, 9, 2.0), (D(2024, 5, 31), D(2024, 6, 30), None, 5, 7, 9, 4.0)]
+    df = spark.createDataFrame([(*r, r[-1], r[-1], r[-1]) for r in rows], "MONTH_END date, QUARTER_END date, LOB_SK bigint, AOP_SK bigint, PRIMARY_CAUSE_OF_LOSS_SK bigint, "
+                               "CLAIMANT_TYPE_SK bigint, FIRM_PAID double, ALAS_PAID double, TOTAL_INCURRED double, GROUND_UP_PAID double")
+    got = {(r.QUARTER_END, r.LOB_SK, r.AOP_SK, r.CLAIMANT_TYPE_SK, r.FIRM_PAID) for r in snap.gold_aggregate(df, "latest").collect()}
+    assert got == {(D(2024, 3, 31), 1, 5, -2, 1.0)}                  # the newest month is May, which has no line
+    got = {(r.QUARTER_END, r.LOB_SK, r.AOP_SK, r.CLAIMANT_TYPE_SK, r.FIRM_PAID) for r in snap.gold_aggregate(df, "2024-04-30").collect()}
+    assert got == {(D(2024, 3, 31), 1, 5, -2, 1.0), (D(2024, 6, 30), 4, -2, 9, 2.0)}

@@ -9,14 +9,14 @@ already-aggregated period grain, never on raw rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import quarter_end
 from tidemark.operators.quality import expect_or_fail
-from tidemark.session import broadcast_bounded
+from tidemark.session import broadcast_if_small, materialize
 
 # Fixed values of the claims model.
 REAL_CLAIM_CATEGORIES = [2, 4, 5, 6, 7]
@@ -57,33 +57,26 @@ def open_flag() -> Column:
                   & (F.col("MATTER_STATUS_CODE") == OPEN_STATUS), 1).otherwise(0)
 
 
-def aggregate_snapshots(df: DataFrame, grpcols: Sequence[str], mcols: Sequence[str] | None = None,
-                        fincols: Sequence[str] | None = None,
-                        include_coinsurance: bool = False) -> DataFrame:
-    """Sum the snapshot money by period columns + ``grpcols``.
+# The columns that add up to each reported total, and those that
+# gross-of-coinsurance totals add to them.
+NET_OF = {"FIRM_PAID": ["FIRM_PAID"], "PAID_LOSS": ["ALAS_PAID"], "INCURRED_LOSS": ["TOTAL_INCURRED"], "GROUND_UP_PAID": ["GROUND_UP_PAID"]}
+COINSURANCE_OF = {"PAID_LOSS": ["COINS_PAID"], "INCURRED_LOSS": ["COINS_PAID", "COINS_RESERVE"], "GROUND_UP_PAID": ["COINS_PAID"]}
 
-    CL01_COUNT counts open category-2 matters. With ``include_coinsurance``
-    the paid/incurred/ground-up sums are gross of coinsurance.
-    """
-    mcols = list(mcols or ["MONTH_END", "QUARTER_END"])
-    fincols = list(fincols or ["FIRM_PAID", "PAID_LOSS", "INCURRED_LOSS", "GROUND_UP_PAID",
-                               "CL01_COUNT"])
-    if include_coinsurance:
-        paid = F.col("ALAS_PAID") + F.col("COINS_PAID")
-        incurred = F.col("TOTAL_INCURRED") + F.col("COINS_PAID") + F.col("COINS_RESERVE")
-        ground = F.col("GROUND_UP_PAID") + F.col("COINS_PAID")
-    else:
-        paid, incurred, ground = F.col("ALAS_PAID"), F.col("TOTAL_INCURRED"), F.col("GROUND_UP_PAID")
-    aggs = {
-        "CL01_COUNT": F.sum(open_flag()).alias("CL01_COUNT"),
-        "FIRM_PAID": F.sum("FIRM_PAID").alias("FIRM_PAID"),
-        "PAID_LOSS": F.sum(paid).alias("PAID_LOSS"),
-        "INCURRED_LOSS": F.sum(incurred).alias("INCURRED_LOSS"),
-        "GROUND_UP_PAID": F.sum(ground).alias("GROUND_UP_PAID"),
-    }
-    return (df.groupBy(*mcols, *grpcols)
-            .agg(*[aggs[c] for c in fincols])
-            .select(*mcols, *grpcols, *fincols))
+
+def money(gross: bool = False) -> dict[str, Column]:
+    """The money measures by name, net or gross of coinsurance."""
+    out = {}
+    for name, parts in NET_OF.items():
+        total = None
+        for c in [*parts, *(COINSURANCE_OF.get(name, []) if gross else [])]:
+            total = F.col(c) if total is None else total + F.col(c)
+        out[name] = total
+    return out
+
+
+def totals(rows: DataFrame, by: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+    """One row per combination of ``by`` with the sum of every measure."""
+    return rows.groupBy(*by).agg(*(F.sum(expr).alias(name) for name, expr in measures.items()))
 
 
 def period_change(df: DataFrame, mcols: Sequence[str], grpcols: Sequence[str],
@@ -130,16 +123,13 @@ def raw_snapshots(snapshots: DataFrame, raw_matters: DataFrame) -> DataFrame:
                                         "MONTH_END IS NOT NULL AND QUARTER_END IS NOT NULL"}))
 
 
-def minify(lookup: DataFrame, code: str, group: str) -> DataFrame:
-    """One representative code per group: the smallest (deterministic)."""
-    return lookup.groupBy(group).agg(F.min(code).alias(code))
-
-
 def code_map(lookup: DataFrame, code: str, group: str) -> DataFrame:
-    """code -> representative code of its group (one row per code; a code of
-    several groups belongs to the smallest)."""
-    rep = minify(lookup, code, group).withColumnRenamed(code, "_rep")
-    return lookup.groupBy(code).agg(F.min(group).alias(group)).join(rep, on=group, how="left").select(code, "_rep")
+    """``code, _rep``: code -> representative (smallest) code of its group, one
+    row per code; a code of several groups belongs to the smallest one. The
+    lookup is read once."""
+    rep = F.min(code).over(Window.partitionBy(group))
+    pairs = lookup.select(code, group).distinct().withColumn("_rep", rep)
+    return pairs.groupBy(code).agg(F.min_by("_rep", group).alias("_rep"))
 
 
 def conform(df: DataFrame, code: str, lookup: DataFrame, group: str,
@@ -148,11 +138,11 @@ def conform(df: DataFrame, code: str, lookup: DataFrame, group: str,
 
     ``lookup`` maps code -> group. ``choose(rep)`` turns the representative
     column into the final value (default: the representative itself). The
-    code map is counted, and broadcast when its row count proves it small, so
-    the fact side is joined once and never shuffled for it; the map is unique
-    per code, so the left join cannot fan out.
+    lookup, which may be derived from a large table, is read once: the code map
+    is written to the shared folder and broadcast if its files are small. It is
+    unique per code, so the left join cannot fan out. NULL codes have no group.
     """
-    mapping = broadcast_bounded(code_map(lookup, code, group))
+    mapping = broadcast_if_small(materialize(code_map(lookup.where(F.col(code).isNotNull()), code, group), "code-map"))
     out = df.join(mapping, on=code, how="left")
     new = choose(F.col("_rep")) if choose else F.col("_rep")
     return out.select(*[new.alias(code) if c == code else F.col(c) for c in df.columns])
@@ -190,42 +180,59 @@ def bronze_snapshots(raw: DataFrame, aop_lookup: DataFrame, cause_lookup: DataFr
             .transform(conform_cause, cause_lookup))
 
 
-def select_periods(df: DataFrame, month_end=None) -> DataFrame:
+def select_periods(df: DataFrame, month_end=None, newest: DataFrame | None = None) -> DataFrame:
     """Quarter-end rows plus the rows of one open month.
 
-    ``month_end`` is a date/ISO string, ``"latest"`` (the newest MONTH_END in
-    ``df``, computed as a scalar subquery), or None for quarter ends only.
-    A month that is itself a quarter end is counted once.
+    ``month_end`` is a date/ISO string, ``"latest"`` (the newest MONTH_END, as
+    a scalar subquery over ``newest``, which defaults to ``df``), or None for
+    quarter ends only. A month that is itself a quarter end is counted once.
     """
     cond = F.col("MONTH_END") == F.col("QUARTER_END")
     if month_end is not None:
         if month_end == "latest":
-            target = df.agg(F.max("MONTH_END")).scalar()
+            target = (df if newest is None else newest).agg(F.max("MONTH_END")).scalar()
         else:
             target = F.lit(month_end).cast("date")
         cond = cond | (F.col("MONTH_END") == target)
     return df.where(cond)
 
 
-_MONEY_SUMS = ["FIRM_PAID", "PAID_LOSS", "INCURRED_LOSS", "GROUND_UP_PAID"]
+GOLD_KEYS = ["LOB_SK", "AOP_SK", "PRIMARY_CAUSE_OF_LOSS_SK", "CLAIMANT_TYPE_SK"]
+_MONEY_SUMS = list(NET_OF)
+
+
+def month_totals(bronze: DataFrame) -> DataFrame:
+    """Money totals per month and reporting keys, of both lines in one pass.
+
+    Every row gets its keys first (primary line: LOB 1, its AOP, claimant -2;
+    supplemental lines: LOB 4, AOP -2, its claimant; rows of no line have NULL
+    keys and only tell their month). Months x keys is small however many
+    snapshots there are, so periods are chosen here and not on the facts."""
+    lob, na = F.col("LOB_SK"), F.lit(NOT_APPLICABLE).cast("bigint")
+    primary, other = lob == PRIMARY_LOB, lob > PRIMARY_LOB
+    keys = {"LOB_SK": F.when(primary, F.lit(PRIMARY_LOB)).when(other, F.lit(SUPPLEMENTAL_LOB)).cast("bigint"),
+            "AOP_SK": F.when(primary, F.col("AOP_SK")).when(other, na),
+            "PRIMARY_CAUSE_OF_LOSS_SK": F.when(primary | other, F.col("PRIMARY_CAUSE_OF_LOSS_SK")),
+            "CLAIMANT_TYPE_SK": F.when(primary, na).when(other, F.col("CLAIMANT_TYPE_SK"))}
+    rows = bronze.select("MONTH_END", "QUARTER_END", *(e.alias(k) for k, e in keys.items()), *dict.fromkeys(c for cols in NET_OF.values() for c in cols))
+    return totals(rows, ["MONTH_END", "QUARTER_END", *GOLD_KEYS], money())
+
+
+def gold_aggregate(bronze: DataFrame, month_end=None) -> DataFrame:
+    """Quarterly totals of both lines from one pass over ``bronze``. For the
+    latest month the month totals are written once, as they are read for the
+    newest month and for the totals."""
+    months = month_totals(bronze)
+    if month_end == "latest":
+        months = materialize(months, "month-totals")
+    chosen = select_periods(months, month_end).where("LOB_SK IS NOT NULL")
+    out = totals(chosen, ["QUARTER_END", *GOLD_KEYS], {c: F.col(c) for c in _MONEY_SUMS})
+    return expect_or_fail(out, {"no null dates": "QUARTER_END IS NOT NULL"})
 
 
 def silver_aggregate(bronze: DataFrame, primary: bool, month_end=None) -> DataFrame:
     """Quarterly money totals for the primary line or the supplemental lines."""
-    snaps = select_periods(bronze, month_end)
-    if primary:
-        snaps = snaps.where(F.col("LOB_SK") == PRIMARY_LOB)
-        grp = ["PRIMARY_CAUSE_OF_LOSS_SK", "AOP_SK"]
-        consts = {"LOB_SK": F.lit(PRIMARY_LOB).cast("bigint"),
-                  "CLAIMANT_TYPE_SK": F.lit(NOT_APPLICABLE).cast("bigint")}
-    else:
-        snaps = snaps.where(F.col("LOB_SK") > PRIMARY_LOB)
-        grp = ["PRIMARY_CAUSE_OF_LOSS_SK", "CLAIMANT_TYPE_SK"]
-        consts = {"LOB_SK": F.lit(SUPPLEMENTAL_LOB).cast("bigint"),
-                  "AOP_SK": F.lit(NOT_APPLICABLE).cast("bigint")}
-    out = (aggregate_snapshots(snaps, grp, mcols=["QUARTER_END"], fincols=_MONEY_SUMS)
-           .withColumns(consts))
-    return expect_or_fail(out, {"no null dates": "QUARTER_END IS NOT NULL"})
+    return gold_aggregate(bronze, month_end).where(F.col("LOB_SK") == (PRIMARY_LOB if primary else SUPPLEMENTAL_LOB))
 
 
 def silver_emergence(silver_agg: DataFrame, primary: bool) -> DataFrame:
@@ -252,33 +259,6 @@ def open_counts(bronze: DataFrame, primary: bool) -> DataFrame:
             .withColumns(consts))
 
 
-def gold_aggregate(bronze: DataFrame, month_end=None) -> DataFrame:
-    """Quarterly totals of both lines in one aggregation.
-
-    Each row gets its output keys first (primary line: LOB 1, its AOP,
-    claimant -2; supplemental lines: LOB 4, AOP -2, its claimant), so one
-    scan and one shuffle serve what the per-line silver tables compute in two.
-    """
-    lob = F.col("LOB_SK")
-    primary = lob == PRIMARY_LOB
-    na = F.lit(NOT_APPLICABLE).cast("bigint")
-    keyed = (select_periods(bronze, month_end)
-             .where(lob >= PRIMARY_LOB)
-             .select("QUARTER_END", "PRIMARY_CAUSE_OF_LOSS_SK",
-                     F.when(primary, F.lit(PRIMARY_LOB)).otherwise(F.lit(SUPPLEMENTAL_LOB))
-                     .cast("bigint").alias("LOB_SK"),
-                     F.when(primary, F.col("AOP_SK")).otherwise(na).alias("AOP_SK"),
-                     F.when(primary, na).otherwise(F.col("CLAIMANT_TYPE_SK")).alias("CLAIMANT_TYPE_SK"),
-                     "FIRM_PAID", "ALAS_PAID", "TOTAL_INCURRED", "GROUND_UP_PAID", "MATTER_CATEGORY_SK",
-                     "MATTER_STATUS_CODE"))
-    out = aggregate_snapshots(keyed, ["LOB_SK", "AOP_SK", "PRIMARY_CAUSE_OF_LOSS_SK", "CLAIMANT_TYPE_SK"],
-                              mcols=["QUARTER_END"], fincols=_MONEY_SUMS)
-    return expect_or_fail(out, {"no null dates": "QUARTER_END IS NOT NULL"})
-
-
-GOLD_KEYS = ["LOB_SK", "AOP_SK", "PRIMARY_CAUSE_OF_LOSS_SK", "CLAIMANT_TYPE_SK"]
-
-
 def gold_cumulative(bronze: DataFrame, month_end=None) -> DataFrame:
     """Quarterly cumulative totals of the primary and supplemental lines."""
     return gold_aggregate(bronze, month_end).select(*GOLD_COLUMNS)

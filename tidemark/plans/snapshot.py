@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.operators import snapshots as snap
-from tidemark.session import materialize
 from tidemark.sources.tables import tables
 
 QUERIES: dict = {}
@@ -135,15 +134,10 @@ FROM {t}"""
 ROW_MONEY = ["FIRM_PAID", "ALAS_PAID", "TOTAL_INCURRED", "GROUND_UP_PAID", "COINS_PAID", "COINS_RESERVE"]
 # ---------------------------------------------------------------- builders
 
-def _bronze(spark, sf_dir, materialized=False):
-    """The bronze layer. ``materialized`` writes it once to the shared
-    checkpoint folder (as the layer's table would be) for queries that read
-    it more than once -- the latest-month subquery plus the aggregation --
-    instead of recomputing its joins and de-duplication per reader."""
+def _bronze(spark, sf_dir):
+    """The bronze layer; its readers take it once, so it is not written."""
     t = tables(spark, sf_dir)
-    raw = snap.raw_snapshots(t.snapshots(), t.raw_matters())
-    b = snap.bronze_snapshots(raw, t.aop_lookup(), t.cause_lookup())
-    return materialize(b) if materialized else b
+    return snap.bronze_snapshots(_raw(spark, sf_dir), t.aop_lookup(), t.cause_lookup())
 
 
 def _rows_out(df):
@@ -248,13 +242,13 @@ def _raw(spark, sf_dir):
 
 @register("snapshot_aggregate", _agg_sql(False))
 def q_snapshot_aggregate(spark, sf_dir):
-    out = snap.aggregate_snapshots(_raw(spark, sf_dir), ["LOB_SK"])
+    out = snap.totals(_raw(spark, sf_dir), ["MONTH_END", "QUARTER_END", "LOB_SK"], {**snap.money(), "CL01_COUNT": snap.open_flag()})
     return snap.money_to_double(out).withColumn("CL01_COUNT", F.col("CL01_COUNT").cast("bigint"))
 
 
 @register("snapshot_aggregate_gross", _agg_sql(True))
 def q_snapshot_aggregate_gross(spark, sf_dir):
-    out = snap.aggregate_snapshots(_raw(spark, sf_dir), ["LOB_SK"], include_coinsurance=True)
+    out = snap.totals(_raw(spark, sf_dir), ["MONTH_END", "QUARTER_END", "LOB_SK"], {**snap.money(gross=True), "CL01_COUNT": snap.open_flag()})
     return snap.money_to_double(out).withColumn("CL01_COUNT", F.col("CL01_COUNT").cast("bigint"))
 
 
@@ -326,7 +320,8 @@ def q_snapshots_bronze(spark, sf_dir):
 @register("select_periods", BRONZE_CTE + PERIODS_CTE + """
 SELECT MATTER_SK, MONTH_END, QUARTER_END, LOB_SK FROM periods""")
 def q_select_periods(spark, sf_dir):
-    return snap.select_periods(_bronze(spark, sf_dir, materialized=True), "latest") \
+    # rows are only dropped for others of their month, so the raw layer's newest month is bronze's
+    return snap.select_periods(_bronze(spark, sf_dir), "latest", _raw(spark, sf_dir)) \
         .select("MATTER_SK", "MONTH_END", "QUARTER_END", "LOB_SK")
 
 
@@ -334,25 +329,25 @@ def q_select_periods(spark, sf_dir):
 
 @register("silver_agg_primary", SILVER_CTE + "\n" + GOLD_SELECT.format(t="agg_p"))
 def q_silver_agg_primary(spark, sf_dir):
-    return snap.money_to_double(snap.silver_aggregate(_bronze(spark, sf_dir, materialized=True), True, "latest")
+    return snap.money_to_double(snap.silver_aggregate(_bronze(spark, sf_dir), True, "latest")
                                 .select(*snap.GOLD_COLUMNS))
 
 
 @register("silver_agg_supp", SILVER_CTE + "\n" + GOLD_SELECT.format(t="agg_s"))
 def q_silver_agg_supp(spark, sf_dir):
-    return snap.money_to_double(snap.silver_aggregate(_bronze(spark, sf_dir, materialized=True), False, "latest")
+    return snap.money_to_double(snap.silver_aggregate(_bronze(spark, sf_dir), False, "latest")
                                 .select(*snap.GOLD_COLUMNS))
 
 
 @register("silver_mom_primary", EMERGE_CTE + "\n" + GOLD_SELECT.format(t="mom_p"))
 def q_silver_mom_primary(spark, sf_dir):
-    agg = snap.silver_aggregate(_bronze(spark, sf_dir, materialized=True), True, "latest")
+    agg = snap.silver_aggregate(_bronze(spark, sf_dir), True, "latest")
     return snap.money_to_double(snap.silver_emergence(agg, True).select(*snap.GOLD_COLUMNS))
 
 
 @register("silver_mom_supp", EMERGE_CTE + "\n" + GOLD_SELECT.format(t="mom_s"))
 def q_silver_mom_supp(spark, sf_dir):
-    agg = snap.silver_aggregate(_bronze(spark, sf_dir, materialized=True), False, "latest")
+    agg = snap.silver_aggregate(_bronze(spark, sf_dir), False, "latest")
     return snap.money_to_double(snap.silver_emergence(agg, False).select(*snap.GOLD_COLUMNS))
 
 
@@ -386,10 +381,10 @@ def q_open_counts_supp(spark, sf_dir):
 @register("gold_cumulative", SILVER_CTE + "\n" + GOLD_SELECT.format(t="agg_p")
           + "\nUNION ALL\n" + GOLD_SELECT.format(t="agg_s"))
 def q_gold_cumulative(spark, sf_dir):
-    return snap.money_to_double(snap.gold_cumulative(_bronze(spark, sf_dir, materialized=True), "latest"))
+    return snap.money_to_double(snap.gold_cumulative(_bronze(spark, sf_dir), "latest"))
 
 
 @register("gold_emergence", EMERGE_CTE + "\n" + GOLD_SELECT.format(t="mom_p")
           + "\nUNION ALL\n" + GOLD_SELECT.format(t="mom_s"))
 def q_gold_emergence(spark, sf_dir):
-    return snap.money_to_double(snap.gold_emergence(_bronze(spark, sf_dir, materialized=True), "latest"))
+    return snap.money_to_double(snap.gold_emergence(_bronze(spark, sf_dir), "latest"))
