@@ -98,6 +98,21 @@ def test_merge_upsert_and_idempotence(spark):
     assert sorted(map(tuple, only_name.collect())) == [(1, "a", 10), (2, "B", 20), (3, "c", 30)]
 
 
+def test_merge_with_separate_update_and_insert_columns(spark):
+    t, s = _tgt_src(spark)
+    s = s.withColumnRenamed("name", "label")
+    out = ch.merge(t, s, ["id"], update={"name": "label"}, insert={"n": F.col("n") * 2})
+    assert sorted(map(tuple, out.collect())) == [(1, "a", 10), (2, "B", 20), (3, "c", 30), (4, None, 80)]
+    nulls = s.withColumn("label", F.lit(None).cast("string"))
+    assert {r.id: r.name for r in ch.merge(t, nulls, ["id"], update={"name": "label"}, insert=False).collect()} == {1: "a", 2: None, 3: "c"}
+
+
+def test_email_domains(spark):
+    from tidemark.operators import privacy as pv
+    df = spark.createDataFrame([("a@B.example",), ("none",), (None,), ("x@y@z.org",)], "e string")
+    assert [r.d for r in pv.generalize(df, domains={"d": "e"}).collect()] == ["b.example", None, None, "z.org"]
+
+
 def test_merge_rejects_duplicate_source_keys(spark):
     t, _ = _tgt_src(spark)
     dup = spark.createDataFrame([(2, "x", 1), (2, "y", 2)], "id int, name string, n int")

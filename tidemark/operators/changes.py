@@ -28,37 +28,46 @@ def _latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
-          update: Sequence[str] | None = None, insert: bool = True) -> DataFrame:
-    """MERGE INTO target USING source ON keys: matched rows take the source's
-    ``update`` columns (default: all non-key columns), unmatched source rows
-    are inserted when ``insert``; other target rows are kept.
+Values = Sequence[str] | Mapping[str, str | Column]
+
+
+def _values(spec: Values, source: DataFrame) -> dict[str, Column]:
+    """Target column -> expression over the source."""
+    items = spec.items() if isinstance(spec, Mapping) else ((c, c) for c in spec)
+    return {c: F.col(e) if isinstance(e, str) else e for c, e in items if not isinstance(e, str) or e in source.columns}
+
+
+def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Values | None = None,
+          insert: bool | Values = True) -> DataFrame:
+    """MERGE INTO target USING source ON keys. Matched rows take the ``update``
+    columns, unmatched source rows are inserted with the ``insert`` columns
+    (the others NULL), other target rows are kept. Both are lists of columns,
+    or ``{target column: source column or expression over the source}``; by
+    default all non-key columns. ``insert=False`` inserts nothing.
 
     A key that appears more than once in ``source`` aborts the job from the
-    executor (``raise_error``), as a SQL MERGE does.
+    executor (``raise_error``), as a SQL MERGE does. Source rows are counted by
+    a grouped aggregate, so a hot key is combined before the shuffle.
     """
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys]
-    update = list(update if update is not None else cols)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    src = (source.withColumn("_n", n)
-           .withColumn("_chk", F.when(F.col("_n") > 1, F.raise_error(F.lit("merge: duplicate source key"))))
-           .where(F.col("_chk").isNull())
-           .select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c in source.columns],
-                   F.lit(True).alias("_in_s")))
+    new = _values(cols if update is None else update, source)
+    added = _values(cols if insert is True or insert is False else insert, source)
+    src = source.select(*keys, F.struct(F.lit(True).alias("_"), *(e.alias(c) for c, e in new.items())).alias("_u"),
+                        F.struct(F.lit(True).alias("_"), *(e.alias(c) for c, e in added.items())).alias("_i")) \
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first("_u").alias("_u"), F.first("_i").alias("_i")) \
+        .withColumn("_chk", F.when(F.col("_n") > 1, F.raise_error(F.lit("merge: duplicate source key")))) \
+        .where(F.col("_chk").isNull()).select(*keys, "_u", "_i")
     tgt = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
     j = tgt.join(src, on=keys, how="full_outer")
-    if not insert:
+    if insert is False:
         j = j.where(F.col("_in_t").isNotNull())
     out = []
     for c in cols:
-        s = F.col(f"_s_{c}") if c in source.columns else F.lit(None)
-        matched = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
-        if c in update:
-            v = F.when(F.col("_in_t").isNull(), s).when(matched, s).otherwise(F.col(f"_t_{c}"))
-        else:
-            v = F.when(F.col("_in_t").isNull(), s).otherwise(F.col(f"_t_{c}"))
-        out.append(v.cast(target.schema[c].dataType).alias(c))
+        old = F.col(f"_t_{c}")
+        fresh = F.col(f"_i.{c}") if c in added else F.lit(None)
+        kept = F.when(F.col("_u").isNotNull(), F.col(f"_u.{c}")).otherwise(old) if c in new else old
+        out.append(F.when(F.col("_in_t").isNull(), fresh).otherwise(kept).cast(target.schema[c].dataType).alias(c))
     return j.select(*keys, *out)
 
 

@@ -93,8 +93,10 @@ def band(col: str | Column, edges: Sequence[tuple[float, str]], top: str) -> Col
 
 
 def generalize(df: DataFrame, bands: Mapping[str, tuple[str, Sequence[tuple[float, str]], str]] = (),
-               prefixes: Mapping[str, tuple[str, int]] = (), months: Mapping[str, str] = ()) -> DataFrame:
-    """Bands for numbers, prefixes for codes, month truncation for dates."""
+               prefixes: Mapping[str, tuple[str, int]] = (), months: Mapping[str, str] = (),
+               domains: Mapping[str, str] = ()) -> DataFrame:
+    """Bands for numbers, prefixes for codes, month truncation for dates, and
+    of e-mail addresses the domain (NULL for text without one)."""
     out = {}
     for name, (col, edges, top) in dict(bands).items():
         out[name] = band(col, edges, top)
@@ -102,6 +104,8 @@ def generalize(df: DataFrame, bands: Mapping[str, tuple[str, Sequence[tuple[floa
         out[name] = F.substring(F.col(col), 1, n)
     for name, col in dict(months).items():
         out[name] = F.trunc(F.col(col), "month")
+    for name, col in dict(domains).items():
+        out[name] = F.when(F.instr(F.col(col), "@") > 0, F.lower(F.substring_index(F.col(col), "@", -1)))
     return df.withColumns(out)
 
 

@@ -89,6 +89,16 @@ def q_merge_upsert(spark, d):
     return _out(ch.merge(b, s, ["user_id"]))
 
 
+@register("merge_separate_columns", "WITH " + STATE3_SQL + """
+SELECT coalesce(b.user_id, s.user_id) AS user_id, CASE WHEN b.user_id IS NULL THEN NULL WHEN s.user_id IS NULL THEN b.n_events ELSE s.n_events + 1000 END AS n_events,
+       CAST(CASE WHEN b.user_id IS NULL THEN s.total_value ELSE b.total_value END AS DOUBLE) AS total_value
+FROM b FULL OUTER JOIN s ON b.user_id = s.user_id""")
+def q_merge_separate_columns(spark, d):
+    # matched rows take one set of columns, new rows another
+    b, _, s = _states(spark, d)
+    return _out(ch.merge(b, s, ["user_id"], update={"n_events": F.col("n_events") + 1000}, insert=["total_value"]))
+
+
 @register("merge_insert_only", "WITH " + STATE3_SQL + """
 SELECT user_id, n_events, CAST(total_value AS DOUBLE) AS total_value FROM b
 UNION ALL

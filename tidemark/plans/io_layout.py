@@ -88,12 +88,14 @@ def q_text_lines(spark, d):
     return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("binary_inventory")
+@register("binary_inventory", """
+SELECT lang, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes, count(DISTINCT lang) <= 1 AS whole FROM documents WHERE text IS NOT NULL GROUP BY lang""")
 def q_binary_inventory(spark, d):
+    # text files read back as bytes: a line break ends each text
     path = scratch_path(spark, "binary")
-    T(spark, d).documents.repartition(4).write.mode("overwrite").parquet(path)
-    b = fs.read(spark, path, "binaryFile", pathGlobFilter="*.parquet")
-    return b.select("path", "length", "modificationTime")
+    T(spark, d).documents.where("text IS NOT NULL").select("lang", "text").write.partitionBy("lang").option("maxRecordsPerFile", 10_000).text(path)
+    b = fs.read(spark, path, "binaryFile", pathGlobFilter="*.txt")
+    return b.groupBy("lang").agg(F.sum("length").alias("n_bytes"), F.bool_and(F.col("length") == F.octet_length("content")).alias("whole"))
 
 
 # Order priority labels (a small literal lookup table).
@@ -179,6 +181,9 @@ def q_partitioned_write(spark, d):
         F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double").alias("revenue"))
 
 
+BUCKET_BYTES = 4 * 1024 * 1024   # of a file or bucket of these queries; a multiple of it at larger scale
+
+
 @register("bucketed_join", """
 SELECT o.o_orderstatus, count(*) AS n_lines FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 GROUP BY o.o_orderstatus""")
@@ -186,8 +191,9 @@ def q_bucketed_join(spark, d):
     return bucketed_join_frame(spark, d).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
-def bucketed_join_frame(spark, d, buckets: int = 8):
+def bucketed_join_frame(spark, d, buckets: int | None = None):
     t = T(spark, d)
+    buckets = buckets or ly.partitions_for(ly.dir_bytes(spark, t.path("lineitem")), BUCKET_BYTES)
     tag = uuid.uuid4().hex[:10]
     base = scratch_path(spark, "bucketed")
     li, od = f"tm_lineitem_b_{tag}", f"tm_orders_b_{tag}"
@@ -212,7 +218,8 @@ def q_append_only_parity(spark, d):
     return out.result()
 
 
-@register("run_metrics")
+@register("run_metrics", """
+SELECT 'events_check' AS job, count(*) AS rows, count(*) FILTER (NOT coalesce(value > 0, false)) AS violations FROM events""")
 def q_run_metrics(spark, d):
     from tidemark.operators.quality import expect
     ev = T(spark, d).events
@@ -258,7 +265,8 @@ def q_shared_base_outputs(spark, d):
 @register("compact_files", "SELECT * FROM events")
 def q_compact_files(spark, d):
     src = scratch_path(spark, "small-files")
-    T(spark, d).events.repartition(40).write.mode("overwrite").parquet(src)
+    small = ly.partitions_for(ly.dir_bytes(spark, T(spark, d).path("events")), 64 * 1024)
+    T(spark, d).events.repartition(small).write.mode("overwrite").parquet(src)
     dst = scratch_path(spark, "compacted")
     ly.compact(spark, src, dst, target_bytes=64 * 1024 * 1024)
     return spark.read.parquet(dst)
@@ -269,7 +277,8 @@ def q_zorder_layout(spark, d):
     li = T(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
     li = li.withColumn("_day", F.unix_date(F.to_date("l_shipdate")))
     path = scratch_path(spark, "zorder")
-    ly.zorder(li, ["_day", "l_extendedprice"], partitions=8).drop("_day").write.mode("overwrite").parquet(path)
+    n = ly.partitions_for(ly.dir_bytes(spark, T(spark, d).path("lineitem")), BUCKET_BYTES)
+    ly.zorder(li, ["_day", "l_extendedprice"], partitions=n).drop("_day").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

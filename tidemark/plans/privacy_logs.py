@@ -63,6 +63,13 @@ def q_mask_email_tiers(spark, d):
     return e.select("doc_id", pv.email_mask_tier(F.col("email"), ["masked_access"]).alias("masked_email"))
 
 
+@register("email_domains", f"""
+SELECT doc_id, lower(split_part(email, '@', 2)) AS email_domain FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{E_SQL}')) AS email FROM documents)""")
+def q_email_domains(spark, d):
+    e = pv.extract_emails(T(spark, d).documents.select("doc_id", "text"), "text")
+    return pv.generalize(e, domains={"email_domain": "email"}).select("doc_id", "email_domain")
+
+
 @register("hash_ids", """
 SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR)) AS c_custkey_hash FROM customer""")
 def q_hash_ids(spark, d):
