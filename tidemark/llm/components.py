@@ -46,16 +46,18 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
+        last = stars
         stars = materialize(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(
             least.select("u", F.col("m").alias("v"))).distinct(), "components")
         after = _mark(stars)
-        if after == before:
+        # equal marks may be chance, so the edges themselves are compared then
+        if after == before and stars.join(last, ["u", "v"], "left_anti").isEmpty():
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = after
     raise RuntimeError("components did not settle")
 
 
-FIRST = 6                        # signatures of a node by which a pair is emitted once
+FIRST = 8                        # signatures of a node by which a pair is emitted once
 CROWD = 32                       # holders from which a signature's nodes are dealt anew
 EMPTY = 3                        # empty groups that a partition allows for
 SKETCH = ["p0", "p1", "p2", "p3"]                   # a set's parity sketch, 64 bits each
@@ -158,17 +160,18 @@ def close_links(held: DataFrame, sketches: DataFrame, percent: int, verify: Call
     differ = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in SKETCH)
     apart_enough = f"a.root <> b.root AND {near} AND ({100 + percent}) * ({differ}) <= {100 - percent} * (a.n + b.n)"
 
-    def pairs(rows: DataFrame, more: str = "") -> DataFrame:
-        met = rows.alias("a").join(rows.alias("b"), F.expr(f"a.sig = b.sig AND a.node < b.node AND {apart_enough}{more}"))
+    def pairs(rows: DataFrame) -> DataFrame:
+        # only the least signature that two nodes share gives their pair, of the first ones of each
+        least = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("least_sigs"))
+        rows = rows.join(least, "node")
+        once = "coalesce(array_min(array_intersect(a.least_sigs, b.least_sigs)), a.sig) >= a.sig"
+        met = rows.alias("a").join(rows.alias("b"), F.expr(f"a.sig = b.sig AND a.node < b.node AND {apart_enough} AND {once}"))
         return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
     few = pairs(open_.where("NOT crowd").drop("crowd"))
     dealt = materialize(resign(open_.where("crowd").select("node", "root").distinct()), "links-resigned")
     mixed = dealt.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    dealt = dealt.join(mixed, "sig")
-    # the least signatures of each node emit its pairs once
-    least = dealt.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("least_sigs"))
-    many = pairs(dealt.join(least, "node"), " AND coalesce(array_min(array_intersect(a.least_sigs, b.least_sigs)), a.sig) >= a.sig")
+    many = pairs(dealt.join(mixed, "sig"))
     rest = materialize(few.unionByName(many).distinct(), "links-rest")
     more = materialize(verify(rest), "links-more")
     if more.isEmpty():
