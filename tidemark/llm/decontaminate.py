@@ -1,11 +1,13 @@
 """Benchmark decontamination with DataFrame functions only.
 
 The benchmark's windows (runs of ``WINDOW`` normalised words; a shorter item is
-one window) form a hash set that is broadcast after a check of its row count
-(beyond ``BROADCAST_MAX_ROWS`` the same join shuffles). Every document window is
-hashed inside its row and looked up in the set; a hit is verified against the
-window's words, so hash collisions do not count. Texts are scanned once and
-never shuffled: only one small row per document and the hits are.
+one window) form a hash set that is broadcast after a check of its size. Every
+document window is hashed inside its row and looked up in the set; a hit is
+verified against the window's words, so hash collisions do not count. Texts are
+scanned once and never shuffled: only one small row per document and the hits
+are. For a benchmark of more than ``BROADCAST_BYTES`` the windows' hashes alone
+(document, place, hash; no words) are dealt out and looked up; the documents with
+hits are then read again and just their hit windows verified.
 
 Words: A-Z are lower-cased, then runs of characters other than ASCII
 non-alphanumerics. NULL and empty texts have no words; NULL or word-less items
@@ -20,9 +22,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import broadcast_bounded
+from tidemark.session import broadcast_if_small, materialize
 
 WINDOW = 10
+BROADCAST_BYTES = 64 * 1024 * 1024                       # of the benchmark's windows with their words and items
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"           # fixed value: what stands between words
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -82,16 +85,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     h = F.lit(None).cast("bigint")
     for k in lengths:
         h = F.when(F.size("win") == k, F.xxhash64(*[F.xxhash64(F.get("win", F.lit(i))) for i in range(k)])).otherwise(h)
-    hashed = broadcast_bounded(hashed.withColumn("key", h))
-    met = slots.join(hashed, F.col("h") == F.col("key"), "left").select(
-        "row", "doc_id", "text_hash", "n", "slot", at.alias("at"), length.alias("len"), "items",
-        F.when(F.col("slot") == 0, True).when(F.col("win").isNull(), False).otherwise(
-            F.slice("w", at + 1, length) == F.col("win")).alias("counts")).where("counts")
-    whole = met.groupBy("row").agg(
-        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.first("text_hash").alias("text_hash"),
-        F.first("n").cast("long").alias("n_words"),
-        F.collect_set(F.when(F.col("slot") > 0, F.struct(F.col("at").alias("s"), (F.col("at") + F.col("len")).alias("e")))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("slot") > 0, F.col("items")))))).alias("items"))
+    hashed = hashed.withColumn("key", h)
+    held = F.octet_length(F.array_join("win", " ")) + F.octet_length(F.array_join("items", ",")) + 16 * (F.size("win") + F.size("items") + 6)
+    spans = F.collect_set(F.when(F.col("slot") > 0, F.struct(F.col("at").alias("s"), (F.col("at") + F.col("len")).alias("e")))).alias("hits")
+    listed = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("slot") > 0, F.col("items")))))).alias("items")
+    if (hashed.agg(F.sum(held)).first()[0] or 0) <= BROADCAST_BYTES:
+        met = slots.join(F.broadcast(hashed), F.col("h") == F.col("key"), "left").select(
+            "row", "doc_id", "text_hash", "n", "slot", at.alias("at"), length.alias("len"), "items",
+            F.when(F.col("slot") == 0, True).when(F.col("win").isNull(), False).otherwise(
+                F.slice("w", at + 1, length) == F.col("win")).alias("counts")).where("counts")
+        whole = met.groupBy("row").agg(
+            F.first("doc_id", ignorenulls=True).alias("doc_id"), F.first("text_hash").alias("text_hash"),
+            F.first("n").cast("long").alias("n_words"), spans, listed)
+    else:
+        whole = _looked_up(rows, slots, materialize(hashed, "benchmark-windows"), at, length, spans, listed)
     merged = F.aggregate(
         F.array_sort("hits"), F.array().cast("array<struct<s:int,e:int>>"),
         lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]),
@@ -104,6 +111,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     return out.select("doc_id", "text_hash", "n_words", covered.alias("n_hit"), "items", "hit_spans")
 
 
+def window_hits(slots: DataFrame, windows: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, slot`` of the document windows whose hash is one of
+    ``windows``; no words are dealt out."""
+    asked = slots.where("h IS NOT NULL").select("doc_id", "text_hash", "slot", "h")
+    return asked.join(windows.select(F.col("key").alias("h")).distinct(), "h", "left_semi").select("doc_id", "text_hash", "slot").distinct()
+
+
+def _looked_up(rows: DataFrame, slots: DataFrame, windows: DataFrame, at: Column, length: Column, spans: Column, listed: Column) -> DataFrame:
+    """``doc_id, text_hash, n_words, hits, items`` of every document with a set
+    of windows too large to broadcast. Rows of equal id and text have equal hits."""
+    def same(x: DataFrame) -> Column:
+        return F.col("doc_id").eqNullSafe(x["__id"]) & F.col("text_hash").eqNullSafe(x["__hash"])
+
+    def named(x: DataFrame) -> DataFrame:
+        return x.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+
+    found = broadcast_if_small(named(materialize(window_hits(slots, windows), "benchmark-hits")))
+    # the hit windows themselves, a few words each
+    hit = rows.join(found, same(found)).select("doc_id", "text_hash", "slot", at.alias("at"), length.alias("len"), F.slice("w", at + 1, length).alias("own"),
+                                               F.get("hs", F.col("slot")).alias("h")).distinct()
+    met = hit.join(windows, (F.col("h") == F.col("key")) & (F.col("own") == F.col("win"))).groupBy("doc_id", "text_hash").agg(spans, listed)
+    met = broadcast_if_small(named(materialize(met, "benchmark-met")))
+    nothing = {"hits": F.array().cast("array<struct<s:int,e:int>>"), "items": F.array().cast("array<string>")}
+    return rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_words")).join(met, same(met), "left").select(
+        "doc_id", "text_hash", "n_words", *(F.coalesce(c, e).alias(c) for c, e in nothing.items()))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **options) -> DataFrame:
     """``docs`` without its contaminated documents, or (``remove="spans"``) with
     the hit words and the separators after them cut out of their texts. All
