@@ -24,19 +24,22 @@ def slices(data: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def pack_runs(rows: DataFrame, order: list[str], record: Callable[[pa.RecordBatch], np.ndarray], width: int, most: int, name: str) -> DataFrame:
+def pack_runs(rows: DataFrame, order: list[str], record: Callable[[pa.RecordBatch], np.ndarray], width: int | str, most: int, name: str) -> DataFrame:
     """``<key>, first, n, data``: pieces of at most ``most`` rows of one key that
     follow one another in ``order``. The key (not NULL) is the first column of
     ``order``; ``first`` is the place of a piece's first row among its key's
     rows; ``data`` holds a record of ``width`` bytes for each row, which
-    ``record`` makes of a batch as an array of bytes."""
+    ``record`` makes of a batch as an array of bytes. ``width`` may also name a
+    column, the same in all rows of a key, which the pieces keep."""
     key, kind = order[0], dict(rows.dtypes)[order[0]]
     arrow = {"bigint": pa.int64(), "string": pa.string()}[kind]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(key, *(c for c in rows.columns if c != key))
 
+    kept = [width] if isinstance(width, str) else []
+
     def pack(batches):
         part, now, done, first = TaskContext.get().partitionId(), None, 0, None
-        names = ["part", key, "first", "n", "data", "edge"]
+        names = ["part", key, "first", "n", "data", "edge", *kept]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -53,25 +56,28 @@ def pack_runs(rows: DataFrame, order: list[str], record: Callable[[pa.RecordBatc
             now, done = own[-1], int(before[-1] + size[-1])
             pieces = -(-size // most)
             turn, run = ragged(np.zeros(len(size), np.int64), pieces), np.repeat(np.arange(len(size)), pieces)
-            at = np.append(start[run] + turn * most, len(own)) * width
+            bytes_of = batch.column(batch.schema.names.index(width)).to_numpy().astype(np.int64) if kept else np.full(len(own), width)
+            at = np.append(0, np.cumsum(bytes_of))[np.append(start[run] + turn * most, len(own))]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(run), part, np.int32)), pa.array(own[start][run], arrow), pa.array(before[run] + turn * most),
-                pa.array(np.minimum(most, size[run] - turn * most)), slices(record(batch), at), pa.array(np.zeros(len(run), bool))], names=names)
+                pa.array(np.minimum(most, size[run] - turn * most)), slices(record(batch), at), pa.array(np.zeros(len(run), bool)),
+                *(pa.array(bytes_of[start][run]) for _ in kept)], names=names)
         if first is not None:
             ends = dict([first, (now, done)])                # its first and last key may go on elsewhere
             yield pa.RecordBatch.from_arrays([
                 pa.array([part] * len(ends), pa.int32()), pa.array(list(ends), arrow), pa.array([0] * len(ends), pa.int64()),
-                pa.array(list(ends.values()), pa.int64()), pa.nulls(len(ends), pa.binary()), pa.array([True] * len(ends))], names=names)
+                pa.array(list(ends.values()), pa.int64()), pa.nulls(len(ends), pa.binary()), pa.array([True] * len(ends)),
+                *(pa.nulls(len(ends), pa.int64()) for _ in kept)], names=names)
 
-    packed = materialize(dealt.mapInArrow(pack, f"part int, {key} {kind}, first long, n long, data binary, edge boolean"), name)
+    packed = materialize(dealt.mapInArrow(pack, f"part int, {key} {kind}, first long, n long, data binary, edge boolean" + "".join(f", {c} long" for c in kept)), name)
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = packed.where("edge").select(key, "part", F.sum("n").over(earlier).alias("earlier")).where("earlier IS NOT NULL")
     # bounded: at most two rows a partition
     return packed.where("NOT edge").drop("edge").join(F.broadcast(offsets), [key, "part"], "left") \
-        .select(key, (F.col("first") + F.coalesce("earlier", F.lit(0))).alias("first"), "n", "data")
+        .select(key, (F.col("first") + F.coalesce("earlier", F.lit(0))).alias("first"), "n", "data", *kept)
 
 
-def cut_runs(pieces: DataFrame, keys: list[str], size: int, width: int, into: str) -> DataFrame:
+def cut_runs(pieces: DataFrame, keys: list[str], size: int, width: int | str, into: str) -> DataFrame:
     """Pieces of ``pack_runs`` dealt anew: one row ``<keys>, <into>, data`` for
     each ``size`` rows of a key, numbered by ``into``."""
     cut = pieces.withColumn(into, F.explode(F.expr(f"sequence(first div {size}, greatest(first, first + n - 1) div {size})")))

@@ -7,8 +7,9 @@ that bound; otherwise the bound gives a local cosine threshold ``t = bound /
 (|q| * longest)``, and each query chooses its pruning in that bucket: with
 ``t >= COORDINATE_FROM`` coordinate pruning (candidates whose largest query
 coordinates lie outside the feasible range are dropped), else length pruning
-(candidates shorter than ``bound / |q|``). What is left is scored exactly, and
-the best k of every bucket are merged per query.
+(candidates shorter than ``bound / |q|``). What is left is scored exactly; a
+task merges the best k of its buckets per query, which raises the bound for the
+next ones, and the tasks' best are merged.
 
 Queries meet candidates in blocks, each pair of blocks in one row of a join, so
 no task holds more than two blocks. Scores are integers and exact: float64
@@ -24,63 +25,56 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.llm.runs import cut_runs, pack_runs, slices
+from tidemark.session import broadcast_if_small, materialize
 
 BUCKET = 8192
 QUERY_BLOCK = 512
 COORDINATE_FROM = 0.8            # local cosine threshold from which coordinates prune better than lengths
 FOCUS = 3                        # query coordinates looked at
+HELD_BLOCKS = 64                 # query blocks whose best a task keeps while it goes through buckets
 _BLOCK = "block long, dim int, longest double, ids binary, lengths binary, vecs binary"
 
 
 def _blocks_of(rows: DataFrame, most: int) -> DataFrame:
-    """Rows packed by length into blocks, longest first inside each range."""
-    # the id's hash in the range key splits a length that very many rows share
-    dealt = rows.withColumn("h", F.xxhash64("id")).repartitionByRange("dim", F.desc("length"), "h") \
-        .sortWithinPartitions("dim", F.desc("length"), "id").select("id", "dim", "length", "vec")
-
-    def pack(batches):
-        part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def out(batch):
-            nonlocal seq
-            seq += 1
-            lengths = batch.column(2).to_numpy()
-            return pa.RecordBatch.from_pydict({
-                "block": pa.array([(part << 32) + seq], pa.int64()), "dim": batch.column(1)[:1].cast(pa.int32()),
-                "longest": pa.array([float(lengths[0])]), "ids": pa.array([batch.column(0).to_numpy().astype(np.int64).tobytes()], pa.binary()),
-                "lengths": pa.array([lengths.astype(np.float64).tobytes()], pa.binary()),
-                "vecs": pa.array([_joined(batch.column(3).to_pylist(), 8 * batch.column(1)[0].as_py())], pa.binary())})
-
+    """Rows of one dimension and component width in blocks of ``most``, longest
+    first. Places are counted over all partitions, so blocks are full however
+    the rows were dealt."""
+    keyed = rows.select((F.col("dim") * 2 + (F.octet_length("vec") == F.col("dim") * 8).cast("int")).cast("long").alias("key"), (-F.col("length")).alias("down"),
+                        F.xxhash64("id").alias("h"), "id", "length", "vec", (F.octet_length("vec") + 16).cast("long").alias("width"))
+
+    def record(batch):
+        names = batch.schema.names
+        ids, lengths, vecs, width = (batch.column(names.index(c)) for c in ("id", "length", "vec", "width"))
+        width = width.to_numpy()
+        out, cut = [], np.flatnonzero(np.diff(width)) + 1
+        for a, b in zip(np.append(0, cut).tolist(), np.append(cut, len(width)).tolist()):
+            x = np.empty((b - a, int(width[a])), np.uint8)
+            x[:, :8] = ids[a:b].to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8)
+            x[:, 8:16] = lengths[a:b].to_numpy().astype("<f8").view(np.uint8).reshape(-1, 8)
+            x[:, 16:] = np.frombuffer(b"".join(vecs[a:b].to_pylist()), np.uint8).reshape(b - a, -1)
+            out.append(x.reshape(-1))
+        return np.concatenate(out)
+
+    # the id's hash in the order splits a length that very many rows share
+    pieces = pack_runs(keyed, ["key", "down", "h"], record, "width", most, "topk-pieces")
+    cut = cut_runs(pieces, ["key", "width"], most, "width", "at")
+
+    def unpack(batches):
         for batch in batches:
-            dims = batch.column(1).to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(dims)) + 1, [len(dims)]]) if len(dims) else [0]
-            for a, b in zip(edges, edges[1:]):
-                if held and held[0].column(1)[0].as_py() != int(dims[a]):
-                    yield out(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                    held, size = [], 0
-                while a < b:
-                    take = min(b - a, most - size)
-                    held.append(batch.slice(a, take))
-                    a, size = a + take, size + take
-                    if size == most:
-                        yield out(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                        held, size = [], 0
-        if held:
-            yield out(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-
-    return dealt.mapInArrow(pack, _BLOCK)
-
-
-def _joined(vecs: list[bytes], wide: int) -> bytes:
-    """Vectors of 32-bit components, or all of 64 bits if one has ``wide`` bytes."""
-    if any(len(v) == wide for v in vecs):
-        vecs = [v if len(v) == wide else np.frombuffer(v, np.int32).astype(np.int64).tobytes() for v in vecs]
-    return b"".join(vecs)
+            for key, width, at, data in zip(*(batch.column(i) for i in range(4))):
+                key, width, at = key.as_py(), width.as_py(), at.as_py()
+                x = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, width)
+                lengths = np.ascontiguousarray(x[:, 8:16]).view("<f8").reshape(-1)
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([(key << 40) + at], pa.int64()), "dim": pa.array([key // 2], pa.int32()), "longest": pa.array([float(lengths[0])]),
+                    "ids": pa.array([x[:, :8].tobytes()], pa.binary()), "lengths": pa.array([lengths.tobytes()], pa.binary()),
+                    "vecs": pa.array([x[:, 16:].tobytes()], pa.binary())})
+
+    return cut.select("key", "width", "at", "data").mapInArrow(unpack, _BLOCK)
 
 
 def _matrix(raw: bytes, dim: int, rows: int) -> np.ndarray:
@@ -133,31 +127,39 @@ def top_k(rows: DataFrame, k: int, is_query: Column, scale: float = 64.0, id_col
 
     def quantise(batches):
         for batch in batches:
-            out = {"id": [], "q": [], "dim": [], "length": [], "vec": []}
             v = batch.column(2)
-            for i in range(batch.num_rows):
-                item = v[i]
-                if not item.is_valid or not len(item.values) or item.values.null_count:
-                    continue
-                z = np.floor(item.values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
-                if not np.isfinite(item.values.to_numpy(zero_copy_only=False)).all():
-                    continue
-                largest = np.abs(z).max()
-                if largest >= 2.0 ** 63:
-                    raise ValueError(f"vector {batch.column(0)[i].as_py()} has a scaled component that passes 64 bits")
-                out["id"].append(batch.column(0)[i].as_py())
-                out["q"].append(bool(batch.column(1)[i].as_py()))
-                out["dim"].append(len(z))
-                out["length"].append(float(np.sqrt((z * z).sum())))
-                out["vec"].append(z.astype(np.int32 if largest < 2 ** 31 else np.int64).tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                [("id", pa.int64()), ("q", pa.bool_()), ("dim", pa.int32()), ("length", pa.float64()), ("vec", pa.binary())]))
+            if not batch.num_rows:
+                continue
+            v = v.filter(v.is_valid()) if v.null_count else v
+            own = batch.filter(batch.column(2).is_valid()) if batch.column(2).null_count else batch
+            size = v.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = v.flatten()
+            raw = flat.to_numpy(zero_copy_only=False).astype(np.float64)             # NULL becomes NaN
+            at = np.append(0, np.cumsum(size))
+            wrong = np.append(0, np.cumsum(~np.isfinite(raw)))
+            ok = (size > 0) & (wrong[at[1:]] == wrong[at[:-1]])
+            if not ok.any():
+                continue
+            z = np.floor(raw[np.repeat(ok, size)] * scale)
+            size, start = size[ok], np.append(0, np.cumsum(size[ok]))[:-1]
+            ids, asked = own.column(0).to_numpy()[ok], own.column(1).fill_null(False).to_numpy(zero_copy_only=False)[ok]
+            largest = np.maximum.reduceat(np.abs(z), start)
+            if (largest >= 2.0 ** 63).any():
+                raise ValueError(f"vector {ids[np.argmax(largest)]} has a scaled component that passes 64 bits")
+            length = np.sqrt(np.add.reduceat(z * z, start))
+            for some, kind in ((largest < 2 ** 31, np.int32), (largest >= 2 ** 31, np.int64)):
+                if some.any():
+                    vec = z[np.repeat(some, size)].astype(kind)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[some]), pa.array(asked[some]), pa.array(size[some].astype(np.int32)), pa.array(length[some]),
+                         slices(vec, np.append(0, np.cumsum(size[some])) * vec.itemsize)], names=["id", "q", "dim", "length", "vec"])
 
     packed = materialize(x.mapInArrow(quantise, "id long, q boolean, dim int, length double, vec binary"), "topk-vectors")
     buckets = materialize(_blocks_of(packed.drop("q"), BUCKET), "topk-buckets")
     asked = _blocks_of(packed.where("q").drop("q"), QUERY_BLOCK)
-    # bounded: one bucket per dimension, each of at most BUCKET rows
+    # one bucket per dimension, each of at most BUCKET rows; written, so that its size is known
     seeds = buckets.groupBy("dim").agg(F.max_by(F.struct("ids", "vecs", "longest"), F.struct("longest", -F.col("block"))).alias("s"))
+    seeds = broadcast_if_small(materialize(seeds, "topk-seeds"))
 
     def bounds(batches):
         for batch in batches:
@@ -179,7 +181,7 @@ def top_k(rows: DataFrame, k: int, is_query: Column, scale: float = 64.0, id_col
                                              names=[*batch.schema.names[:6], "need", "bound"])
 
     # a row pair holds two blocks, so an Arrow batch takes few of them
-    asked = materialize(asked.join(F.broadcast(seeds), "dim").select("block", "dim", "longest", "ids", "lengths", "vecs", "s")
+    asked = materialize(asked.join(seeds, "dim").select("block", "dim", "longest", "ids", "lengths", "vecs", "s")
                         .mapInArrow(bounds, _BLOCK + ", need double, bound binary"), "topk-queries")
     meta = buckets.select(F.col("block").alias("bucket"), "dim", F.col("longest").alias("reach"))
     pairs = asked.select("block", "dim", "need").join(meta, "dim").where("reach >= need").select("block", "bucket")
@@ -188,13 +190,32 @@ def top_k(rows: DataFrame, k: int, is_query: Column, scale: float = 64.0, id_col
         .select("block", "dim", "qid", "qlen", "q", "bound", "longest", "ids", "lengths", "vecs")
 
     def best(batches):
+        held: dict[int, list] = {}                       # by query block: ids of its queries, and the best of the buckets so far
+
+        def out():
+            for block, (qid, at, ids, score) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(at.astype(np.int32)), pa.array(qid[at]), pa.array(ids), pa.array(score)],
+                                                 names=["block", "at", "query_id", "vec_id", "score"])
+            held.clear()
+
         for batch in batches:
             for i in range(batch.num_rows):
                 block, dim, qid, qlen, q, bound, longest, ids, lengths, vecs = (batch.column(j)[i].as_py() for j in range(10))
                 qid, qlen, bound = np.frombuffer(qid, np.int64), np.frombuffer(qlen, np.float64), np.frombuffer(bound, np.float64)
                 ids, lengths = np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.float64)
                 q, c = _matrix(q, dim, len(qid)), _matrix(vecs, dim, len(ids))
-                out: list[list[np.ndarray]] = [[], [], [], []]
+                if block not in held:
+                    if len(held) >= HELD_BLOCKS:
+                        yield from out()
+                    z = np.zeros(0, np.int64)
+                    held[block] = [qid, z, z, z]
+                _, at, near, score = held[block]
+                if len(at):                              # what earlier buckets hold raises the bound
+                    full = np.bincount(at, minlength=len(q)) >= k
+                    kth = np.full(len(q), np.iinfo(np.int64).max)
+                    np.minimum.at(kth, at, score)
+                    bound = np.where(full, np.maximum(bound, kth.astype(np.float64) * (1 - np.sign(kth) * 1e-12)), bound)
+                parts = [(at, near, score)]
                 left = [survivors(q[j], qlen[j], bound[j], c, lengths, longest) for j in range(len(q))]
                 reach = float(qlen.max()) * longest
                 dense = np.array([len(s) * 4 > len(ids) for s in left], bool)
@@ -202,20 +223,20 @@ def top_k(rows: DataFrame, k: int, is_query: Column, scale: float = 64.0, id_col
                 row = np.cumsum(dense) - 1
                 for j, s in enumerate(left):
                     s = s[ids[s] != qid[j]]
-                    score = many[row[j]][s] if dense[j] else _products(q[j:j + 1], c[s], reach, np.bool_(False))[0]
-                    ok = score >= bound[j]
-                    s, score = s[ok], score[ok]
+                    x = many[row[j]][s] if dense[j] else _products(q[j:j + 1], c[s], reach, np.bool_(False))[0]
+                    ok = x >= bound[j]
+                    s, x = s[ok], x[ok]
                     if len(s) > k:
-                        kth = -np.partition(-score, k - 1)[k - 1]
-                        ok = score >= kth
-                        s, score = s[ok], score[ok]
-                    order = np.lexsort((ids[s], -score))[:k]
-                    n = len(order)
-                    for column, part in zip(out, (np.full(n, block, np.int64), np.full(n, j), ids[s[order]], score[order].astype(np.int64))):
-                        column.append(part)
-                cols = [np.concatenate(p) if p else np.zeros(0, np.int64) for p in out]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1].astype(np.int32)), pa.array(qid[cols[1]]),
-                                                  pa.array(cols[2]), pa.array(cols[3])], names=["block", "at", "query_id", "vec_id", "score"])
+                        ok = x >= -np.partition(-x, k - 1)[k - 1]
+                        s, x = s[ok], x[ok]
+                    parts.append((np.full(len(s), j), ids[s], x.astype(np.int64)))
+                at, near, score = (np.concatenate([p[n] for p in parts]) for n in range(3))
+                order = np.lexsort((near, -score, at))
+                at, near, score = at[order], near[order], score[order]
+                first = np.searchsorted(at, at)
+                keep = np.arange(len(at)) - first < k
+                held[block][1:] = [at[keep], near[keep], score[keep]]
+        yield from out()
 
     found = met.mapInArrow(best, "block long, at int, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("block", "at").orderBy(F.desc("score"), "vec_id"))
