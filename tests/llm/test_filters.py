@@ -220,3 +220,98 @@ def test_digest_of_spans(spark):
     assert len(got) == len(texts)
     for r in got:
         assert r.base_sha256 == hashlib.sha256(brute_spans(texts[r.doc_id]).encode()).hexdigest()
+
+
+def test_decontamination_without_a_broadcast_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(DC, "BROADCAST_BYTES", -1)
+    bench = spark.createDataFrame(bench_rows(), "item_id long, text string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_hit, r["items"]) for r in DC.contamination(odd_docs(spark), bench).collect())
+    assert got == brute_hits([(r[0], r[1]) for r in odd_rows()], bench_rows())
+    assert DC.contamination(odd_docs(spark, []), bench).count() == 0
+    assert DC.contamination(odd_docs(spark), bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+def test_only_hashes_of_windows_are_dealt_out(spark, monkeypatch):
+    seen = []
+    real = DC.window_hits
+    monkeypatch.setattr(DC, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(DC, "window_hits", lambda slots, windows: seen.append(real(slots, windows)) or seen[-1])
+    DC.contamination(odd_docs(spark), spark.createDataFrame(bench_rows(), "item_id long, text string"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = seen[0]._jdf.queryExecution().sparkPlan().toString() + seen[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    dealt = [c.dataType.simpleString() for c in seen[0].schema.fields]
+    assert dealt == ["bigint", "bigint", "int"] and "Exchange" in plan
+    asked = [x for x in plan.splitlines() if "isnotnull(h" in x or "left_semi" in x.lower()]
+    assert asked                                             # NULL hashes go before the join
+
+
+def brute_toxicity(rows, labels, tests):
+    """Fit and score in plain Python: hashed n-grams by the model's own hash, the rest by the formulas."""
+    import math
+    import numpy as np
+
+    def grams(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        return set(TX.features(data, np.array([0, len(data)]))[1].tolist())
+
+    y = {}
+    for d, t in labels:
+        if d is not None and t in (0, 1):
+            y[d] = max(t, y.get(d, 0))
+    docs = [(grams(t), y[d]) for d, t in rows if d in y]
+    n = [sum(c == k for c in y.values()) for k in (0, 1)]
+    d = [sum(c == k for _, c in docs) for k in (0, 1)]
+    count = {}
+    for g, c in docs:
+        for f in g:
+            count.setdefault(f, [0, 0])[c] += 1
+    kept = {}
+    for f, (a, b) in count.items():
+        p1, p0 = (b + 1) / (d[1] + 2), (a + 1) / (d[0] + 2)
+        ratio = math.log(p1 / (1 - p1)) - math.log(p0 / (1 - p0))
+        error = math.sqrt(1 / (b + 1) + 1 / (d[1] + 1 - b) + 1 / (a + 1) + 1 / (d[0] + 1 - a))
+        if abs(ratio / error) >= TX.LEAST_Z:
+            kept[f] = math.log(p1 / p0)
+    names = sorted(kept)
+    x = np.array([[kept[f] if f in g else 0.0 for f in names] for g, _ in docs])
+    target = np.array([c for _, c in docs], float)
+    w, b = np.zeros(len(names)), math.log((target.mean() + 1e-9) / (1 - target.mean() + 1e-9))
+    m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    for t in range(1, TX.STEPS + 1):
+        err = 1 / (1 + np.exp(-np.clip(x @ w + b, -40, 40))) - target
+        g = np.append(x.T @ err + TX.RIDGE * w * 0.1, err.sum()) / len(target)
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        step = 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    b += math.log(n[1] / n[0]) - math.log(d[1] / d[0])
+    weight = {f: w[i] * kept[f] for i, f in enumerate(names)}
+    return [1 / (1 + math.exp(-max(-40, min(40, b + sum(weight.get(f, 0.0) for f in grams(t)))))) for _, t in tests]
+
+
+def test_toxicity_equals_a_plain_fit_and_score(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(160):
+        bad = i % 3 == 0
+        rows.append((i, " ".join(rng.choice(["blork", "vex", "snarl"] if bad and rng.random() < .6 else ["tree", "river", "stone", "cloud", "é"]) for _ in range(rng.randrange(3, 25)))))
+    rows += [(200, None), (201, ""), (202, "blork blork"), (203, "river")]
+    labels = [(i, int(i % 3 == 0)) for i in range(130)] + [(200, 0), (None, 1), (7, None), (8, 1), (500, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = TX.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in TX.score(docs, model).collect()}
+    for (i, _), want in zip(rows, brute_toxicity(rows, labels, rows)):
+        assert abs(got[i] - want) < 1e-4, i
+
+
+def test_rows_of_one_labelled_id_are_one_of_the_sample(spark):
+    rows = [(1, f"text {i % 50}") for i in range(5000)] + [(2, "other")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    sample, n0, n1 = TX._labelled_sample(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    got = sample.collect()
+    assert len(got) == 2 and (n0, n1) == (1, 1)
+    again, _, _ = TX._labelled_sample(spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(7), labels)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again.collect()))

@@ -336,3 +336,12 @@ def test_linked_sets_share_a_partition_signature_and_parity_bounds_them():
         differ = sum(int(x).bit_count() for x in (parity_bits(base) ^ parity_bits(other)).view(np.uint64))
         assert (100 + percent) * differ <= (100 - percent) * (len(base) + len(other))
     assert linked > 500
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    text = " ".join(fresh(random.Random(40), 60))
+    df = spark.createDataFrame([(1, text, "a", 1), (2, text, "b", 2), (3, "other words", "c", 3)], "doc_id long, text string, removed string, `x.y` int")
+    kept = NJ.one_of_each(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    cut = PD.without_repeats(df, PD.substring_dedup(df))
+    assert cut.columns == df.columns and {r.doc_id: (r.text, r.removed) for r in cut.collect()} == {1: (text, "a"), 2: ("", "b"), 3: ("other words", "c")}

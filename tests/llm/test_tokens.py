@@ -156,10 +156,67 @@ def test_pieces_of_odd_table(spark):
     assert sorted(r.n_pieces for r in trip) == sorted(len(sp.encode(t or "")) for _, t, *_ in odd_rows())
 
 
+def hand_made_model(kind, seed, charmap, fallback, collapse):
+    """A model of random pieces and scores, many of them equal; nothing is trained."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    rng, m = random.Random(seed), pb.ModelProto()
+    rule = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc" if charmap else "identity")
+    spec = pb.ModelProto()
+    spec.ParseFromString(rule.serialized_model_proto())
+    m.normalizer_spec.CopyFrom(spec.normalizer_spec)
+    m.normalizer_spec.add_dummy_prefix, m.normalizer_spec.remove_extra_whitespaces, m.normalizer_spec.escape_whitespaces = True, collapse, True
+    m.trainer_spec.model_type, m.trainer_spec.byte_fallback = kind, fallback
+    for text, type_ in [("<unk>", SP.UNKNOWN), ("<s>", SP.CONTROL), ("</s>", SP.CONTROL)] + [(f"<0x{i:02X}>", SP.BYTE) for i in range(256) if fallback]:
+        m.pieces.add(piece=text, score=0.0, type=type_)
+    chars = "▁abcdefé1中K"
+    words = {"".join(rng.choice(chars) for _ in range(rng.choice([2, 2, 3, 4, 5]))) for _ in range(400)} | set(chars)
+    for w in sorted(words):
+        m.pieces.add(piece=w, score=-float(rng.choice([1, 2, 2.5, 3, 3.3, 7.123456])) * (1 if len(w) > 1 else 2), type=SP.NORMAL)
+    return m.SerializeToString()
+
+
+@pytest.mark.parametrize("charmap,fallback,collapse", [(False, False, False), (True, True, True), (True, False, True), (False, True, True), (True, True, False)])
+def test_unigram_models_with_character_maps_equal_library(tmp_path, texts, charmap, fallback, collapse):
+    raw = hand_made_model(SP.UNIGRAM, 5, charmap, fallback, collapse)
+    path = tmp_path / "hand.model"
+    path.write_bytes(raw)
+    sp, m = sentencepiece.SentencePieceProcessor(model_proto=raw), SP.Transducer(str(path))
+    rng = random.Random(9)
+    parts = list("abcdefé1中K   \t\n▁zÉ") + ["Ａｂ", "①", "ﬁ", "　", "K", "é", "<tag>", "ab ", "Ｋ", "가", "  ", "abc", "\u200b", "\u00a0", "\x01", "ｶﾞ", "㌔"]
+    for t in texts[:30] + ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]:
+        ids = sp.encode(t)
+        assert m.normalise(t) == sp.normalize(t), repr(t)
+        assert m.encode(t) == ids, repr(t)
+        assert m.decode(ids) == sp.decode(ids), repr(t)
+
+
+def test_unigram_model_over_a_table(spark, tmp_path):
+    raw = hand_made_model(SP.UNIGRAM, 6, True, True, True)
+    path = tmp_path / "hand.model"
+    path.write_bytes(raw)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    small = [r for r in odd_rows() if len(r[1] or "") < 50_000]
+    for r in SP.encode(odd_docs(spark, small), str(path)).collect():
+        assert list(r.piece_ids) == sp.encode(r.text or "")
+    trips = SP.round_trip(odd_docs(spark, small), str(path)).collect()
+    assert sorted(r.n_pieces for r in trips) == sorted(len(sp.encode(t or "")) for _, t, *_ in small)
+
+
+def test_pieces_query_equals_library(spark):
+    import struct
+    import zlib
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    for r in Q.op6_sentencepiece(spark, SF_SMALL).collect():
+        ids = sp.encode(docs[r.doc_id])
+        assert (r.n_pieces, r.n_byte_pieces, r.restored) == (len(ids), sum(sp.is_byte(i) for i in ids), True)
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
 def test_unigram_lattice_takes_the_shortest_path():
     m = object.__new__(SP.Transducer)
-    m.kind, m.longest, m.fallback, m.unknown = SP.UNIGRAM, 3, False, 0
+    m.kind, m.fallback, m.unknown, m.unknown_weight = SP.UNIGRAM, False, 0, -19.0
     m.spelling, m.score = ["<unk>", "a", "b", "ab", "abc", "bc"], [0, -1.0, -1.0, -1.5, -9.0, -1.2]
-    m.arcs = {p: i for i, p in enumerate(m.spelling) if i}
+    m.pieces = SP.Automaton([(p, (i, m.score[i])) for i, p in enumerate(m.spelling) if i])
     assert m.path("abc") == [1, 5]                            # a + bc = 2.2 beats ab + c and abc
     assert m.path("abz") == [3, 0]

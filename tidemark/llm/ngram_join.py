@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import RESIGNED, SKETCH, close_links, parity_bits, resigned
-from tidemark.llm.textblocks import blocks, lower_ascii, mix, span_hashes, words
+from tidemark.llm.textblocks import blocks, lean, lower_ascii, mix, span_hashes, words
 from tidemark.session import materialize
 
 MOST_FREQUENT = 2_000_000        # bound of the broadcast: cells of frequent tokens
@@ -98,7 +98,8 @@ def _unplane(raw: bytes, kind) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
 def _count_pass(docs: DataFrame, size: int) -> DataFrame:
@@ -155,8 +156,8 @@ def _count_pass(docs: DataFrame, size: int) -> DataFrame:
                 [pa.array(np.ones(keep.sum(), np.int32)), pa.array(cell[first][keep].astype(np.int64)), pa.array(total[keep]),
                  pa.nulls(int(keep.sum()), pa.int64()), pa.nulls(int(keep.sum()), pa.int64())], names=["kind", "key", "n", "node", "text_hash"])
 
-    dealt = docs.mapInArrow(scan, "r int, kind int, key long, n long, node long, text_hash long, cells binary, counts binary").repartition("r")
-    return materialize(dealt.drop("r").mapInArrow(gather, "kind int, key long, n long, node long, text_hash long"), "ngram-counts")
+    dealt = docs.mapInArrow(lean(scan), "r int, kind int, key long, n long, node long, text_hash long, cells binary, counts binary").repartition("r")
+    return materialize(dealt.drop("r").mapInArrow(lean(gather), "kind int, key long, n long, node long, text_hash long"), "ngram-counts")
 
 
 def _classes(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -298,8 +299,8 @@ def _signature_pass(docs: DataFrame, second: np.ndarray, third: np.ndarray, size
             yield pa.RecordBatch.from_arrays([*cols, *no_sketch(len(cols[0]))], names=["sig", "node", "n", "leader", *SKETCH])
 
     kept = "sig long, node long, n long, leader long, " + ", ".join(f"{c} long" for c in SKETCH)
-    dealt = docs.mapInArrow(scan, f"r int, {kept}, entries binary").repartition("r")
-    return materialize(dealt.drop("r").mapInArrow(gather, kept), "ngram-signatures")
+    dealt = docs.mapInArrow(lean(scan), f"r int, {kept}, entries binary").repartition("r")
+    return materialize(dealt.drop("r").mapInArrow(lean(gather), kept), "ngram-signatures")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -325,7 +326,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                     keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
-    return both.mapInArrow(check, "a long, b long")
+    return both.mapInArrow(lean(check), "a long, b long")
 
 
 def _resigned(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -336,7 +337,7 @@ def _resigned(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                 for r, s in shingle_sets(data, offsets, size):
                     yield resigned(batch.column(0)[first + r].as_py(), batch.column(1)[first + r].as_py(), s, percent)
 
-    return nodes.join(texts, "node").select("node", "root", "text").mapInArrow(run, RESIGNED)
+    return nodes.join(texts, "node").select("node", "root", "text").mapInArrow(lean(run), RESIGNED)
 
 
 def ngram_links(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -376,8 +377,8 @@ def one_of_each(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str =
     without words all stay. All columns stay."""
     found = ngram_components(docs, size, percent, id_col, text_col).where("doc_id IS NOT NULL AND doc_id <> component_id")
     gone = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    marked = docs.withColumns({"__own": F.col(id_col).cast("long"), "__text": F.xxhash64(text_col)})
+    marked, own = docs.withColumns({"__own": F.col(f"`{id_col}`").cast("long"), "__text": F.xxhash64(F.col(f"`{text_col}`"))}), [f"`{c}`" for c in docs.columns]
     left = marked.join(gone, (F.col("__own") == F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_anti")
     turn = F.row_number().over(Window.partitionBy("__own", "__text").orderBy("__text"))
     some = left.where("__own IS NOT NULL").withColumn("__turn", turn).where("__turn = 1")
-    return some.select(*docs.columns).unionByName(left.where("__own IS NULL").select(*docs.columns))
+    return some.select(*own).unionByName(left.where("__own IS NULL").select(*own))

@@ -487,9 +487,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_repeats(docs: DataFrame, removals: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removals of ``substring_dedup`` cut from their texts,
     matched by id and text; all rows and columns stay."""
-    gone = removals.where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "removed")
-    cut = F.aggregate("removed", F.struct(F.lit("").alias("t"), F.lit(0).cast("long").alias("at")), lambda acc, s: F.struct(
-        F.concat(acc["t"], F.substring(F.col(text_col), acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))).alias("t"),
-        s["end"].alias("at")), lambda acc: F.concat(acc["t"], F.substring(F.col(text_col), acc["at"].cast("int") + 1, F.char_length(text_col))))
-    both = docs.join(gone, (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__hash")), "left")
-    return both.withColumn(text_col, F.when(F.col("__id").isNotNull(), cut).otherwise(F.col(text_col))).select(*docs.columns)
+    gone = removals.where("n_removed > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__removed"))
+    text = F.col(f"`{text_col}`")
+    cut = F.aggregate("__removed", F.struct(F.lit("").alias("t"), F.lit(0).cast("long").alias("at")), lambda acc, s: F.struct(
+        F.concat(acc["t"], F.substring(text, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))).alias("t"),
+        s["end"].alias("at")), lambda acc: F.concat(acc["t"], F.substring(text, acc["at"].cast("int") + 1, F.char_length(text))))
+    both = docs.join(gone, (F.col(f"`{id_col}`").cast("long") == F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
+    return both.withColumn(text_col, F.when(F.col("__id").isNotNull(), cut).otherwise(text)).select(*(f"`{c}`" for c in docs.columns))

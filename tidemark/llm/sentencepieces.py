@@ -2,13 +2,17 @@
 
 ``compile_model`` turns a model file into the composed parts of one transducer:
 
-* the normaliser: escape of white space, dummy prefix, collapse of extra white
-  space where the model asks for it (models with a character map are refused);
-* the pieces: a dictionary of arcs, each spelling one piece;
-* byte fallback: a character that no piece spells becomes its bytes' pieces.
+* the normaliser: the model's character map as an automaton whose longest match
+  is rewritten, escape of white space, dummy prefix, collapse of extra white
+  space where the model asks for it (models with user-defined pieces are refused);
+* the pieces: an automaton over characters whose final states carry a piece and its weight;
+* byte fallback: a character that no piece spells becomes its bytes' pieces, or,
+  in models without it, the unknown piece, one for a run of such characters.
 
 Composing it with an input gives a lattice whose states are positions together
-with the last piece. Unigram models weigh an arc with its negated score. In a
+with the last piece. Unigram models weigh an arc with its negated score; sums
+are rounded as the library rounds them, and of equal paths to a position the
+first found stays, by start and then by length, so ties fall the same way. In a
 BPE model merges, not sums of scores, decide; there an arc that may not follow
 the last piece weighs infinity and every other arc 0. Two pieces may follow
 each other if merging their concatenation gives just those two, and a sequence
@@ -19,9 +23,11 @@ That argument needs every piece to be made of pieces merged before it. Pieces
 for which this fails (``irregular``; in practice runs of white space) are found
 when compiling, and a stretch of text that holds one is merged step by step.
 
-Texts are cut between characters that no piece holds side by side (such as
-before a space that follows another character, or around line breaks); the
-lattice is solved once per distinct stretch and worker. NULL and empty texts have no
+Texts of BPE models without a character map are cut between characters that no
+piece holds side by side (such as before a space that follows another character,
+or around line breaks); the lattice is solved once per distinct stretch and
+worker. Other models take texts whole, as rounding and runs go across such
+places. NULL and empty texts have no
 pieces; repeated rows each get a row.
 """
 
@@ -38,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tidemark.llm.bpe import MemoEncoder
-from tidemark.llm.textblocks import blocks, ragged
+from tidemark.llm.textblocks import blocks, lean, ragged
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
@@ -46,6 +52,74 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MOST_PAIRS = 1_000_000           # neighbour checks remembered per worker
 
 
+class Automaton:
+    """Strings as paths from state 0; the last state of each carries a value."""
+
+    def __init__(self, strings=()):
+        self.arcs: list[dict[str, int]] = [{}]
+        self.value: list = [None]
+        for text, value in strings:
+            state = 0
+            for c in text:
+                to = self.arcs[state].get(c)
+                if to is None:
+                    to = self.arcs[state][c] = len(self.arcs)
+                    self.arcs.append({})
+                    self.value.append(None)
+                state = to
+            self.value[state] = value
+
+    def matches(self, text: str, start: int):
+        """``(end, value)`` of all strings that stand at ``start``, shorter first."""
+        state, end, n = 0, start, len(text)
+        while end < n:
+            state = self.arcs[state].get(text[end])
+            if state is None:
+                return
+            end += 1
+            if self.value[state] is not None:
+                yield end, self.value[state]
+
+
+class CharacterMap:
+    """A model's compiled character map as an automaton: a double-array trie of
+    the strings to rewrite, and the texts they become, each ended by a zero byte."""
+
+    def __init__(self, blob: bytes):
+        size = int.from_bytes(blob[:4], "little")
+        self.units, self.texts = np.frombuffer(blob[4:4 + size], "<u4").tolist(), blob[4 + size:]
+        self.steps: dict[tuple[int, str], int | None] = {}
+
+    def _jump(self, at: int) -> int:
+        unit = self.units[at]
+        return (unit >> 10) << ((unit & 0x200) >> 6)
+
+    def _follow(self, at: int, c: str) -> int | None:
+        """The state after a character, or None."""
+        for byte in c.encode("utf-8", "replace"):
+            at ^= self._jump(at) ^ byte
+            if at >= len(self.units) or self.units[at] & 0x800000FF != byte:
+                return None
+        return at
+
+    def longest(self, text: str, start: int):
+        """``(end, rewritten)`` of the longest match at ``start``, or None."""
+        at, end, n, found = 0, start, len(text), None
+        while end < n:
+            key = (at, text[end])
+            if key not in self.steps:
+                if len(self.steps) >= MOST_PAIRS:
+                    self.steps.clear()
+                self.steps[key] = self._follow(*key)
+            at, end = self.steps[key], end + 1
+            if at is None:
+                break
+            if self.units[at] >> 8 & 1:
+                place = self.units[at ^ self._jump(at)] & 0x7FFFFFFF
+                found = end, self.texts[place:self.texts.index(b"\0", place)].decode("utf-8", "replace")
+        return found
+
+
 class Transducer:
     """The compiled model."""
 
@@ -55,9 +129,9 @@ class Transducer:
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
         norm, train = model.normalizer_spec, model.trainer_spec
-        if norm.precompiled_charsmap or train.treat_whitespace_as_suffix or not norm.escape_whitespaces \
-                or train.model_type not in (UNIGRAM, BPE) or any(p.type == USER for p in model.pieces):
+        if train.treat_whitespace_as_suffix or not norm.escape_whitespaces or train.model_type not in (UNIGRAM, BPE) or any(p.type == USER for p in model.pieces):
             raise ValueError("model kind is not supported")
+        self.rules = CharacterMap(norm.precompiled_charsmap) if norm.precompiled_charsmap else None
         self.kind, self.prefix, self.collapse = train.model_type, norm.add_dummy_prefix, norm.remove_extra_whitespaces
         self.spelling = [p.piece for p in model.pieces]
         self.score = [p.score for p in model.pieces]
@@ -70,6 +144,10 @@ class Transducer:
         self.fallback = train.byte_fallback and None not in self.bytes
         self.silent = {i for i, p in enumerate(model.pieces) if p.type in (CONTROL, UNUSED)}
         self.longest = max(map(len, self.arcs))
+        weights = [p.score for p in model.pieces if p.type == NORMAL]
+        self.unknown_weight = float(np.float32(np.float32(min(weights)) - np.float32(10.0)))
+        self.pieces = Automaton([(p, (i, self.score[i])) for p, i in self.arcs.items()])
+        self.whole = self.kind == UNIGRAM or self.rules is not None or self.collapse or not self.fallback
         # where a text may be cut: between two bytes that no piece holds side by side
         self.cut = np.zeros((256, 256), bool)
         pairs = {p[i:i + 2].replace(SPACE, " ") for p in self.arcs for i in range(len(p) - 1)}
@@ -213,22 +291,21 @@ class Transducer:
         return out[::-1]
 
     def _unigram_path(self, text: str) -> list[int]:
-        arcs, n, inf = self.arcs, len(text), float("inf")
-        unknown = -(min(self.score[i] for i in arcs.values()) - 10.0)
-        cost, back = [0.0] + [inf] * n, [None] * (n + 1)
+        """The shortest path in (min, +) of the pieces composed with ``text``,
+        as the highest sum of scores, which the library keeps in single precision."""
+        n, short = len(text), np.float32
+        best, back = [0.0] * (n + 1), [None] * (n + 1)
         for s in range(n):
-            if cost[s] == inf:
-                continue
-            single = False
-            for e in range(s + 1, min(n, s + self.longest) + 1):
-                p = arcs.get(text[s:e])
-                if p is not None:
-                    single |= e == s + 1
-                    w = cost[s] - self.score[p]
-                    if w < cost[e]:
-                        cost[e], back[e] = w, (s, p)
-            if not single and cost[s] + unknown < cost[s + 1]:
-                cost[s + 1], back[s + 1] = cost[s] + unknown, (s, -1)
+            single, here = False, best[s]
+            for e, (p, weight) in self.pieces.matches(text, s):
+                total = float(short(weight + here))
+                if back[e] is None or total > best[e]:
+                    best[e], back[e] = total, (s, p)
+                single |= e == s + 1
+            if not single:
+                total = float(short(self.unknown_weight + here))
+                if back[s + 1] is None or total > best[s + 1]:
+                    best[s + 1], back[s + 1] = total, (s, -1)
         out, e = [], n
         while e > 0:
             s, p = back[e]
@@ -237,26 +314,53 @@ class Transducer:
         return out[::-1]
 
     # -- whole texts ------------------------------------------------------------------
+    def _rewritten(self, text: str):
+        """The character map's output for ``text``, match by match."""
+        at, n = 0, len(text)
+        while at < n:
+            rule = self.rules.longest(text, at)
+            yield rule[1] if rule else text[at]
+            at = rule[0] if rule else at + 1
+
     def normalise(self, text: str) -> str:
-        if self.collapse:
-            text = " ".join(x for x in text.replace(SPACE, " ").split(" ") if x)
-        if not text:
+        if not self.collapse:
+            if not text:
+                return ""
+            text = text if self.rules is None else "".join(self._rewritten(text))
+            return ((" " if self.prefix else "") + text).replace(" ", SPACE)
+        out, after_space = [], True
+        for part in text if self.rules is None else self._rewritten(text):
+            if after_space:
+                part = part.lstrip(" ")
+            if part:
+                out.append(part)
+                after_space = part.endswith(" ")
+        if not out:
             return ""
-        return ((" " if self.prefix else "") + text).replace(" ", SPACE)
+        return ((" " if self.prefix else "") + "".join(out)).replace(" ", SPACE).rstrip(SPACE)
 
     def encode(self, text: str) -> list[int]:
-        return self.path(self.normalise(text))
+        ids = self.path(self.normalise(text))
+        if not self.fallback:
+            ids = [p for k, p in enumerate(ids) if p != self.unknown or k == 0 or ids[k - 1] != p]
+        return ids
 
     def decode(self, ids) -> str:
-        out = bytearray()
+        out, head = bytearray(), self.prefix or self.collapse
         for i in ids:
             piece = self.spelling[i]
             if i in self.silent:
                 continue
-            out += bytes([int(piece[3:5], 16)]) if self.bytes and piece.startswith("<0x") and i == self.bytes[int(piece[3:5], 16)] \
-                else b" \xe2\x81\x87 " if i == self.unknown else piece.encode("utf-8")
-        text = out.decode("utf-8", "replace").replace(SPACE, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+            if self.bytes and piece.startswith("<0x") and i == self.bytes[int(piece[3:5], 16)]:
+                out.append(int(piece[3:5], 16))
+            elif i == self.unknown:
+                out += b" \xe2\x81\x87 "
+            else:
+                if head and not out and piece.startswith(SPACE):
+                    # the dummy prefix; where white space collapses, all that pieces begin with before the first character
+                    piece, head = piece[1:], self.collapse
+                out += piece.encode("utf-8")
+        return out.decode("utf-8", "replace").replace(SPACE, " ")
 
 
 class LatticeEncoder(MemoEncoder):
@@ -272,7 +376,7 @@ class LatticeEncoder(MemoEncoder):
     def _cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(data)
         cut = np.zeros(n, bool)
-        if not self.machine.collapse:
+        if not self.machine.whole:
             cut[1:] = self.machine.cut[data[:-1], data[1:]]
         first = offsets[:-1]
         cut[first[first < n]] = True
@@ -330,7 +434,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(upto), pa.array(np.concatenate(ids)))],
                                              names=[*batch.schema.names, ids_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType()))]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType()))]))
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
@@ -348,6 +452,9 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "piece_ids", text_col:
                     out.append(None)
                     continue
                 i = ids.values.to_numpy(zero_copy_only=False)
+                if m.collapse:
+                    out.append(m.decode(i.tolist()))
+                    continue
                 text = flat[ragged(offsets[i], offsets[i + 1] - offsets[i])].tobytes().decode("utf-8", "replace")
                 out.append(text[1:] if m.prefix and text.startswith(" ") else text)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, text_col])
@@ -376,7 +483,7 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
                 raw = ids.astype("<u4")
                 for i in range(len(n)):
                     text = data[offsets[i]:offsets[i + 1]].tobytes()
-                    if m.collapse or SPACE.encode() in text:
+                    if m.collapse or m.rules is not None or SPACE.encode() in text:
                         text = m.normalise(text.decode("utf-8", "replace")).replace(SPACE, " ").encode("utf-8")
                     elif text and m.prefix:
                         text = b" " + text
@@ -388,4 +495,4 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.bool_())],
                 names=["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "restored"])
 
-    return rows.mapInArrow(run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, restored boolean")
+    return rows.mapInArrow(lean(run), "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, restored boolean")

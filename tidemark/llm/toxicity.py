@@ -3,7 +3,8 @@ Bayes log-count ratios.
 
 Features are the hashed byte n-grams (``NGRAMS``) of the ASCII-lower-cased
 text, present or absent. ``fit`` takes a bounded sample of labelled documents
-(``MAX_TOXIC`` and ``MAX_CLEAN`` rows, lowest hash of the id first), counts each
+(``MAX_TOXIC`` and ``MAX_CLEAN`` rows, lowest hash of the id first; of an id in
+several rows the text of least hash), counts each
 feature's documents per class, and keeps those whose smoothed log-count ratio
 ``r`` stands out from its sampling error. A logistic regression is then trained
 on the features scaled by ``r``; its intercept is moved from the sample's class
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.textblocks import blocks, lower_ascii
+from tidemark.llm.textblocks import blocks, lean, lower_ascii
 from tidemark.session import materialize
 
 NGRAMS = (3, 4, 5, 6, 7)
@@ -79,7 +80,9 @@ def _labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int
     picked = clean.where("toxic = 1").orderBy(*order).limit(MAX_TOXIC).unionAll(
         clean.where("toxic = 0").orderBy(*order).limit(MAX_CLEAN))
     # bounded: MAX_TOXIC + MAX_CLEAN rows of two numbers
-    return docs.join(F.broadcast(picked), "doc_id"), n.get(0, 0), n.get(1, 0)
+    rows = docs.join(F.broadcast(picked), "doc_id")
+    # one row per id, so the bound is one of rows; equal texts hash alike, so ties do not matter
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("toxic").alias("toxic")), n.get(0, 0), n.get(1, 0)
 
 
 def _train(row: np.ndarray, col: np.ndarray, value: np.ndarray, y: np.ndarray, n_features: int) -> tuple[np.ndarray, float]:
@@ -123,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(seen, -1)), *(pa.array(np.append(by_class[k][seen], docs_of[k])) for k in (0, 1))], names=["f", "n0", "n1"])
 
-    sums = sample.mapInArrow(count, "f long, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    sums = sample.mapInArrow(lean(count), "f long, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     sums = materialize(sums, "toxicity-counts")
     d0, d1 = sums.where("f = -1").select("n0", "n1").first() or (0, 0)
     if not d0 or not d1:
@@ -157,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                      pa.array([col[a:b].tobytes() for a, b in zip(own, own[1:])], pa.binary())], names=["y", "cols"])
 
     # bounded: the sample's rows with at most MAX_FEATURES numbers each
-    rows = sample.mapInArrow(select, "y int, cols binary").toArrow()
+    rows = sample.mapInArrow(lean(select), "y int, cols binary").toArrow()
     shared.unpersist()
     y = rows["y"].to_numpy().astype(float)
     cols = [np.frombuffer(b.as_py(), np.int32) for b in rows["cols"]]
@@ -187,4 +190,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
