@@ -36,7 +36,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their SentencePiece ids and the number of these."""
+    """All documents with their SentencePiece ids and the number of these
+    (``piece_ids`` and ``n_pieces``, in place of columns of these names)."""
     return sentencepieces.encode(docs, queries.vocabulary(queries.PIECES)).withColumn("n_pieces", F.size("piece_ids").cast("long"))
 
 
