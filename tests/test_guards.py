@@ -61,7 +61,7 @@ def test_input_report_names_problems_and_scans_nothing(spark):
     given = {"a": frame(spark, [1]), "b": frame(spark, [1]).limit(0), "d": t.orders}
     got = {tuple(r) for r in q.input_report(spark, given, need).collect()}
     assert got == {("a", "missing column", "w"), ("a", "other type", "v int"), ("b", "empty", None), ("c", "missing table", None)}
-    assert q.validate_inputs({"a": frame(spark, [1])}, {"a": ["id", "z"], "b": ["id"]}) == ["a: missing column z", "b: missing table"]
+    assert q.validate_inputs({"a": frame(spark, [1])}, {"a": ["id", "z"], "b": ["id"]}) == ["a: missing columns ['z']", "b: missing"]
     plan = q.input_report(spark, given, need)._jdf.queryExecution().toString()
     assert "orders.parquet" not in plan
 

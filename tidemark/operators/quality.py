@@ -193,13 +193,8 @@ def volume_anomaly(df: DataFrame, ts: str, z: float = 2.0, by: Sequence[str] = (
             .withColumn("is_anomaly", F.coalesce(F.col("z_score") > z, F.lit(False))))
 
 
-def input_report(spark: SparkSession, tables: Mapping[str, DataFrame], required: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    """``table_name, problem, detail``: a row for every problem of the required
-    tables (name -> column -> type), none if there is nothing to say. Names and
-    types come from the schemas; whether there are rows from a probe of one, so
-    no table is scanned. Problems: ``missing table``, ``missing column``,
-    ``other type``, ``empty``."""
-    rows = []
+def _problems(tables: Mapping[str, DataFrame], required: Mapping[str, Mapping[str, str]]) -> list[tuple[str, str, str | None]]:
+    rows: list[tuple[str, str, str | None]] = []
     for name, columns in required.items():
         df = tables.get(name)
         if df is None:
@@ -210,13 +205,28 @@ def input_report(spark: SparkSession, tables: Mapping[str, DataFrame], required:
         rows += [(name, "other type", f"{c} {have[c]}") for c, t in columns.items() if c in have and t and have[c] != t]
         if df.isEmpty():
             rows.append((name, "empty", None))
-    return spark.createDataFrame(rows, "table_name string, problem string, detail string")
+    return rows
+
+
+def input_report(spark: SparkSession, tables: Mapping[str, DataFrame], required: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """``table_name, problem, detail``: a row for every problem of the required
+    tables (name -> column -> type), none if there is nothing to say. Names and
+    types come from the schemas; whether there are rows from a probe of one, so
+    no table is scanned. Problems: ``missing table``, ``missing column``,
+    ``other type``, ``empty``."""
+    return spark.createDataFrame(_problems(tables, required), "table_name string, problem string, detail string")
 
 
 def validate_inputs(tables: Mapping[str, DataFrame], required: Mapping[str, Sequence[str]]) -> list[str]:
-    """The problems of ``input_report`` as text, for columns of any type."""
-    some = next(iter(tables.values()), None)
-    if some is None:
-        return [f"{name}: missing table" for name in required]
-    rows = input_report(some.sparkSession, tables, {n: dict.fromkeys(c, "") for n, c in required.items()}).collect()
-    return [f"{r.table_name}: {r.problem}" + (f" {r.detail}" if r.detail else "") for r in rows]
+    """The problems of ``input_report`` as text, one a table and kind, for columns of any type."""
+    out = []
+    for name, columns in required.items():
+        found = _problems(tables, {name: dict.fromkeys(columns, "")})
+        missing = [detail for _, problem, detail in found if problem == "missing column"]
+        if any(problem == "missing table" for _, problem, _ in found):
+            out.append(f"{name}: missing")
+        if missing:
+            out.append(f"{name}: missing columns {missing}")
+        if any(problem == "empty" for _, problem, _ in found):
+            out.append(f"{name}: empty")
+    return out
