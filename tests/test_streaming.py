@@ -205,6 +205,19 @@ def test_spells_do_not_depend_on_the_trigger_size(spark):
     assert got[0] == got[1] and sum(n for *_, n in got[0]) == 13
 
 
+def test_open_spells_of_a_key_are_one_state(spark):
+    """However many spells a batch opens, a key has one state with one timer."""
+    from tidemark.streaming.spells import ROCKSDB, activity_spells
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(k, t0 + dt.timedelta(hours=h), 0) for k in range(4) for h in range(60)] + [(9, t0 + dt.timedelta(days=9), 0)]
+    path, schema = sr.stage_files(spark.createDataFrame(rows, SCHEMA), "spell-src", 2, "ts")
+    s = sr.file_stream(spark, path, schema, max_files=1).transform(sr.event_time, "ts")
+    run = sr.run_stream(activity_spells(s, "id", "ts", 600, "1 hour"), "spells", conf=ROCKSDB)
+    out = run.result().where("key < 9").collect()
+    assert len(out) == 240 and all(r.event_count == 1 and r.spell_start == r.last_seen for r in out)
+    assert 4 <= max(p["stateOperators"][0]["numRowsTotal"] for p in run.progress) <= 5
+
+
 def test_progress_log_keeps_every_update(spark):
     from tidemark.streaming.progress import ProgressLog
     src = scratch_path(spark, "many-src")

@@ -1,22 +1,24 @@
 """Custom keyed state with event-time timers: spells of activity per key.
 
 A spell is a run of events of a key with gaps of at most ``gap`` between them.
-State holds the open spells; a timer at the end of each one's gap gives it out
-and drops it once the watermark has passed. Nothing depends on the wall clock or
-on how the input is cut into batches, and state is bounded by the watermark.
+State holds a key's open spells; a timer at the end of the earliest one's gap
+gives out those that the watermark has passed and drops them. Nothing depends on
+the wall clock or on how the input is cut into batches, and state is bounded by
+the watermark: spells of a key lie more than a gap apart.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 SPELL = "key bigint, first bigint, last bigint, event_count bigint"
+OPEN = "first array<bigint>, last array<bigint>, n array<bigint>"
 
 
 def merge_spells(spells: list[tuple[int, int, int]], times: list[int], gap: int) -> list[tuple[int, int, int]]:
@@ -30,46 +32,31 @@ def merge_spells(spells: list[tuple[int, int, int]], times: list[int], gap: int)
     return out
 
 
-class SpellProcessor(StatefulProcessor):
-    """State: first event (microseconds) -> last event, number of events."""
-
-    def __init__(self, gap_us: int):
-        self.gap = gap_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getMapState("spells", "first bigint", "last bigint, n bigint")
-
-    def _timer(self, last: int) -> int:
-        return (last + self.gap) // 1000 + 1
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.open.iterator()}
-        times = [t for pdf in rows for t in pdf["us"].tolist()]
-        after = {first: (last, n) for first, last, n in merge_spells([(f, *v) for f, v in before.items()], times, self.gap)}
-        for first, (last, _) in before.items():
-            if after.get(first) != before[first]:
-                self.open.removeKey((first,))
-        kept = {self._timer(last) for last, _ in after.values()}
-        for last, _ in before.values():
-            if self._timer(last) not in kept:
-                self.handle.deleteTimer(self._timer(last))
-        for first, (last, n) in after.items():
-            if before.get(first) != (last, n):
-                self.open.updateValue((first,), (last, n))
-                self.handle.registerTimer(self._timer(last))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        over = [(int(k[0]), int(v[0]), int(v[1])) for k, v in self.open.iterator() if self._timer(int(v[0])) <= now]
-        for first, _, _ in over:
-            self.open.removeKey((first,))
+def close_time(last: int, gap: int) -> int:
+    """The watermark (milliseconds) at which no event can join a spell any more."""
+    return (last + gap) // 1000 + 1
+
+
+def spell_step(gap: int) -> Callable:
+    """One call per key and batch, with the key's open spells as its state: they
+    travel with the rows, so neither a spell nor a timer costs a request to the
+    state store. A key has one timer, at the end of its earliest open spell."""
+    def step(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        spells = list(zip(*state.get)) if state.exists else []
+        if not state.hasTimedOut:
+            for pdf in rows:
+                spells = merge_spells(spells, pdf["us"].tolist(), gap)
+        now = state.getCurrentWatermarkMs()
+        still = [s for s in spells if close_time(s[1], gap) > now]
+        if still:
+            state.update(tuple(list(c) for c in zip(*still)))
+            state.setTimeoutTimestamp(min(close_time(last, gap) for _, last, _ in still))
+        elif state.exists:
+            state.remove()
+        over = [s for s in spells if close_time(s[1], gap) <= now]
         if over:
             yield pd.DataFrame({"key": key[0], "first": [f for f, _, _ in over], "last": [x for _, x, _ in over], "event_count": [n for _, _, n in over]})
-
-    def close(self) -> None:
-        pass
+    return step
 
 
 def activity_spells(df: DataFrame, key: str, ts: str, gap_seconds: int, watermark: str) -> DataFrame:
@@ -78,5 +65,5 @@ def activity_spells(df: DataFrame, key: str, ts: str, gap_seconds: int, watermar
     it with the settings ``ROCKSDB`` and output mode ``append``."""
     x = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, watermark)
     x = x.select(F.col(key).cast("bigint").alias("key"), F.col(ts).alias("ts"), F.unix_micros(ts).alias("us"))
-    out = x.groupBy("key").transformWithStateInPandas(SpellProcessor(gap_seconds * 1_000_000), SPELL, "Append", "EventTime")
+    out = x.groupBy("key").applyInPandasWithState(spell_step(gap_seconds * 1_000_000), SPELL, OPEN, "append", GroupStateTimeout.EventTimeTimeout)
     return out.select("key", F.timestamp_micros("first").alias("spell_start"), F.timestamp_micros("last").alias("last_seen"), "event_count")
