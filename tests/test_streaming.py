@@ -264,3 +264,18 @@ def test_batches_come_in_order_with_several_files_each(spark):
             log.wait(i)
     assert run.result().count() == 80 and len(ids) == 4
     assert [r.input_rows for i in ids for r in log.read().where(F.col("run_id") == i).where("input_rows > 0").collect()] == [20] * 4
+
+
+def test_user_totals_cover_spells_left_open_over_batches(spark, tmp_path):
+    """Many events of a key, open over the batch borders; rows without a key or a time take no part."""
+    from __spark_entry__ import queries
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(minutes=(7 if k else 25) * i), k, "view", 1.0, "{}") for k in range(3) for i in range(50)]
+    rows += [(900, None, 1, "view", 1.0, "{}"), (901, t0, None, "view", 1.0, "{}")] + rows[:5]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string") \
+        .repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.user_id: (r.event_count, r.last_seen) for r in queries()["stream_user_state"](spark, str(tmp_path)).collect()}
+    last = [t0 + dt.timedelta(minutes=49 * m) for m in (25, 7, 7)]
+    assert got == {0: (55, last[0]), 1: (50, last[1]), 2: (50, last[2])}
+    spells = queries()["stream_user_spells"](spark, str(tmp_path)).groupBy("user_id").count().collect()
+    assert {r.user_id: r["count"] for r in spells} == {0: 50, 1: 1, 2: 1}
