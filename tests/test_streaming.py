@@ -279,3 +279,30 @@ def test_user_totals_cover_spells_left_open_over_batches(spark, tmp_path):
     assert got == {0: (55, last[0]), 1: (50, last[1]), 2: (50, last[2])}
     spells = queries()["stream_user_spells"](spark, str(tmp_path)).groupBy("user_id").count().collect()
     assert {r.user_id: r["count"] for r in spells} == {0: 50, 1: 1, 2: 1}
+
+
+def test_staged_files_grow_with_the_input_and_batches_do_not(spark, monkeypatch):
+    """Parts of more than ``STAGED_BYTES`` are staged as several files; batches and rows stay the same."""
+    from __spark_entry__ import queries
+    plain, run, seen, batches = sr.stage_files, sr.run_stream, [], []
+
+    def staged(df, name, n_files, *a, **k):
+        seen.append(n_files)
+        return plain(df, name, n_files, *a, **k)
+
+    def counted(*a, **k):
+        got = run(*a, **k)
+        batches.append(sum(p["numInputRows"] > 0 for p in got.progress))
+        return got
+
+    monkeypatch.setattr(sr, "stage_files", staged)
+    monkeypatch.setattr(sr, "run_stream", counted)
+    for name in ("stream_pii_mask", "stream_tumbling", "stream_session"):
+        rows, files, n = {}, {}, {}
+        for size in (1 << 30, 4096):
+            monkeypatch.setattr(sr, "STAGED_BYTES", size)
+            seen.clear(), batches.clear()
+            rows[size] = sorted(map(repr, queries()[name](spark, SF_SMALL).collect()))
+            files[size], n[size] = seen[0], batches[0]
+        assert rows[4096] == rows[1 << 30] and n[4096] == n[1 << 30], name
+        assert files[1 << 30] == {"stream_pii_mask": 4}.get(name, 6) and files[4096] >= 2 * files[1 << 30], name

@@ -212,7 +212,7 @@ def q_append_only_parity(spark, d):
     from tidemark.streaming import operators as so
     from tidemark.streaming import runner as sr
     ev = T(spark, d).events
-    path, schema = sr.stage_files(ev, "parity-src", 8, "ts")
+    path, schema = sr.stage_files(ev, "parity-src", 8 * sr.files_each(ev, 8), "ts")
     stream = sr.file_stream(spark, path, schema).transform(so.features, "ts", "value")
     out = sr.run_stream(stream.select("event_id", "hour_of_day", "day_of_week", "amount_category"), "parity")
     return out.result()

@@ -6,8 +6,9 @@ files in a fresh folder, runs a checkpointed stream over them with
 ``availableNow`` and reads the sink back as a batch DataFrame. Windowed and
 keyed aggregations run in update mode with a watermark (bounded state) into an
 idempotent per-batch sink; session windows, for which Spark has no update
-mode, run in append mode. The watermarked queries take one staged file per
-trigger, so they run in several batches at every size.
+mode, run in append mode. The watermarked queries take one staged part per
+trigger, so they run in several batches at every size; a part is as many files
+as its bytes make.
 """
 
 from __future__ import annotations
@@ -53,15 +54,21 @@ def dec(c):
     return F.col(c).cast("decimal(12,2)")
 
 
-BATCHES = 6                      # files of one batch each that the watermarked queries read
+BATCHES = 6                      # parts of one batch each that the watermarked queries read
 
 
 def _event_stream(spark, d, name, n_files=8, max_files=None, flush=None):
     events = T(spark, d).events
     if flush:
         events = sr.with_flush_row(events, "ts", flush)
-    path, schema = sr.stage_files(events, f"{name}-src", n_files, "ts")
-    return sr.file_stream(spark, path, schema, max_files=max_files)
+    return _staged(spark, events, name, n_files, "ts", max_files)
+
+
+def _staged(spark, df, name, n_parts, order_by, max_parts=None):
+    """A stream of ``df`` in ``n_parts`` parts by ``order_by``, ``max_parts`` a batch; a part is as many files as its bytes make."""
+    each = sr.files_each(df, n_parts)
+    path, schema = sr.stage_files(df, f"{name}-src", n_parts * each, order_by)
+    return sr.file_stream(spark, path, schema, max_files=max_parts and max_parts * each)
 
 
 def _timed(stream):
@@ -177,10 +184,11 @@ FROM events, (VALUES ('append'), ('update'), ('complete')) AS m(mode) GROUP BY A
 def q_stream_output_modes(spark, d):
     # one staged source for the three modes; the flush row closes the last windows for append
     events = sr.with_flush_row(T(spark, d).events, "ts", {"event_type": ["-"]}, after="3 days")
-    path, schema = sr.stage_files(events, "modes-src", 4, "ts")
+    each = sr.files_each(events, 4)
+    path, schema = sr.stage_files(events, "modes-src", 4 * each, "ts")
     out = None
     for mode in ("append", "update", "complete"):
-        s = _timed(sr.file_stream(spark, path, schema, max_files=1))
+        s = _timed(sr.file_stream(spark, path, schema, max_files=each))
         agg = so.windowed(s, "ts", "1 day", keys=["event_type"], watermark="1 day",
                           aggs=[F.count(F.lit(1)).alias("n"), F.sum(dec("value")).alias("total")])
         rows = sr.settled(sr.emissions(agg, f"mode-{mode}", mode), mode, ["window_start", "event_type"]).where("event_type <> '-'")
@@ -237,13 +245,13 @@ def q_stream_dedupe(spark, d):
 def q_stream_restart(spark, d):
     ev = T(spark, d).events
     cut = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
-    path = scratch_path(spark, "restart-src")
-    ev.where(cut).repartition(4).write.mode("overwrite").parquet(path)
+    path, each = scratch_path(spark, "restart-src"), sr.files_each(ev, 4)
+    ev.where(cut).repartition(4 * each).write.mode("overwrite").parquet(path)
     base = scratch_path(spark, "restart")
     kw = dict(path=f"{base}/sink", checkpoint=f"{base}/checkpoint")
-    stream = lambda: sr.file_stream(spark, path, ev.schema, max_files=2).select("event_id", "user_id", "value")
+    stream = lambda: sr.file_stream(spark, path, ev.schema, max_files=2 * each).select("event_id", "user_id", "value")
     sr.run_stream(stream(), "restart", **kw)
-    ev.where(~cut).repartition(4).write.mode("append").parquet(path)  # new files arrive
+    ev.where(~cut).repartition(4 * each).write.mode("append").parquet(path)  # new files arrive
     return sr.run_stream(stream(), "restart", **kw).result()       # resumes from the checkpoint
 
 
@@ -304,8 +312,7 @@ FROM w GROUP BY ALL""")
 def q_stream_end_to_end(spark, d):
     ev = T(spark, d).events
     sent = F.get_json_object(F.col("value").cast("string"), "$.timestamp")
-    path, schema = sr.stage_files(to_messages(ev), "e2e-src", BATCHES, sent)
-    raw = sr.file_stream(spark, path, schema, max_files=1)
+    raw = _staged(spark, to_messages(ev), "e2e", BATCHES, sent, 1)
     parsed = fs.parse_messages(raw, MSG_SCHEMA).withColumn("ts", F.col("timestamp").cast("timestamp"))
     clean = q.expect_or_drop(parsed, {"amount_positive": "amount > 0", "amount_bounded": "amount < 300",
                                       "has_type": "event_type IS NOT NULL"})
@@ -333,8 +340,7 @@ SELECT user_id, event_id, _change_type FROM (
                                  ELSE 'update_postimage' END AS _change_type FROM events)
 WHERE _change_type IN ('insert', 'update_postimage')""")
 def q_stream_cdc_filter(spark, d):
-    path, schema = sr.stage_files(versioned_feed(T(spark, d).events), "cdc-src", 8, "event_id")
-    s = sr.file_stream(spark, path, schema).where(F.col("_change_type").isin(ch.INSERT, ch.POST))
+    s = _staged(spark, versioned_feed(T(spark, d).events), "cdc", 8, "event_id").where(F.col("_change_type").isin(ch.INSERT, ch.POST))
     return sr.run_stream(s.select("user_id", "event_id", "_change_type"), "cdc").result()
 
 
@@ -390,17 +396,17 @@ SELECT user_id, event_type, value, ts FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'error'""")
 def q_stream_apply_changes(spark, d):
     src = cdc_source(T(spark, d).events)
-    path, schema = sr.stage_files(src, "upsert-src", 8, "sequence_num")
+    each = sr.files_each(src, 8)
+    path, schema = sr.stage_files(src, "upsert-src", 8 * each, "sequence_num")
     base = scratch_path(spark, "upsert")
     table = KeyedSnapshot(spark, f"{base}/table", ["user_id"], ["sequence_num"], buckets_for(dir_bytes(spark, path)))
-    upsert_stream(sr.file_stream(spark, path, schema, max_files=3), table, f"{base}/checkpoint", "operation = 'DELETE'")
+    upsert_stream(sr.file_stream(spark, path, schema, max_files=3 * each), table, f"{base}/checkpoint", "operation = 'DELETE'")
     return table.read(drop=["operation", "sequence_num"]).select("user_id", "event_type", "value", "ts")
 
 
 @register("stream_pii_mask", f"SELECT doc_id, {_mask_sql('text')} AS text FROM documents")
 def q_stream_pii_mask(spark, d):
-    path, schema = sr.stage_files(T(spark, d).documents.select("doc_id", "text"), "pii-src", 4, "doc_id")
-    s = mask_pii(sr.file_stream(spark, path, schema), ["text"])
+    s = mask_pii(_staged(spark, T(spark, d).documents.select("doc_id", "text"), "pii", 4, "doc_id"), ["text"])
     return sr.run_stream(s, "pii").result()
 
 
@@ -409,8 +415,7 @@ def q_stream_pii_mask(spark, d):
 def q_stream_score(spark, d):
     data = line_features(T(spark, d))
     model = ml.fit_linear(data, LINE_FEATURES, "o_totalprice")
-    path, schema = sr.stage_files(data, "score-src", 4, "o_orderkey")
-    s = ml.score_linear(sr.file_stream(spark, path, schema), model)
+    s = ml.score_linear(_staged(spark, data, "score", 4, "o_orderkey"), model)
     s = s.withColumn("flag", F.col("prediction") > F.col("o_totalprice").cast("double") * 1.5)
     return sr.run_stream(s.select("o_orderkey", F.round("prediction", 4).alias("prediction"), "flag"), "score").result()
 

@@ -120,6 +120,15 @@ def size_estimate_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads (one read twice counts twice). Unlike
+    the estimate of a whole plan it does not multiply over joins; inputs of
+    unknown size, such as rows handed over by the driver, count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(n for n in sizes if n < 1 << 60)
+
+
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 

@@ -18,7 +18,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.session import scratch_path
+from tidemark.operators.layout import partitions_for
+from tidemark.session import input_bytes, scratch_path
+
+STAGED_BYTES = 128 * 1024 * 1024
+
+
+def files_each(df: DataFrame, n: int) -> int:
+    """How many files each of ``n`` parts of ``df`` is staged as, so that the
+    task that writes one reads about ``STAGED_BYTES`` whatever the input. A
+    rate limit of so many files a trigger leaves the number of batches as it is."""
+    return partitions_for(-(-input_bytes(df) // n), STAGED_BYTES)
 
 
 def stage_files(df: DataFrame, name: str, n_files: int = 8, order_by=None,
