@@ -373,3 +373,22 @@ def test_operators_accept_empty_input(spark):
     assert good.count() == 0 and bad.count() == 0
     from tidemark.plans.snapshot import _bronze
     assert snap.gold_emergence(_bronze(spark, SF_SMALL).where("false"), "latest").count() == 0
+
+
+def test_forest_is_trained_on_partitions_of_bounded_bytes(spark, monkeypatch):
+    """The estimator's rows are far larger than the training rows: its partitions follow their own bytes."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from tidemark.operators import ml
+    fit, seen = RandomForestRegressor.fit, []
+
+    def watched(self, data, *a):
+        seen.append([r.n for r in data.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()])
+        return fit(self, data, *a)
+
+    monkeypatch.setattr(RandomForestRegressor, "fit", watched)
+    monkeypatch.setattr(ml, "FOREST_BYTES", 1 << 20, raising=False)
+    df = spark.range(20000).selectExpr("CAST(id % 50 AS DOUBLE) AS x", "CAST(id % 50 AS DOUBLE) * 2 AS y").union(spark.sql("SELECT CAST(NULL AS DOUBLE), 1D")).coalesce(1)
+    model = ml.train_forest(df, ["x"], "y", num_trees=20)
+    assert sum(seen[0]) == 20000 and len(seen[0]) >= 4 and max(seen[0]) * 260 < 2 << 20
+    got = ml.score(spark.createDataFrame([(10.0,), (40.0,)], "x double"), model, ["x"]).orderBy("x").collect()
+    assert abs(got[0].prediction - 20) < 5 and abs(got[1].prediction - 80) < 5

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.literals import date_lit, ts_lit
 from tidemark.operators.joins import asof_join
+from tidemark.operators.layout import partitions_for
 
 
 def feature_table(events: DataFrame, key: str, ts: str, value: str, as_of, days: int = 30) -> DataFrame:
@@ -51,6 +52,16 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features", inva
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=invalid).transform(df)
 
 
+FOREST_BYTES = 32 * 1024 * 1024
+
+
+def forest_partitions(rows: int, num_trees: int, features: int) -> int:
+    """Partitions of about ``FOREST_BYTES`` for the estimator's cache, whose rows
+    hold a sample count and a tree node per tree: far more than the training
+    rows, whose bytes decide the partitions that a shuffle leaves."""
+    return partitions_for(rows * (8 * num_trees + 4 * features + 100), FOREST_BYTES)
+
+
 def train_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100, seed: int = 42,
                  max_depth: int = 5):
     """Random-forest regression trained on the executors."""
@@ -59,7 +70,10 @@ def train_forest(df: DataFrame, features: Sequence[str], label: str, num_trees:
     # itself is cached by the estimator as binned points (MEMORY_AND_DISK)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed,
                                maxDepth=max_depth, maxMemoryInMB=1024, cacheNodeIds=True)
-    return rf.fit(assemble(df, features))
+    known = df.dropna(subset=list(features))
+    n = forest_partitions(known.count(), num_trees, len(features))
+    points = assemble(df, features).select("features", label)
+    return rf.fit(points.repartition(n) if n > 1 else points)
 
 
 def train_linear(df: DataFrame, features: Sequence[str], label: str):
