@@ -218,6 +218,31 @@ def test_open_spells_of_a_key_are_one_state(spark):
     assert 4 <= max(p["stateOperators"][0]["numRowsTotal"] for p in run.progress) <= 5
 
 
+def test_spells_of_a_bucket_are_one_state_and_one_call(spark):
+    """States come to the buckets, not the keys; spells do not depend on the number of buckets."""
+    import random
+    from tidemark.streaming.spells import ROCKSDB, activity_spells, spell_buckets
+    t0, r = dt.datetime(2024, 1, 1), random.Random(3)
+    rows = [(k, t0 + dt.timedelta(minutes=r.randrange(3000)), 0) for k in range(300) for _ in range(9)]
+    rows += rows[:40] + [(-(1 << 63), t0 + dt.timedelta(days=9), 0)]
+    want, by_key = [], {}
+    for k, t, _ in sorted(rows[:-1]):
+        last = by_key.get(k)
+        if last and t - last[2] <= dt.timedelta(minutes=10):
+            last[2:] = [t, last[3] + 1]
+        else:
+            by_key[k] = [k, t, t, 1]
+            want.append(by_key[k])
+    for buckets in (1, 7):
+        path, schema = sr.stage_files(spark.createDataFrame(rows, SCHEMA.replace("id INT", "id BIGINT")), "spell-src", 3, "ts")
+        s = sr.file_stream(spark, path, schema, max_files=1).transform(sr.event_time, "ts")
+        run = sr.run_stream(activity_spells(s, "id", "ts", 600, "1 hour", buckets), "spells", conf=ROCKSDB)
+        got = sorted([x.key, x.spell_start, x.last_seen, x.event_count] for x in run.result().where("key >= 0").collect())
+        assert got == sorted(want)
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in run.progress) <= buckets
+    assert spell_buckets(0) == spell_buckets(1 << 20) < spell_buckets(1 << 40) // 1000
+
+
 def test_progress_log_keeps_every_update(spark):
     from tidemark.streaming.progress import ProgressLog
     src = scratch_path(spark, "many-src")

@@ -24,13 +24,13 @@ from tidemark.plans.changes_quality import EVENT_RULES, cdc_source, versioned_fe
 from tidemark.plans.io_layout import MSG_SCHEMA, to_messages
 from tidemark.plans.ml_udf import LINE_FEATURES, SCORE_SQL, line_features
 from tidemark.plans.privacy_logs import _mask_sql
-from tidemark.session import scratch_path
+from tidemark.session import input_bytes, scratch_path
 from tidemark.sources import files as fs
 from tidemark.sources.tables import tables
 from tidemark.streaming import operators as so
 from tidemark.streaming import runner as sr
 from tidemark.streaming.progress import ProgressLog
-from tidemark.streaming.spells import ROCKSDB, activity_spells
+from tidemark.streaming.spells import ROCKSDB, activity_spells, spell_buckets
 from tidemark.streaming.upsert import KeyedSnapshot, buckets_for, upsert_stream
 
 QUERIES: dict = {}
@@ -215,9 +215,11 @@ SELECT user_id, min(ts) AS spell_start, max(ts) AS last_seen, count(*) AS event_
 
 
 def _spells(spark, d, max_files=2):
+    events = T(spark, d).events.select("user_id", "ts")
     # the flush row lets the watermark pass the last spell's timer
-    s = _timed(_event_stream(spark, d, "spells", BATCHES, max_files, flush={"user_id": [-1]}))
-    out = sr.run_stream(activity_spells(s, "user_id", "ts", 600, "1 hour"), "spells", conf=ROCKSDB).result().where("key >= 0")
+    s = _timed(_staged(spark, sr.with_flush_row(events, "ts", {"user_id": [-1]}), "spells", BATCHES, "ts", max_files))
+    spells = activity_spells(s, "user_id", "ts", 600, "1 hour", spell_buckets(input_bytes(events)))
+    out = sr.run_stream(spells, "spells", conf=ROCKSDB).result().where("key >= 0")
     return out.select(F.col("key").alias("user_id"), *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("spell_start", "last_seen")), "event_count")
 
 
