@@ -220,3 +220,33 @@ def test_unigram_lattice_takes_the_shortest_path():
     m.pieces = SP.Automaton([(p, (i, m.score[i])) for i, p in enumerate(m.spelling) if i])
     assert m.path("abc") == [1, 5]                            # a + bc = 2.2 beats ab + c and abc
     assert m.path("abz") == [3, 0]
+
+
+def test_pieces_leave_a_task_block_by_block():
+    """A row batch of any size is encoded and handed on in blocks of ``ENCODE_BYTES``; all rows and columns stay."""
+    import pyarrow as pa
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from tidemark.llm import sentencepieces
+    from tidemark.llm.queries import PIECES, vocabulary
+
+    class Task:
+        columns, schema = ["n", "text"], StructType([StructField("n", LongType()), StructField("text", StringType())])
+
+        def drop(self, name):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [None, "", "é" * 200_000] + ["a few words and 12 numbers " * 40] * 900 + ["tail"]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(len(texts))), "text": texts})
+    model = vocabulary(PIECES)
+    got = list(sentencepieces.encode(Task(), model)(iter([batch, batch.slice(0, 0)])))
+    sizes = [sum(len((t or "").encode()) for t in b.column(1).to_pylist()) for b in got]
+    assert len(got) > 3 and all(n <= sentencepieces.ENCODE_BYTES or b.num_rows == 1 for n, b in zip(sizes, got))
+    whole = pa.Table.from_batches(got)
+    assert whole.column("n").to_pylist() == list(range(len(texts))) and whole.column("text").to_pylist() == texts
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    ids = whole.column("piece_ids").to_pylist()
+    assert [ids[i] for i in (0, 1, 2, 3, len(texts) - 1)] == [library.encode(texts[i] or "") for i in (0, 1, 2, 3, len(texts) - 1)] and ids[3:-1] == [ids[3]] * 900

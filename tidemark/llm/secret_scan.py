@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textblocks import blocks, lower_ascii
+from tidemark.llm.textblocks import blocks, lean, lower_ascii
 
 
 @dataclass(frozen=True)
@@ -214,7 +214,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
             spans = [[{"kind": rules[k].kind, "start": s, "end": e} for s, k, e in found.get(i, ())] for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(_SPAN))], names=["doc_id", "spans"])
 
-    return rows.mapInArrow(scan, "doc_id long, spans array<struct<kind:string,start:int,end:int>>")
+    return rows.mapInArrow(lean(scan), "doc_id long, spans array<struct<kind:string,start:int,end:int>>")
 
 
 def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text",
@@ -249,4 +249,4 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: s
                 columns[size] = pa.array(sizes, batch.schema.field(size).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(redact, schema)
+    return docs.mapInArrow(lean(redact), schema)

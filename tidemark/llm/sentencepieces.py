@@ -50,6 +50,7 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MOST_PAIRS = 1_000_000           # neighbour checks remembered per worker
+ENCODE_BYTES = 1 << 18           # text encoded at once
 
 
 class Automaton:
@@ -146,7 +147,7 @@ class Transducer:
         self.longest = max(map(len, self.arcs))
         weights = [p.score for p in model.pieces if p.type == NORMAL]
         self.unknown_weight = float(np.float32(np.float32(min(weights)) - np.float32(10.0)))
-        self.pieces = Automaton([(p, (i, self.score[i])) for p, i in self.arcs.items()])
+        self.pieces = Automaton([(p, (i, self.score[i])) for p, i in self.arcs.items()] if self.kind == UNIGRAM else ())
         self.whole = self.kind == UNIGRAM or self.rules is not None or self.collapse or not self.fallback
         # where a text may be cut: between two bytes that no piece holds side by side
         self.cut = np.zeros((256, 256), bool)
@@ -425,14 +426,12 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "
     def run(batches):
         enc = lattice_encoder(model)
         for batch in batches:
-            ids, n = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-            for _, data, offsets in blocks(batch.column(at)) if batch.num_rows else ():
-                got, many = enc.encode(data, offsets)
-                ids.append(got)
-                n.append(many)
-            upto = np.concatenate([[0], np.cumsum(np.concatenate(n))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(upto), pa.array(np.concatenate(ids)))],
-                                             names=[*batch.schema.names, ids_col])
+            # a row batch per block, so that neither side holds the ids of more than one
+            for first, data, offsets in blocks(batch.column(at), ENCODE_BYTES) if batch.num_rows else ():
+                ids, n = enc.encode(data, offsets)
+                upto = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(n)).columns, pa.ListArray.from_arrays(pa.array(upto), pa.array(ids))],
+                                                 names=[*batch.schema.names, ids_col])
 
     return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType()))]))
 
