@@ -165,6 +165,20 @@ def test_near_paragraphs_are_verified_by_jaccard(spark):
     assert {r.doc_id for r in found} >= {1, 2}
 
 
+def test_shared_windows_travel_as_word_numbers_and_spans_are_found_again(spark):
+    """A window's row holds no more than its document and word number; spans are those of the text, in code points."""
+    rng = random.Random(21)
+    shared = " ".join("wört%d" % rng.randrange(10 ** 6) for _ in range(60))
+    own = [" ".join("é%d\u2003x%d" % (k, rng.randrange(10 ** 6)) for _ in range(30)) for k in range(3)]
+    rows = [(1, own[0] + " \n " + shared), (2, own[1] + " " + shared + " ü " + own[0]), (3, shared + "\t"), (3, shared + "\t"), (4, own[2])]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    assert set(PD.repeated_windows(PD._rows(df, "doc_id", "text")).columns) == {"doc_id", "text_hash", "at", "kept_in", "kept"}
+    got = {r.doc_id: r for r in PD.substring_dedup(df).collect()}
+    assert set(got) == {1, 2, 3} and got[1].n_removed == 0
+    spans = {k: [rows[k - 1][1][s.start:s.end] for s in r.removed] for k, r in got.items()}
+    assert spans == {1: [], 2: [shared, own[0]], 3: [shared]} and got[3].kept_in == [1]
+
+
 def test_paragraph_dedup_of_odd_and_empty_tables(spark):
     got = {r.doc_id for r in PD.substring_dedup(odd_docs(spark)).collect()}
     assert got == {5, 6, 7, 8, 9}                             # the texts that occur in several documents

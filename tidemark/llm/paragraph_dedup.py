@@ -228,8 +228,10 @@ def _seed_places(docs: DataFrame) -> DataFrame:
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """One row per window of ``WINDOW`` words that another document has as
-    well, near a seed that documents share: ``doc_id, text_hash``, ``PLACE``,
-    ``kept_in`` and ``kept`` as of ``repeated_paragraphs``."""
+    well, near a seed that documents share: ``doc_id, text_hash``, ``at`` (the
+    number of its first word), ``kept_in`` and ``kept`` as of
+    ``repeated_paragraphs``. Most of a job's rows are such windows; the rest of
+    their places is found again from the text."""
     met = _seed_places(rows).join(_shared_seeds(rows), "seed")
     met = materialize(met.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("near")), "seed-places")
 
@@ -242,7 +244,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
             upto = near.offsets.to_numpy().astype(np.int64)
             flat = near.values.to_numpy().astype(np.int64)
             for base, data, offsets in blocks(batch.column(2)):
-                starts, ends, row, hashes, whole = windows(data, offsets)
+                starts, _, row, hashes, whole = windows(data, offsets)
                 rows_here = len(offsets) - 1
                 edge = np.searchsorted(row, np.arange(rows_here + 1))
                 of = np.repeat(np.arange(rows_here), np.diff(upto[base:base + rows_here + 1]))
@@ -254,12 +256,12 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
                 if len(i):
                     mine = base + row[i]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[i].view(np.int64)), pa.array(ids[mine]), pa.array(texts[mine]),
-                         *map(pa.array, _places(data, offsets, starts, ends, row, i, WINDOW))], names=["win", "doc_id", "text_hash", *PLACE])
+                        [pa.array(hashes[i].view(np.int64)), pa.array(ids[mine]), pa.array(texts[mine]), pa.array((i - edge[row[i]]).astype(np.int32))],
+                        names=["win", "doc_id", "text_hash", "at"])
 
     # written, so that the join below has plain shuffles on both sides and the planner can split a hot window
     near = materialize(rows.join(met, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "near").mapInArrow(
-        scan, f"win long, doc_id long, text_hash long, {_PLACE_TYPES}"), "windows")
+        scan, "win long, doc_id long, text_hash long, at int"), "windows")
     return _with_first(near, "win").drop("win")
 
 
@@ -459,29 +461,41 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words: ``doc_id, text_hash, n_repeated`` and ``n_removed`` (words),
     ``removed`` (spans ``start, end`` in code points to cut) and ``kept_in``
     (documents that keep what it repeats)."""
-    cols = [*PLACE, "kept", "exact", "kept_in"]
+    cols = ["at", "words", "kept", "exact", "kept_in"]
+    rows = _rows(docs, id_col, text_col)
     near = repeated_paragraphs(docs, id_col, text_col).withColumn("exact", F.lit(False))
-    found = repeated_windows(_rows(docs, id_col, text_col)).withColumn("exact", F.lit(True))
+    found = repeated_windows(rows).withColumns({"words": F.lit(WINDOW), "exact": F.lit(True)})
     both = found.select("doc_id", "text_hash", *cols).unionByName(near.select("doc_id", "text_hash", *cols))
     runs = both.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(*cols)).alias("p"))
 
     def merge(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             out = {"doc_id": [], "text_hash": [], "n_repeated": [], "n_removed": [], "removed": [], "kept_in": []}
-            p = batch.column(2)
-            edge = p.offsets.to_numpy().tolist()
-            parts = [x.to_numpy(zero_copy_only=False) for x in p.values.flatten()]
-            for k, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                got = merged_runs(*(x[edge[k]:edge[k + 1]] for x in parts), least_words)
-                if got:
-                    for name, x in zip(out, (doc, text, *got)):
-                        out[name].append(x)
+            p = batch.column(3)
+            edge = p.offsets.to_numpy().astype(np.int64)
+            at, n, *parts = (x.to_numpy(zero_copy_only=False) for x in p.values.flatten())
+            doc_ids, texts = (batch.column(i).to_pylist() for i in (0, 1))
+            for base, data, offsets in blocks(batch.column(2)):
+                starts, ends, row = words(data, offsets, "space")
+                here = edge[base:base + len(offsets)]
+                mine = slice(here[0], here[-1])
+                first = at[mine] + np.repeat(np.searchsorted(row, np.arange(len(offsets) - 1)), np.diff(here))
+                places = _places(data, offsets, starts, ends, row, first, n[mine])
+                for k, (i, j) in enumerate(zip(here[:-1].tolist(), here[1:].tolist()), base):
+                    got = merged_runs(*(x[i - here[0]:j - here[0]] for x in places), *(x[i:j] for x in parts), least_words)
+                    if got:
+                        for name, x in zip(out, (doc_ids[k], texts[k], *got)):
+                            out[name].append(x)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
                 ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_repeated", pa.int64()), ("n_removed", pa.int64()),
                 ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_in", pa.list_(pa.int64()))]))
 
-    return runs.mapInArrow(merge, "doc_id long, text_hash long, n_repeated long, n_removed long, "
-                                  "removed array<struct<start:long,end:long>>, kept_in array<long>")
+    placed = rows.join(runs, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "p")
+    # equal rows met the same places
+    return placed.mapInArrow(merge, "doc_id long, text_hash long, n_repeated long, n_removed long, "
+                                    "removed array<struct<start:long,end:long>>, kept_in array<long>").dropDuplicates(["doc_id", "text_hash"])
 
 
 def without_repeats(docs: DataFrame, removals: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
