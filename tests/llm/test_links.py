@@ -352,6 +352,37 @@ def test_linked_sets_share_a_partition_signature_and_parity_bounds_them():
     assert linked > 500
 
 
+def test_a_family_of_near_copies_that_do_not_link_gives_few_candidates(spark):
+    """Sets that all differ from each other by half as much again as linked ones share many signatures, but only
+    pairs near the threshold are checked: before, nearly all of the 1770 pairs of the 60 sets were."""
+    from tidemark.llm.components import SKETCH, WIDE, close_links, parity_bits, resigned
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2 ** 63, 400).astype(np.uint64)
+    sets = {i: np.unique(np.concatenate([rng.permutation(base)[33:], rng.integers(0, 2 ** 63, 33).astype(np.uint64)])) for i in range(1, 61)}
+    sets[70] = np.append(sets[40][:-1], np.uint64(7))                         # the one that links, not with the leader
+
+    def link(a, b):
+        common = len(np.intersect1d(sets[a], sets[b]))
+        return 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common)
+
+    assert [(a, b) for a in sets for b in sets if a < b and link(a, b)] == [(40, 70)]
+    checked = []
+
+    def verify(pairs):
+        checked.append([(r.a, r.b) for r in pairs.collect()])
+        return spark.createDataFrame([p for p in checked[-1] if link(*p)], "a long, b long")
+
+    def resign(nodes):
+        rows = [row for r in nodes.collect() for row in resigned(r.node, r.root, sets[r.node], 80).to_pylist()]
+        return spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{c} long" for c in ["sig", "node", "n", "root", *WIDE]))
+
+    held = spark.createDataFrame([(1, i, len(s), 1) for i, s in sets.items()], "sig long, node long, n long, leader long")
+    bits = spark.createDataFrame([(i, *parity_bits(s).tolist()) for i, s in sets.items()], ", ".join(f"{c} long" for c in ["node", *SKETCH]))
+    roots = close_links(held, bits, 80, verify, resign)
+    assert [tuple(r) for r in roots.collect()] == [(70, 40)]
+    assert (40, 70) in checked[1] and len(checked[1]) < 60
+
+
 def test_filters_keep_columns_of_any_name(spark):
     text = " ".join(fresh(random.Random(40), 60))
     df = spark.createDataFrame([(1, text, "a", 1), (2, text, "b", 2), (3, "other words", "c", 3)], "doc_id long, text string, removed string, `x.y` int")

@@ -58,9 +58,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 FIRST = 8                        # signatures of a node by which a pair is emitted once
+DEALT_FIRST = 32                 # the same among partition signatures, of which close sets share very many
 CROWD = 32                       # holders from which a signature's nodes are dealt anew
 EMPTY = 3                        # empty groups that a partition allows for
 SKETCH = ["p0", "p1", "p2", "p3"]                   # a set's parity sketch, 64 bits each
+# the sketch of sets that are dealt anew: a short one of sets of some hundred elements still lets pairs pass
+# that differ twice as much as linked ones, which are all pairs of a family of near copies that do not link
+WIDE = [f"q{i}" for i in range(16)]
 
 
 def apart(n: int, m: int, percent: int) -> int:
@@ -103,22 +107,22 @@ def partition_signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def parity_bits(tokens: np.ndarray) -> np.ndarray:
+def parity_bits(tokens: np.ndarray, longs: int = len(SKETCH)) -> np.ndarray:
     """The parity sketch of a set of 64-bit hashes: a bit is set if an odd
     number of elements falls on it."""
-    bits = 64 * len(SKETCH)
+    bits = 64 * longs
     at = (mix(tokens ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
-RESIGNED = "sig long, node long, n long, root long, " + ", ".join(f"{c} long" for c in SKETCH)
+RESIGNED = "sig long, node long, n long, root long, " + ", ".join(f"{c} long" for c in WIDE)
 
 
 def resigned(node: int, root: int, tokens: np.ndarray, percent: int) -> pa.RecordBatch:
     """The rows of one node for ``RESIGNED``."""
     sig = np.unique(partition_signatures(tokens, percent).view(np.int64))
-    same = [pa.array(np.full(len(sig), x, np.int64)) for x in (node, len(tokens), root, *parity_bits(tokens))]
-    return pa.RecordBatch.from_arrays([pa.array(sig), *same], names=["sig", "node", "n", "root", *SKETCH])
+    same = [pa.array(np.full(len(sig), x, np.int64)) for x in (node, len(tokens), root, *parity_bits(tokens, len(WIDE)))]
+    return pa.RecordBatch.from_arrays([pa.array(sig), *same], names=["sig", "node", "n", "root", *WIDE])
 
 
 def close_links(held: DataFrame, sketches: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame],
@@ -157,21 +161,21 @@ def close_links(held: DataFrame, sketches: DataFrame, percent: int, verify: Call
     mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi")
     mixed = materialize(mixed.select("sig", (F.col("m") >= CROWD).alias("crowd")), "links-mixed")
     open_ = placed.join(mixed, "sig")
-    differ = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in SKETCH)
-    apart_enough = f"a.root <> b.root AND {near} AND ({100 + percent}) * ({differ}) <= {100 - percent} * (a.n + b.n)"
 
-    def pairs(rows: DataFrame) -> DataFrame:
+    def pairs(rows: DataFrame, sketch: list[str], most: int) -> DataFrame:
+        differ = " + ".join(f"bit_count(a.{c} ^ b.{c})" for c in sketch)
+        apart_enough = f"a.root <> b.root AND {near} AND ({100 + percent}) * ({differ}) <= {100 - percent} * (a.n + b.n)"
         # only the least signature that two nodes share gives their pair, of the first ones of each
-        least = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, FIRST).alias("least_sigs"))
+        least = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, most).alias("least_sigs"))
         rows = rows.join(least, "node")
         once = "coalesce(array_min(array_intersect(a.least_sigs, b.least_sigs)), a.sig) >= a.sig"
         met = rows.alias("a").join(rows.alias("b"), F.expr(f"a.sig = b.sig AND a.node < b.node AND {apart_enough} AND {once}"))
         return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
-    few = pairs(open_.where("NOT crowd").drop("crowd"))
+    few = pairs(open_.where("NOT crowd").drop("crowd"), SKETCH, FIRST)
     dealt = materialize(resign(open_.where("crowd").select("node", "root").distinct()), "links-resigned")
     mixed = dealt.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-    many = pairs(dealt.join(mixed, "sig"))
+    many = pairs(dealt.join(mixed, "sig"), WIDE, DEALT_FIRST)
     rest = materialize(few.unionByName(many).distinct(), "links-rest")
     more = materialize(verify(rest), "links-more")
     if more.isEmpty():
