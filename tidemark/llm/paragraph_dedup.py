@@ -14,8 +14,8 @@ with fewer words have none. Every distinct set is dealt by ``bands`` MinHash
 keys (``band_plan`` finds the number that reaches the wanted recall at the
 similarity threshold); a task sends a set once per key, so a very common
 paragraph is never gathered. All paragraphs meet the sets that occur more than
-once or share a key with another set; sets that share a key are verified by
-exact Jaccard. Components of verified links are clusters.
+once or share a key with another set; the latter are built again from the text
+of one place each and verified by exact Jaccard. Components of verified links are clusters.
 
 A window or cluster that occurs in more than one document keeps its first place
 (smallest document id, then text hash and position); the others are removals.
@@ -79,12 +79,16 @@ def paragraphs(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, row, first, np.diff(np.append(first, len(h))), h
 
 
-def paragraph_sets(data: np.ndarray, offsets: np.ndarray):
+def paragraph_sets(data: np.ndarray, offsets: np.ndarray, begins=None):
     """Paragraphs with at least one shingle: ``(starts, ends, row, first, n,
     shingle hashes one after another, shingles per paragraph)``, the first five
-    as of ``paragraphs``; the shingles are sorted and distinct inside each one."""
+    as of ``paragraphs``; the shingles are sorted and distinct inside each one.
+    ``begins`` (the row of every word to numbers of words): only the paragraphs
+    that begin there."""
     starts, ends, row, first, n, h = paragraphs(data, offsets)
     keep = n >= SHINGLE
+    if begins is not None:
+        keep &= np.isin(first, begins(row))
     first, n = first[keep], n[keep]
     if not len(first):
         z = np.zeros(0, np.int64)
@@ -347,7 +351,7 @@ def _shared_keys(docs: DataFrame, bands: int) -> DataFrame:
 
 def _all_paragraphs(docs: DataFrame) -> DataFrame:
     """``node, doc_id, text_hash`` and ``PLACE`` of every paragraph with a
-    shingle, and ``tokens``, its sorted shingle hashes."""
+    shingle."""
     def scan(batches):
         for batch in batches:
             ids, texts = (batch.column(i).to_numpy() for i in (0, 1)) if batch.num_rows else ((), ())
@@ -355,15 +359,40 @@ def _all_paragraphs(docs: DataFrame) -> DataFrame:
                 starts, ends, row, first, n, flat, many = paragraph_sets(data, offsets)
                 if not len(first):
                     continue
-                upto = np.concatenate([[0], np.cumsum(many)]) * 8
-                raw = flat.tobytes()
                 place, mine = _places(data, offsets, starts, ends, row, first, n), row[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_nodes(flat, many)), pa.array(ids[base + mine]), pa.array(texts[base + mine]), *map(pa.array, place),
-                     pa.array([raw[i:j] for i, j in zip(upto[:-1].tolist(), upto[1:].tolist())], pa.binary())],
-                    names=["node", "doc_id", "text_hash", *PLACE, "tokens"])
+                    [pa.array(_nodes(flat, many)), pa.array(ids[base + mine]), pa.array(texts[base + mine]), *map(pa.array, place)],
+                    names=["node", "doc_id", "text_hash", *PLACE])
 
-    return docs.mapInArrow(scan, f"node long, doc_id long, text_hash long, {_PLACE_TYPES}, tokens binary")
+    return docs.mapInArrow(scan, f"node long, doc_id long, text_hash long, {_PLACE_TYPES}")
+
+
+def _sets(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """``node`` and ``tokens``, the sorted shingle hashes, of every node in
+    ``placed`` (``node, doc_id, text_hash, at``), from the text of its first place."""
+    one = placed.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "at")).alias("p"))
+    of = one.groupBy("p.doc_id", "p.text_hash").agg(F.collect_list("p.at").alias("begins"))
+
+    def build(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            upto, flat = batch.column(1).offsets.to_numpy().astype(np.int64), batch.column(1).values.to_numpy().astype(np.int64)
+            for base, data, offsets in blocks(batch.column(0)):
+                here = upto[base:base + len(offsets)]
+
+                def begins(row, here=here, last=len(offsets) - 1):
+                    return flat[here[0]:here[-1]] + np.repeat(np.searchsorted(row, np.arange(last)), np.diff(here))
+
+                *_, tokens, many = paragraph_sets(data, offsets, begins)
+                if len(many):
+                    edge, raw = np.concatenate([[0], np.cumsum(many)]) * 8, tokens.tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_nodes(tokens, many)), pa.array([raw[i:j] for i, j in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.binary())],
+                        names=["node", "tokens"])
+
+    # equal rows give a node's set twice
+    return rows.join(of, ["doc_id", "text_hash"]).select("text", "begins").mapInArrow(build, "node long, tokens binary").dropDuplicates(["node"])
 
 
 def _sketches(sets: DataFrame) -> DataFrame:
@@ -417,11 +446,10 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held = found.where("leader IS NOT NULL")
     # written, as are the first places, so that the planner can split a hot paragraph in the join
     wanted = materialize(found.groupBy("node").agg(F.max(F.col("leader").isNotNull()).alias("candidate")), "paragraph-nodes")
-    met = materialize(_all_paragraphs(rows).join(wanted, "node").withColumn(
-        "tokens", F.when(F.col("candidate"), F.col("tokens"))).drop("candidate"), "paragraphs")
-    sets = materialize(met.where("tokens IS NOT NULL").groupBy("node").agg(F.min("tokens").alias("tokens")), "paragraph-sets")
+    met = materialize(_all_paragraphs(rows).join(wanted, "node"), "paragraphs")
+    sets = materialize(_sets(rows, met.where("candidate")), "paragraph-sets")
     roots = close_links(held, _sketches(sets), round(SIMILARITY * 100), lambda pairs: _verified(pairs, sets), lambda nodes: _resigned(nodes, sets))
-    placed = met.drop("tokens").join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node")).drop("root", "node")
+    placed = met.drop("candidate").join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node")).drop("root", "node")
     return _with_first(materialize(placed, "paragraphs-placed"), "cluster")
 
 
@@ -461,12 +489,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words: ``doc_id, text_hash, n_repeated`` and ``n_removed`` (words),
     ``removed`` (spans ``start, end`` in code points to cut) and ``kept_in``
     (documents that keep what it repeats)."""
-    cols = ["at", "words", "kept", "exact", "kept_in"]
+    # a row is two numbers on its way to its text; a text has fewer than 2 ** 30 words
+    place = F.expr("shiftleft(cast(at AS long), 32) + shiftleft(cast(words AS long), 2) + IF(kept, 2, 0) + IF(exact, 1, 0)").alias("place")
     rows = _rows(docs, id_col, text_col)
     near = repeated_paragraphs(docs, id_col, text_col).withColumn("exact", F.lit(False))
     found = repeated_windows(rows).withColumns({"words": F.lit(WINDOW), "exact": F.lit(True)})
-    both = found.select("doc_id", "text_hash", *cols).unionByName(near.select("doc_id", "text_hash", *cols))
-    runs = both.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(*cols)).alias("p"))
+    both = found.select("doc_id", "text_hash", place, "kept_in").unionByName(near.select("doc_id", "text_hash", place, "kept_in"))
+    runs = both.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("place", "kept_in")).alias("p"))
 
     def merge(batches):
         for batch in batches:
@@ -475,7 +504,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out = {"doc_id": [], "text_hash": [], "n_repeated": [], "n_removed": [], "removed": [], "kept_in": []}
             p = batch.column(3)
             edge = p.offsets.to_numpy().astype(np.int64)
-            at, n, *parts = (x.to_numpy(zero_copy_only=False) for x in p.values.flatten())
+            place, kept_in = (x.to_numpy() for x in p.values.flatten())
+            at, n, parts = place >> 32, (place & 0xFFFFFFFF) >> 2, ((place & 2) > 0, (place & 1) > 0, kept_in)
             doc_ids, texts = (batch.column(i).to_pylist() for i in (0, 1))
             for base, data, offsets in blocks(batch.column(2)):
                 starts, ends, row = words(data, offsets, "space")
