@@ -1,6 +1,7 @@
 """Components, n-gram join, paragraph dedup and top-k against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -179,6 +180,44 @@ def test_shared_windows_travel_as_word_numbers_and_spans_are_found_again(spark):
     assert spans == {1: [], 2: [shared, own[0]], 3: [shared]} and got[3].kept_in == [1]
 
 
+def test_paragraphs_travel_without_shingles_and_sets_are_built_again(spark):
+    """A paragraph's row is its node and place; the sets of those asked for are the text's, also in a block of several rows."""
+    rng = random.Random(22)
+    rows = [(i, "\n".join(" ".join("s%d" % rng.randrange(10 ** 6) for _ in range(rng.randrange(1, 30))) for _ in range(6))) for i in range(30)]
+    docs = PD._rows(spark.createDataFrame([*rows, rows[3]], DOCS).repartition(2), "doc_id", "text")
+    every = PD._all_paragraphs(docs)
+    assert set(every.columns) == {"node", "doc_id", "text_hash", *PD.PLACE}
+    some = every.where("doc_id % 3 = 0").select("node", "doc_id", "text_hash", "at")
+    got = {r.node: bytes(r.tokens) for r in PD._sets(docs, some).collect()}
+    want = {}
+    for _, text in rows[::3]:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        *_, flat, many = PD.paragraph_sets(raw, np.array([0, len(raw)]))
+        upto = np.concatenate([[0], np.cumsum(many)])
+        want |= {int(n): flat[a:b].tobytes() for n, a, b in zip(PD._nodes(flat, many), upto[:-1], upto[1:])}
+    assert len(want) > 30 and got == want
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    from tidemark.session import SHUFFLE_CLEANUP, materialize
+
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while blocks.hasNext():
+            names.add(blocks.next().getName())
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    before, was = files(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    df = spark.range(20_000).repartition(4, "id").groupBy((F.col("id") % 5000).alias("k")).agg(F.count("*").alias("n"))
+    table = materialize(df, "shuffled")
+    deadline = time.time() + 10
+    while files() - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(SHUFFLE_CLEANUP, None) == was
+    assert table.count() == 5000 and df.count() == 5000                       # what it was made from still runs
+
+
 def test_paragraph_dedup_of_odd_and_empty_tables(spark):
     got = {r.doc_id for r in PD.substring_dedup(odd_docs(spark)).collect()}
     assert got == {5, 6, 7, 8, 9}                             # the texts that occur in several documents

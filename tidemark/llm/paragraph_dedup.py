@@ -494,7 +494,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = _rows(docs, id_col, text_col)
     near = repeated_paragraphs(docs, id_col, text_col).withColumn("exact", F.lit(False))
     found = repeated_windows(rows).withColumns({"words": F.lit(WINDOW), "exact": F.lit(True)})
-    both = found.select("doc_id", "text_hash", place, "kept_in").unionByName(near.select("doc_id", "text_hash", place, "kept_in"))
+    # written, so that what its join has shuffled does not lie beside what is dealt out to the texts
+    found = materialize(found.select("doc_id", "text_hash", place, "kept_in"), "windows-repeated")
+    both = found.unionByName(near.select("doc_id", "text_hash", place, "kept_in"))
     runs = both.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("place", "kept_in")).alias("p"))
 
     def merge(batches):

@@ -99,16 +99,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tidemark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table in the shared
     checkpoint folder and reading it back.
 
     Survives executor loss (the data is in shared storage, unlike a local
     checkpoint), is columnar and compressed (cheaper than the row-serialized
-    RDD checkpoint), and gives the planner real file statistics.
+    RDD checkpoint), and gives the planner real file statistics. What the
+    write has shuffled is removed with it, not when the driver's garbage happens
+    to be collected.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.parquet(path)
 
 
