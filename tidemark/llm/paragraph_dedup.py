@@ -117,12 +117,11 @@ def _nodes(flat: np.ndarray, many: np.ndarray) -> np.ndarray:
         return mix(np.add.reduceat(mix(flat ^ np.uint64(0xA0761D6478BD642F)), at) + many.astype(np.uint64)).view(np.int64)
 
 
-PLACE = ["at", "words", "before", "start", "end", "after"]
-_PLACE_TYPES = "at int, words int, before int, start int, end int, after int"
+PLACE = ["at", "words"]          # the number of the first word in its text, and of words; the rest is found again from the text
 
 
 def _places(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, first: np.ndarray, n) -> list[np.ndarray]:
-    """``PLACE`` of runs of ``n`` words from word ``first`` on: the word's
+    """Places of runs of ``n`` words from word ``first`` on: the word's
     number in its text, the number of words, and in code points of the text the
     end of the word before, start, end, and the start of the word after."""
     heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -356,15 +355,16 @@ def _all_paragraphs(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, texts = (batch.column(i).to_numpy() for i in (0, 1)) if batch.num_rows else ((), ())
             for base, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
-                starts, ends, row, first, n, flat, many = paragraph_sets(data, offsets)
+                _, _, row, first, n, flat, many = paragraph_sets(data, offsets)
                 if not len(first):
                     continue
-                place, mine = _places(data, offsets, starts, ends, row, first, n), row[first]
+                mine = row[first]
+                place = [x.astype(np.int32) for x in (first - np.searchsorted(row, mine), n)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_nodes(flat, many)), pa.array(ids[base + mine]), pa.array(texts[base + mine]), *map(pa.array, place)],
                     names=["node", "doc_id", "text_hash", *PLACE])
 
-    return docs.mapInArrow(scan, f"node long, doc_id long, text_hash long, {_PLACE_TYPES}")
+    return docs.mapInArrow(scan, "node long, doc_id long, text_hash long, at int, words int")
 
 
 def _sets(rows: DataFrame, placed: DataFrame) -> DataFrame:
