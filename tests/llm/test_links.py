@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import pyspark.sql.types as T
 from pyspark.sql import functions as F
@@ -180,6 +181,43 @@ def test_shared_windows_travel_as_word_numbers_and_spans_are_found_again(spark):
     assert spans == {1: [], 2: [shared, own[0]], 3: [shared]} and got[3].kept_in == [1]
 
 
+def test_shared_keys_travel_packed_and_come_back_one_row_a_text(spark):
+    """Keys that documents share against brute force: rare ones, some that a pack holds very often, and some that
+    only one document has, with repeated rows and one id for two texts."""
+    from tidemark.llm import shared_places as SP
+    from tidemark.llm.textblocks import blocks, span_hashes, words
+
+    def keys(batch):
+        for base, data, offsets in blocks(batch.column(2)):
+            starts, ends, row = words(data, offsets, "space")
+            yield base + row, span_hashes(data, starts, ends), np.arange(len(row)) - np.searchsorted(row, row)
+
+    rng = random.Random(23)
+    rows = [(i - 50, " ".join([*("c%d" % rng.randrange(4) for _ in range(3)), *("s%d" % rng.randrange(900) for _ in range(4)), "u%d" % i])) for i in range(400)]
+    rows += [(7, "own " * 300 + "s1"), (7, "c1 s2 s2 own"), (8, ""), (9, None), (-51, "c2 s3 c2"), *rows[:30]]
+    docs = PD._rows(spark.createDataFrame([(10 ** 12 * (i % 3) + i, t) for i, t in rows], DOCS).repartition(2), "doc_id", "text").cache()
+    places = {}
+    texts = {(r.doc_id, r.text_hash): r.text for r in docs.collect()}
+    for (doc, text_hash), text in texts.items():
+        for at, word in enumerate((text or "").split()):
+            places.setdefault(word, []).append((doc, text_hash, at))
+    want = {}
+    for p in places.values():
+        if len({doc for doc, *_ in p}) > 1:
+            for doc, text_hash, at in p:
+                want.setdefault((doc, text_hash), set()).add((at, (doc, text_hash, at) == min(p), min(p)[0]))
+    assert max(map(len, places.values())) > 4 * SP.CROWD and {len(p) for p in places.values()} >= {1, 2, 3}
+    found = SP.shared_places(docs, keys, "test")
+    assert found.columns == ["doc_id", "text_hash", "places", "kept_in"]
+    got = found.collect()
+    assert len(got) == len(want)                              # one row per text, none by key
+    for r in got:
+        _, at, kept = SP.unpack(pa.array([bytes(r.places)]))
+        assert set(zip(at.tolist(), kept.tolist(), SP.unpack_ids(pa.array([bytes(r.kept_in)])).tolist())) == want[r.doc_id, r.text_hash]
+    assert SP.shared_places(docs.limit(0), keys, "test").count() == 0
+    docs.unpersist()
+
+
 def test_paragraphs_travel_without_shingles_and_sets_are_built_again(spark):
     """A paragraph's row is its node and place; the sets of those asked for are the text's, also in a block of several rows."""
     rng = random.Random(22)

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import RESIGNED, SKETCH, close_links, parity_bits, resigned
+from tidemark.llm.shared_places import shared_places, unpack, unpack_ids
 from tidemark.llm.textblocks import blocks, lower_ascii, mix, span_hashes, words
 from tidemark.session import materialize
 
@@ -102,7 +103,9 @@ def paragraph_sets(data: np.ndarray, offsets: np.ndarray, begins=None):
     owner = np.repeat(np.arange(len(n)), many)
     at = np.cumsum(many) - many
     flat = whole[np.repeat(first - at, many) + np.arange(int(many.sum()))]
-    order = np.lexsort((flat, owner))
+    order = np.argsort(flat)
+    # few paragraphs, whose numbers are sorted by digits
+    order = order[np.argsort(owner[order].astype(np.uint16 if len(n) <= 1 << 16 else np.int64), kind="stable")]
     flat, owner = flat[order], owner[order]
     distinct = np.ones(len(flat), bool)
     distinct[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
@@ -165,68 +168,35 @@ def seeds(row: np.ndarray, hashes: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return np.unique(i + least[i])
 
 
-def _shared_seeds(docs: DataFrame) -> DataFrame:
-    """``seed``: the hashes of seeds that occur in more than one document."""
-    entry = np.dtype([("key", np.uint64), ("lo", np.int64), ("hi", np.int64)])
+def _seed_keys(batch: pa.RecordBatch):
+    for base, data, offsets in blocks(batch.column(2)):
+        _, _, row, hashes, whole = windows(data, offsets)
+        i = seeds(row, hashes, whole)
+        yield base + row[i], hashes[i], i - np.searchsorted(row, row[i])
 
-    def merged(parts):
-        e = np.concatenate(parts)
-        e = e[np.argsort(e["key"], kind="stable")]
-        first = np.flatnonzero(np.append(True, e["key"][1:] != e["key"][:-1]))
-        out = e[first]
-        out["lo"], out["hi"] = np.minimum.reduceat(e["lo"], first), np.maximum.reduceat(e["hi"], first)
-        return out
-
-    def scan(batches):
-        held: list = []
-        for batch in batches:
-            ids = batch.column(0).to_numpy() if batch.num_rows else ()
-            for base, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
-                _, _, row, hashes, whole = windows(data, offsets)
-                at = seeds(row, hashes, whole)
-                if len(at):
-                    e = np.empty(len(at), entry)
-                    e["key"], e["lo"], e["hi"] = hashes[at], ids[base + row[at]], ids[base + row[at]]
-                    held.append(merged([e]))
-        if not held:
-            return
-        e = merged(held)
-        cut = np.searchsorted(e["key"], np.arange(1, 1 << _RANGE_BITS, dtype=np.uint64) << np.uint64(64 - _RANGE_BITS))
-        rows = [(r, e[i:j]) for r, (i, j) in enumerate(zip(np.append(0, cut).tolist(), np.append(cut, len(e)).tolist())) if i < j]
-        # column after column, the last one as a difference, which is mostly 0
-        yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array(
-            [b"".join((x["key"].tobytes(), x["lo"].tobytes(), (x["hi"] - x["lo"]).tobytes())) for _, x in rows], pa.binary())], names=["r", "entries"])
-
-    def gather(batches):
-        held = []
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                e = np.empty(len(raw) // 24, entry)
-                e["key"], e["lo"], e["hi"] = np.frombuffer(raw, np.uint64, len(e)), *np.frombuffer(raw, np.int64, 2 * len(e), 8 * len(e)).reshape(2, -1)
-                e["hi"] += e["lo"]
-                held.append(e)
-        if held:
-            e = merged(held)
-            yield pa.RecordBatch.from_arrays([pa.array(e["key"][e["lo"] < e["hi"]].view(np.int64))], names=["seed"])
-
-    dealt = docs.mapInArrow(scan, "r int, entries binary").repartition("r")
-    return materialize(dealt.select("entries").mapInArrow(gather, "seed long"), "shared-seeds")
 
+def _window_keys(batch: pa.RecordBatch):
+    """The windows within ``CONTEXT`` words of the places in the last column."""
+    each, flat, _ = unpack(batch.column(3))
+    upto = np.append(0, np.cumsum(each))
+    for base, data, offsets in blocks(batch.column(2)):
+        starts, _, row, hashes, whole = windows(data, offsets)
+        rows_here = len(offsets) - 1
+        edge = np.searchsorted(row, np.arange(rows_here + 1))
+        of = np.repeat(np.arange(rows_here), np.diff(upto[base:base + rows_here + 1]))
+        at = flat[upto[base]:upto[base + rows_here]] + edge[of]
+        depth = np.zeros(len(starts) + 1, np.int64)
+        np.add.at(depth, np.maximum(at - CONTEXT, edge[of]), 1)
+        np.add.at(depth, np.minimum(at + CONTEXT + 1, edge[of + 1]), -1)
+        i = np.flatnonzero(whole & (np.cumsum(depth[:-1]) > 0))
+        yield base + row[i], hashes[i], i - edge[row[i]]
 
-def _seed_places(docs: DataFrame) -> DataFrame:
-    """``seed, doc_id, text_hash, at`` (word number) of every seed."""
-    def scan(batches):
-        for batch in batches:
-            ids, texts = (batch.column(i).to_numpy() for i in (0, 1)) if batch.num_rows else ((), ())
-            for base, data, offsets in blocks(batch.column(2)) if batch.num_rows else ():
-                _, _, row, hashes, whole = windows(data, offsets)
-                i = seeds(row, hashes, whole)
-                mine = row[i]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[i].view(np.int64)), pa.array(ids[base + mine]), pa.array(texts[base + mine]),
-                     pa.array((i - np.searchsorted(row, mine)).astype(np.int32))], names=["seed", "doc_id", "text_hash", "at"])
 
-    return docs.mapInArrow(scan, "seed long, doc_id long, text_hash long, at int")
+def _window_texts(rows: DataFrame) -> DataFrame:
+    """The windows of ``repeated_windows``, one row per text, as of ``shared_places``."""
+    met = shared_places(rows, _seed_keys, "seeds").select("doc_id", "text_hash", F.col("places").alias("near"))
+    near = rows.join(met, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "near")
+    return shared_places(near, _window_keys, "windows")
 
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
@@ -235,37 +205,14 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     number of its first word), ``kept_in`` and ``kept`` as of
     ``repeated_paragraphs``. Most of a job's rows are such windows; the rest of
     their places is found again from the text."""
-    met = _seed_places(rows).join(_shared_seeds(rows), "seed")
-    met = materialize(met.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("near")), "seed-places")
-
-    def scan(batches):
+    def rows_of(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, texts = (batch.column(i).to_numpy() for i in (0, 1))
-            near = batch.column(3)
-            upto = near.offsets.to_numpy().astype(np.int64)
-            flat = near.values.to_numpy().astype(np.int64)
-            for base, data, offsets in blocks(batch.column(2)):
-                starts, _, row, hashes, whole = windows(data, offsets)
-                rows_here = len(offsets) - 1
-                edge = np.searchsorted(row, np.arange(rows_here + 1))
-                of = np.repeat(np.arange(rows_here), np.diff(upto[base:base + rows_here + 1]))
-                at = flat[upto[base]:upto[base + rows_here]] + edge[of]
-                depth = np.zeros(len(starts) + 1, np.int64)
-                np.add.at(depth, np.maximum(at - CONTEXT, edge[of]), 1)
-                np.add.at(depth, np.minimum(at + CONTEXT + 1, edge[of + 1]), -1)
-                i = np.flatnonzero(whole & (np.cumsum(depth[:-1]) > 0))
-                if len(i):
-                    mine = base + row[i]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[i].view(np.int64)), pa.array(ids[mine]), pa.array(texts[mine]), pa.array((i - edge[row[i]]).astype(np.int32))],
-                        names=["win", "doc_id", "text_hash", "at"])
+            many, at, kept = unpack(batch.column(2))
+            ids, texts = (np.repeat(batch.column(i).to_numpy(), many) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, texts, at.astype(np.int32), unpack_ids(batch.column(3)), kept)],
+                                             names=["doc_id", "text_hash", "at", "kept_in", "kept"])
 
-    # written, so that the join below has plain shuffles on both sides and the planner can split a hot window
-    near = materialize(rows.join(met, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "near").mapInArrow(
-        scan, "win long, doc_id long, text_hash long, at int"), "windows")
-    return _with_first(near, "win").drop("win")
+    return _window_texts(rows).mapInArrow(rows_of, "doc_id long, text_hash long, at int, kept_in long, kept boolean")
 
 
 def _with_first(placed: DataFrame, key: str) -> DataFrame:
@@ -489,25 +436,29 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words: ``doc_id, text_hash, n_repeated`` and ``n_removed`` (words),
     ``removed`` (spans ``start, end`` in code points to cut) and ``kept_in``
     (documents that keep what it repeats)."""
-    # a row is two numbers on its way to its text; a text has fewer than 2 ** 30 words
-    place = F.expr("shiftleft(cast(at AS long), 32) + shiftleft(cast(words AS long), 2) + IF(kept, 2, 0) + IF(exact, 1, 0)").alias("place")
+    # a paragraph is two numbers on its way to its text; a text has fewer than 2 ** 30 words
+    place = F.expr("shiftleft(cast(at AS long), 32) + shiftleft(cast(words AS long), 1) + IF(kept, 1, 0)").alias("place")
     rows = _rows(docs, id_col, text_col)
-    near = repeated_paragraphs(docs, id_col, text_col).withColumn("exact", F.lit(False))
-    found = repeated_windows(rows).withColumns({"words": F.lit(WINDOW), "exact": F.lit(True)})
-    # written, so that what its join has shuffled does not lie beside what is dealt out to the texts
-    found = materialize(found.select("doc_id", "text_hash", place, "kept_in"), "windows-repeated")
-    both = found.unionByName(near.select("doc_id", "text_hash", place, "kept_in"))
-    runs = both.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("place", "kept_in")).alias("p"))
+    near = repeated_paragraphs(docs, id_col, text_col).select("doc_id", "text_hash", place, "kept_in")
+    near = near.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("place", "kept_in")).alias("p"))
+    # written, so that what they have shuffled does not lie beside the texts
+    found = materialize(_window_texts(rows), "windows-repeated")
+    runs = near.join(found, ["doc_id", "text_hash"], "full_outer")
 
     def merge(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             out = {"doc_id": [], "text_hash": [], "n_repeated": [], "n_removed": [], "removed": [], "kept_in": []}
+            (many, win, win_kept), win_in = unpack(batch.column(4)), unpack_ids(batch.column(5))
             p = batch.column(3)
-            edge = p.offsets.to_numpy().astype(np.int64)
-            place, kept_in = (x.to_numpy() for x in p.values.flatten())
-            at, n, parts = place >> 32, (place & 0xFFFFFFFF) >> 2, ((place & 2) > 0, (place & 1) > 0, kept_in)
+            each = np.diff(p.offsets.to_numpy().astype(np.int64))
+            place, kept_in = (x.to_numpy() for x in p.flatten().flatten())
+            # a text's windows and paragraphs one after another
+            turn = np.argsort(np.repeat(np.append(np.arange(len(many)), np.arange(len(each))), np.append(many, each)), kind="stable")
+            edge = np.append(0, np.cumsum(many + each))
+            at, n = (np.append(x, y)[turn] for x, y in ((win, place >> 32), (np.full(len(win), WINDOW), (place & 0xFFFFFFFF) >> 1)))
+            parts = [np.append(x, y)[turn] for x, y in ((win_kept, (place & 1) > 0), (np.ones(len(win), bool), np.zeros(len(place), bool)), (win_in, kept_in))]
             doc_ids, texts = (batch.column(i).to_pylist() for i in (0, 1))
             for base, data, offsets in blocks(batch.column(2)):
                 starts, ends, row = words(data, offsets, "space")
@@ -524,7 +475,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_repeated", pa.int64()), ("n_removed", pa.int64()),
                 ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_in", pa.list_(pa.int64()))]))
 
-    placed = rows.join(runs, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "p")
+    placed = rows.join(runs, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "p", "places", "kept_in")
     # equal rows met the same places
     return placed.mapInArrow(merge, "doc_id long, text_hash long, n_repeated long, n_removed long, "
                                     "removed array<struct<start:long,end:long>>, kept_in array<long>").dropDuplicates(["doc_id", "text_hash"])
